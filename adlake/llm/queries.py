@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, simhash
+from . import decontaminate, packing, quality, simhash
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op6_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_latent_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,7 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_deletion_variants": op3_simhash_deletion_variants,
     "op6_suffix_array_decontamination": op6_suffix_array_decontamination,
+    "op7_latent_neighbour_quality": op7_latent_neighbour_quality,
     "op9_harmonic_packing": op9_harmonic_packing,
 }
 
