@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, simhash
+from . import decontaminate, packing, quality, simhash, toxicity
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op3_simhash_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,6 +32,7 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_deletion_variants": op3_simhash_deletion_variants,
+    "op5_string_kernel_toxicity": op5_string_kernel_toxicity,
     "op6_suffix_array_decontamination": op6_suffix_array_decontamination,
     "op7_latent_neighbour_quality": op7_latent_neighbour_quality,
     "op9_harmonic_packing": op9_harmonic_packing,
