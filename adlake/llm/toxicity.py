@@ -174,23 +174,21 @@ def phi(word: str, decay: float) -> dict[int, float]:
     return out
 
 
-def _matrix(words: list[str], decay: float):
-    """Unit rows over the triples in use: (matrix, triples)."""
-    rows = [phi(w, decay) for w in words]
-    used = np.array(sorted({t for r in rows for t in r}), np.int64)
-    x = np.zeros((len(words), len(used)), np.float32)
-    for k, r in enumerate(rows):
-        if r:
-            x[k, np.searchsorted(used, list(r))] = list(r.values())
-    size = np.linalg.norm(x, axis=1, keepdims=True)
-    return x / np.maximum(size, 1e-9), used
+def _vectors(words: list[str], decay: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(triples, weights) of each word, of length one."""
+    out = []
+    for w in words:
+        p = phi(w, decay)
+        v = np.fromiter(p.values(), np.float32, len(p))
+        out.append((np.fromiter(p.keys(), np.int64, len(p)), v / max(1e-9, float(np.linalg.norm(v)))))
+    return out
 
 
 def _hinge(z: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float, steps: int = 400) -> np.ndarray:
     """A linear machine with squared hinge loss, by accelerated gradient steps. The last weight is the bias."""
     x = np.hstack([z, np.ones((len(z), 1))])
     w = prev = np.zeros(x.shape[1])
-    rate = 1.0 / (reg + 2 * np.linalg.norm(x * np.sqrt(weight)[:, None], 2) ** 2)
+    rate = 1.0 / (reg + 2 * np.linalg.eigvalsh(x.T @ (x * weight[:, None]))[-1])
     for k in range(steps):
         v = w + (w - prev) * k / (k + 3)
         slack = np.maximum(0, 1 - y * (x @ v))
@@ -235,23 +233,25 @@ def _machine(positive: list[str], negative: list[str], landmarks: int, decay: fl
     """(weights over the triples, bias), from windows; negative ones that are positive too are left out."""
     taken = set(positive)
     words = positive + [w for w in negative if w not in taken]
-    x, used = _matrix(words, decay)
+    vectors = _vectors(words, decay)
     half = min(landmarks // 2, len(words) - len(positive))
-    chosen: list[int] = []
-    for k in range(len(positive)):  # in the order of evidence, those unlike the ones before
-        if len(chosen) < landmarks - half and (not chosen or (x[chosen] @ x[k]).max() < 0.9):
-            chosen.append(k)
-    chosen += range(len(positive), len(positive) + half)
-    m = x[chosen]
-    val, vec = np.linalg.eigh((m @ m.T).astype(np.float64))
+    table = np.zeros((26**3, landmarks), np.float32)  # a landmark a column
+    n = 0
+    for k in [*range(len(positive)), *range(len(positive), len(positive) + half)]:
+        at, v = vectors[k]
+        # positive ones in the order of evidence, those unlike the ones before; then frequent clean ones
+        if k >= len(positive) or n < landmarks - half and (v @ table[at]).max(initial=0) < 0.9:
+            table[at, n] = v
+            n += 1
+    table = table[:, :n]
+    gram = (table.T @ table).astype(np.float64)
+    val, vec = np.linalg.eigh(gram)
     root = (vec * np.where(val > 1e-6, np.maximum(val, 1e-6) ** -0.5, 0)) @ vec.T
-    z = (x @ m.T) @ root
+    z = np.stack([v @ table[at] for at, v in vectors]) @ root
     y = np.where(np.arange(len(words)) < len(positive), 1.0, -1.0)
     weight = np.where(y > 0, 0.5 / len(positive), 0.5 / max(1, len(words) - len(positive)))
     w = _hinge(z, y, weight, reg=1e-4)
-    table = np.zeros(26**3, np.float32)
-    table[used] = m.T @ (root @ w[:-1])
-    return table, float(w[-1])
+    return (table @ (root @ w[:-1])).astype(np.float32), float(w[-1])
 
 
 def _curve(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
