@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, simhash, toxicity
+from . import decontaminate, hosts, language, packing, quality, simhash, toxicity
 from .common import table
 
 
+def op2_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -30,12 +34,20 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_mixture_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_host_quality_rules": op2_host_quality_rules,
     "op3_simhash_deletion_variants": op3_simhash_deletion_variants,
     "op5_string_kernel_toxicity": op5_string_kernel_toxicity,
     "op6_suffix_array_decontamination": op6_suffix_array_decontamination,
     "op7_latent_neighbour_quality": op7_latent_neighbour_quality,
     "op9_harmonic_packing": op9_harmonic_packing,
+    "op10_mixture_language": op10_mixture_language,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_host_quality_rules": hosts.oracle(),
+}
