@@ -1,3 +1,123 @@
-"""DuckDB SQL for the keys of registry.QUERIES."""
+"""DuckDB SQL for the keys of registry.QUERIES, over the same tables."""
 
-ORACLES: dict = {}
+from __future__ import annotations
+
+from adlake.plans.registry import AS_OF, SOLD_AT
+
+ADS = """ads AS (
+SELECT CAST(o_orderkey AS VARCHAR) AS id_ad, p_brand AS make_name, p_name AS model_name, p_type AS version,
+  CASE WHEN o_orderkey % 13 <> 0 THEN CAST(1985 + o_orderkey % 40 AS INTEGER) END AS year,
+  CASE WHEN p_brand IS NOT NULL THEN concat_ws(' ', p_brand, p_name, p_type) END AS title,
+  n_name AS city, CASE WHEN o_orderkey % 23 <> 0 THEN r_name END AS region,
+  CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 19 = 0 THEN 0 ELSE CAST(floor(o_totalprice / 4) AS INTEGER) END AS price,
+  'PLN' AS currency_code, c_mktsegment AS fuel_type, o_orderpriority AS gearbox, CAST(o_custkey * 137 % 250000 AS INTEGER) AS mileage,
+  CAST(o_orderdate AS TIMESTAMP) AS created_at, CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL 30 DAY END AS sold_at,
+  'src' || CAST(o_custkey % 3 AS VARCHAR) AS source_name
+FROM orders LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS pk FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey
+  LEFT JOIN part ON pk = p_partkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+MSG = """msg AS (
+SELECT event_id AS "offset", CAST(ts AS TIMESTAMP) AS scraped_at, CAST(user_id AS VARCHAR) AS id_ad, 'src' || CAST(user_id % 3 AS VARCHAR) AS source_name, event_type AS make_str,
+  CASE WHEN event_id % 29 <> 0 THEN CAST(floor(value / 10) AS INTEGER) END AS price, props FROM events)"""
+
+HIST = """hist AS (
+SELECT id_ad AS auto_ad_id, created_at AS timestamp, price, currency_code, 'active' AS status FROM ads
+UNION ALL SELECT id_ad, sold_at, price, currency_code, 'sold' FROM ads WHERE sold_at IS NOT NULL)"""
+
+LOG = """log AS (
+SELECT id_ad, "offset", price, CASE WHEN n = 1 THEN 'active' WHEN price IS DISTINCT FROM before THEN 'price_changed' END AS status
+FROM (SELECT *, row_number() OVER w AS n, lag(price) OVER w AS before FROM msg WINDOW w AS (PARTITION BY id_ad ORDER BY "offset")))"""
+
+STATE = """state AS (
+SELECT l.id_ad, f.source_name, l.make_str AS make_name, l.price, 'PLN' AS currency_code, l.scraped_at AS created_at
+FROM (SELECT * FROM msg QUALIFY row_number() OVER (PARTITION BY id_ad ORDER BY "offset" DESC) = 1) l
+JOIN (SELECT * FROM msg QUALIFY row_number() OVER (PARTITION BY id_ad ORDER BY "offset") = 1) f USING (id_ad))"""
+
+SNAP = """snap AS (SELECT DISTINCT source_name, id_ad FROM msg WHERE scraped_at > (SELECT max(scraped_at) FROM msg) - INTERVAL 12 HOUR),
+gone AS (SELECT source_name, id_ad FROM state WHERE source_name IN (SELECT source_name FROM snap) AND (source_name, id_ad) NOT IN (SELECT source_name, id_ad FROM snap))"""
+
+CARD = "id_ad, make_name, model_name, year, title, city, region, price, created_at, sold_at, source_name"
+SOME = "make_name ILIKE '%brand#1%' AND price >= 5000 AND price <= 100000 AND sold_at IS NULL"
+SHORT = "id_ad, make_name, year, price, mileage, source_name"
+RAW = """raw AS (SELECT "offset", CASE WHEN "offset" % 13 <> 0 THEN id_ad END AS source_ad_id, CASE WHEN "offset" % 11 <> 0 THEN 'https://ad.invalid/' || CAST("offset" AS VARCHAR) END AS url,
+source_name, make_str, CASE WHEN "offset" % 7 = 0 THEN 'n/a' ELSE CAST(price AS VARCHAR) END AS price FROM msg)"""
+
+
+def _of(*parts: str) -> str:
+    return "WITH " + ", ".join(parts[:-1]) + " " + parts[-1]
+
+
+def _rounded(x: str) -> str:
+    return f"coalesce(round_even({x}, 2), 0.0)"
+
+
+def _trend(part: str, days: int) -> str:
+    return _of(ADS, f"SELECT CAST(date_trunc('{part}', created_at) AS TIMESTAMP) AS period, count(*) AS count, {_rounded('avg(price)')} AS avg_price FROM ads WHERE created_at >= TIMESTAMP '{AS_OF}' - INTERVAL {days} DAY AND price > 0 GROUP BY 1 ORDER BY 1")
+
+
+def _priced(keys: str, where: str) -> str:
+    return _of(ADS, f"SELECT {keys}, count(*) AS count, {_rounded('avg(price)')} AS avg_price, min(price) AS min_price, max(price) AS max_price FROM ads WHERE {where} AND price > 0 GROUP BY {keys} ORDER BY count DESC, {keys} LIMIT 10")
+
+
+_SLUG = "replace(lower(make_name), ' ', '-')"
+_MODEL = f"{_SLUG} || '-' || replace(lower(model_name), ' ', '-')"
+_MAKES = f"SELECT {_SLUG} AS slug, min_by(make_name, id_ad) AS name FROM ads WHERE make_name <> '' GROUP BY 1"
+_MODELS = f"SELECT {_MODEL} AS slug, min_by(model_name, id_ad) AS name, min_by({_SLUG}, id_ad) AS make_slug FROM ads WHERE make_name <> '' AND model_name <> '' GROUP BY 1"
+
+ORACLES = {
+    "active_ids_snapshot": _of(MSG, "SELECT DISTINCT source_name, make_str, id_ad FROM msg"),
+    "ad_detail": _of(ADS, HIST, "SELECT id_ad, title, city, a.price AS ad_price, h.timestamp, h.price, h.currency_code, h.status FROM ads a LEFT JOIN hist h ON auto_ad_id = id_ad WHERE id_ad = '1'"),
+    "ad_history": _of(ADS, HIST, "SELECT * FROM hist WHERE auto_ad_id = '1' ORDER BY timestamp DESC, status"),
+    "ads_list_filtered": _of(ADS, f"SELECT {CARD} FROM ads WHERE {SOME} ORDER BY price ASC NULLS LAST, id_ad LIMIT 20"),
+    "ads_page_2": _of(ADS, f"SELECT {CARD} FROM ads ORDER BY created_at DESC NULLS FIRST, id_ad LIMIT 20 OFFSET 20"),
+    "ads_page_meta": _of(ADS, f"SELECT count(*) AS total, CAST(1 AS BIGINT) AS page, CAST(20 AS BIGINT) AS page_size, CAST(ceil(count(*) / 20) AS BIGINT) AS total_pages FROM ads WHERE {SOME}"),
+    "ads_search": _of(ADS, f"SELECT {CARD} FROM ads WHERE title ILIKE '%ring%' ORDER BY created_at DESC NULLS FIRST, id_ad LIMIT 20"),
+    "ads_with_dims": _of(ADS, f"mk AS ({_MAKES})", f"md AS ({_MODELS})", f"SELECT id_ad, {_SLUG} AS make_slug, mk.name AS make_dim, {_MODEL} AS model_slug, md.name AS model_dim FROM ads LEFT JOIN mk ON mk.slug = {_SLUG} LEFT JOIN md ON md.slug = {_MODEL}"),
+    "crawl_page_plan": _of(ADS, "SELECT make, CAST(unnest(range(1, CAST(ceil(total / 50) AS BIGINT) + 1)) AS INTEGER) AS page FROM (SELECT lower(make_name) AS make, count(*) AS total FROM ads WHERE make_name IS NOT NULL GROUP BY 1)"),
+    "dashboard_summary": _of(
+        ADS,
+        "top AS (SELECT make_name FROM ads WHERE make_name IS NOT NULL AND price > 0 GROUP BY 1 ORDER BY count(*) DESC, make_name LIMIT 5)",
+        f"SELECT count(*) AS total_ads, count(*) FILTER (sold_at IS NULL) AS active_ads, {_rounded('avg(price) FILTER (price > 0)')} AS avg_price, (SELECT make_name FROM ads WHERE make_name IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, make_name LIMIT 1) AS most_popular_make, (SELECT count(DISTINCT make_name) FROM top) AS data_sources FROM ads",
+    ),
+    "digit_guard": _of(MSG, "SELECT \"offset\" AS event_id, CASE WHEN regexp_full_match(x, '[0-9]+') THEN TRY_CAST(x AS INTEGER) END AS plain, CAST(NULL AS INTEGER) AS with_newline, CAST(NULL AS INTEGER) AS with_space FROM (SELECT *, json_extract_string(props, '$.k') AS x FROM msg)"),
+    "dim_make": _of(ADS, _MAKES),
+    "dim_model": _of(ADS, _MODELS),
+    "filter_options": _of(
+        ADS,
+        "SELECT DISTINCT 'fuel_types' AS facet, fuel_type AS value FROM ads WHERE fuel_type <> '' UNION ALL SELECT DISTINCT 'gearboxes', gearbox FROM ads WHERE gearbox <> '' UNION ALL SELECT DISTINCT 'regions', region FROM ads WHERE region <> '' UNION ALL SELECT DISTINCT 'sources', source_name FROM ads WHERE source_name <> '' UNION ALL (SELECT DISTINCT 'cities', city FROM ads WHERE city <> '' ORDER BY city LIMIT 50)",
+    ),
+    "filter_ranges": _of(ADS, "SELECT coalesce(min(price) FILTER (price > 0), 0) AS min_price, coalesce(max(price) FILTER (price > 0), 0) AS max_price, coalesce(min(year), 1990) AS min_year, coalesce(max(year), 2024) AS max_year FROM ads"),
+    "flt_ilike": _of(ADS, f"SELECT {SHORT} FROM ads WHERE make_name ILIKE '%brand#1%' AND city ILIKE '%nation_1%'"),
+    "flt_range": _of(ADS, f"SELECT {SHORT} FROM ads WHERE year >= 1995 AND year <= 2010 AND mileage <= 100000"),
+    "flt_sold": _of(ADS, f"SELECT {SHORT} FROM ads WHERE sold_at IS NOT NULL"),
+    "flt_source": _of(ADS, f"SELECT {SHORT} FROM ads WHERE source_name = 'src1'"),
+    "make_loader": _of(ADS, "SELECT DISTINCT lower(trim(make_name)) AS make FROM (SELECT DISTINCT make_name FROM ads WHERE length(trim(make_name)) > 0 ORDER BY make_name LIMIT 1000)"),
+    "make_stats": _priced("make_name", "make_name IS NOT NULL"),
+    "makes_list": _of(ADS, "SELECT DISTINCT make_name FROM ads WHERE make_name <> ''"),
+    "message_project": _of(MSG, RAW, "SELECT \"offset\", source_ad_id AS id_ad, url AS url_ad, source_name, CAST(TRY_CAST(price AS DOUBLE) AS INTEGER) AS price, make_str AS make_name FROM raw WHERE source_ad_id IS NOT NULL AND url IS NOT NULL"),
+    "message_route": _of(MSG, "SELECT CASE make_str WHEN 'signup' THEN 'active_car_ids' ELSE 'parsed_car_ads' END AS topic, count(*) AS n FROM msg WHERE make_str <> 'error' GROUP BY 1"),
+    "message_validation": _of(MSG, RAW, "SELECT \"offset\", source_ad_id IS NOT NULL AND url IS NOT NULL AS valid, concat_ws(',', CASE WHEN source_ad_id IS NULL THEN 'source_ad_id' END, CASE WHEN url IS NULL THEN 'url' END) AS reason, TRY_CAST(price AS DOUBLE) AS price FROM raw"),
+    "model_stats": _priced("make_name, model_name", "make_name IS NOT NULL AND model_name IS NOT NULL"),
+    "models_by_make": _of(ADS, "SELECT DISTINCT model_name FROM ads WHERE make_name ILIKE '%Brand#1%' AND model_name <> ''"),
+    "popular_make": _of(ADS, "SELECT make_name, count(*) AS count FROM ads WHERE make_name IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1"),
+    "popular_model": _of(ADS, "SELECT make_name || ' ' || model_name AS model, count(*) AS count FROM ads WHERE make_name IS NOT NULL AND model_name IS NOT NULL GROUP BY make_name, model_name ORDER BY count DESC, make_name, model_name LIMIT 1"),
+    "price_distribution": _of(ADS, "SELECT CASE WHEN price < 5000 THEN '0-5k' WHEN price < 10000 THEN '5k-10k' WHEN price < 20000 THEN '10k-20k' WHEN price < 30000 THEN '20k-30k' WHEN price < 50000 THEN '30k-50k' WHEN price < 100000 THEN '50k-100k' ELSE '100k+' END AS price_range, count(*) AS count FROM ads WHERE price > 0 GROUP BY 1"),
+    "price_history": _of(MSG, LOG, 'SELECT id_ad, "offset", price, status FROM log WHERE status IS NOT NULL'),
+    "region_stats": _of(ADS, f"SELECT region, count(*) AS count, {_rounded('avg(price)')} AS avg_price FROM ads WHERE region IS NOT NULL AND price > 0 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"),
+    "sold_history": _of(MSG, STATE, SNAP, f"SELECT id_ad AS auto_ad_id, TIMESTAMP '{SOLD_AT}' AS timestamp, price, currency_code, 'sold' AS status FROM state JOIN gone USING (source_name, id_ad)"),
+    "sold_ids": _of(MSG, STATE, SNAP, "SELECT source_name, id_ad FROM gone"),
+    "sold_probe": _of(MSG, STATE, SNAP, f"SELECT id_ad, TIMESTAMP '{SOLD_AT}' AS sold_at, source_name, make_name FROM state WHERE id_ad IN (SELECT id_ad FROM gone ORDER BY id_ad LIMIT 10)"),
+    "sold_reconcile": _of(
+        MSG, STATE, SNAP,
+        "a AS (SELECT source_name, count(*) AS active FROM snap GROUP BY 1)", "b AS (SELECT source_name, count(*) AS in_db FROM state GROUP BY 1)", "c AS (SELECT source_name, count(*) AS n FROM gone GROUP BY 1)",
+        "SELECT source_name, active, coalesce(in_db, 0) AS in_db, coalesce(n, 0) AS deactivated, active - (coalesce(in_db, 0) - coalesce(n, 0)) AS new FROM a LEFT JOIN b USING (source_name) LEFT JOIN c USING (source_name)",
+    ),
+    "sold_state": _of(MSG, STATE, SNAP, f"SELECT id_ad, source_name, price, CASE WHEN (source_name, id_ad) IN (SELECT source_name, id_ad FROM gone) THEN TIMESTAMP '{SOLD_AT}' END AS sold_at FROM state"),
+    "stats_general": _of(ADS, f"SELECT count(*) AS total_ads, count(*) FILTER (sold_at IS NULL) AS active_ads, count(sold_at) AS sold_ads, {_rounded('avg(price) FILTER (price > 0)')} AS avg_price, coalesce(median(price) FILTER (price > 0), 0.0) AS median_price, {_rounded('avg(mileage) FILTER (mileage > 0)')} AS avg_mileage FROM ads"),
+    "table_counts": _of(ADS, MSG, LOG, f"SELECT 'auto_ad' AS table_name, count(*) AS rows FROM ads UNION ALL SELECT 'auto_ad_history', count(status) FROM log UNION ALL SELECT 'car_make', count(*) FROM ({_MAKES}) UNION ALL SELECT 'car_model', count(*) FROM ({_MODELS})"),
+    "trends_daily": _trend("day", 30),
+    "trends_monthly": _trend("month", 365),
+    "trends_weekly": _trend("week", 180),
+    "upsert_state": _of(MSG, STATE, "SELECT * FROM state"),
+    "year_distribution": _of(ADS, "SELECT year, count(*) AS count FROM ads WHERE year > 1990 GROUP BY 1 ORDER BY 1 DESC LIMIT 20"),
+}

@@ -1,3 +1,239 @@
-"""queries() of the reference's own operators."""
+"""queries() of the listing engine: every key over the listing, history and message projections of the given tables."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from adlake.functions.columns import guarded_int
+from adlake.operators import filters as L
+from adlake.operators import ingest as I
+from adlake.operators import state as S
+from adlake.operators import stats as A
+from adlake.sources import tables as T
+from adlake.streaming import jobs
+
+AS_OF = "2001-08-01 00:00:00"
+SOLD_AT = "2024-01-31 00:00:00"
+SOME = L.AdFilters(make="brand#1", price_from=5000, price_to=100000, sold=False)
+CARD = ["id_ad", "make_name", "model_name", "year", "title", "city", "region", "price", "created_at", "sold_at", "source_name"]
+
+
+def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.listings(spark, sf_dir)
+
+
+def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message stream under table column names."""
+    m = T.messages(spark, sf_dir)
+    return m.select("offset", F.col("source_ad_id").alias("id_ad"), "source_name", F.col("make_str").alias("make_name"), "price", F.lit("PLN").alias("currency_code"), F.col("scraped_at").alias("created_at"), F.lit(True).alias("price_set"))
+
+
+def state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing state after the whole stream."""
+    return S.upsert(stream(spark, sf_dir)).withColumn("sold_at", F.lit(None).cast("timestamp_ntz"))
+
+
+def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids seen in the stream's last 12 hours, by source; the empty make stands for all makes."""
+    m = T.messages(spark, sf_dir)
+    end = m.agg(F.max("scraped_at").alias("end"))
+    late = m.join(end, F.col("scraped_at") > F.col("end") - F.expr("INTERVAL 12 HOURS")).withColumn("make_str", F.lit(""))
+    return I.active_ids(late)
+
+
+def gone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.gone(state(spark, sf_dir), snapshot(spark, sf_dir))
+
+
+def at() -> F.Column:
+    return F.lit(SOLD_AT).cast("timestamp_ntz")
+
+
+def ads_list_filtered(spark, d):
+    return L.page(ads(spark, d), SOME, sort_by="price", sort_order="asc").select(*CARD)
+
+
+def ads_page_2(spark, d):
+    return L.page(ads(spark, d), number=2).select(*CARD)
+
+
+def ads_page_meta(spark, d):
+    return L.page_meta(ads(spark, d), SOME)
+
+
+def ads_search(spark, d):
+    return L.search(ads(spark, d), "ring").select(*CARD)
+
+
+def ad_history(spark, d):
+    return L.history_of(T.history(ads(spark, d)), "1")
+
+
+def ad_detail(spark, d):
+    one = L.detail(ads(spark, d), T.history(ads(spark, d)), "1")
+    return one.select("id_ad", "title", "city", F.col("price").alias("ad_price"), F.explode_outer("history").alias("h")).select("id_ad", "title", "city", "ad_price", "h.timestamp", "h.price", "h.currency_code", "h.status")
+
+
+def ads_with_dims(spark, d):
+    a = ads(spark, d)
+    return S.with_dims(a, S.dim_make(a, "id_ad"), S.dim_model(a, "id_ad")).select("id_ad", "make_slug", "make_dim", "model_slug", "model_dim")
+
+
+def flt(**kw):
+    return lambda spark, d: L.filtered(ads(spark, d), L.AdFilters(**kw)).select("id_ad", "make_name", "year", "price", "mileage", "source_name")
+
+
+def makes_list(spark, d):
+    return L.makes_list(ads(spark, d))
+
+
+def models_by_make(spark, d):
+    return L.models_of(ads(spark, d), "Brand#1")
+
+
+def stat(f, *args, **kw):
+    return lambda spark, d: f(ads(spark, d), *args, **kw)
+
+
+def table_counts(spark, d):
+    a, s = ads(spark, d), stream(spark, d)
+    return A.table_counts({"auto_ad": a, "auto_ad_history": S.price_history(s), "car_make": S.dim_make(a, "id_ad"), "car_model": S.dim_model(a, "id_ad")})
+
+
+def crawl_totals(spark, d) -> DataFrame:
+    return ads(spark, d).where("make_name IS NOT NULL").groupBy(F.lower("make_name").alias("make")).agg(F.count("*").alias("total"))
+
+
+def crawl_page_plan(spark, d):
+    return I.page_plan(crawl_totals(spark, d))
+
+
+def crawl_urls(spark, d):
+    return I.request_urls(I.page_plan(crawl_totals(spark, d)), filters=[{"name": "category", "value": "29"}])
+
+
+def digit_guard(spark, d):
+    x = F.get_json_object("props", "$.k")
+    return T.messages(spark, d).select(F.col("offset").alias("event_id"), guarded_int(x).alias("plain"), guarded_int(F.concat(x, F.lit("\n"))).alias("with_newline"), guarded_int(F.concat(F.lit("1 "), x)).alias("with_space"))
+
+
+def raw_messages(spark, d) -> DataFrame:
+    """Messages as text; every 11th lacks its url, every 13th its id."""
+    m = T.messages(spark, d)
+    return m.select(
+        "offset",
+        F.when(F.col("offset") % 13 != 0, F.col("source_ad_id")).alias("source_ad_id"),
+        F.when(F.col("offset") % 11 != 0, F.concat(F.lit("https://ad.invalid/"), "offset")).alias("url"),
+        "source_name",
+        F.lit("PL").alias("country_code"),
+        "scraped_at",
+        F.when(F.col("offset") % 7 == 0, "n/a").otherwise(F.col("price").cast("string")).alias("price"),
+        "make_str",
+    )
+
+
+def message_validation(spark, d):
+    done = I.validate(I.coerce(raw_messages(spark, d)), I.REQUIRED_AD)
+    return done.select("offset", "valid", "reason", "price")
+
+
+def message_project(spark, d):
+    done = I.validate(I.coerce(raw_messages(spark, d)), I.REQUIRED_AD).where("valid").drop("valid", "reason")
+    return I.project(done)
+
+
+def message_route(spark, d):
+    kind = F.when(F.col("make_str") == "error", "unknown").when(F.col("make_str") == "signup", "active_ids").otherwise("ad")
+    return I.route(T.messages(spark, d).select("offset", kind.alias("kind"))).groupBy("topic").agg(F.count("*").alias("n"))
+
+
+def kafka_envelope(spark, d):
+    return I.envelope(T.messages(spark, d), "source_ad_id", "url")
+
+
+def active_ids_snapshot(spark, d):
+    return I.active_ids(T.messages(spark, d)).select("source_name", "make_str", F.explode("ad_ids").alias("id_ad"))
+
+
+def price_history(spark, d):
+    return S.price_history(stream(spark, d)).select("id_ad", "offset", "price", "status")
+
+
+def upsert_state(spark, d):
+    return state(spark, d).select("id_ad", "source_name", "make_name", "price", "currency_code", "created_at")
+
+
+def sold_ids(spark, d):
+    return gone(spark, d).select("source_name", "id_ad")
+
+
+def sold_state(spark, d):
+    return S.mark_sold(state(spark, d), gone(spark, d), at()).select("id_ad", "source_name", "price", "sold_at")
+
+
+def sold_history(spark, d):
+    return S.sold_history(state(spark, d), gone(spark, d), at())
+
+
+def sold_probe(spark, d):
+    marked = S.mark_sold(state(spark, d), gone(spark, d), at())
+    few = gone(spark, d).select("id_ad").orderBy("id_ad").limit(10)
+    return marked.join(few, "id_ad", "left_semi").select("id_ad", "sold_at", "source_name", "make_name")
+
+
+def sold_reconcile(spark, d):
+    return S.reconciliation(state(spark, d), snapshot(spark, d), gone(spark, d)).select("source_name", "active", "in_db", "deactivated", "new")
+
+
+def responses(spark, d) -> DataFrame:
+    """Response bodies of the source's shape, one for every 50 listings, written by Spark from the listing table."""
+    a = ads(spark, d)
+    par = lambda k, c: F.struct(F.lit(k).alias("key"), c.cast("string").alias("value"))
+    node = F.struct(
+        F.col("id_ad").alias("id"), F.concat(F.lit("https://ad.invalid/"), "id_ad").alias("url"), "title", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss").alias("createdAt"),
+        F.struct(F.struct(F.col("price").cast("string").alias("units"), F.lit("PLN").alias("currencyCode")).alias("amount")).alias("price"),
+        F.array(par("make", F.col("make_name")), par("model", F.col("model_name")), par("version", F.col("version")), par("year", F.col("year")), par("mileage", F.col("mileage")), par("fuel_type", F.col("fuel_type")), par("gearbox", F.col("gearbox"))).alias("parameters"),
+        F.struct(F.struct(F.col("city").alias("name")).alias("city"), F.struct(F.col("region").alias("name")).alias("region")).alias("location"),
+    )
+    edges = a.groupBy(F.floor(F.col("id_ad").cast("long") / I.PAGE).alias("page")).agg(F.collect_list(F.struct(node.alias("node"))).alias("edges"))
+    body = F.to_json(F.struct(F.struct(F.struct(F.size("edges").alias("totalCount"), "edges").alias("advertSearch")).alias("data")))
+    return edges.select("page", F.when(F.col("page") % 10 == 9, "not json").otherwise(body).alias("body"))
+
+
+def graphql_flatten(spark, d):
+    return I.flatten(I.parse(responses(spark, d))).drop("scraped_at")
+
+
+def ingest_metrics(spark, d):
+    return I.run_metrics(I.parse(responses(spark, d)))
+
+
+def params_map(spark, d):
+    m = T.messages(spark, d)
+    pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in (("make", F.col("make_str")), ("price", F.col("price")), ("", F.col("offset")), ("make", F.upper("make_str")))])
+    return m.select("offset", I.params_map(pairs).alias("params")).select("offset", F.to_json("params").alias("params"))
+
+
+def make_catalogue(spark, d):
+    """A catalogue text made of the listings' makes, loaded against the makes known already."""
+    names = ads(spark, d).where("make_name IS NOT NULL").select(F.lower("make_name").alias("value")).distinct()
+    entry = F.struct(F.lit("filter_enum_make").alias("name"), "value", F.lit(None).cast("string").alias("canonical"))
+    text = names.agg(F.concat(F.lit("// makes\n"), F.to_json(F.sort_array(F.collect_list(entry)))).alias("value"))
+    return I.catalogue(text)
+
+
+QUERIES = {
+    "active_ids_snapshot": active_ids_snapshot, "ad_detail": ad_detail, "ad_history": ad_history, "ads_list_filtered": ads_list_filtered, "ads_page_2": ads_page_2,
+    "ads_page_meta": ads_page_meta, "ads_search": ads_search, "ads_with_dims": ads_with_dims, "crawl_page_plan": crawl_page_plan, "crawl_urls": crawl_urls,
+    "dashboard_summary": stat(A.dashboard), "digit_guard": digit_guard, "dim_make": stat(S.dim_make, "id_ad"), "dim_model": stat(S.dim_model, "id_ad"),
+    "filter_options": stat(L.options), "filter_ranges": stat(L.ranges), "flt_ilike": flt(make="brand#1", city="nation_1"), "flt_range": flt(year_from=1995, year_to=2010, price_from=0, mileage_to=100000),
+    "flt_sold": flt(sold=True), "flt_source": flt(source_name="src1"), "graphql_flatten": graphql_flatten, "ingest_metrics": ingest_metrics, "kafka_envelope": kafka_envelope,
+    "make_catalogue": make_catalogue, "make_loader": stat(L.make_loader), "make_stats": stat(A.makes), "makes_list": makes_list, "message_project": message_project,
+    "message_route": message_route, "message_validation": message_validation, "model_stats": stat(A.models), "models_by_make": models_by_make, "params_map": params_map,
+    "popular_make": stat(A.popular_make), "popular_model": stat(A.popular_model), "price_distribution": stat(A.price_distribution), "price_history": price_history,
+    "region_stats": stat(A.regions), "sold_history": sold_history, "sold_ids": sold_ids, "sold_probe": sold_probe, "sold_reconcile": sold_reconcile, "sold_state": sold_state,
+    "stats_general": stat(A.general), "stream_sold": jobs.stream_sold, "stream_upsert": jobs.stream_upsert, "table_counts": table_counts,
+    "trends_daily": stat(A.trends, AS_OF, "daily", 30), "trends_monthly": stat(A.trends, AS_OF, "monthly", 365), "trends_weekly": stat(A.trends, AS_OF, "weekly", 180),
+    "upsert_state": upsert_state, "year_distribution": stat(A.year_distribution),
+}
