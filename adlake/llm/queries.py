@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hosts, language, packing, quality, simhash, toxicity
+from . import decontaminate, hosts, language, packing, pii, quality, simhash, toxicity, warc
 from .common import table
 
 
+def op1_candidate_boosting_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op2_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(table(spark, sf_dir, "documents"))
 
@@ -18,6 +22,10 @@ def op3_simhash_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.build(table(spark, sf_dir, "pages"))
+
+
 def op5_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -39,8 +47,10 @@ def op10_mixture_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_candidate_boosting_pii": op1_candidate_boosting_pii,
     "op2_host_quality_rules": op2_host_quality_rules,
     "op3_simhash_deletion_variants": op3_simhash_deletion_variants,
+    "op4_warc_derivatives": op4_warc_derivatives,
     "op5_string_kernel_toxicity": op5_string_kernel_toxicity,
     "op6_suffix_array_decontamination": op6_suffix_array_decontamination,
     "op7_latent_neighbour_quality": op7_latent_neighbour_quality,
