@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hosts, language, packing, pii, quality, simhash, toxicity, warc
+from . import decontaminate, hosts, language, packing, pii, quality, simhash, suffixes, toxicity, warc
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op7_latent_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_string_kernel_toxicity": op5_string_kernel_toxicity,
     "op6_suffix_array_decontamination": op6_suffix_array_decontamination,
     "op7_latent_neighbour_quality": op7_latent_neighbour_quality,
+    "op8_suffix_merge_dedup": op8_suffix_merge_dedup,
     "op9_harmonic_packing": op9_harmonic_packing,
     "op10_mixture_language": op10_mixture_language,
 }
