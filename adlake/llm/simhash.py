@@ -7,7 +7,8 @@ brings them together and the whole fingerprints are verified.
 Only distinct fingerprints are indexed: exact copies, however many, are one row. Keys that hold one fingerprint are dropped by
 a count. A key that holds more than `bucket` fingerprints is cut again: its rows agree on 31 bits of one segment, so the other
 segment's two 16-bit halves are indexed in the same way (one of them differs by at most one bit), and once more with 8-bit
-halves; then at most 1,024 different fingerprints can share a key, whatever the corpus. No level emits all pairs of a key: a task
+halves; then about 2^11 different fingerprints at most can share a key, whatever the corpus. For up to 5 bits there are 3 segments,
+and so on. No level emits all pairs of a key: a task
 unites what it verifies and sends a tree of links. Components come from contraction (graph.py).
 
 Cases: null, empty and blank texts have fingerprint zero and link like any other; fewer words than a shingle are one shingle;
@@ -25,8 +26,8 @@ from .graph import components
 
 #: Fixed values of the contract: the hash's seed, words in a shingle there, differing bits that link.
 SEED, SHINGLE, BITS = 42, 3, 3
-#: The pipeline's near-duplicate stage takes shingles of five words.
-STAGE_SHINGLE = 5
+#: The pipeline's near-duplicate stage takes shingles of five words, and, as these part sooner, 5 bits.
+STAGE_SHINGLE, STAGE_BITS = 5, 5
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -59,10 +60,23 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return map_batches(texts(docs), run, "doc_id long, fp long")
 
 
-def _variants(fp, shift: int, width: int, tag: int):
-    """Keys of the `width`-bit segment at `shift`: one for each bit deleted. tag and the bit's place keep keys of different kinds apart."""
-    segment = F.shiftrightunsigned(fp, shift).bitwiseAND((1 << width) - 1)
-    return [F.lit((tag * 32 + k) << 32).bitwiseOR(segment.bitwiseAND(~(1 << k) & ((1 << width) - 1))) for k in range(width)]
+def _cut(df: DataFrame, bits: int, parts: int) -> tuple[DataFrame, int]:
+    """(key, fp, rest) of every one-wildcard variant of every segment, and how many bits are left after the widest cut.
+
+    df: key, fp and rest, the `bits` bits that earlier cuts have not fixed. A variant's key hashes the key it refines, the segment's number,
+    the deleted bit's and the segment without it.
+    """
+    edges = [bits * k // parts for k in range(parts + 1)]
+    rest, out = F.col("rest"), []
+    for j, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
+        segment = F.shiftrightunsigned(rest, lo).bitwiseAND((1 << (hi - lo)) - 1)
+        below = rest.bitwiseAND((1 << lo) - 1)
+        above = F.shiftleft(F.shiftrightunsigned(rest, hi), lo) if hi < 64 else F.lit(0).cast("long")
+        for k in range(hi - lo):
+            key = F.xxhash64("key", F.lit(j), F.lit(k), segment.bitwiseAND(((1 << (hi - lo)) - 1) & ~(1 << k)))
+            out.append(F.struct(key.alias("key"), above.bitwiseOR(below).alias("rest")))
+    left = bits - min(y - x for x, y in zip(edges, edges[1:], strict=False))
+    return df.select("fp", F.explode(F.array(*out)).alias("v")).select("v.key", "fp", "v.rest"), left
 
 
 def _united(fps: np.ndarray, most: int) -> tuple[list[int], list[int]]:
@@ -127,61 +141,33 @@ def _links(keyed: DataFrame, most: int, parts: int | None = None) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def links(distinct_fps: DataFrame, most: int = BITS, bucket: int = 256) -> DataFrame:
-    """distinct_fps (fp long, each once) -> (a, b) links that span every component of fingerprints at most `most` bits apart."""
-    if most > 3:
-        raise ValueError("two segments, one of which differs by a bit at most, hold for up to 3 bits")
-    fp = F.col("fp")
-
-    def held(keyed: DataFrame) -> DataFrame:
-        """key -> n for keys with two fingerprints or more."""
-        return keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-
-    first = distinct_fps.select(F.explode(F.array(*_variants(fp, 32, 32, 0), *_variants(fp, 0, 32, 1))).alias("key"), "fp")
-    counts = checkpointed(held(first))
-    keyed = first.join(counts.where(F.col("n") <= bucket).select("key"), "key")
-    out = _links(keyed, most)
-    if counts.where(F.col("n") > bucket).isEmpty():
-        return out
-    hot = first.join(counts.where(F.col("n") > bucket).select("key"), "key")
-    for width in (16, 8):  # cut the other segment again, then the half of it that is still free
-        cut = hot.select(F.explode(_deeper(fp, F.col("key"), width)).alias("key"), "fp")
-        counts = checkpointed(held(cut))
-        limit = bucket if width == 16 else 1 << 62
-        out = out.union(_links(cut.join(counts.where(F.col("n") <= limit).select("key"), "key"), most))
-        big = counts.where(F.col("n") > limit)
-        if width == 8 or big.isEmpty():
+def links(distinct_fps: DataFrame, most: int = BITS, bucket: int = 256, depth: int = 3) -> DataFrame:
+    """distinct_fps (fp long, each once) -> (a, b) links that span every component of fingerprints at most `most` bits apart.
+
+    most // 2 + 1 segments, so that one of them differs by a bit at most; what a crowded key leaves free is cut in the same way.
+    """
+    parts, bits = most // 2 + 1, 64
+    rows = distinct_fps.select(F.lit(0).cast("long").alias("key"), "fp", F.col("fp").alias("rest"))
+    out = None
+    for level in range(depth):
+        cut, bits = _cut(rows, bits, parts)
+        counts = checkpointed(cut.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+        fits = F.lit(True) if level == depth - 1 else F.col("n") <= bucket
+        found = _links(cut.select("key", "fp").join(counts.where(fits).select("key"), "key"), most)
+        out = found if out is None else out.union(found)
+        crowded = counts.where(~fits)
+        if level == depth - 1 or crowded.isEmpty():
             break
-        hot = cut.join(big.select("key"), "key")
+        rows = cut.join(crowded.select("key"), "key")
     return out.distinct()
 
 
-def _deeper(fp, key, width: int):
-    """Keys for a row of a crowded key: the key it has, with the one-wildcard variants of both halves of what is free.
-
-    A first-level key's tag (its bits from 37 up) says which segment it fixes: 0 the upper one, so the lower one is cut, and the
-    other way about. Second-level keys are hashes of (key, half, variant); their lowest two bits number the 16 bits still free.
-    """
-    if width == 16:
-        out = []
-        for half in (0, 1):
-            base = F.when(F.shiftrightunsigned(key, 37) == 0, half * 16).otherwise(32 + half * 16)
-            segment = _shift(fp, base).bitwiseAND(0xFFFF)
-            for k in range(16):
-                mixed = F.xxhash64(key, F.lit(half), F.lit(k), segment.bitwiseAND(~(1 << k) & 0xFFFF))
-                free = F.when(F.shiftrightunsigned(key, 37) == 0, 1 - half).otherwise(3 - half)
-                out.append(mixed.bitwiseAND(~3).bitwiseOR(free.cast("long")))
-        return F.array(*out)
-    out = []
-    for half in (0, 1):
-        base = (key.bitwiseAND(3) * 16 + half * 8).cast("int")
-        segment = _shift(fp, base).bitwiseAND(0xFF)
-        out += [F.xxhash64(key, F.lit(half), F.lit(k), segment.bitwiseAND(~(1 << k) & 0xFF)) for k in range(8)]
-    return F.array(*out)
-
-
-def _shift(fp, bits):
-    return F.call_function("shiftrightunsigned", fp, bits.cast("int"))
+def representatives(docs: DataFrame, shingle: int = SHINGLE, most: int = BITS) -> DataFrame:
+    """docs with one document of each group: the one of the smallest doc_id (of equal rows the first that a hash picks)."""
+    groups = near_duplicates(docs, shingle, most)
+    chosen = groups.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(chosen, "doc_id", "left_semi")
+    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = BITS, bucket: int = 256) -> DataFrame:

@@ -16,7 +16,7 @@ def brute_print(t):
     return sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h) > len(h))
 
 
-def brute_groups(prints):
+def brute_groups(prints, most=3):
     """prints: key -> fingerprint. Returns key -> smallest key reachable."""
     keys, lab = sorted(prints), {k: k for k in prints}
     changed = True
@@ -24,7 +24,7 @@ def brute_groups(prints):
         changed = False
         for a in keys:
             for b in keys:
-                if (prints[a] ^ prints[b]).bit_count() <= 3 and lab[a] != lab[b]:
+                if (prints[a] ^ prints[b]).bit_count() <= most and lab[a] != lab[b]:
                     lab[a] = lab[b] = min(lab[a], lab[b])
                     changed = True
     return lab
@@ -57,9 +57,9 @@ def test_crowded_keys_lose_no_link(spark):
     fps |= {r.getrandbits(64) for _ in range(50)}
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
     df = spark.createDataFrame([(x,) for x in signed], "fp long")
-    want = brute_groups({x: x % (1 << 64) for x in signed})
-    for bucket in (256, 12, 2):
-        tree = {x.node: x.root for x in S.components(S.links(df, bucket=bucket)).collect()}
+    for most, bucket in ((3, 256), (3, 12), (3, 2), (5, 12)):
+        want = brute_groups({x: x % (1 << 64) for x in signed}, most)
+        tree = {x.node: x.root for x in S.components(S.links(df, most, bucket)).collect()}
         got = {}
         for x in signed:
             got.setdefault(tree.get(x, x), set()).add(x)
@@ -76,5 +76,11 @@ def test_long_path_and_star(spark):
     assert len(roots) == 501 and len({roots[k] for k in range(301)}) == 1 and len(set(roots.values())) == 2
 
 
+def test_representatives(spark):
+    docs = frame(spark, ["a b c d e f g", "A b c d e f g", "other words are here now", None, ""], clashing=True)
+    got = S.representatives(docs.union(docs.where("doc_id = 2")), 5)
+    assert sorted(r.doc_id for r in got.collect()) == [0, 2, 3] and got.columns == docs.columns
+
+
 def test_empty_table(spark):
     assert S.near_duplicates(frame(spark, [])).count() == 0
