@@ -79,14 +79,16 @@ def fit(docs: DataFrame, per_language: int = 2000) -> tuple[list[str], np.ndarra
     return names, (0.97 * own + 0.02 * own.mean(1, keepdims=True) + 0.01 / BINS).astype(np.float32)
 
 
-def _mixture(p: np.ndarray, start: np.ndarray, count: np.ndarray, share: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """(proportions, log-likelihood) of each document after EM steps. p: likelihoods of all documents' trigrams, one after another."""
+def _mixture(p: np.ndarray, times: np.ndarray, start: np.ndarray, count: np.ndarray, share: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """(proportions, log-likelihood) of each document after EM steps. p: likelihoods of all documents' different trigrams, one document
+    after another; times: how often each occurs; start, count: each document's part."""
+    size = np.add.reduceat(times, start)[:, None]
     for step in range(steps + 1):
         w = p * np.repeat(share, count, axis=0)
         total = w.sum(1)
         if step == steps:
-            return share, np.add.reduceat(np.log(total, dtype=np.float64), start)
-        share = np.add.reduceat(w / total[:, None], start, axis=0) / count[:, None]
+            return share, np.add.reduceat(times * np.log(total, dtype=np.float64), start)
+        share = np.add.reduceat(w * (times / total)[:, None], start, axis=0) / size
 
 
 def infer(batch_texts: list, model: np.ndarray, least_share: float = 0.1, steps: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -96,12 +98,14 @@ def infer(batch_texts: list, model: np.ndarray, least_share: float = 0.1, steps:
     held = np.array([k for k, g in enumerate(grams) if len(g)], np.int64)
     if not len(held) or not model.shape[1]:
         return best, score
-    count = np.array([len(grams[k]) for k in held], np.int64)
-    start = np.cumsum(count) - count
-    p = model[np.concatenate([grams[k] for k in held])]
+    sizes = np.array([len(grams[k]) for k in held], np.int64)
+    key, times = np.unique(np.repeat(np.arange(len(held), dtype=np.uint64) << np.uint64(16), sizes) | np.concatenate([grams[k] for k in held]), return_counts=True)
+    count = np.bincount((key >> np.uint64(16)).astype(np.int64), minlength=len(held))
+    start, times = np.cumsum(count) - count, times.astype(np.float32)
+    p = model[(key & np.uint64(0xFFFF)).astype(np.int64)]
     n = model.shape[1]
-    share, _ = _mixture(p, start, count, np.full((len(held), n), 1.0 / n, np.float32), steps)
-    own = np.add.reduceat(np.log(p), start, axis=0, dtype=np.float64)
+    share, _ = _mixture(p, times, start, count, np.full((len(held), n), 1.0 / n, np.float32), steps)
+    own = np.add.reduceat(times[:, None] * np.log(p), start, axis=0, dtype=np.float64)
     one = own.argmax(1)
     kept = share >= np.minimum(least_share, share.max(1, keepdims=True))
     several = np.flatnonzero(kept.sum(1) > 1)
@@ -111,8 +115,8 @@ def infer(batch_texts: list, model: np.ndarray, least_share: float = 0.1, steps:
         again = np.where(kept[several], share[several], 0)
         again /= again.sum(1, keepdims=True)
         c = count[several]
-        again, like = _mixture(p[sub], np.cumsum(c) - c, c, again.astype(np.float32), 4)
-        gain = like - own[several].max(1) - (kept[several].sum(1) - 1) * np.log(c)
+        again, like = _mixture(p[sub], times[sub], np.cumsum(c) - c, c, again.astype(np.float32), 4)
+        gain = like - own[several].max(1) - (kept[several].sum(1) - 1) * np.log(sizes[several])
         mixed = gain > 0
         best[held[several[mixed]]] = again[mixed].argmax(1)
         score[held[several[mixed]]] = again[mixed].max(1)
