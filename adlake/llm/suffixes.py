@@ -41,7 +41,7 @@ WIDTH = LENGTH + 1 + BACK + 1
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 BLOCKS = "block long, n long, data binary"
 _FIRST = -(1 << 63)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE, _WORD = 0x9E3779B97F4A7C15, (1 << 64) - 1
 _SLICE = 1 << 20
 
 
@@ -97,12 +97,11 @@ def _rolling(x: np.ndarray, length: int) -> np.ndarray:
         if length & size:
             n = len(x) - length + 1
             part = h[done : done + n]
-            out = part.copy() if out is None else out * power + part
+            out = part.copy() if out is None else out * np.uint64(power) + part
             done += size
         if size * 2 <= length:
-            h = h[: len(h) - size] * power + h[size:]
-        power = power * power * np.uint64(3) + np.uint64(2) if size * 2 <= length else power
-        power |= np.uint64(1)
+            h = h[: len(h) - size] * np.uint64(power) + h[size:]
+            power = power * power * 3 + 2 & _WORD | 1
         size *= 2
     out ^= out >> np.uint64(29)
     out *= np.uint64(0xBF58476D1CE4E5B9)
@@ -123,9 +122,13 @@ def anchors(ends: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             span *= 2
         rest = want - span
         m = np.minimum(m[: hi - lo], m[rest : rest + hi - lo]) if rest else m[: hi - lo]
-        # a window must lie in one document
-        end = ends[np.searchsorted(ends, np.arange(lo, hi), "right")]
-        at = np.unique((m & np.uint64(0xFFFFFFFF))[np.arange(lo, hi) + LENGTH <= end].astype(np.int64))
+        # a window must lie in one document: the last LENGTH - 1 places of each begin none
+        first, last = np.searchsorted(ends, [lo, hi + LENGTH])
+        inside = np.ones(hi - lo, bool)
+        for end in ends[first : last + 1].tolist():
+            inside[max(0, end - LENGTH + 1 - lo) : max(0, end - lo)] = False
+        at = (m & np.uint64(0xFFFFFFFF))[inside].astype(np.int64)  # never falls from one window to the next
+        at = at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
         places.append(at + lo)
         hashes.append(h[at])
     if not places:
@@ -306,10 +309,15 @@ def _covered(group: list[tuple[bytes, int, tuple]]) -> Iterator[tuple[tuple, int
             if w not in first or x < first[w]:
                 first[w] = x
     for offsets, a, x in windows:
-        left = a[back]
-        for o in offsets:
+        left, low, before = a[back], None, 0
+        for o in offsets:  # neighbouring windows are one interval
             if first[o, left[:o] + a[: LENGTH - o]] != x:
-                yield x, o, LENGTH - o
+                low, before = o if low is None else low, o
+            elif low is not None:
+                yield x, before, LENGTH - low
+                low = None
+        if low is not None:
+            yield x, before, LENGTH - low
 
 
 def _joined(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
