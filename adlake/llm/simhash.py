@@ -26,44 +26,55 @@ from .graph import components
 
 #: Fixed values of the contract: the hash's seed, words in a shingle there, differing bits that link.
 SEED, SHINGLE, BITS = 42, 3, 3
-#: The pipeline's near-duplicate stage takes shingles of five words, and, as these part sooner, 5 bits.
-STAGE_SHINGLE, STAGE_BITS = 5, 5
+#: The pipeline's near-duplicate stage takes shingles of five words. Fingerprints that meet under a key link at 6 differing bits or fewer there: at five
+#: words an edit touches more shingles.
+STAGE_SHINGLE, STAGE_LANES, STAGE_WITHIN = 5, 1, 6
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """Bit by bit the majority of the shingles' XXH64, over the whole text, a block of shingles at a time."""
+def fingerprint(text: str | None, shingle: int = SHINGLE, lanes: int = 1) -> tuple[int, ...]:
+    """Bit by bit the majority of the shingles' hashes, over the whole text, a block of shingles at a time. The first 64 bits (a lane)
+    come from XXH64, further lanes from mixing it."""
     import xxhash
 
     w = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
     if not w:
-        return 0
-    if len(w) < shingle:
-        return xxhash.xxh64_intdigest(b" ".join(w), SEED)
-    votes, n, digest = np.zeros(64, np.int64), len(w) - shingle + 1, xxhash.xxh64_digest
-    for at in range(0, n, 32_768):
-        part = w[at : min(at + 32_768, n) + shingle - 1]
-        grams = b"".join([digest(x, SEED) for x in map(b" ".join, zip(*(part[k:] for k in range(shingle)), strict=False))])
-        bits = np.unpackbits(np.frombuffer(grams, np.uint8).reshape(-1, 8), axis=1)
-        votes += bits.sum(0, dtype=np.int32)
-    return int.from_bytes(np.packbits(votes * 2 > n).tobytes(), "big")
-
-
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long): the fingerprint's bits as a signed number."""
+        return (0,) * lanes
+    size = min(shingle, len(w))
+    votes, n, digest = np.zeros(64 * lanes, np.int64), len(w) - size + 1, xxhash.xxh64_digest
+    for at in range(0, n, 16_384):
+        part = w[at : min(at + 16_384, n) + size - 1]
+        h = np.frombuffer(b"".join([digest(x, SEED) for x in map(b" ".join, zip(*(part[k:] for k in range(size)), strict=False))]), ">u8").astype(np.uint64)
+        all_ = np.empty((len(h), lanes), ">u8")
+        all_[:, 0] = h
+        for lane in range(1, lanes):
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+            all_[:, lane] = h
+        votes += np.unpackbits(all_.view(np.uint8).reshape(len(h), -1), axis=1).sum(0, dtype=np.int32)
+    bits = np.packbits(votes * 2 > n).tobytes()
+    return tuple(int.from_bytes(bits[8 * k : 8 * k + 8], "big") for k in range(lanes))
+
+
+def _lanes(lanes: int) -> list[str]:
+    return ["fp", *(f"fp{k}" for k in range(1, lanes))]
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, lanes: int = 1) -> DataFrame:
+    """(doc_id, fp long, ...): each lane's bits as a signed number."""
 
     def run(batch):
         for b in pieces(batch):
-            f = [fingerprint(t, shingle) for t in b.column("text").to_pylist()]
-            yield {"doc_id": b.column("doc_id"), "fp": np.array(f, np.uint64).view(np.int64).tolist()}
+            f = np.array([fingerprint(t, shingle, lanes) for t in b.column("text").to_pylist()], np.uint64).reshape(-1, lanes).view(np.int64)
+            yield {"doc_id": b.column("doc_id")} | {c: f[:, k].tolist() for k, c in enumerate(_lanes(lanes))}
 
-    return map_batches(texts(docs), run, "doc_id long, fp long")
+    return map_batches(texts(docs), run, "doc_id long, " + ", ".join(f"{c} long" for c in _lanes(lanes)))
 
 
 def _cut(df: DataFrame, bits: int, parts: int) -> tuple[DataFrame, int]:
-    """(key, fp, rest) of every one-wildcard variant of every segment, and how many bits are left after the widest cut.
+    """(key, node, lanes, rest) of every one-wildcard variant of every segment, and how many bits are left after the widest cut.
 
-    df: key, fp and rest, the `bits` bits that earlier cuts have not fixed. A variant's key hashes the key it refines, the segment's number,
+    df: key, node, lanes and rest, the `bits` bits that earlier cuts have not fixed. A variant's key hashes the key it refines, the segment's number,
     the deleted bit's and the segment without it.
     """
     edges = [bits * k // parts for k in range(parts + 1)]
@@ -76,7 +87,8 @@ def _cut(df: DataFrame, bits: int, parts: int) -> tuple[DataFrame, int]:
             key = F.xxhash64("key", F.lit(j), F.lit(k), segment.bitwiseAND(((1 << (hi - lo)) - 1) & ~(1 << k)))
             out.append(F.struct(key.alias("key"), above.bitwiseOR(below).alias("rest")))
     left = bits - min(y - x for x, y in zip(edges, edges[1:], strict=False))
-    return df.select("fp", F.explode(F.array(*out)).alias("v")).select("v.key", "fp", "v.rest"), left
+    carried = [c for c in df.columns if c not in ("key", "rest")]
+    return df.select(*carried, F.explode(F.array(*out)).alias("v")).select("v.key", *carried, "v.rest"), left
 
 
 def _united(fps: np.ndarray, most: int) -> tuple[list[int], list[int]]:
@@ -92,7 +104,7 @@ def _united(fps: np.ndarray, most: int) -> tuple[list[int], list[int]]:
 
     a, b = [], []
     for i in range(n - 1):
-        near = np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= most)
+        near = np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]).sum(1, dtype=np.int64) <= most)
         for j in (near + i + 1).tolist():
             x, y = root(i), root(j)
             if x != y:
@@ -102,58 +114,59 @@ def _united(fps: np.ndarray, most: int) -> tuple[list[int], list[int]]:
     return a, b
 
 
-def _links(keyed: DataFrame, most: int, parts: int | None = None) -> DataFrame:
-    """keyed (key, fp) -> (a, b): verified links, a spanning tree of each key's. Keys are dealt out; rows of one lie together, sorted."""
+def _links(keyed: DataFrame, most: int) -> DataFrame:
+    """keyed (key, node, lanes) -> (a, b): verified links of nodes, a spanning tree of each key's. Rows of a key lie together, sorted."""
+    lanes = [c for c in keyed.columns if c not in ("key", "node")]
 
     def run(batches):
         import pyarrow as pa
 
-        names = ["a", "b"]
-
-        def solve(key: np.ndarray, fp: np.ndarray):
+        def solve(key: np.ndarray, node: np.ndarray, fp: np.ndarray):
             edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
             size = np.diff(edge)
-            a, b = [], []
             two = edge[:-1][size == 2]  # most keys hold two
-            near = np.bitwise_count(fp[two] ^ fp[two + 1]) <= most
-            a.append(fp[two[near]])
-            b.append(fp[two[near] + 1])
+            near = two[np.bitwise_count(fp[two] ^ fp[two + 1]).sum(1, dtype=np.int64) <= most]
+            a, b = [node[near]], [node[near + 1]]
             for s, n in zip(edge[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
                 x, y = _united(fp[s : s + n], most)
-                a.append(fp[s : s + n][x])
-                b.append(fp[s : s + n][y])
-            a, b = np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64)
+                a.append(node[s : s + n][x])
+                b.append(node[s : s + n][y])
+            a, b = np.concatenate(a), np.concatenate(b)
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-        key, fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        key, node, fp = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(lanes)), np.uint64)
         for batch in batches:
             key = np.concatenate([key, batch.column("key").to_numpy()])
-            fp = np.concatenate([fp, batch.column("fp").to_numpy().view(np.uint64)])
+            node = np.concatenate([node, batch.column("node").to_numpy()])
+            fp = np.concatenate([fp, np.stack([batch.column(c).to_numpy() for c in lanes], 1).view(np.uint64)])
             last = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last key may go on in the next batch
             if last:
-                yield from solve(key[:last], fp[:last])
-            key, fp = key[last:], fp[last:]
+                yield from solve(key[:last], node[:last], fp[:last])
+            key, node, fp = key[last:], node[last:], fp[last:]
         if len(key):
-            yield from solve(key, fp)
+            yield from solve(key, node, fp)
 
-    dealt = keyed.repartition(*([parts] if parts else []), "key").sortWithinPartitions("key", "fp")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
 
 
-def links(distinct_fps: DataFrame, most: int = BITS, bucket: int = 256, depth: int = 3) -> DataFrame:
-    """distinct_fps (fp long, each once) -> (a, b) links that span every component of fingerprints at most `most` bits apart.
+def links(nodes: DataFrame, most: int = BITS, bucket: int = 256, depth: int = 3, within: int | None = None) -> DataFrame:
+    """nodes (node long, lanes, each fingerprint once) -> (a, b) links that span the components.
 
-    most // 2 + 1 segments, so that one of them differs by a bit at most; what a crowded key leaves free is cut in the same way.
+    Each lane is cut into most // 2 + 1 segments, so that lanes at most `most` bits apart agree on one but for a bit; what a crowded key
+    leaves free is cut in the same way. Nodes that meet are linked when all their bits differ in at most `within` (default: most) places.
     """
-    parts, bits = most // 2 + 1, 64
-    rows = distinct_fps.select(F.lit(0).cast("long").alias("key"), "fp", F.col("fp").alias("rest"))
+    parts, bits, lanes = most // 2 + 1, 64, [c for c in nodes.columns if c != "node"]
+    rows = None
+    for k, lane in enumerate(lanes):
+        one = nodes.select(F.lit(k).cast("long").alias("key"), "node", *lanes, F.col(lane).alias("rest"))
+        rows = one if rows is None else rows.union(one)
     out = None
     for level in range(depth):
         cut, bits = _cut(rows, bits, parts)
         counts = checkpointed(cut.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
         fits = F.lit(True) if level == depth - 1 else F.col("n") <= bucket
-        found = _links(cut.select("key", "fp").join(counts.where(fits).select("key"), "key"), most)
+        found = _links(cut.select("key", "node", *lanes).join(counts.where(fits).select("key"), "key"), within or most)
         out = found if out is None else out.union(found)
         crowded = counts.where(~fits)
         if level == depth - 1 or crowded.isEmpty():
@@ -162,21 +175,22 @@ def links(distinct_fps: DataFrame, most: int = BITS, bucket: int = 256, depth: i
     return out.distinct()
 
 
-def representatives(docs: DataFrame, shingle: int = SHINGLE, most: int = BITS) -> DataFrame:
-    """docs with one document of each group: the one of the smallest doc_id (of equal rows the first that a hash picks)."""
-    groups = near_duplicates(docs, shingle, most)
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = BITS, bucket: int = 256, lanes: int = 1, within: int | None = None) -> DataFrame:
+    """(doc_id, fingerprint, component_id): 16 hex digits a lane, and the smallest doc_id that links reach."""
+    names = _lanes(lanes)
+    prints = checkpointed(fingerprints(docs, shingle, lanes).withColumn("node", F.col("fp") if lanes == 1 else F.xxhash64(*names)))
+    groups = checkpointed(prints.groupBy("node", *names).agg(F.min("doc_id").alias("first")))
+    tree = checkpointed(components(links(groups.drop("first"), most, bucket, within=within)).withColumnRenamed("node", "child"))
+    rooted = groups.join(tree, F.col("node") == F.col("child"), "left").select("node", F.coalesce("root", "node").alias("root"), "first")
+    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = rooted.join(lowest, "root").select("node", "component_id").distinct()
+    digits = F.concat(*[F.lower(F.lpad(F.hex(c), 16, "0")) for c in names])
+    return prints.join(named, "node").select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = STAGE_SHINGLE, lanes: int = STAGE_LANES, within: int = STAGE_WITHIN) -> DataFrame:
+    """docs with one document of each group: the one of the smallest doc_id (rows without a doc_id stay)."""
+    groups = near_duplicates(docs, shingle, BITS, 2048, lanes, within)
     chosen = groups.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(chosen, "doc_id", "left_semi")
     return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
-
-
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = BITS, bucket: int = 256) -> DataFrame:
-    """(doc_id, fingerprint, component_id): 16 hex digits, and the smallest doc_id that links reach."""
-    prints = checkpointed(fingerprints(docs, shingle))
-    groups = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    groups = checkpointed(groups)
-    tree = checkpointed(components(links(groups.select("fp"), most, bucket)))
-    rooted = groups.join(tree, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

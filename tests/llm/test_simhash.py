@@ -51,12 +51,12 @@ def test_crowded_keys_lose_no_link(spark):
     fps = set()
     for c in (r.getrandbits(64), 0, (1 << 64) - 1):
         chain = c
-        for _ in range(60):
+        for _ in range(30):
             chain ^= 1 << r.randrange(16)
             fps |= {chain, chain ^ 1 << r.randrange(32) ^ 1 << r.randrange(32), chain ^ 7 << r.randrange(60)}
     fps |= {r.getrandbits(64) for _ in range(50)}
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
-    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    df = spark.createDataFrame([(x, x) for x in signed], "node long, fp long")
     for most, bucket in ((3, 256), (3, 12), (3, 2), (5, 12)):
         want = brute_groups({x: x % (1 << 64) for x in signed}, most)
         tree = {x.node: x.root for x in S.components(S.links(df, most, bucket)).collect()}
@@ -78,7 +78,7 @@ def test_long_path_and_star(spark):
 
 def test_representatives(spark):
     docs = frame(spark, ["a b c d e f g", "A b c d e f g", "other words are here now", None, ""], clashing=True)
-    got = S.representatives(docs.union(docs.where("doc_id = 2")), 5)
+    got = S.representatives(docs.union(docs.where("doc_id = 2")))
     assert sorted(r.doc_id for r in got.collect()) == [0, 2, 3] and got.columns == docs.columns
 
 
