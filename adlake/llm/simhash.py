@@ -26,9 +26,9 @@ from .graph import components
 
 #: Fixed values of the contract: the hash's seed, words in a shingle there, differing bits that link.
 SEED, SHINGLE, BITS = 42, 3, 3
-#: The pipeline's near-duplicate stage takes shingles of five words. Fingerprints that meet under a key link at 6 differing bits or fewer there: at five
-#: words an edit touches more shingles.
-STAGE_SHINGLE, STAGE_LANES, STAGE_WITHIN = 5, 1, 6
+#: The pipeline's near-duplicate stage takes shingles of five words and four lanes. Fingerprints that meet under a key of any lane link at 38 of 256
+#: differing bits or fewer, the angle of a five-word similarity of 0.8.
+STAGE_SHINGLE, STAGE_LANES, STAGE_WITHIN = 5, 4, 38
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -150,6 +150,46 @@ def _links(keyed: DataFrame, most: int) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
 
 
+def _met(keyed: DataFrame) -> DataFrame:
+    """keyed (key, node) -> (key, node) of the groups of nodes that share a key, each different group once, under a key of its own.
+
+    Only keys and nodes are shuffled, once.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        def mixed(x: np.ndarray) -> np.ndarray:
+            x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+            return x ^ (x >> np.uint64(32))
+
+        def solve(key: np.ndarray, node: np.ndarray):
+            edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+            size = np.diff(edge)
+            held = np.repeat(size > 1, size)
+            node, size = node[held], size[size > 1]
+            if not len(size):
+                return
+            begin = np.cumsum(size) - size
+            # equal groups get equal keys, in whatever place they stand
+            group = mixed(np.add.reduceat(mixed(node.view(np.uint64)), begin) + size.astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(group, size)), pa.array(node)], names=["key", "node"])
+
+        key, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            key = np.concatenate([key, batch.column("key").to_numpy()])
+            node = np.concatenate([node, batch.column("node").to_numpy()])
+            last = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last key may go on in the next batch
+            if last:
+                yield from solve(key[:last], node[:last])
+            key, node = key[last:], node[last:]
+        if len(key):
+            yield from solve(key, node)
+
+    return checkpointed(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, node long").distinct())
+
+
 def links(nodes: DataFrame, most: int = BITS, bucket: int = 256, depth: int = 3, within: int | None = None) -> DataFrame:
     """nodes (node long, lanes, each fingerprint once) -> (a, b) links that span the components.
 
@@ -157,6 +197,13 @@ def links(nodes: DataFrame, most: int = BITS, bucket: int = 256, depth: int = 3,
     leaves free is cut in the same way. Nodes that meet are linked when all their bits differ in at most `within` (default: most) places.
     """
     parts, bits, lanes = most // 2 + 1, 64, [c for c in nodes.columns if c != "node"]
+    if within is not None and within > most:
+        keyed = None
+        for k, lane in enumerate(lanes):
+            one = nodes.select(F.lit(k).cast("long").alias("key"), "node", F.col(lane).alias("rest"))
+            cut = _cut(one, bits, parts)[0].select("key", "node")
+            keyed = cut if keyed is None else keyed.union(cut)
+        return checkpointed(_links(_met(keyed).join(nodes, "node").select("key", "node", *lanes), within))
     rows = None
     for k, lane in enumerate(lanes):
         one = nodes.select(F.lit(k).cast("long").alias("key"), "node", *lanes, F.col(lane).alias("rest"))

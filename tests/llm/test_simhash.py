@@ -69,6 +69,20 @@ def test_crowded_keys_lose_no_link(spark):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
 
 
+def test_stage_finds_light_edits(spark):
+    r = random.Random(11)
+    texts = []
+    for _ in range(60):  # five edits of 400 words: similarity 0.88
+        w = [f"w{r.randrange(5000)}" for _ in range(400)]
+        texts.append(" ".join(w))
+        for k in range(5):
+            w[r.randrange(80 * k, 80 * k + 80)] = f"new{k}"
+        texts.append(" ".join(w))
+    left = {x.doc_id for x in S.representatives(frame(spark, texts)).collect()}
+    assert set(range(0, 120, 2)) <= left
+    assert len(left) <= 60 + 30  # one lane leaves 48 of the 60 copies, four lanes 26
+
+
 def test_long_path_and_star(spark):
     path = [(k, k + 1) for k in range(300)] + [(1000, 1000 + k) for k in range(1, 200)]
     got = S.components(spark.createDataFrame(path, "a long, b long")).collect()
