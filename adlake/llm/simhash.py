@@ -7,7 +7,8 @@ brings them together and the whole fingerprints are verified.
 Only distinct fingerprints are indexed: exact copies, however many, are one row. Keys that hold one fingerprint are dropped by
 a count. A key that holds more than `bucket` fingerprints is cut again: its rows agree on 31 bits of one segment, so the other
 segment's two 16-bit halves are indexed in the same way (one of them differs by at most one bit), and once more with 8-bit
-halves; then about 2^11 different fingerprints at most can share a key, whatever the corpus. For up to 5 bits there are 3 segments,
+halves; then about 2^11 different fingerprints at most can share a key, whatever the corpus. (Where the linking bound is wider than the
+search's, as in the pipeline, a crowded key is compared whole, in blocks.) For up to 5 bits there are 3 segments,
 and so on. No level emits all pairs of a key: a task
 unites what it verifies and sends a tree of links. Components come from contraction (graph.py).
 
@@ -92,25 +93,19 @@ def _cut(df: DataFrame, bits: int, parts: int) -> tuple[DataFrame, int]:
 
 
 def _united(fps: np.ndarray, most: int) -> tuple[list[int], list[int]]:
-    """Links that span the components of one key's fingerprints; all are compared, block by block, a tree is kept."""
-    n = len(fps)
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    a, b = [], []
-    for i in range(n - 1):
-        near = np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]).sum(1, dtype=np.int64) <= most)
-        for j in (near + i + 1).tolist():
-            x, y = root(i), root(j)
-            if x != y:
-                parent[y] = x
-                a.append(i)
-                b.append(j)
+    """Links that span the components of one key's fingerprints: each is compared with those that no link has reached yet."""
+    left, a, b = np.arange(len(fps)), [], []
+    while len(left):
+        reached, left = [int(left[0])], left[1:]
+        while reached and len(left):
+            i = reached.pop()
+            near = np.bitwise_count(fps[left] ^ fps[i]).sum(1, dtype=np.int64) <= most
+            if near.any():
+                hit = left[near].tolist()
+                a += [i] * len(hit)
+                b += hit
+                reached += hit
+                left = left[~near]
     return a, b
 
 
@@ -150,10 +145,11 @@ def _links(keyed: DataFrame, most: int) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
 
 
-def _met(keyed: DataFrame) -> DataFrame:
+def _met(keyed: DataFrame, block: int) -> DataFrame:
     """keyed (key, node) -> (key, node) of the groups of nodes that share a key, each different group once, under a key of its own.
 
-    Only keys and nodes are shuffled, once.
+    Only keys and nodes are shuffled, once. A group of more than `block` nodes is cut into blocks, and every two of them are a group, so that all of
+    its pairs meet; each of its nodes is then sent as often as it has blocks, less one.
     """
 
     def run(batches):
@@ -167,14 +163,22 @@ def _met(keyed: DataFrame) -> DataFrame:
         def solve(key: np.ndarray, node: np.ndarray):
             edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
             size = np.diff(edge)
-            held = np.repeat(size > 1, size)
-            node, size = node[held], size[size > 1]
-            if not len(size):
-                return
+            for s, n in zip(edge[:-1][size > block].tolist(), size[size > block].tolist(), strict=True):
+                parts = np.array_split(node[s : s + n], -(-n // block))
+                for i in range(len(parts)):
+                    for j in range(i):
+                        two = np.concatenate([parts[j], parts[i]])
+                        yield grouped(two, np.array([len(two)]))
+            fits = (size > 1) & (size <= block)
+            node, size = node[np.repeat(fits, size)], size[fits]
+            if len(size):
+                yield grouped(node, size)
+
+        def grouped(node: np.ndarray, size: np.ndarray):
             begin = np.cumsum(size) - size
-            # equal groups get equal keys, in whatever place they stand
+            # equal groups get equal keys
             group = mixed(np.add.reduceat(mixed(node.view(np.uint64)), begin) + size.astype(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(group, size)), pa.array(node)], names=["key", "node"])
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(group, size)), pa.array(node)], names=["key", "node"])
 
         key, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
@@ -194,7 +198,8 @@ def links(nodes: DataFrame, most: int = BITS, bucket: int = 256, depth: int = 3,
     """nodes (node long, lanes, each fingerprint once) -> (a, b) links that span the components.
 
     Each lane is cut into most // 2 + 1 segments, so that lanes at most `most` bits apart agree on one but for a bit; what a crowded key
-    leaves free is cut in the same way. Nodes that meet are linked when all their bits differ in at most `within` (default: most) places.
+    leaves free is cut in the same way. Nodes that meet are linked when all their bits differ in at most `within` (default: most) places. A cut
+    is complete to `most` bits only, so with a larger `within` crowded keys are not cut: all their pairs are compared, and links don't depend on a key's size.
     """
     parts, bits, lanes = most // 2 + 1, 64, [c for c in nodes.columns if c != "node"]
     if within is not None and within > most:
@@ -203,7 +208,7 @@ def links(nodes: DataFrame, most: int = BITS, bucket: int = 256, depth: int = 3,
             one = nodes.select(F.lit(k).cast("long").alias("key"), "node", F.col(lane).alias("rest"))
             cut = _cut(one, bits, parts)[0].select("key", "node")
             keyed = cut if keyed is None else keyed.union(cut)
-        return checkpointed(_links(_met(keyed).join(nodes, "node").select("key", "node", *lanes), within))
+        return checkpointed(_links(_met(keyed, bucket).join(nodes, "node").select("key", "node", *lanes), within))
     rows = None
     for k, lane in enumerate(lanes):
         one = nodes.select(F.lit(k).cast("long").alias("key"), "node", *lanes, F.col(lane).alias("rest"))

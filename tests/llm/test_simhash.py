@@ -69,6 +69,39 @@ def test_crowded_keys_lose_no_link(spark):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
 
 
+def test_crowded_keys_link_the_same_within_a_wider_bound(spark):
+    r = random.Random(8)
+    base, other = r.getrandbits(64), r.getrandbits(32) << 32
+    fps = {base ^ other} | {base ^ sum(1 << x for x in r.sample(range(32), 6)) for _ in range(20)}  # all share the upper half
+    for x in list(fps):
+        fps.add(x ^ sum(1 << b for b in r.sample(range(32), 6)))
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+
+    def meet(x, y):
+        d = x ^ y
+        return min((d >> 32).bit_count(), (d & 0xFFFFFFFF).bit_count()) <= 1 and d.bit_count() <= 6
+
+    near = {x: [y for y in fps if y != x and meet(x, y)] for x in fps}
+    want, seen = set(), set()
+    for x in fps:
+        if x not in seen:
+            part, todo = {x}, [x]
+            while todo:
+                for y in near[todo.pop()]:
+                    if y not in part:
+                        part.add(y)
+                        todo.append(y)
+            seen |= part
+            want.add(frozenset(part))
+    df = spark.createDataFrame([(x, x) for x in signed], "node long, fp long")
+    for bucket in (2, 12, 256):
+        tree = {x.node: x.root for x in S.components(S.links(df, 3, bucket, within=6)).collect()}
+        got = {}
+        for x in signed:
+            got.setdefault(tree.get(x, x), set()).add(x % (1 << 64))
+        assert set(map(frozenset, got.values())) == want, bucket
+
+
 def test_stage_finds_light_edits(spark):
     r = random.Random(11)
     texts = []
