@@ -4,7 +4,7 @@ Generators propose spans in every whole text: the base patterns (e-mail, ip, car
 ones with high recall (written-out e-mails, spaced or bracketed ips, digit runs with separators), which overlap each other and the
 base. Each candidate gets format features (digits, groups, letters, separators, checksum, octets) and context ones (cue words before
 it, what touches its edges). Boosted trees of depth two are fitted to counts of feature combinations: base spans are the
-positive rows; candidates that no form of their kind allows (failed checksum of an undivided run, octets over 255, too few digits)
+positive rows; candidates that no form of their kind allows (failed checksum of an undivided run, octets over 255, too few digits, an e-mail's unknown last label, prose around ' at ')
 the negative ones, and the rest is unlabelled. Every feature is binned, so there are at most half a million combinations, whatever the
 corpus; the trees become a CASE expression. On the half of the documents that the trees don't see, each kind's
 threshold is the lowest score whose precision is `precision`; candidates above it that don't overlap a base span, or a candidate of a
@@ -37,15 +37,31 @@ BASE = {
 }
 #: What a text must hold for the pattern to be tried.
 GATES = {"email": "instr(t, '@') > 0", "ip": r"t RLIKE '[0-9]\\.[0-9]++\\.[0-9]++\\.[0-9]'", "card": r"t RLIKE '[0-9](?:[\\x20-]?[0-9]){13}'", "phone": "instr(t, '+') > 0"}
+#: What an e-mail's written-out form holds after its name; the generator's pattern ends so, and the gate is just this part.
+_HOST = r"(?:@|\[at\]|\(at\)|\{at\}| at ) ?[a-z0-9-]{1,63}+(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}| dot ) ?[a-z0-9-]{1,63}+)"
+#: Further labels; a plain dot with a space only after it ends a sentence there.
+_MORE = r"(?:(?:\.| \. ?| ?(?:\[dot\]|\(dot\)|\{dot\}) ?| dot )[a-z0-9-]{1,63}+){0,7}+"
+#: The last labels in use (countries, common generic ones, those reserved for examples), and words before ' at ' that make it prose.
+LABELS = (
+    "com|org|net|edu|gov|mil|int|info|biz|name|pro|mobi|aero|coop|museum|jobs|travel|tel|cat|asia|post|arpa|io|app|dev|xyz|online|site|shop|store|tech|cloud|blog|email|live|"
+    "agency|digital|group|company|solutions|systems|world|today|news|media|web|page|space|website|club|top|vip|work|life|design|studio|art|bank|wiki|academy|university|berlin|"
+    "london|paris|example|test|invalid|localhost|local|"
+    "ac|ad|ae|af|ag|ai|al|am|ao|aq|ar|as|at|au|aw|ax|az|ba|bb|bd|be|bf|bg|bh|bi|bj|bm|bn|bo|br|bs|bt|bv|bw|by|bz|ca|cc|cd|cf|cg|ch|ci|ck|cl|cm|cn|co|cr|cu|cv|cw|cx|cy|cz|"
+    "de|dj|dk|dm|do|dz|ec|ee|eg|er|es|et|eu|fi|fj|fk|fm|fo|fr|ga|gb|gd|ge|gf|gg|gh|gi|gl|gm|gn|gp|gq|gr|gs|gt|gu|gw|gy|hk|hm|hn|hr|ht|hu|id|ie|il|im|in|iq|ir|is|it|je|jm|jo|"
+    "jp|ke|kg|kh|ki|km|kn|kp|kr|kw|ky|kz|la|lb|lc|li|lk|lr|ls|lt|lu|lv|ly|ma|mc|md|me|mg|mh|mk|ml|mm|mn|mo|mp|mq|mr|ms|mt|mu|mv|mw|mx|my|mz|na|nc|ne|nf|ng|ni|nl|no|np|nr|nu|"
+    "nz|om|pa|pe|pf|pg|ph|pk|pl|pm|pn|pr|ps|pt|pw|py|qa|re|ro|rs|ru|rw|sa|sb|sc|sd|se|sg|sh|si|sj|sk|sl|sm|sn|so|sr|ss|st|su|sv|sx|sy|sz|tc|td|tf|tg|th|tj|tk|tl|tm|tn|to|tr|"
+    "tt|tv|tw|tz|ua|ug|uk|us|uy|uz|va|vc|ve|vg|vi|vn|vu|wf|ws|ye|yt|za|zm|zw"
+)
+_PROSE = "look|looks|looked|looking|see|visit|visited|available|found|find|hosted|live|lives|lived|work|works|worked|working|sat|sit|sits|stay|stayed|met|meet|arrive|arrived|me|us|it|is|was|are|were|be|you|them|him|her|here|there|that|this|online|and|or|not|more|page|site|website|shop"
 #: The looser generators, by the kind they propose (digit runs propose a card from 13 digits on, else a phone).
 LOOSE = {
-    "email": (r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+ ?(?:@|\[at\]|\(at\)|\{at\}| at ) ?[a-z0-9-]{1,63}+(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}| dot ) ?[a-z0-9-]{1,63}+){1,8}+", r"t RLIKE '(?i)\\[at\\]|\\(at\\)|\\{at\\}| dot '"),
+    "email": (r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+ ?" + _HOST + _MORE, f"t RLIKE '(?i)[a-z0-9._%+-] ?{_HOST}'".replace("\\", "\\\\")),
     "ip": (r"(?<![0-9])[0-9]{1,3}+(?:(?:\[\.\]|\(\.\)|\[dot\]| \. ?|\. )[0-9]{1,3}+){3}", r"t RLIKE '[0-9](?:\\[|\\(| ?\\. ?)'"),
     "digits": (r"(?<![0-9])[(+]{0,2}[0-9](?:[\x20().\-/]{0,2}[0-9]){6,24}+", r"t RLIKE '[0-9](?:[\\x20().\\-/]{0,2}[0-9]){6}'"),
 }
 CUES = {"1": "tel|phone|call|mobile|fax|whatsapp", "2": "mail|contact|write", "3": "card|visa|credit|payment|master", "4": r"\bip\b|host|server|addr"}
 SPAN = "array<struct<kind:string,s:int,e:int,v:string,pre:string,post:string,base:boolean>>"
-FEATURES = ["digits", "groups", "letters", "plus", "luhn", "octets", "dots", "seps", "cue", "edge"]
+FEATURES = ["digits", "groups", "letters", "plus", "luhn", "octets", "dots", "seps", "cue", "edge", "form"]
 
 
 def _luhn(v: Column) -> Column:
@@ -99,6 +115,13 @@ def candidates(docs: DataFrame, *carried: str) -> DataFrame:
     return both.select(*keep, "base", F.when(F.size("l") > 0, F.filter("l", apart)).otherwise(F.array().cast(SPAN)).alias("loose"))
 
 
+def _form(x: Column) -> Column:
+    """Of an e-mail: 1 with an unknown last label, 2 as prose (a word of _PROSE before ' at ', or a sentence's end among the labels), else 0."""
+    v = x["v"]
+    prose = v.rlike(f"(?i)^(?:{_PROSE}) at ") | v.rlike(r"[^ ]\. ")
+    return F.when(x["kind"] != "email", 0).when(prose, 2).when(~v.rlike(f"(?i)[^a-z0-9-](?:{LABELS}|xn--[a-z0-9-]+)$"), 1).otherwise(0)
+
+
 def _features(x: Column) -> dict[str, Column]:
     v = x["v"]
     cue = F.lit(0)
@@ -113,9 +136,10 @@ def _features(x: Column) -> dict[str, Column]:
         "luhn": _luhn(v).cast("int"),
         "octets": _octets(v).cast("int"),
         "dots": F.least(F.regexp_count(v, F.lit(r"\.|dot")), F.lit(3)),
-        "seps": F.least(F.regexp_count(v, F.lit(r"[\x20()/-]+")), F.lit(4)),
+        "seps": F.when(x["kind"] == "email", 0).otherwise(F.least(F.regexp_count(v, F.lit(r"[\x20()/-]+")), F.lit(4))),  # written-out e-mails have no base form to learn from
         "cue": cue,
         "edge": x["pre"].rlike("[A-Za-z0-9]$").cast("int") + 2 * x["post"].rlike("^[A-Za-z0-9]").cast("int"),
+        "form": _form(x),
     }
 
 
@@ -125,6 +149,7 @@ def _impossible(x: Column) -> Column:
     return (
         ((x["kind"] == "card") & ~_luhn(v))
         | ((x["kind"] == "ip") & ~_octets(v))
+        | ((x["kind"] == "email") & (_form(x) > 0))
         | ((x["kind"] == "phone") & (~n.between(7, 15) | v.rlike("^[0-9]+$")))
     )
 

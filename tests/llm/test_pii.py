@@ -46,6 +46,17 @@ def test_base_equals_brute_force(spark):
         assert [got[k][f"n_{x}"] for x in P.KINDS] == [sum(w.startswith(x) for w in want) for x in P.KINDS]
 
 
+def test_written_out_emails_are_found_and_prose_is_not(spark):
+    written = ["john@example[dot]com", "john at example.com", "john @ example.com", "john [at] example [dot] com"]
+    ended = "john at example.com. Then left"
+    prose = ["The dot is here. He sat at home. Then left.", "look at readme.txt", "he came at noon. Then he left"]
+    texts = written + prose + ["so bob@firm.com is up", "write to a.b@c.de now", "we met at index.html", "seen at ten. Later they left"] * 30 + [ended]
+    spans = {x.doc_id: x.spans for x in P.detect(frame(spark, texts)).collect()}
+    assert [spans[k] for k in range(4)] == [f"email:0:{len(t)}" for t in written]
+    assert spans[len(texts) - 1] == "email:0:19"
+    assert [spans[k] for k in range(4, 7)] == [""] * 3
+
+
 def test_long_runs_are_linear(spark):
     texts = ["a" * 300_000, "1" * 300_000, "1 " * 100_000, "a." * 100_000, "1." * 10_000, "+1" * 10_000]
     assert P.detect(frame(spark, texts)).count() == len(texts)
