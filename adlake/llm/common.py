@@ -21,12 +21,14 @@ def texts(docs: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share (spark.checkpoint.dir); a temporary one only where the cluster names none, as in tests."""
+    """The folder that all executors share (spark.checkpoint.dir); where none is named, a temporary one on a local master, else an error."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if d:
         return d
     d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="adlake-shared-")
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -40,6 +42,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def skew_joined(left: DataFrame, right: DataFrame, key: str, crowd: int = 100_000, salts: int = 64) -> DataFrame:
+    """left joined with right on `key`, where right has each key once and in a column `n` how often left has it.
+
+    Keys with more than `crowd` rows on the left (or a hundred-thousandth of all rows, if that is more: at most 100,000 keys) are
+    dealt to `salts` partitions by their rows' hash, and right's row goes to each of them; others join as they are.
+    """
+    total, most = right.agg(F.sum("n"), F.max("n")).first()
+    limit = max(crowd, (total or 0) // 100_000)
+    hot = F.broadcast(right.where(F.col("n") > limit).select(key, F.lit(True).alias("hot__")))
+    right = right.drop("n")
+    if (most or 0) <= limit:
+        return left.join(right, key)
+    salt = F.when(F.col("hot__"), F.pmod(F.xxhash64(*[c for c in left.columns if c != key]), F.lit(salts))).otherwise(0)
+    dealt = left.join(hot, key, "left").withColumn("salt__", salt.cast("int")).drop("hot__")
+    copies = F.when(F.col("hot__"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread = right.join(hot, key, "left").withColumn("salt__", F.explode(copies)).drop("hot__")
+    return dealt.join(spread, [key, "salt__"]).drop("salt__")
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
     """mapInArrow for a function that takes one Arrow batch and yields dicts of columns (lists or Arrow arrays)."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -1,148 +1,238 @@
-"""Operator 3: SimHash near-duplicates by deletion-variant signatures.
+"""Operator 3: near-duplicates by deletion-variant signatures.
 
-64-bit fingerprints at most 3 bits apart: cut into 2 segments of 32 bits, one of them differs by at most one bit. Each segment
-is indexed under its 32 variants with one bit deleted (a wildcard), so such a pair meets under an equal key; equality of keys
-brings them together and the whole fingerprints are verified.
+A signature is cut into few enough segments that one of them differs in at most one place; each segment is indexed under its
+variants with one place deleted (a wildcard), so such a pair meets under an equal key; equality of keys brings pairs together and whole
+signatures are verified.
 
-Only distinct fingerprints are indexed: exact copies, however many, are one row. Keys that hold one fingerprint are dropped by
-a count. A key that holds more than `bucket` fingerprints is cut again: its rows agree on 31 bits of one segment, so the other
-segment's two 16-bit halves are indexed in the same way (one of them differs by at most one bit), and once more with 8-bit
-halves; then about 2^11 different fingerprints at most can share a key, whatever the corpus. (Where the linking bound is wider than the
-search's, as in the pipeline, a crowded key is compared whole, in blocks.) For up to 5 bits there are 3 segments,
-and so on. No level emits all pairs of a key: a task
-unites what it verifies and sends a tree of links. Components come from contraction (graph.py).
+`near_duplicates` links 64-bit SimHash fingerprints at most 3 bits apart: 2 segments of 32 bits, 64 variants. Only distinct fingerprints are
+indexed: exact copies, however many, are one row. (key, fingerprint) is shuffled once a level; the task that finds a key's rows side by
+side drops single ones, unites what it verifies and sends a tree of links, and hands on the rows of a key that holds more than `bucket`. Those agree
+on 31 bits of one segment, so the other segment's two 16-bit halves are indexed in the same way (one of them differs by at most one bit),
+and once more with 8-bit halves; then about 2^11 different fingerprints at most can share a key, whatever the corpus. Every level is exact,
+so links don't depend on `bucket`. For up to 5 bits there are 3 segments, and so on. Components come from contraction (graph.py).
+
+`representatives`, the pipeline's stage, keeps one document of each group of five-word similarity (Jaccard) 0.8 or more. Two such texts
+differ in some 10 of 64 SimHash bits, where a 32-bit segment agrees but for a bit in 3.5 % of pairs only; so there the signature's places are
+not majority bits but minima of 128 hashes (a place agrees with the similarity's chance), and six segments of eight places meet
+98.5 % of the pairs at 0.8. A pair is linked if the 128 places put its similarity beyond four standard errors over 0.8, and within four errors
+of it by the exact similarity of the two texts. Crowded keys are compared whole, block by block, so links don't depend on a key's size.
 
 Cases: null, empty and blank texts have fingerprint zero and link like any other; fewer words than a shingle are one shingle;
-equal rows share a component; an empty table gives no rows; other columns are ignored.
+equal rows share a component; an empty table gives no rows; other columns are ignored (`representatives` keeps them). Different texts under
+one doc_id are rows of their own: the lesser hash of the row counts as the smaller; rows without a doc_id come last.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_batches, pieces, texts
+from .common import checkpointed, map_batches, pieces, skew_joined, texts
 from .graph import components
 
 #: Fixed values of the contract: the hash's seed, words in a shingle there, differing bits that link.
 SEED, SHINGLE, BITS = 42, 3, 3
-#: The pipeline's near-duplicate stage takes shingles of five words and four lanes. Fingerprints that meet under a key of any lane link at 38 of 256
-#: differing bits or fewer, the angle of a five-word similarity of 0.8.
-STAGE_SHINGLE, STAGE_LANES, STAGE_WITHIN = 5, 4, 38
+#: The pipeline's near-duplicate stage: words in a shingle, similarity, places of a signature, segments and places in a segment.
+STAGE_SHINGLE, SIMILAR, PLACES, SEGMENTS, WIDTH = 5, 0.8, 128, 6, 8
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_SEGMENT_BITS = 3  # of a key, its lowest: the number of the segment
+
+
+def _words(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, lanes: int = 1) -> tuple[int, ...]:
-    """Bit by bit the majority of the shingles' hashes, over the whole text, a block of shingles at a time. The first 64 bits (a lane)
-    come from XXH64, further lanes from mixing it."""
+def _hashes(w: list[bytes], shingle: int) -> Iterator[np.ndarray]:
+    """The hashes of the words' shingles, a block at a time."""
     import xxhash
 
-    w = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
-    if not w:
-        return (0,) * lanes
     size = min(shingle, len(w))
-    votes, n, digest = np.zeros(64 * lanes, np.int64), len(w) - size + 1, xxhash.xxh64_digest
-    for at in range(0, n, 16_384):
+    n, digest = len(w) - size + 1, xxhash.xxh64_digest
+    for at in range(0, n if w else 0, 16_384):
         part = w[at : min(at + 16_384, n) + size - 1]
-        h = np.frombuffer(b"".join([digest(x, SEED) for x in map(b" ".join, zip(*(part[k:] for k in range(size)), strict=False))]), ">u8").astype(np.uint64)
-        all_ = np.empty((len(h), lanes), ">u8")
-        all_[:, 0] = h
-        for lane in range(1, lanes):
-            h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-            all_[:, lane] = h
-        votes += np.unpackbits(all_.view(np.uint8).reshape(len(h), -1), axis=1).sum(0, dtype=np.int32)
-    bits = np.packbits(votes * 2 > n).tobytes()
-    return tuple(int.from_bytes(bits[8 * k : 8 * k + 8], "big") for k in range(lanes))
-
-
-def _lanes(lanes: int) -> list[str]:
-    return ["fp", *(f"fp{k}" for k in range(1, lanes))]
-
-
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, lanes: int = 1) -> DataFrame:
-    """(doc_id, fp long, ...): each lane's bits as a signed number."""
-
-    def run(batch):
-        for b in pieces(batch):
-            f = np.array([fingerprint(t, shingle, lanes) for t in b.column("text").to_pylist()], np.uint64).reshape(-1, lanes).view(np.int64)
-            yield {"doc_id": b.column("doc_id")} | {c: f[:, k].tolist() for k, c in enumerate(_lanes(lanes))}
-
-    return map_batches(texts(docs), run, "doc_id long, " + ", ".join(f"{c} long" for c in _lanes(lanes)))
-
-
-def _cut(df: DataFrame, bits: int, parts: int) -> tuple[DataFrame, int]:
-    """(key, node, lanes, rest) of every one-wildcard variant of every segment, and how many bits are left after the widest cut.
-
-    df: key, node, lanes and rest, the `bits` bits that earlier cuts have not fixed. A variant's key hashes the key it refines, the segment's number,
-    the deleted bit's and the segment without it.
+        yield np.frombuffer(b"".join([digest(x, SEED) for x in map(b" ".join, zip(*(part[k:] for k in range(size)), strict=False))]), ">u8")
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """Bit by bit the majority of the shingles' XXH64 hashes, over the whole text."""
+    votes, n = np.zeros(64, np.int64), 0
+    for h in _hashes(_words(text), shingle):
+        votes += np.unpackbits(h.view(np.uint8).reshape(len(h), 8), axis=1).sum(0, dtype=np.int32)
+        n += len(h)
+    return int.from_bytes(np.packbits(votes * 2 > n).tobytes(), "big")
+
+
+def _factors() -> np.ndarray:
+    """Odd 32-bit multipliers, one a place, by mixing the place's number."""
+    x = np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+
+_FACTORS = _factors()
+
+
+def minima(text: str | None, shingle: int = STAGE_SHINGLE) -> bytes:
+    """The signature of the whole text's set of shingles: a byte of each place's least hash."""
+    low = np.full(PLACES, 0xFFFFFFFF, np.uint32)
+    for h in _hashes(_words(text), shingle):
+        h = h.astype(np.uint64)
+        h = ((h >> np.uint64(32)) ^ h).astype(np.uint32)
+        for at in range(0, len(h), 1024):
+            np.minimum(low, (h[at : at + 1024, None] * _FACTORS).min(0), out=low)
+    return ((low * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
+
+
+def shingle_set(text: str | None, shingle: int = STAGE_SHINGLE) -> bytes:
+    """The whole text's distinct shingles as sorted 32-bit hashes."""
+    h = np.concatenate([*_hashes(_words(text), shingle), np.zeros(0, ">u8")]).astype(np.uint64)
+    return np.unique(((h >> np.uint64(32)) ^ h).astype(np.uint32)).tobytes()
+
+
+def _rows_by_key(batches, names: list[str], most: int | None = None) -> Iterator[tuple[list[np.ndarray], bool]]:
+    """Sorted rows as arrays of whole keys. A last key of more than `most` rows isn't held back: its rows come as they are read, marked True."""
+    held, open_ = [np.zeros(0, np.int64) for _ in names], None
+    for batch in batches:
+        held = [np.concatenate([x, batch.column(c).to_numpy()]) for x, c in zip(held, names, strict=True)]
+        if open_ is not None:
+            n = int(np.searchsorted(held[0], open_, "right"))
+            if n:
+                yield [x[:n] for x in held], True
+                held = [x[n:] for x in held]
+        if not len(held[0]):
+            continue
+        n = int(np.searchsorted(held[0], held[0][-1]))  # the last key may go on in the next batch
+        if n:
+            yield [x[:n] for x in held], False
+            held = [x[n:] for x in held]
+        if most is not None and len(held[0]) > most:
+            open_ = held[0][0]
+            yield held, True
+            held = [x[:0] for x in held]
+    if len(held[0]):
+        yield held, False
+
+
+def _edges(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key's rows begin, and how many they are."""
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+    return edge[:-1], np.diff(edge)
+
+
+def _variants(df: DataFrame, bits: int, parts: int) -> DataFrame:
+    """(key, node[, rest]) of every one-wildcard variant of every segment of rest, `bits` bits that earlier cuts have not fixed (without rest: node).
+
+    A variant's key hashes the key it refines, the deleted place and the segment without it; its lowest bits are the segment's number.
     """
     edges = [bits * k // parts for k in range(parts + 1)]
-    rest, out = F.col("rest"), []
+    rest, out = F.col("rest" if "rest" in df.columns else "node"), []
     for j, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
         segment = F.shiftrightunsigned(rest, lo).bitwiseAND((1 << (hi - lo)) - 1)
-        below = rest.bitwiseAND((1 << lo) - 1)
-        above = F.shiftleft(F.shiftrightunsigned(rest, hi), lo) if hi < 64 else F.lit(0).cast("long")
         for k in range(hi - lo):
             key = F.xxhash64("key", F.lit(j), F.lit(k), segment.bitwiseAND(((1 << (hi - lo)) - 1) & ~(1 << k)))
-            out.append(F.struct(key.alias("key"), above.bitwiseOR(below).alias("rest")))
-    left = bits - min(y - x for x, y in zip(edges, edges[1:], strict=False))
-    carried = [c for c in df.columns if c not in ("key", "rest")]
-    return df.select(*carried, F.explode(F.array(*out)).alias("v")).select("v.key", *carried, "v.rest"), left
+            out.append(key.bitwiseAND(-1 << _SEGMENT_BITS).bitwiseOR(j))
+    return df.select(F.explode(F.array(*out)).alias("key"), *[c for c in df.columns if c != "key"])
+
+
+def _left(rows: DataFrame, bits: int, parts: int) -> tuple[DataFrame, int]:
+    """Crowded rows with the bits that their key's segment doesn't hold, and how many these are at most."""
+    edges = [bits * k // parts for k in range(parts + 1)]
+    rest, j, out = F.col("rest"), F.col("key").bitwiseAND((1 << _SEGMENT_BITS) - 1), None
+    for k, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
+        above = F.shiftleft(F.shiftrightunsigned(rest, hi), lo) if hi < 64 else F.lit(0).cast("long")
+        now = above.bitwiseOR(rest.bitwiseAND((1 << lo) - 1))
+        out = F.when(j == k, now) if out is None else out.when(j == k, now)
+    return rows.select("key", "node", out.alias("rest")), bits - min(y - x for x, y in zip(edges, edges[1:], strict=False))
 
 
-def _united(fps: np.ndarray, most: int) -> tuple[list[int], list[int]]:
-    """Links that span the components of one key's fingerprints: each is compared with those that no link has reached yet."""
-    left, a, b = np.arange(len(fps)), [], []
+def _united(n: int, near) -> tuple[list[int], list[int]]:
+    """Links that span the components of n rows: near(i, rows) tells which are near row i; each is compared with those that no link has reached yet."""
+    left, a, b = np.arange(n), [], []
     while len(left):
         reached, left = [int(left[0])], left[1:]
         while reached and len(left):
             i = reached.pop()
-            near = np.bitwise_count(fps[left] ^ fps[i]).sum(1, dtype=np.int64) <= most
-            if near.any():
-                hit = left[near].tolist()
+            is_near = near(i, left)
+            if is_near.any():
+                hit = left[is_near].tolist()
                 a += [i] * len(hit)
                 b += hit
                 reached += hit
-                left = left[~near]
+                left = left[~is_near]
     return a, b
 
 
-def _links(keyed: DataFrame, most: int) -> DataFrame:
-    """keyed (key, node, lanes) -> (a, b): verified links of nodes, a spanning tree of each key's. Rows of a key lie together, sorted."""
-    lanes = [c for c in keyed.columns if c not in ("key", "node")]
+def _level(variants: DataFrame, most: int, bucket: int | None) -> DataFrame:
+    """variants (key, node[, rest]) -> (crowded, a, b, rest): the verified links a-b of each key, a spanning tree, or for one of more than `bucket` rows those, as key, node, rest."""
+    names = variants.columns
 
     def run(batches):
         import pyarrow as pa
 
-        def solve(key: np.ndarray, node: np.ndarray, fp: np.ndarray):
-            edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-            size = np.diff(edge)
-            two = edge[:-1][size == 2]  # most keys hold two
-            near = two[np.bitwise_count(fp[two] ^ fp[two + 1]).sum(1, dtype=np.int64) <= most]
-            a, b = [node[near]], [node[near + 1]]
-            for s, n in zip(edge[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
-                x, y = _united(fp[s : s + n], most)
+        def out(crowded: bool, a: np.ndarray, b: np.ndarray, rest: np.ndarray):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), crowded)), pa.array(a), pa.array(b), pa.array(rest)], names=["crowded", "a", "b", "rest"])
+
+        for columns, crowded in _rows_by_key(batches, names, bucket):
+            key, node, rest = columns[0], columns[1], columns[-1]
+            if crowded:
+                yield out(True, key, node, rest)
+                continue
+            begin, size = _edges(key)
+            fp = node.view(np.uint64)
+            two = begin[size == 2]  # most keys that hold more than one hold two
+            two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= most]
+            a, b = [node[two]], [node[two + 1]]
+            more = size > 2 if bucket is None else (size > 2) & (size <= bucket)
+            for s, n in zip(begin[more].tolist(), size[more].tolist(), strict=True):
+                f = fp[s : s + n]
+                x, y = _united(n, lambda i, left, f=f: np.bitwise_count(f[left] ^ f[i]) <= most)
                 a.append(node[s : s + n][x])
                 b.append(node[s : s + n][y])
             a, b = np.concatenate(a), np.concatenate(b)
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                yield out(False, a, b, np.zeros(len(a), np.int64))
+            if bucket is not None and (size > bucket).any():
+                over = np.repeat(size > bucket, size)
+                yield out(True, key[over], node[over], rest[over])
+
+    return checkpointed(variants.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "crowded boolean, a long, b long, rest long"))
 
-        key, node, fp = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(lanes)), np.uint64)
-        for batch in batches:
-            key = np.concatenate([key, batch.column("key").to_numpy()])
-            node = np.concatenate([node, batch.column("node").to_numpy()])
-            fp = np.concatenate([fp, np.stack([batch.column(c).to_numpy() for c in lanes], 1).view(np.uint64)])
-            last = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last key may go on in the next batch
-            if last:
-                yield from solve(key[:last], node[:last], fp[:last])
-            key, node, fp = key[last:], node[last:], fp[last:]
-        if len(key):
-            yield from solve(key, node, fp)
 
-    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
+def links(nodes: DataFrame, most: int = BITS, bucket: int = 256, depth: int = 3) -> DataFrame:
+    """nodes (node long: a fingerprint, each once) -> (a, b) links that span the components of fingerprints at most `most` bits apart."""
+    parts, bits, out = most // 2 + 1, 64, None
+    rows = nodes.select(F.lit(0).cast("long").alias("key"), "node")
+    for level in range(depth):
+        found = _level(_variants(rows, bits, parts), most, bucket if level < depth - 1 else None)
+        tree = found.where("not crowded").select("a", "b")
+        out = tree if out is None else out.union(tree)
+        crowded = found.where("crowded").select(F.col("a").alias("key"), F.col("b").alias("node"), "rest")
+        if level == depth - 1 or crowded.isEmpty():
+            break
+        rows, bits = _left(crowded, bits, parts)
+    return out.distinct()
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = BITS, bucket: int = 256) -> DataFrame:
+    """(doc_id, fingerprint, component_id): 16 hex digits, and the smallest doc_id that links reach."""
+
+    def run(batch):
+        for b in pieces(batch):
+            f = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
+            yield {"doc_id": b.column("doc_id"), "node": f.tolist()}
+
+    prints = checkpointed(map_batches(texts(docs), run, "doc_id long, node long"))
+    groups = checkpointed(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
+    tree = checkpointed(components(links(groups.select("node"), most, bucket)))
+    linked = tree.join(groups, "node")
+    lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n"))
+    moved = skew_joined(linked.select("root", "node"), checkpointed(lowest), "root").select("node", F.col("component_id").alias("lower"))
+    named = checkpointed(groups.join(moved, "node", "left").select("node", F.coalesce("lower", "first").alias("component_id"), "n"))
+    return skew_joined(prints, named, "node").select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def _met(keyed: DataFrame, block: int) -> DataFrame:
@@ -160,89 +250,149 @@ def _met(keyed: DataFrame, block: int) -> DataFrame:
             x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
             return x ^ (x >> np.uint64(32))
 
-        def solve(key: np.ndarray, node: np.ndarray):
-            edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-            size = np.diff(edge)
-            for s, n in zip(edge[:-1][size > block].tolist(), size[size > block].tolist(), strict=True):
+        def grouped(node: np.ndarray, size: np.ndarray):
+            begin = np.cumsum(size) - size
+            # equal groups get equal keys
+            group = mixed(np.add.reduceat(mixed(node.view(np.uint64)), begin) + size.astype(np.uint64)).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(group, size)), pa.array(node)], names=["key", "node"])
+
+        for (key, node), _ in _rows_by_key(batches, ["key", "node"]):
+            begin, size = _edges(key)
+            for s, n in zip(begin[size > block].tolist(), size[size > block].tolist(), strict=True):
                 parts = np.array_split(node[s : s + n], -(-n // block))
                 for i in range(len(parts)):
                     for j in range(i):
                         two = np.concatenate([parts[j], parts[i]])
                         yield grouped(two, np.array([len(two)]))
             fits = (size > 1) & (size <= block)
-            node, size = node[np.repeat(fits, size)], size[fits]
-            if len(size):
-                yield grouped(node, size)
+            if fits.any():
+                yield grouped(node[np.repeat(fits, size)], size[fits])
 
-        def grouped(node: np.ndarray, size: np.ndarray):
-            begin = np.cumsum(size) - size
-            # equal groups get equal keys
-            group = mixed(np.add.reduceat(mixed(node.view(np.uint64)), begin) + size.astype(np.uint64)).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.repeat(group, size)), pa.array(node)], names=["key", "node"])
+    return checkpointed(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, node long").distinct())
 
-        key, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            key = np.concatenate([key, batch.column("key").to_numpy()])
-            node = np.concatenate([node, batch.column("node").to_numpy()])
-            last = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last key may go on in the next batch
-            if last:
-                yield from solve(key[:last], node[:last])
-            key, node = key[last:], node[last:]
-        if len(key):
-            yield from solve(key, node)
 
-    return checkpointed(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, node long").distinct())
+def _by_group(batches, names: list[str]):
+    """Rows sorted by key as one list of columns a key."""
+    held: list[list] = [[] for _ in names]
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            if held[0] and held[0][0] != row[0]:
+                yield held
+                held = [[] for _ in names]
+            for x, v in zip(held, row, strict=True):
+                x.append(v)
+    if held[0]:
+        yield held
 
 
-def links(nodes: DataFrame, most: int = BITS, bucket: int = 256, depth: int = 3, within: int | None = None) -> DataFrame:
-    """nodes (node long, lanes, each fingerprint once) -> (a, b) links that span the components.
+def _places(rows: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
 
-    Each lane is cut into most // 2 + 1 segments, so that lanes at most `most` bits apart agree on one but for a bit; what a crowded key
-    leaves free is cut in the same way. Nodes that meet are linked when all their bits differ in at most `within` (default: most) places. A cut
-    is complete to `most` bits only, so with a larger `within` crowded keys are not cut: all their pairs are compared, and links don't depend on a key's size.
-    """
-    parts, bits, lanes = most // 2 + 1, 64, [c for c in nodes.columns if c != "node"]
-    if within is not None and within > most:
-        keyed = None
-        for k, lane in enumerate(lanes):
-            one = nodes.select(F.lit(k).cast("long").alias("key"), "node", F.col(lane).alias("rest"))
-            cut = _cut(one, bits, parts)[0].select("key", "node")
-            keyed = cut if keyed is None else keyed.union(cut)
-        return checkpointed(_links(_met(keyed, bucket).join(nodes, "node").select("key", "node", *lanes), within))
-    rows = None
-    for k, lane in enumerate(lanes):
-        one = nodes.select(F.lit(k).cast("long").alias("key"), "node", *lanes, F.col(lane).alias("rest"))
-        rows = one if rows is None else rows.union(one)
-    out = None
-    for level in range(depth):
-        cut, bits = _cut(rows, bits, parts)
-        counts = checkpointed(cut.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-        fits = F.lit(True) if level == depth - 1 else F.col("n") <= bucket
-        found = _links(cut.select("key", "node", *lanes).join(counts.where(fits).select("key"), "key"), within or most)
-        out = found if out is None else out.union(found)
-        crowded = counts.where(~fits)
-        if level == depth - 1 or crowded.isEmpty():
-            break
-        rows = cut.join(crowded.select("key"), "key")
-    return out.distinct()
 
+def _likely(met: DataFrame, low: float, high: float) -> DataFrame:
+    """met (key, node, places) -> (sure, a, b, tree). Sure: links a-b that span the trees of a group's nodes whose places give at least `high`.
+    Others: a group's key and those nodes of it that come to `low` with a node of another tree, and their tree."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        def out(sure: bool, a, b, tree):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), sure)), pa.array(a), pa.array(b), pa.array(tree)], names=["sure", "a", "b", "tree"])
+
+        for key, node, places in _by_group(batches, ["key", "node", "places"]):
+            node, p = np.array(node, np.int64), _places(places)
+            a, b = _united(len(node), lambda i, left, p=p: (p[left] == p[i]).mean(1) >= high)
+            tree = np.arange(len(node))
+            for x, y in zip(a, b, strict=True):  # a tree's links come from its root outwards
+                tree[y] = tree[x]
+            if a:
+                yield out(True, node[a], node[b], node[tree[a]])
+            tops, sizes = np.unique(tree, return_counts=True)
+            if len(tops) > 1:
+                open_ = np.zeros(len(node), bool)
+                for k in np.flatnonzero(tree != tops[sizes.argmax()]).tolist():
+                    near = ((p == p[k]).mean(1) >= low) & (tree != tree[k])
+                    open_ |= near
+                    open_[k] |= near.any()
+                if open_.any():
+                    yield out(False, np.full(int(open_.sum()), key[0], np.int64), node[open_], node[tree[open_]])
+
+    return checkpointed(met.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "sure boolean, a long, b long, tree long"))
+
+
+def _exact(rows: DataFrame, low: float, least: float) -> DataFrame:
+    """rows (key, node, tree, places, shingles) -> (a, b): links that join a group's trees, each of an exact similarity of at least `least`."""
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = BITS, bucket: int = 256, lanes: int = 1, within: int | None = None) -> DataFrame:
-    """(doc_id, fingerprint, component_id): 16 hex digits a lane, and the smallest doc_id that links reach."""
-    names = _lanes(lanes)
-    prints = checkpointed(fingerprints(docs, shingle, lanes).withColumn("node", F.col("fp") if lanes == 1 else F.xxhash64(*names)))
-    groups = checkpointed(prints.groupBy("node", *names).agg(F.min("doc_id").alias("first")))
-    tree = checkpointed(components(links(groups.drop("first"), most, bucket, within=within)).withColumnRenamed("node", "child"))
-    rooted = groups.join(tree, F.col("node") == F.col("child"), "left").select("node", F.coalesce("root", "node").alias("root"), "first")
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(lowest, "root").select("node", "component_id").distinct()
-    digits = F.concat(*[F.lower(F.lpad(F.hex(c), 16, "0")) for c in names])
-    return prints.join(named, "node").select("doc_id", digits.alias("fingerprint"), "component_id")
-
-
-def representatives(docs: DataFrame, shingle: int = STAGE_SHINGLE, lanes: int = STAGE_LANES, within: int = STAGE_WITHIN) -> DataFrame:
-    """docs with one document of each group: the one of the smallest doc_id (rows without a doc_id stay)."""
-    groups = near_duplicates(docs, shingle, BITS, 2048, lanes, within)
-    chosen = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi")
-    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    def run(batches):
+        import pyarrow as pa
+
+        for _, node, tree, places, shingles in _by_group(batches, ["key", "node", "tree", "places", "shingles"]):
+            p, sets = _places(places), [np.frombuffer(x, np.uint32) for x in shingles]
+            top, links_ = np.unique(tree, return_inverse=True)[1], []
+            for i in range(len(node) - 1):
+                like = (p[i + 1 :] == p[i]).mean(1)
+                for j in (np.argsort(-like, kind="stable") + i + 1).tolist():
+                    if like[j - i - 1] < low:
+                        break
+                    if top[i] != top[j]:
+                        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                        every = len(sets[i]) + len(sets[j]) - both
+                        if not every or both / every >= least:
+                            links_.append((node[i], node[j]))
+                            top[top == top[j]] = top[i]
+            if links_:
+                a, b = zip(*links_, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
+
+
+def _identified(docs: DataFrame) -> DataFrame:
+    """docs with id__ (doc_id, -1 without one) and row__ (a hash of all columns): together they tell rows apart, but for equal ones."""
+    mark = F.lit("\x00")
+    id_ = F.col("doc_id").cast("long")
+    return docs.select("*", F.coalesce(id_, F.lit(-1)).cast("long").alias("id__"), F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), mark) for c in docs.columns]).alias("row__"))
+
+
+def similar(docs: DataFrame, shingle: int = STAGE_SHINGLE, least: float = SIMILAR, block: int = 512) -> DataFrame:
+    """(id__, row__, first__): each row's identity (see _identified), and whether it is the first of its group, by doc_id and then by hash; equal rows are one."""
+    marked = _identified(docs)
+    source = marked.select(F.col("doc_id").isNull().alias("last__"), "id__", "row__", F.col("text").cast("string").alias("text"))
+
+    def run(batch):
+        for b in pieces(batch):
+            yield {c: b.column(c) for c in ("last__", "id__", "row__")} | {"places": [minima(t, shingle) for t in b.column("text").to_pylist()]}
+
+    prints = checkpointed(map_batches(source, run, "last__ boolean, id__ long, row__ long, places binary"))
+    nodes = checkpointed(prints.groupBy("places").agg(F.min(F.struct("last__", "id__", "row__")).alias("first")).withColumn("node", F.xxhash64("places")))
+    keys = []
+    for j in range(SEGMENTS):
+        for k in range(WIDTH):
+            before, after = F.substring("places", WIDTH * j + 1, k), F.substring("places", WIDTH * j + k + 2, WIDTH - 1 - k)
+            keys.append(F.xxhash64(F.lit(j * WIDTH + k), before, after))
+    met = _met(nodes.select(F.explode(F.array(*keys)).alias("key"), "node"), block)
+    error = 4 * float(np.sqrt(least * (1 - least) / PLACES))
+    likely = _likely(met.join(nodes.select("node", "places"), "node").select("key", "node", "places"), least - error, least + error)
+    unsure = likely.where("not sure").select(F.col("a").alias("key"), F.col("b").alias("node"), "tree")
+    wanted = unsure.select("node").distinct().join(nodes, "node").select("node", "first.id__", "first.row__")
+
+    def whole(batch):
+        for b in pieces(batch):
+            yield {"node": b.column("node"), "shingles": [shingle_set(t, shingle) for t in b.column("text").to_pylist()]}
+
+    text = source.join(wanted, ["id__", "row__"]).select("node", "text").dropDuplicates(["node"])
+    known = checkpointed(map_batches(text, whole, "node long, shingles binary"))
+    found = _exact(unsure.join(nodes.select("node", "places"), "node").join(known, "node"), least - error, least)
+    tree = checkpointed(components(likely.where("sure").select("a", "b").union(found)))
+    linked = tree.join(nodes.select("node", "first"), "node")
+    lowest = linked.groupBy("root").agg(F.min("first").alias("lowest"), F.count("*").alias("n"))
+    later = skew_joined(linked.select("root", "first"), checkpointed(lowest), "root").where("first <> lowest").select("first.id__", "first.row__").distinct()
+    rows = nodes.select("first.id__", "first.row__").distinct()
+    return rows.join(later.withColumn("later__", F.lit(True)), ["id__", "row__"], "left").select("id__", "row__", F.col("later__").isNull().alias("first__"))
+
+
+def representatives(docs: DataFrame, shingle: int = STAGE_SHINGLE, least: float = SIMILAR, block: int = 512) -> DataFrame:
+    """docs with one row of each group of similar texts."""
+    chosen = checkpointed(similar(docs, shingle, least, block).where("first__").select("id__", "row__"))
+    kept = _identified(docs).join(chosen, ["id__", "row__"], "left_semi")
+    return kept.dropDuplicates(["id__", "row__"]).select(*docs.columns)
