@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Upper bounds (exclusive) and labels of the price histogram.
-PRICE_BUCKETS = [(5000, "0-5k"), (10000, "5k-10k"), (20000, "10k-20k"), (30000, "20k-30k"), (50000, "30k-50k"), (100000, "50k-100k")]
-PRICE_REST = "100k+"
+PRICE_BUCKETS = [(5000, "0-5K"), (10000, "5K-10K"), (20000, "10K-20K"), (30000, "20K-30K"), (50000, "30K-50K"), (100000, "50K-100K")]
+PRICE_REST = "100K+"
 
 
 def slug(name: Column) -> Column:
@@ -60,7 +60,3 @@ def like_pattern(term: str) -> str:
 def contains(column: Column, term: str) -> Column:
     return column.ilike(like_pattern(term))
 
-
-def present(value: Column, key: str) -> Column:
-    """The JSON object holds the key, be it with a null."""
-    return F.coalesce(F.array_contains(F.json_object_keys(value), key), F.lit(False))

@@ -99,7 +99,7 @@ def history_of(history: DataFrame, ad_id: str) -> DataFrame:
 
 def detail(ads: DataFrame, history: DataFrame, ad_id: str) -> DataFrame:
     """The listing with its history nested, newest first; no row if there is none."""
-    one = ads.where(F.col("id_ad") == ad_id).limit(1)
+    one = ads.where(F.col("id_ad") == ad_id)
     events = history.where(F.col("auto_ad_id") == ad_id).groupBy("auto_ad_id").agg(F.sort_array(F.collect_list(F.struct("timestamp", "price", "currency_code", "status")), asc=False).alias("history"))
     return one.join(events, one.id_ad == events.auto_ad_id, "left").drop("auto_ad_id")
 

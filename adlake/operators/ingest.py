@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlake.functions.columns import catalogue_slug, guarded_int
-from adlake.sources.tables import ALIASES
+from adlake.sources.tables import AD_MESSAGE, ALIASES
 
 RESPONSE = (
     "data struct<advertSearch: struct<totalCount: int, edges: array<struct<node: struct<id: string, url: string, title: string, shortDescription: string, createdAt: string, "
@@ -52,7 +53,7 @@ def flatten(parsed: DataFrame) -> DataFrame:
         F.col("n.createdAt").alias("posted_on_source_at"),
         F.col("n.price.amount.units").alias("price"),
         F.col("n.price.amount.currencyCode").alias("currency"),
-        *[p(k).alias(f"{k if k != 'body_color' else 'color'}_str") for k in ("make", "model", "version", "generation")],
+        *[p(k).alias(f"{k}_str") for k in ("make", "model", "version", "generation")],
         guarded_int(p("year")).alias("year"),
         guarded_int(p("mileage")).alias("mileage"),
         p("fuel_type").alias("fuel_type_str"),
@@ -81,6 +82,28 @@ def coerce(raw: DataFrame) -> DataFrame:
     return raw.select(*[F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.try_to_timestamp(c).alias(c) if c in at and dict(raw.dtypes)[c] == "string" else F.col(c) for c in raw.columns])
 
 
+def from_json_messages(raw: DataFrame, column: str = "value") -> DataFrame:
+    """JSON texts -> the message's columns and `keys`, those that the text holds (be it with a null).
+
+    A field may come under its message key or under the table's column name; the message key goes first, if it is there.
+    """
+    kinds = {f.name: f.dataType for f in T._parse_datatype_string(AD_MESSAGE)}
+    other = T.StructType([T.StructField(ALIASES[c], t) for c, t in kinds.items() if c in ALIASES])
+    whole = raw.withColumn("m__", F.from_json(F.col(column).cast("string"), T.StructType([*[T.StructField(c, t) for c, t in kinds.items()], *other])))
+    whole = whole.withColumn("k__", F.coalesce(F.json_object_keys(F.col(column).cast("string")), F.array().cast("array<string>")))
+    held = lambda k: F.array_contains("k__", k)
+    fields = [F.when(held(c), F.col(f"m__.{c}")).otherwise(F.col(f"m__.{ALIASES[c]}")).alias(c) if c in ALIASES else F.col(f"m__.{c}").alias(c) for c in kinds]
+    names = {ALIASES[c]: c for c in kinds if c in ALIASES}
+    canonical = F.transform("k__", lambda k: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in names.items() for x in p]), k), k))
+    return whole.select(*raw.columns, *fields, F.array_distinct(canonical).alias("keys"))
+
+
+def presence(columns: list[str]) -> dict[str, Column]:
+    """For each table column of messages with `keys`: whether the message holds it."""
+    keys = {v: k for k, v in ALIASES.items()}
+    return {c: F.array_contains("keys", keys.get(c, c)) for c in columns}
+
+
 def project(messages: DataFrame) -> DataFrame:
     """Message keys to table columns; what the table doesn't keep is dropped, the price narrowed to a whole number."""
     dropped = {"description", "country_code", "scraped_at", "image_urls"}
@@ -100,9 +123,19 @@ def envelope(items: DataFrame, key: str, fallback: str | None = None) -> DataFra
     return items.select(F.col(name).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
 
 
-def active_ids(messages: DataFrame) -> DataFrame:
-    """The snapshot of a run: the distinct ids of every source and make. The aggregation is the barrier that completes a make."""
-    return messages.groupBy("source_name", "make_str").agg(F.array_sort(F.collect_set("source_ad_id")).alias("ad_ids"))
+def snapshot_rows(messages: DataFrame) -> DataFrame:
+    """The snapshot of a run as rows: the distinct (source_name, make_str, id_ad). The aggregation is the barrier that completes a make."""
+    return messages.select("source_name", "make_str", F.col("source_ad_id").alias("id_ad")).distinct()
+
+
+def active_ids(rows: DataFrame) -> DataFrame:
+    """Snapshot rows as the sink's messages, one array of ids for a source and make; a message is bounded by what the source lists of one make."""
+    return rows.groupBy("source_name", "make_str").agg(F.array_sort(F.collect_set("id_ad")).alias("ad_ids"))
+
+
+def exploded_ids(snapshots: DataFrame) -> DataFrame:
+    """Snapshot messages as rows; an empty snapshot is a row with a null id."""
+    return snapshots.select("source_name", "make_str", F.explode_outer("ad_ids").alias("id_ad")).distinct()
 
 
 def page_plan(makes: DataFrame, page: int = PAGE) -> DataFrame:
@@ -131,11 +164,16 @@ def catalogue(texts: DataFrame) -> DataFrame:
     return own.select(F.col("e.value").alias("name"), slug.alias("slug")).groupBy("slug").agg(F.min("name").alias("name"))
 
 
+def plan_catalogue(entries: DataFrame, known: DataFrame) -> DataFrame:
+    """entries with `action`: added, or skipped where the slug is known."""
+    have = known.select("slug", F.lit(True).alias("have__"))
+    return entries.join(have, "slug", "left").withColumn("action", F.when(F.col("have__"), "skipped").otherwise("added")).drop("have__")
+
+
 def load_catalogue(entries: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entries to add, counters): insert-if-absent by slug."""
-    fresh = entries.join(known.select("slug"), "slug", "left_anti")
-    flagged = entries.join(known.select("slug", F.lit(True).alias("known")), "slug", "left")
-    return fresh, flagged.agg(F.count_if(F.col("known").isNull()).alias("added"), F.count_if("known").alias("skipped"))
+    planned = plan_catalogue(entries, known)
+    return planned.where("action = 'added'").drop("action"), planned.agg(F.count_if(F.col("action") == "added").alias("added"), F.count_if(F.col("action") == "skipped").alias("skipped"))
 
 
 def run_metrics(parsed: DataFrame) -> DataFrame:

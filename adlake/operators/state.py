@@ -93,10 +93,14 @@ def dim_model(ads: DataFrame, order: str = "offset") -> DataFrame:
 
 
 def grow_dimension(known: DataFrame, found: DataFrame) -> DataFrame:
-    """known plus the slugs it lacks, numbered on from its largest id. Dimensions are small by nature: distinct names only."""
-    base = known.agg(F.coalesce(F.max("id"), F.lit(0)).alias("base")).first()["base"]
-    fresh = found.join(known.select("slug"), "slug", "left_anti")
-    numbered = fresh.withColumn("id", (F.row_number().over(Window.orderBy("slug")) + base).cast("long"))
+    """known plus the slugs it lacks, numbered on from its largest id in the order of slugs. Slugs are numbered within their first two letters;
+    only the counts of those beginnings meet in one task."""
+    base = known.agg(F.coalesce(F.max("id"), F.lit(0)).alias("base"))
+    fresh = found.join(known.select("slug"), "slug", "left_anti").withColumn("head__", F.substring("slug", 1, 2))
+    before = Window.orderBy("head__").rowsBetween(Window.unboundedPreceding, -1)
+    starts = fresh.groupBy("head__").agg(F.count("*").alias("n")).select("head__", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")).join(base)
+    rank = F.row_number().over(Window.partitionBy("head__").orderBy("slug"))
+    numbered = fresh.withColumn("rank", rank).join(F.broadcast(starts), "head__").withColumn("id", (F.col("rank") + F.col("start") + F.col("base")).cast("long"))
     return known.unionByName(numbered.select(*known.columns))
 
 
@@ -111,15 +115,15 @@ def with_dims(ads: DataFrame, makes: DataFrame, models: DataFrame) -> DataFrame:
 def gone(ads: DataFrame, snapshot: DataFrame, exact_make: bool = False, min_active: int = 0) -> DataFrame:
     """(source_name, make_str, id_ad): open ads of a snapshot's source and make that it doesn't show.
 
-    A snapshot covers every make that contains its make's name, unless exact_make; min_active spares makes whose snapshot holds
-    fewer ids. Snapshots are one row per make: the ids are exploded and meet the ads in an equi-join.
+    snapshot: one row for each id shown (source_name, make_str, id_ad), and a row with a null id for a snapshot without any. A snapshot
+    covers every make that contains its make's name, unless exact_make; min_active spares makes whose snapshot holds fewer ids.
     """
-    covered = snapshot.where(F.size("ad_ids") >= min_active).select("source_name", "make_str").distinct()
+    covered = snapshot.groupBy("source_name", "make_str").agg(F.count_distinct("id_ad").alias("n")).where(F.col("n") >= min_active).drop("n")
     makes = ads.where("sold_at IS NULL").select("source_name", "make_name").distinct()
     match = F.col("make_name") == F.col("make_str") if exact_make else F.ilike(F.col("make_name"), F.concat(F.lit("%"), F.col("make_str"), F.lit("%")))
     pairs = makes.join(covered, "source_name").where(match)
     open_ads = ads.where("sold_at IS NULL").join(pairs, ["source_name", "make_name"]).select("source_name", "make_str", "id_ad")
-    shown = snapshot.select("source_name", "make_str", F.explode("ad_ids").alias("id_ad")).distinct()
+    shown = snapshot.where("id_ad IS NOT NULL").select("source_name", "make_str", "id_ad")
     return open_ads.join(shown, ["source_name", "make_str", "id_ad"], "left_anti")
 
 
@@ -140,7 +144,7 @@ def reconciliation(ads: DataFrame, snapshot: DataFrame, sold: DataFrame) -> Data
     """By source and make of the snapshot: active ids, open ads before, ads closed, and the new ones: active - (open - closed)."""
     keys = ["source_name", "make_str"]
     makes = ads.where("sold_at IS NULL").groupBy("source_name", "make_name").agg(F.count("*").alias("n"))
-    covered = snapshot.groupBy(*keys).agg(F.max(F.size(F.array_distinct("ad_ids"))).cast("long").alias("active"))
+    covered = snapshot.groupBy(*keys).agg(F.count_distinct("id_ad").alias("active"))
     before = makes.join(covered, "source_name").where(F.ilike(F.col("make_name"), F.concat(F.lit("%"), F.col("make_str"), F.lit("%")))).groupBy(*keys).agg(F.sum("n").alias("in_db"))
     closed = sold.groupBy(*keys).agg(F.count("*").alias("deactivated"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)

@@ -1,4 +1,5 @@
-"""Market statistics. Each is one aggregation with map-side partial sums; the exact median is Spark's percentile."""
+"""Market statistics. Each is one aggregation with map-side partial sums. The exact median counts distinct prices: prices are whole and
+below 2^31, and its one reducer holds one entry for each different price, not for each listing."""
 
 from __future__ import annotations
 
@@ -83,6 +84,28 @@ def dashboard(ads: DataFrame) -> DataFrame:
     return numbers.select("*", on).join(top.select("*", on), "one", "left").join(sources.select("*", on), "one").drop("one")
 
 
+def dashboard_body(ads: DataFrame, as_of: str) -> DataFrame:
+    """The whole dashboard as one row of nested values: general, top_makes, top_regions, recent_trends (seven days), summary."""
+    on = F.lit(1).alias("one")
+    model = popular_model(ads).select("model", on)
+    make = popular_make(ads).select("make_name", on)
+    numbers = general(ads).select("*", on).join(make, "one", "left").join(model, "one", "left")
+    named = numbers.select("one", "total_ads", "active_ads", "sold_ads", "avg_price", "median_price", "avg_mileage", F.coalesce("make_name", F.lit("N/A")).alias("most_popular_make"), F.coalesce("model", F.lit("N/A")).alias("most_popular_model"))
+    whole = named.select("one", F.struct(*[c for c in named.columns if c != "one"]).alias("general"))
+
+    def listed(df: DataFrame, name: str, *order: Column) -> DataFrame:
+        """Up to a few rows as one array, in their order."""
+        keyed = df.select(F.struct(*order, F.struct(*df.columns).alias("row")).alias("r"))
+        return keyed.agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["row"]).alias(name)).select("*", on)
+
+    most = (-F.col("count")).alias("o")
+    for df in (listed(makes(ads, 5), "top_makes", most, F.col("make_name")), listed(regions(ads, 5), "top_regions", most, F.col("region")), listed(trends(ads, as_of, "daily", 7), "recent_trends", F.col("period"))):
+        whole = whole.join(df, "one")
+    g = lambda c: F.col(f"general.{c}").alias(c)
+    sources = F.size(F.array_distinct("top_makes.make_name")).cast("long").alias("data_sources")
+    return whole.withColumn("summary", F.struct(g("total_ads"), g("active_ads"), g("avg_price"), g("most_popular_make"), sources)).drop("one")
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, df in tables.items():

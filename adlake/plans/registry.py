@@ -16,11 +16,11 @@ from adlake.streaming import jobs
 AS_OF = "2001-08-01 00:00:00"
 SOLD_AT = "2024-01-31 00:00:00"
 SOME = L.AdFilters(make="brand#1", price_from=5000, price_to=100000, sold=False)
-CARD = ["id_ad", "make_name", "model_name", "year", "title", "city", "region", "price", "created_at", "sold_at", "source_name"]
 
 
-def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.listings(spark, sf_dir)
+def ads(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The listings; with columns, only these are built."""
+    return T.listings(spark, sf_dir, list(columns) or None)
 
 
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,12 +38,13 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids seen in the stream's last 12 hours, by source; the empty make stands for all makes."""
     m = T.messages(spark, sf_dir)
     end = m.agg(F.max("scraped_at").alias("end"))
-    late = m.join(end, F.col("scraped_at") > F.col("end") - F.expr("INTERVAL 12 HOURS")).withColumn("make_str", F.lit(""))
-    return I.active_ids(late)
+    return I.snapshot_rows(m.join(end, F.col("scraped_at") > F.col("end") - F.expr("INTERVAL 12 HOURS")).withColumn("make_str", F.lit("")))
 
 
-def gone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.gone(state(spark, sf_dir), snapshot(spark, sf_dir))
+def closing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(state, snapshot, what the snapshot doesn't show), each built once; Spark reuses their exchanges."""
+    now, shown = state(spark, sf_dir), snapshot(spark, sf_dir)
+    return now, shown, S.gone(now, shown)
 
 
 def at() -> F.Column:
@@ -51,58 +52,82 @@ def at() -> F.Column:
 
 
 def ads_list_filtered(spark, d):
-    return L.page(ads(spark, d), SOME, sort_by="price", sort_order="asc").select(*CARD)
+    return T.response(L.page(ads(spark, d), SOME, sort_by="price", sort_order="asc"))
 
 
 def ads_page_2(spark, d):
-    return L.page(ads(spark, d), number=2).select(*CARD)
+    return T.response(L.page(ads(spark, d), number=2))
 
 
 def ads_page_meta(spark, d):
-    return L.page_meta(ads(spark, d), SOME)
+    return L.page_meta(ads(spark, d, "id_ad", "make_name", "price", "sold_at"), SOME)
 
 
 def ads_search(spark, d):
-    return L.search(ads(spark, d), "ring").select(*CARD)
+    return T.response(L.search(ads(spark, d), "ring"))
 
 
 def ad_history(spark, d):
-    return L.history_of(T.history(ads(spark, d)), "1")
+    return L.history_of(T.history(T.listings(spark, d, ["id_ad", "created_at", "sold_at", "price", "currency_code"], only="1")), "1")
 
 
 def ad_detail(spark, d):
-    one = L.detail(ads(spark, d), T.history(ads(spark, d)), "1")
-    return one.select("id_ad", "title", "city", F.col("price").alias("ad_price"), F.explode_outer("history").alias("h")).select("id_ad", "title", "city", "ad_price", "h.timestamp", "h.price", "h.currency_code", "h.status")
+    one = T.listings(spark, d, only="1")
+    found = L.detail(one, T.history(one.select("id_ad", "created_at", "sold_at", "price", "currency_code")), "1")
+    named = {c: T.RESPONSE_NAMES.get(c, c) for c in T.AD_COLUMNS}
+    rows = found.select(*[F.col(c).alias(n) for c, n in named.items()], F.explode_outer("history").alias("h"))
+    return rows.select(*named.values(), F.col("h.timestamp").alias("history_timestamp"), F.col("h.price").alias("history_price"), F.col("h.currency_code").alias("history_currencyCode"), F.col("h.status").alias("history_status"))
 
 
 def ads_with_dims(spark, d):
-    a = ads(spark, d)
+    a = ads(spark, d, "id_ad", "make_name", "model_name")
     return S.with_dims(a, S.dim_make(a, "id_ad"), S.dim_model(a, "id_ad")).select("id_ad", "make_slug", "make_dim", "model_slug", "model_dim")
 
 
-def flt(**kw):
-    return lambda spark, d: L.filtered(ads(spark, d), L.AdFilters(**kw)).select("id_ad", "make_name", "year", "price", "mileage", "source_name")
+SHORT = ["id_ad", "make_name", "year", "price", "mileage", "source_name"]
+
+
+def flt(*more: str, **kw):
+    return lambda spark, d: L.filtered(ads(spark, d, *SHORT, *more), L.AdFilters(**kw)).select(*SHORT)
 
 
 def makes_list(spark, d):
-    return L.makes_list(ads(spark, d))
+    return L.makes_list(ads(spark, d, "make_name"))
 
 
 def models_by_make(spark, d):
-    return L.models_of(ads(spark, d), "Brand#1")
+    return L.models_of(ads(spark, d, "make_name", "model_name"), "Brand#1")
+
+
+def stat(f, columns: str, *args, **kw):
+    return lambda spark, d: f(ads(spark, d, *columns.split()), *args, **kw)
 
 
-def stat(f, *args, **kw):
-    return lambda spark, d: f(ads(spark, d), *args, **kw)
+def dashboard_body(spark, d):
+    """The dashboard's nested row as (section, pos, field, number, text) rows."""
+    body = A.dashboard_body(ads(spark, d, "id_ad", "make_name", "model_name", "region", "price", "mileage", "created_at", "sold_at"), AS_OF).persist()
+    kinds = dict(body.dtypes)
+    out = None
+    for section in body.columns:
+        inner = body.schema[section].dataType
+        nested = kinds[section].startswith("array")
+        names = [(f.name, f.dataType.typeName()) for f in (inner.elementType if nested else inner)]
+        rows = body.select(F.posexplode(section).alias("pos", "x")) if nested else body.select(F.lit(0).alias("pos"), F.col(section).alias("x"))
+        number = lambda n, t: (F.col(f"x.{n}").cast("double") if t not in ("string", "timestamp_ntz") else F.lit(None).cast("double")).alias("number")
+        text = lambda n, t: (F.col(f"x.{n}").cast("string") if t in ("string", "timestamp_ntz") else F.lit(None).cast("string")).alias("text")
+        cells = F.explode(F.array(*[F.struct(F.lit(n).alias("field"), number(n, t), text(n, t)) for n, t in names])).alias("c")
+        part = rows.select(F.lit(section).alias("section"), F.col("pos").cast("long").alias("pos"), cells).select("section", "pos", "c.*")
+        out = part if out is None else out.union(part)
+    return out
 
 
 def table_counts(spark, d):
-    a, s = ads(spark, d), stream(spark, d)
-    return A.table_counts({"auto_ad": a, "auto_ad_history": S.price_history(s), "car_make": S.dim_make(a, "id_ad"), "car_model": S.dim_model(a, "id_ad")})
+    a, s = ads(spark, d, "id_ad", "make_name", "model_name"), stream(spark, d)
+    return A.table_counts({"auto_ad": ads(spark, d, "id_ad"), "auto_ad_history": S.price_history(s), "car_make": S.dim_make(a, "id_ad"), "car_model": S.dim_model(a, "id_ad")})
 
 
 def crawl_totals(spark, d) -> DataFrame:
-    return ads(spark, d).where("make_name IS NOT NULL").groupBy(F.lower("make_name").alias("make")).agg(F.count("*").alias("total"))
+    return ads(spark, d, "make_name").where("make_name IS NOT NULL").groupBy(F.lower("make_name").alias("make")).agg(F.count("*").alias("total"))
 
 
 def crawl_page_plan(spark, d):
@@ -153,7 +178,7 @@ def kafka_envelope(spark, d):
 
 
 def active_ids_snapshot(spark, d):
-    return I.active_ids(T.messages(spark, d)).select("source_name", "make_str", F.explode("ad_ids").alias("id_ad"))
+    return I.snapshot_rows(T.messages(spark, d))
 
 
 def price_history(spark, d):
@@ -165,25 +190,27 @@ def upsert_state(spark, d):
 
 
 def sold_ids(spark, d):
-    return gone(spark, d).select("source_name", "id_ad")
+    return closing(spark, d)[2].select("source_name", "id_ad")
 
 
 def sold_state(spark, d):
-    return S.mark_sold(state(spark, d), gone(spark, d), at()).select("id_ad", "source_name", "price", "sold_at")
+    now, _, gone = closing(spark, d)
+    return S.mark_sold(now, gone, at()).select("id_ad", "source_name", "price", "sold_at")
 
 
 def sold_history(spark, d):
-    return S.sold_history(state(spark, d), gone(spark, d), at())
+    now, _, gone = closing(spark, d)
+    return S.sold_history(now, gone, at())
 
 
 def sold_probe(spark, d):
-    marked = S.mark_sold(state(spark, d), gone(spark, d), at())
-    few = gone(spark, d).select("id_ad").orderBy("id_ad").limit(10)
-    return marked.join(few, "id_ad", "left_semi").select("id_ad", "sold_at", "source_name", "make_name")
+    now, _, gone = closing(spark, d)
+    few = gone.select("id_ad").orderBy("id_ad").limit(10)
+    return S.mark_sold(now, gone, at()).join(few, "id_ad", "left_semi").select("id_ad", "sold_at", "source_name", "make_name")
 
 
 def sold_reconcile(spark, d):
-    return S.reconciliation(state(spark, d), snapshot(spark, d), gone(spark, d)).select("source_name", "active", "in_db", "deactivated", "new")
+    return S.reconciliation(*closing(spark, d)).select("source_name", "active", "in_db", "deactivated", "new")
 
 
 def responses(spark, d) -> DataFrame:
@@ -198,7 +225,10 @@ def responses(spark, d) -> DataFrame:
     )
     edges = a.groupBy(F.floor(F.col("id_ad").cast("long") / I.PAGE).alias("page")).agg(F.collect_list(F.struct(node.alias("node"))).alias("edges"))
     body = F.to_json(F.struct(F.struct(F.struct(F.size("edges").alias("totalCount"), "edges").alias("advertSearch")).alias("data")))
-    return edges.select("page", F.when(F.col("page") % 10 == 9, "not json").otherwise(body).alias("body"))
+    good = edges.select("page", body.alias("body"))
+    # beside every tenth page a body that is no JSON, and beside every seventh one in which the source reports an error
+    bad = edges.select("page", F.explode(F.array(F.when(F.col("page") % 10 == 9, "not json"), F.when(F.col("page") % 7 == 3, '{"errors":[{"message":"Internal Error"}]}'))).alias("body"))
+    return good.union(bad.where("body IS NOT NULL"))
 
 
 def graphql_flatten(spark, d):
@@ -216,24 +246,29 @@ def params_map(spark, d):
 
 
 def make_catalogue(spark, d):
-    """A catalogue text made of the listings' makes, loaded against the makes known already."""
-    names = ads(spark, d).where("make_name IS NOT NULL").select(F.lower("make_name").alias("value")).distinct()
+    """A catalogue text of the listings' makes and cities, planned against the makes known already. Both are bounded name lists, and one text is what the source gives."""
+    a = ads(spark, d, "id_ad", "make_name", "city")
+    names = a.select(F.explode(F.array(F.lower("make_name"), F.lower("city"))).alias("value")).where("value IS NOT NULL").distinct()
     entry = F.struct(F.lit("filter_enum_make").alias("name"), "value", F.lit(None).cast("string").alias("canonical"))
     text = names.agg(F.concat(F.lit("// makes\n"), F.to_json(F.sort_array(F.collect_list(entry)))).alias("value"))
-    return I.catalogue(text)
+    known = S.dim_make(a, "id_ad").select(F.regexp_replace("slug", "[^\\w-]", "").alias("slug"))
+    return I.plan_catalogue(I.catalogue(text), known)
 
 
 QUERIES = {
     "active_ids_snapshot": active_ids_snapshot, "ad_detail": ad_detail, "ad_history": ad_history, "ads_list_filtered": ads_list_filtered, "ads_page_2": ads_page_2,
     "ads_page_meta": ads_page_meta, "ads_search": ads_search, "ads_with_dims": ads_with_dims, "crawl_page_plan": crawl_page_plan, "crawl_urls": crawl_urls,
-    "dashboard_summary": stat(A.dashboard), "digit_guard": digit_guard, "dim_make": stat(S.dim_make, "id_ad"), "dim_model": stat(S.dim_model, "id_ad"),
-    "filter_options": stat(L.options), "filter_ranges": stat(L.ranges), "flt_ilike": flt(make="brand#1", city="nation_1"), "flt_range": flt(year_from=1995, year_to=2010, price_from=0, mileage_to=100000),
-    "flt_sold": flt(sold=True), "flt_source": flt(source_name="src1"), "graphql_flatten": graphql_flatten, "ingest_metrics": ingest_metrics, "kafka_envelope": kafka_envelope,
-    "make_catalogue": make_catalogue, "make_loader": stat(L.make_loader), "make_stats": stat(A.makes), "makes_list": makes_list, "message_project": message_project,
-    "message_route": message_route, "message_validation": message_validation, "model_stats": stat(A.models), "models_by_make": models_by_make, "params_map": params_map,
-    "popular_make": stat(A.popular_make), "popular_model": stat(A.popular_model), "price_distribution": stat(A.price_distribution), "price_history": price_history,
-    "region_stats": stat(A.regions), "sold_history": sold_history, "sold_ids": sold_ids, "sold_probe": sold_probe, "sold_reconcile": sold_reconcile, "sold_state": sold_state,
-    "stats_general": stat(A.general), "stream_sold": jobs.stream_sold, "stream_upsert": jobs.stream_upsert, "table_counts": table_counts,
-    "trends_daily": stat(A.trends, AS_OF, "daily", 30), "trends_monthly": stat(A.trends, AS_OF, "monthly", 365), "trends_weekly": stat(A.trends, AS_OF, "weekly", 180),
-    "upsert_state": upsert_state, "year_distribution": stat(A.year_distribution),
+    "dashboard_body": dashboard_body, "dashboard_summary": stat(A.dashboard, "id_ad make_name price mileage sold_at"), "digit_guard": digit_guard,
+    "dim_make": stat(S.dim_make, "id_ad make_name", "id_ad"), "dim_model": stat(S.dim_model, "id_ad make_name model_name", "id_ad"),
+    "filter_options": stat(L.options, "fuel_type gearbox city region source_name"), "filter_ranges": stat(L.ranges, "price year"), "flt_ilike": flt("city", make="brand#1", city="nation_1"),
+    "flt_range": flt(year_from=1995, year_to=2010, price_from=0, mileage_to=100000), "flt_sold": flt("sold_at", sold=True), "flt_source": flt(source_name="src1"),
+    "graphql_flatten": graphql_flatten, "ingest_metrics": ingest_metrics, "kafka_envelope": kafka_envelope, "make_catalogue": make_catalogue,
+    "make_loader": stat(L.make_loader, "make_name"), "make_stats": stat(A.makes, "make_name price"), "makes_list": makes_list, "message_project": message_project,
+    "message_route": message_route, "message_validation": message_validation, "model_stats": stat(A.models, "make_name model_name price"), "models_by_make": models_by_make, "params_map": params_map,
+    "popular_make": stat(A.popular_make, "make_name"), "popular_model": stat(A.popular_model, "make_name model_name"), "price_distribution": stat(A.price_distribution, "price"),
+    "price_history": price_history, "region_stats": stat(A.regions, "region price"), "sold_history": sold_history, "sold_ids": sold_ids, "sold_probe": sold_probe,
+    "sold_reconcile": sold_reconcile, "sold_state": sold_state, "stats_general": stat(A.general, "id_ad sold_at price mileage"), "stream_sold": jobs.stream_sold,
+    "stream_upsert": jobs.stream_upsert, "table_counts": table_counts, "trends_daily": stat(A.trends, "created_at price", AS_OF, "daily", 30),
+    "trends_monthly": stat(A.trends, "created_at price", AS_OF, "monthly", 365), "trends_weekly": stat(A.trends, "created_at price", AS_OF, "weekly", 180),
+    "upsert_state": upsert_state, "year_distribution": stat(A.year_distribution, "year"),
 }

@@ -6,50 +6,76 @@ spark.dataSource.register(PagedResponses); spark.read.format("paged").options(..
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from adlake.operators.ingest import page_plan
+
 #: Tries of a page, seconds between them, refusals in a row before the long pause, and that pause.
 TRIES, PAUSE, REFUSALS, LONG_PAUSE = 3, 5.0, 3, 300.0
 
 
+_refused = 0  # refusals in a row of this worker, whatever the page
+
+
 @dataclass
 class Page(InputPartition):
     make: str
     page: int
 
 
+def _reported(body: str) -> bool:
+    """The source answers 200 but reports an internal error, which another try may mend."""
+    try:
+        errors = json.loads(body).get("errors") or []
+        return any("Internal Error" in str(e.get("message")) for e in errors)
+    except (ValueError, AttributeError):
+        return False
+
+
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.template = options["url_template"]
         self.pause, self.long_pause = float(options.get("pause", PAUSE)), float(options.get("long_pause", LONG_PAUSE))
-        # "make:pages" pairs, as the page plan gives them
-        self.plan = [(m, int(n)) for m, n in (x.rsplit(":", 1) for x in options["plan"].split(",") if x)]
+        # "make:first-last" (or "make:pages") items, as the page plan gives them
+        self.plan = []
+        for make, pages in (x.rsplit(":", 1) for x in options["plan"].split(",") if x):
+            first, _, last = pages.rpartition("-")
+            self.plan.append((make, int(first or 1), int(last)))
 
     def partitions(self) -> list[Page]:
-        return [Page(m, p) for m, n in self.plan for p in range(1, n + 1)]
+        return [Page(m, p) for m, first, last in self.plan for p in range(first, last + 1)]
 
     def read(self, partition: Page) -> Iterator[tuple]:
         import urllib.error
         import urllib.request
 
-        url, refused = self.template.format(make=partition.make, page=partition.page), 0
+        global _refused
+        url, body, error = self.template.format(make=partition.make, page=partition.page), None, None
         for attempt in range(TRIES):
             try:
                 with urllib.request.urlopen(url, timeout=30) as r:
-                    yield partition.make, partition.page, r.read().decode("utf-8", "replace"), None
-                return
+                    body, error = r.read().decode("utf-8", "replace"), None
+                _refused = 0
+                if not _reported(body):
+                    break
             except urllib.error.HTTPError as e:
-                refused = refused + 1 if e.code == 403 else 0
-                error = f"HTTP {e.code}"
+                _refused = _refused + 1 if e.code == 403 else 0
+                body, error = None, f"HTTP {e.code}"
             except OSError as e:
-                error = str(e)[:200]
-            if attempt < TRIES - 1:
-                time.sleep(self.long_pause if refused >= REFUSALS else self.pause)
-        yield partition.make, partition.page, None, error
+                body, error = None, str(e)[:200]
+            if _refused >= REFUSALS:  # the circuit breaker holds for the pages to come, too
+                _refused = 0
+                time.sleep(self.long_pause)
+            elif attempt < TRIES - 1:
+                time.sleep(self.pause)
+        yield partition.make, partition.page, body, error
 
 
 class PagedResponses(DataSource):
@@ -62,3 +88,13 @@ class PagedResponses(DataSource):
 
     def reader(self, schema) -> PagedReader:
         return PagedReader(self.options)
+
+
+def crawl(spark: SparkSession, makes: list[str], url_template: str, **options: str) -> DataFrame:
+    """All pages of the makes: the first pages tell how many there are, then the others are read. The driver gets one total a make."""
+    spark.dataSource.register(PagedResponses)
+    load = lambda plan: spark.read.format("paged").options(url_template=url_template, plan=plan, **options).load()
+    first = load(",".join(f"{m}:1" for m in makes)).persist()
+    total = F.get_json_object("body", "$.data.advertSearch.totalCount").try_cast("int")
+    last = {r.make: r.last for r in page_plan(first.select("make", total.alias("total"))).groupBy("make").agg(F.max("page").alias("last")).collect()}
+    return first.union(load(",".join(f"{m}:2-{n}" for m, n in sorted(last.items()) if n > 1)))

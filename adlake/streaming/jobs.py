@@ -1,7 +1,15 @@
 """Structured Streaming: the message stream into versioned listing state and history, and snapshots that close listings.
 
-State is a chain of Parquet versions (v=<batch>): a micro-batch reads the version before it and writes its own, overwriting what a
-failed try left, so a replay gives the same files; history rows lie in a folder of their batch. One query owns the table.
+State is a chain of Parquet versions. A version's folder is named by its number, the query and the query's batch that made it
+(v=00000007.upserts.3); Spark's _SUCCESS file, written last, commits it together with the history rows of the same name. What is
+committed is read from storage, never from memory, so
+
+* a replayed batch finds its own version and does nothing;
+* a batch that was killed before its commit starts again from the newest committed version, and overwrites what it left;
+* a new process on an old path goes on where the last one ended;
+* several queries may share a table in turns. A version is claimed by creating a file, which storage allows once: of two queries that write
+  at the same time the later one fails, and Spark retries its batch from its checkpoint. A claim of a query that died is its own
+  to take up again; `release` gives it up for a query that never comes back.
 """
 
 from __future__ import annotations
@@ -19,6 +27,8 @@ from adlake.sources import tables as T
 def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 
         d = tempfile.mkdtemp(prefix="adlake-stream-")
@@ -26,72 +36,146 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class StateTable:
-    """Versions of the listing state with their history, under one path."""
+    """Versions of the listing state with their history, under one path. The `keep` newest states stay (for readers under way), and all history."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.version = spark, path, -1
+    def __init__(self, spark: SparkSession, path: str, keep: int = 3):
+        self.spark, self.path, self.keep = spark, path, keep
+        jvm = spark._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def current(self) -> DataFrame | None:
-        return self.spark.read.parquet(f"{self.path}/state/v={self.version}") if self.version >= 0 else None
+    def versions(self) -> list[tuple[int, str, int]]:
+        """(number, query, batch) of what is committed, oldest first; of states since removed, too."""
+        found = self._fs.globStatus(self._path(f"{self.path}/committed/v=*"))
+        names = [f.getPath().getName()[2:] for f in found] if found else []
+        names += [f.getPath().getParent().getName()[2:] for f in self._fs.globStatus(self._path(f"{self.path}/state/v=*/_SUCCESS")) or []]
+        return sorted({(int(n), q, int(b)) for n, q, b in (x.split(".") for x in names)})
 
-    def publish(self, batch: int, state: DataFrame, history: DataFrame) -> None:
-        history.write.mode("overwrite").parquet(f"{self.path}/history/v={batch}")
-        state.write.mode("overwrite").parquet(f"{self.path}/state/v={batch}")
-        self.version = batch
+    def current(self) -> DataFrame | None:
+        done = self.versions()
+        return self.spark.read.parquet(f"{self.path}/state/v={self._name(*done[-1])}") if done else None
 
     def history(self) -> DataFrame:
-        return self.spark.read.option("basePath", f"{self.path}/history").parquet(f"{self.path}/history").drop("v")
-
-
-def apply_messages(table: StateTable, messages: DataFrame, batch: int) -> None:
-    before = table.current()
-    stored = before.select("id_ad", "price") if before is not None else None
-    log = S.price_history(messages, stored).select(F.col("id_ad").alias("auto_ad_id"), F.col("created_at").alias("timestamp"), "price", "currency_code", "status")
-    after = S.upsert(messages.drop("price_set"), before)
-    if before is None:
-        after = after.withColumn("sold_at", F.lit(None).cast("timestamp_ntz"))
-    table.publish(batch, after, log)
-
-
-def apply_snapshot(table: StateTable, snapshot: DataFrame, batch: int, at: str) -> None:
+        paths = [f"{self.path}/history/v={self._name(*v)}" for v in self.versions()]
+        return self.spark.read.parquet(*paths)
+
+    @staticmethod
+    def _name(number: int, query: str, batch: int) -> str:
+        return f"{number:08d}.{query}.{batch}"
+
+    def _claim(self, number: int, query: str) -> None:
+        """Creates the version's claim, which only one query can."""
+        claim = self._path(f"{self.path}/claims/{number:08d}")
+        try:
+            out = self._fs.create(claim, False)
+            out.write(query.encode())
+            out.close()
+        except Exception:
+            if not self._fs.exists(claim):
+                raise
+            stream = self._fs.open(claim)
+            owner = bytes(stream.readAllBytes()).decode()
+            stream.close()
+            if owner != query:
+                raise RuntimeError(f"version {number} is being written by {owner}") from None
+
+    def release(self, number: int) -> None:
+        self._fs.delete(self._path(f"{self.path}/claims/{number:08d}"), False)
+
+    def publish(self, query: str, batch: int, make) -> bool:
+        """Commits make(current state) = (state, history) as a new version, once for each batch of a query; False if that was done before."""
+        done = self.versions()
+        if any((q, b) == (query, batch) for _, q, b in done):
+            return False
+        number = done[-1][0] + 1 if done else 0
+        self._claim(number, query)
+        made = make(self.current())
+        if made is None:
+            self.release(number)
+            return False
+        state, history = made
+        name = self._name(number, query, batch)
+        history.write.mode("overwrite").parquet(f"{self.path}/history/v={name}")
+        state.write.mode("overwrite").parquet(f"{self.path}/state/v={name}")
+        self._expire()
+        return True
+
+    def _expire(self) -> None:
+        """States that no reader needs any more go; an empty file keeps their commit."""
+        for v in self.versions()[: -self.keep]:
+            old = self._path(f"{self.path}/state/v={self._name(*v)}")
+            if self._fs.exists(old):
+                self._fs.create(self._path(f"{self.path}/committed/v={self._name(*v)}"), True).close()
+                self._fs.delete(old, True)
+
+
+def apply_messages(table: StateTable, messages: DataFrame, batch: int, query: str = "upserts") -> bool:
+    """One micro-batch of messages under table column names. With `keys` (ingest.from_json_messages) only held fields are written; else all are."""
+    held = I.presence([c for c in messages.columns if c in S.UPDATED]) if "keys" in messages.columns else None
+    said = messages.withColumn("price_set", held["price"] if held else F.lit(True))
+
+    def make(before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        stored = before.select("id_ad", "price") if before is not None else None
+        log = S.price_history(said, stored).select(F.col("id_ad").alias("auto_ad_id"), F.col("created_at").alias("timestamp"), "price", "currency_code", "status")
+        after = S.upsert(messages, before, held)
+        return (after if before is not None else after.withColumn("sold_at", F.lit(None).cast("timestamp_ntz"))), log
+
+    return table.publish(query, batch, make)
+
+
+def apply_snapshot(table: StateTable, snapshot: DataFrame, batch: int, at: str, query: str = "sold") -> bool:
     """Closes what the snapshots of a batch don't show; snapshots without a make are rejected by validation before."""
-    before = table.current()
-    if before is None:
-        return
     when = F.lit(at).cast("timestamp_ntz")
-    valid = I.validate(snapshot, I.REQUIRED_SNAPSHOT).where("valid")
-    sold = S.gone(before, valid)
-    table.publish(batch, S.mark_sold(before, sold, when), S.sold_history(before, sold, when))
+    valid = I.exploded_ids(I.validate(snapshot, I.REQUIRED_SNAPSHOT).where("valid"))
+
+    def make(before: DataFrame | None) -> tuple[DataFrame, DataFrame] | None:
+        if before is None:
+            return None
+        sold = S.gone(before, valid)
+        return S.mark_sold(before, sold, when), S.sold_history(before, sold, when)
+
+    return table.publish(query, batch, make)
 
 
 def from_events(df: DataFrame) -> DataFrame:
     e = F.col("event_id")
     return df.select(
         e.alias("offset"), F.col("user_id").cast("string").alias("id_ad"), F.concat(F.lit("src"), (F.col("user_id") % 3).cast("string")).alias("source_name"), F.col("event_type").alias("make_name"),
-        F.when(e % 29 != 0, F.floor(F.col("value") / 10).cast("int")).alias("price"), F.lit("PLN").alias("currency_code"), F.col("ts").cast("timestamp_ntz").alias("created_at"), F.lit(True).alias("price_set"),
+        F.when(e % 29 != 0, F.floor(F.col("value") / 10).cast("int")).alias("price"), F.lit("PLN").alias("currency_code"), F.col("ts").cast("timestamp_ntz").alias("created_at"),
     )
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str, schema: str) -> DataFrame:
-    """The message bus as a stream (needs Spark's Kafka connector): JSON values, read from the earliest offset."""
+def kafka_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+    """The message bus as a stream (needs Spark's Kafka connector) of raw values, read from the earliest offset."""
     raw = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").load()
-    return raw.select("offset", F.from_json(F.col("value").cast("string"), schema).alias("m")).select("offset", "m.*")
+    return raw.select("offset", F.col("value").cast("string").alias("value"))
 
 
-def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str):
-    return df.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).option("checkpointLocation", checkpoint).start()
+def ad_messages(raw: DataFrame) -> DataFrame:
+    """Raw ad values (offset, value) -> valid messages under table column names, with the keys they hold."""
+    parsed = I.from_json_messages(raw).drop("value")
+    valid = I.validate(parsed, I.REQUIRED_AD).where("valid").drop("valid", "reason")
+    return I.project(valid).withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+def snapshot_messages(raw: DataFrame) -> DataFrame:
+    """Raw snapshot values (offset, value) -> snapshots, as apply_snapshot takes them."""
+    return raw.select("offset", F.from_json("value", T.SNAPSHOT_MESSAGE).alias("m")).select("offset", "m.*")
+
+
+def kafka_sink(items: DataFrame, key: str, fallback: str | None, servers: str, topic: str, checkpoint: str):
+    """Items as enveloped messages: their key, and the item as JSON."""
+    out = I.envelope(items, key, fallback).writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+    return out.option("checkpointLocation", checkpoint).start()
 
 
 def run_upserts(spark: SparkSession, events_path: str, base: str) -> StateTable:
     """The whole folder or file of events as a stream, to its end."""
-    table = StateTable(spark, base)
+    table = StateTable(spark, f"{base}/table")
     schema = spark.read.parquet(events_path).schema
     folder, name = events_path.rsplit("/", 1)
     source = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
-
-    def step(df: DataFrame, batch: int) -> None:
-        apply_messages(table, df, batch)
-
+    step = lambda df, batch: apply_messages(table, df, batch) and None
     query = from_events(source).writeStream.foreachBatch(step).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return table
@@ -109,13 +193,9 @@ def stream_sold(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = T.messages(spark, sf_dir)
     end = m.agg(F.max("scraped_at").alias("end"))
     late = m.join(end, F.col("scraped_at") > F.col("end") - F.expr("INTERVAL 12 HOURS")).withColumn("make_str", F.lit(""))
-    I.active_ids(late).write.parquet(f"{base}/snapshots")
-    source = spark.readStream.schema(T.SNAPSHOT_MESSAGE.replace("ad_ids array<string>, make_str string", "make_str string, ad_ids array<string>")).parquet(f"{base}/snapshots")
-    first = table.version + 1
-
-    def step(df: DataFrame, batch: int) -> None:
-        apply_snapshot(table, df, first + batch, "2024-01-31 00:00:00")
-
+    I.active_ids(I.snapshot_rows(late)).write.parquet(f"{base}/snapshots")
+    source = spark.readStream.schema("source_name string, make_str string, ad_ids array<string>").parquet(f"{base}/snapshots")
+    step = lambda df, batch: apply_snapshot(table, df, batch, "2024-01-31 00:00:00") and None
     query = source.writeStream.foreachBatch(step).option("checkpointLocation", f"{base}/checkpoint-sold").trigger(availableNow=True).start()
     query.awaitTermination()
     return table.current().select("id_ad", "source_name", "price", "sold_at")

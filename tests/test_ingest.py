@@ -7,13 +7,15 @@ from adlake.functions import columns as C
 from adlake.operators import filters as L
 from adlake.operators import ingest as I
 from adlake.operators import state as S
+from adlake.operators import stats as A
 from adlake.sources.cached import CachedFrame
-from adlake.sources.paged import PagedResponses
+from adlake.sources import paged
+from adlake.sources.paged import PagedResponses, crawl
 
 
 def node(i, make, model, **kw):
     params = [("make", make), ("model", model)] + [(k, v) for k, v in kw.items()]
-    return {"node": {"id": i, "url": f"https://ad.invalid/{i}", "title": f"{make} {model}", "price": {"amount": {"units": "75000", "currencyCode": "PLN"}}, "parameters": [{"key": k, "value": v} for k, v in params], "location": {"city": {"name": "Warszawa"}, "region": None}, "mainPhoto": None}}
+    return {"node": {"id": i, "url": f"https://ad.invalid/{i}", "title": f"{make} {model}", "price": {"amount": {"units": "4150", "currencyCode": "CZK"}}, "parameters": [{"key": k, "value": v} for k, v in params], "location": {"city": {"name": "Brno"}, "region": None}, "mainPhoto": None}}
 
 
 def body(*edges, total=None):
@@ -21,17 +23,17 @@ def body(*edges, total=None):
 
 
 def test_flatten_golden(spark):
-    one = node("12345", "audi", "a4", year="2020", mileage="25 000", engine_capacity="2000", engine_power="150\n", make2="x")
-    one["node"]["parameters"] += [{"key": "make", "value": "AUDI"}, {"key": "", "value": "x"}, {"key": "fuel_type", "value": None}]
-    one["node"]["mainPhoto"] = {"url": "https://p.invalid/1.jpg"}
-    bodies = [body(one, {"node": None}), body(total=0), "invalid json content", json.dumps({"errors": [{"message": "Internal Error"}]}), body(node("67890", "bmw", "3 series", year="2019"))]
+    one = node("k-7", "tatra", "613", year="1988", mileage="1 200", engine_capacity="3495", engine_power="168\n", make2="x")
+    one["node"]["parameters"] += [{"key": "make", "value": "TATRA"}, {"key": "", "value": "x"}, {"key": "fuel_type", "value": None}]
+    one["node"]["mainPhoto"] = {"url": "https://p.invalid/7.png"}
+    bodies = [body(one, {"node": None}), body(total=0), "<html>", json.dumps({"errors": [{"message": "Internal Error"}]}), body(node("k-8", "aero", "30", year="1936"))]
     parsed = I.parse(spark.createDataFrame([(b,) for b in bodies], "body string"))
     assert [r.outcome for r in parsed.collect()] == ["ok", "ok", "error", "retry", "ok"]
     rows = {r.source_ad_id: r for r in I.flatten(parsed).collect()}
-    a = rows["12345"]
-    assert set(rows) == {"12345", "67890"}
-    assert (a.make_str, a.year, a.mileage, a.engine_capacity_cm3, a.engine_power_hp, a.fuel_type_str) == ("AUDI", 2020, None, 2000, None, None)
-    assert (a.price, a.currency, a.city_str, a.region_str, a.image_urls, rows["67890"].image_urls) == ("75000", "PLN", "Warszawa", None, ["https://p.invalid/1.jpg"], [])
+    a = rows["k-7"]
+    assert set(rows) == {"k-7", "k-8"}
+    assert (a.make_str, a.year, a.mileage, a.engine_capacity_cm3, a.engine_power_hp, a.fuel_type_str) == ("TATRA", 1988, None, 3495, None, None)
+    assert (a.price, a.currency, a.city_str, a.region_str, a.image_urls, rows["k-8"].image_urls) == ("4150", "CZK", "Brno", None, ["https://p.invalid/7.png"], [])
     assert tuple(I.run_metrics(parsed).first()) == (5, 1, 1, 2)
 
 
@@ -104,7 +106,7 @@ def test_batches_equal_one_by_one(spark):
 def test_snapshot_cases(spark):
     ads = spark.createDataFrame([("1", "s", "rover", 5), ("2", "s", "land-rover", 6), ("3", "t", "rover", 7), ("4", "s", "bmw", 8)], "id_ad string, source_name string, make_name string, price int")
     ads = ads.withColumn("currency_code", F.lit("PLN")).withColumn("sold_at", F.when(F.col("id_ad") == "0", F.lit("2020-01-01")).cast("timestamp_ntz"))
-    snap = lambda ids, make="rover": spark.createDataFrame([("s", ids, make)], "source_name string, ad_ids array<string>, make_str string")
+    snap = lambda ids, make="rover": I.exploded_ids(spark.createDataFrame([("s", ids, make)], "source_name string, ad_ids array<string>, make_str string"))
     gone = lambda *a, **kw: sorted(r.id_ad for r in S.gone(ads, *a, **kw).collect())
     assert gone(snap(["1", "2"])) == [] and gone(snap(["1"])) == ["2"] and gone(snap([])) == ["1", "2"]
     assert gone(snap(["9"]), exact_make=True) == ["1"] and gone(snap([]), min_active=1) == []
@@ -138,12 +140,52 @@ def test_dimension_ids_grow(spark):
 
 def test_paged_source(spark, tmp_path):
     for p in (1, 2):
-        (tmp_path / f"audi-{p}.json").write_text(body(node(str(p), "audi", "a4")))
+        (tmp_path / f"tatra-{p}.json").write_text(body(node(str(p), "tatra", "613"), total=120))
+    (tmp_path / "aero-1.json").write_text(body(total=0))
     spark.dataSource.register(PagedResponses)
-    df = spark.read.format("paged").options(url_template=f"file://{tmp_path}/{{make}}-{{page}}.json", plan="audi:3", pause="0").load()
+    template = f"file://{tmp_path}/{{make}}-{{page}}.json"
+    df = spark.read.format("paged").options(url_template=template, plan="tatra:3", pause="0").load()
     rows = {r.page: r for r in df.collect()}
     assert rows[1].error is None and rows[3].body is None and rows[3].error
     assert I.flatten(I.parse(df)).count() == 2
+    # the first pages' totals say that there are three of one make, none of the other
+    got = sorted((r.make, r.page, r.body is not None) for r in crawl(spark, ["tatra", "aero"], template, pause="0").collect())
+    assert got == [("aero", 1, True), ("tatra", 1, True), ("tatra", 2, True), ("tatra", 3, False)]
+
+
+def test_retries_and_circuit_breaker(monkeypatch):
+    import io
+    import urllib.error
+    import urllib.request
+
+    naps, answers = [], []
+
+    def answer(url, timeout):
+        x = answers.pop(0)
+        if isinstance(x, int):
+            raise urllib.error.HTTPError(url, x, "", None, None)
+        return io.BytesIO(x.encode())
+
+    monkeypatch.setattr(urllib.request, "urlopen", answer)
+    monkeypatch.setattr(paged.time, "sleep", naps.append)
+    monkeypatch.setattr(paged, "_refused", 0)
+    reader = paged.PagedReader({"url_template": "http://s.invalid/{make}/{page}", "plan": "a:1-2", "pause": "1", "long_pause": "60"})
+    broken = json.dumps({"errors": [{"message": "Internal Error"}]})
+    answers += [broken, body()]
+    assert list(reader.read(paged.Page("a", 1)))[0][2:] == (body(), None) and naps == [1.0]
+    answers += [broken] * 3  # it stays: the body goes on, to be counted as a retry
+    assert list(reader.read(paged.Page("a", 1)))[0][2] == broken
+    naps.clear()
+    answers += [500, 403, 403, 403, body()]
+    assert list(reader.read(paged.Page("a", 1)))[0][3] == "HTTP 403" and naps == [1.0, 1.0]
+    # the third refusal in a row comes with the next page: the long pause, then it goes on
+    assert list(reader.read(paged.Page("a", 2)))[0][2] == body() and naps == [1.0, 1.0, 60.0]
+
+
+def test_dashboard_of_nothing(spark):
+    ads = spark.createDataFrame([], "id_ad string, make_name string, model_name string, region string, price int, mileage int, created_at timestamp_ntz, sold_at timestamp_ntz")
+    row = A.dashboard_body(ads, "2024-01-01 00:00:00").first()
+    assert row.general.most_popular_make == row.general.most_popular_model == "N/A" and row.top_makes == row.recent_trends == [] and row.summary.data_sources == 0
 
 
 def test_cache_is_kept_and_refreshed(spark):

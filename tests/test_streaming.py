@@ -1,5 +1,8 @@
-"""The streams end in what the batch forms give, and a replayed batch changes nothing."""
+"""The streams end in what the batch forms give; a replayed, killed or restarted batch changes nothing."""
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from adlake.operators import state as S
@@ -13,20 +16,97 @@ def same(a, b):
     return sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
+@pytest.fixture(scope="module")
+def events(spark):
+    return jobs.from_events(spark.read.parquet(f"{SF}/events.parquet"))
+
+
+def part(events, batch):
+    return events.where((F.col("offset") >= batch * 400) & (F.col("offset") < (batch + 1) * 400 if batch < 2 else F.lit(True)))
+
+
+def whole(table, events):
+    assert same(table.current().select("id_ad", "make_name", "price", "source_name"), S.upsert(events).select("id_ad", "make_name", "price", "source_name"))
+    log = S.price_history(events.withColumn("price_set", F.lit(True))).select(F.col("id_ad").alias("auto_ad_id"), "price", "status")
+    assert same(table.history().select("auto_ad_id", "price", "status"), log)
+
+
 def test_stream_equals_batch(spark):
     assert same(jobs.stream_upsert(spark, SF), registry.upsert_state(spark, SF))
     assert same(jobs.stream_sold(spark, SF), registry.sold_state(spark, SF))
 
 
-def test_micro_batches_and_replay(spark, tmp_path):
-    events = jobs.from_events(spark.read.parquet(f"{SF}/events.parquet"))
+def test_replay_changes_nothing(spark, tmp_path, events):
     table = jobs.StateTable(spark, str(tmp_path))
-    for batch in (0, 1, 2):
-        part = events.where((F.col("offset") >= batch * 400) & (F.col("offset") < (batch + 1) * 400 if batch < 2 else F.lit(True)))
-        jobs.apply_messages(table, part, batch)
-        if batch == 1:  # the batch is replayed from the version before it
-            table.version = 0
-            jobs.apply_messages(table, part, 1)
-    assert same(table.current().select("id_ad", "make_name", "price", "source_name"), S.upsert(events.drop("price_set")).select("id_ad", "make_name", "price", "source_name"))
-    log = S.price_history(events).select(F.col("id_ad").alias("auto_ad_id"), "price", "status")
-    assert same(table.history().select("auto_ad_id", "price", "status"), log)
+    got = [jobs.apply_messages(table, part(events, batch), batch) for batch in (0, 1, 1, 2, 2, 0)]
+    assert got == [True, True, False, True, False, False]
+    assert [b for _, _, b in table.versions()] == [0, 1, 2]
+    whole(table, events)
+
+
+def test_new_process_goes_on_where_the_last_ended(spark, tmp_path, events):
+    for batch in (0, 1, 2):  # each batch by a table of its own, as after a restart
+        assert jobs.apply_messages(jobs.StateTable(spark, str(tmp_path), keep=1), part(events, batch), batch)
+    whole(jobs.StateTable(spark, str(tmp_path)), events)
+    assert len(list((tmp_path / "state").glob("v=*"))) == 1  # older states are gone, their history is not
+
+
+def test_killed_batch_starts_again(spark, tmp_path, events):
+    table = jobs.StateTable(spark, str(tmp_path))
+    jobs.apply_messages(table, part(events, 0), 0)
+
+    def dies(before):
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        table.publish("upserts", 1, dies)
+    # history is written, the state isn't: not committed
+    (tmp_path / "history" / "v=00000001.upserts.1").mkdir()
+    (tmp_path / "history" / "v=00000001.upserts.1" / "part-junk.parquet").write_text("junk")
+    again = jobs.StateTable(spark, str(tmp_path))
+    assert len(again.versions()) == 1
+    jobs.apply_messages(again, part(events, 1), 1)
+    jobs.apply_messages(again, part(events, 2), 2)
+    whole(again, events)
+
+
+def test_two_writers_are_refused(spark, tmp_path, events):
+    table = jobs.StateTable(spark, str(tmp_path))
+    jobs.apply_messages(table, part(events, 0), 0)
+    snapshot = spark.createDataFrame([("src0", ["1"], "")], "source_name string, ad_ids array<string>, make_str string")
+
+    def slow(before):
+        with pytest.raises(RuntimeError):  # the other query comes while this one writes
+            jobs.apply_snapshot(table, snapshot, 0, "2024-01-31 00:00:00")
+        return before, table.history()
+
+    table.publish("upserts", 1, slow)
+    assert jobs.apply_snapshot(table, snapshot, 0, "2024-01-31 00:00:00")  # its retry
+    assert [(q, b) for _, q, b in table.versions()] == [("upserts", 0), ("upserts", 1), ("sold", 0)]
+    assert not jobs.apply_snapshot(table, snapshot, 0, "2030-01-01 00:00:00")
+    assert table.current().where("sold_at > '2025-01-01'").count() == 0
+
+
+def test_only_held_fields_are_written(spark, tmp_path):
+    base = {"source_ad_id": "1", "url": "u", "source_name": "s", "country_code": "PL", "scraped_at": "2024-01-01T00:00:00Z"}
+    texts = [
+        base | {"price": 100, "make_str": "audi", "city_str": "Gdynia"},
+        base | {"price": None, "make_name": "seat"},  # a held null, and the table's own spelling
+        base | {"year": 2020},  # no price: it stays, and no change is logged
+        {k: v for k, v in base.items() if k != "url"} | {"price": 1},  # not valid
+    ]
+    table = jobs.StateTable(spark, str(tmp_path))
+    for k, t in enumerate(texts):
+        jobs.apply_messages(table, jobs.ad_messages(spark.createDataFrame([(k, json.dumps(t))], "offset long, value string")), k)
+    row = table.current().first()
+    assert (row.price, row.make_name, row.city, row.year) == (None, "seat", "Gdynia", 2020)
+    assert sorted((r.status, r.price) for r in table.history().collect()) == [("active", 100), ("price_changed", None)]
+    both = jobs.ad_messages(spark.createDataFrame([(k, json.dumps(t)) for k, t in enumerate(texts)], "offset long, value string"))
+    one = jobs.StateTable(spark, str(tmp_path / "one"))
+    jobs.apply_messages(one, both, 0)
+    assert same(one.current().drop("created_at"), table.current().drop("created_at"))
+
+
+def test_snapshot_messages(spark):
+    raw = spark.createDataFrame([(0, '{"source_name":"s","ad_ids":["1","1"],"make_str":"m"}')], "offset long, value string")
+    assert tuple(jobs.snapshot_messages(raw).first())[1:] == ("s", ["1", "1"], "m")
