@@ -1,16 +1,21 @@
-"""Operator 5: toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
+"""Operator 5: toxicity by a subsequence string-kernel support vector machine with Nyström landmarks, trained on labelled sentences.
 
 The kernel counts the letter triples two strings share as subsequences, each triple weighted by `decay` for every letter it
-skips (spans up to `SPAN`), so a gapped or padded insult keeps most of its likeness. Instances are windows of up to `WINDOW`
-letters of a token; letters are folded (case, accents, common look-alikes), other characters inside a token are dropped, and
-single letters spaced out join up. Training sentences (of a bounded sample of labelled documents) are bags: words are tallied by the
-labels of the sentences' documents, those that stand out (log-likelihood ratio) are the positive instances, words of clean
-sentences the negative ones, the hardest of them first. Landmarks are positive words that differ, and frequent clean ones; the machine is
-linear in the Nyström features K_mm^-1/2 k(x). As the kernel is an inner product over triples, the fitted machine folds into one table of
-26^3 weights, and each window of a whole text is scored exactly by array look-ups. A document's score is its worst window's
-margin, made a probability by a logistic curve whose middle is fitted on the sample.
-
-Cases: null, empty and letterless texts have no window and get the curve's lowest score; contradicting labels for a doc_id count as
+skips (spans up to `SPAN`), so a gapped or padded insult keeps most of its likeness. Its strings are windows of up to `WINDOW`
+letters of a token, with the token's ends as letters of their own; each is scaled by the norm of a string of its length. Letters of the Latin
+script are folded (case, accents, common look-alikes), letters of all others are hashed into the same alphabet of 31; other characters inside
+a token are dropped, and single letters spaced out join up.
+
+A sentence's image is the sum of its windows', over the root of their number. Sentences of a bounded sample of labelled documents take their
+document's label; as not every sentence of a toxic document is toxic, the machine is fitted again with those of its sentences only
+that pass nearly all clean ones, or are the document's worst. Landmarks are words that tell the labels apart (log-likelihood ratio) and
+differ, and frequent ones; the machine is linear in the Nyström features K_mm^-1/2 k(x). As the kernel is an inner product over
+triples, the fitted machine folds into one table of 32^3 weights, and each window of a whole text is scored exactly by array look-ups.
+
+A document's score pools its windows: how many pass each of a few levels (quantiles of the clean sample), their share, and the worst; a
+logistic regression fitted on the sample, weighted to the labels' base rate, makes them a probability.
+
+Cases: null, empty and letterless texts have no window and get the score of no finding; contradicting labels for a doc_id count as
 their mean, rounded; without labels, or with one kind only, all scores are the base rate (0.5 if none), kept under 0.5 when no row is
 toxic; equal texts score alike; an empty table gives no rows; other columns are ignored.
 """
@@ -23,313 +28,315 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_held_out, map_batches, pieces, texts
+from .common import checkpointed, is_held_out, map_batches, pieces, texts
 
 #: Fixed values of the contract: the folds of doc_id's crc32, the one held out, the threshold.
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.5
 RESULT = "doc_id long, held_out boolean, score double, predicted int"
-WINDOW, SPAN, LEAST = 9, 5, 4
+WINDOW, SPAN, LETTERS, DECAY = 10, 5, 32, 0.5
+EDGE = LETTERS - 1  # a token's end
+#: Shares of the clean sample's windows below each level that the pooling counts.
+LEVELS = (0.98, 0.995, 0.999, 0.9998)
 #: Characters that stand in for letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "@": "a", "$": "s", "!": "i"}
+_STOPS = ".!?\n|。！？؟।"
 
 
-def _letters() -> np.ndarray:
-    """Letter numbers 1-26 of the code points below 0x250, 27 for white space, 0 for what is dropped."""
-    out = np.zeros(0x251, np.int8)
-    for k in range(0x250):
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point: its letter's number from 1 on, or 0; and 1 for white space, 2 for what ends a sentence."""
+    code, kind = np.zeros(0x110000, np.int8), np.zeros(0x110000, np.int8)
+    for k in range(0x110000):
         c = chr(k)
-        base = unicodedata.normalize("NFD", c.lower())[0]
-        base = {"ß": "s", "æ": "a", "ø": "o", "œ": "o"}.get(base, base)
-        out[k] = ord(base) - 96 if "a" <= base <= "z" else 27 * c.isspace()
-    return out
-
-
-_LETTERS = _letters()
-_FOLDED = _LETTERS.copy()
-for _a, _b in LOOKALIKES.items():
-    _FOLDED[ord(_a)] = ord(_b) - 96
-
-
-def stream(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(letters 0-25, token number of each). A look-alike counts only beside a letter."""
-    cp = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 0x250)
-    plain = _LETTERS[cp]
-    is_letter = (plain > 0) & (plain < 27)
+        if c in _STOPS:
+            kind[k] = 2
+        elif c.isspace():
+            kind[k] = 1
+        elif c.isalpha():
+            base = unicodedata.normalize("NFD", c.lower())[0]
+            base = {"ß": "s", "æ": "a", "ø": "o", "œ": "o"}.get(base, base)
+            code[k] = ord(base) - 96 if "a" <= base <= "z" else 1 + (ord(base) * 0x9E3779B1 >> 16) % (LETTERS - 1)
+    return code, kind
+
+
+_tables: list = []
+
+
+def _alphabet() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(letters, letters with look-alikes, kinds), built once in each process that scores."""
+    if not _tables:
+        code, kind = _letters()
+        folded = code.copy()
+        for a, b in LOOKALIKES.items():
+            folded[ord(a)] = ord(b) - 96
+        _tables.extend((code, folded, kind))
+    return _tables[0], _tables[1], _tables[2]
+
+
+def stream(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(letters, with EDGE at both ends of each token; token of each; sentence of each). A look-alike counts only beside a letter."""
+    letters, folded, kinds = _alphabet()
+    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    plain, kind = letters[cp], kinds[cp]
+    is_letter = plain > 0
     beside = np.zeros(len(cp), bool)
     beside[1:] |= is_letter[:-1]
     beside[:-1] |= is_letter[1:]
-    code = np.where(beside, _FOLDED[cp], plain)
-    space = code == 27
-    token = np.cumsum(space)
-    held = (code > 0) & ~space
-    code, token = code[held] - 1, token[held]
+    code = np.where(beside, folded[cp], plain)
+    token, sentence = np.cumsum(kind > 0), np.cumsum((kind == 2) & ~((code > 0) & beside))
+    held = code > 0
+    code, token, sentence = code[held].astype(np.int32) - 1, token[held], sentence[held]
     if not len(code):
-        return code, token
+        return code, token, sentence
     # single letters in a row become one token
     first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-    single = np.diff(np.concatenate([first, [len(code)]])) == 1
+    size = np.diff(np.concatenate([first, [len(code)]]))
+    single = size == 1
     begins = np.ones(len(first), bool)
     begins[1:] = ~(single[1:] & single[:-1])
-    starts = np.zeros(len(code), np.int64)
-    starts[first] = begins
-    return code, np.cumsum(starts)
+    starts = first[begins]
+    size = np.diff(np.concatenate([starts, [len(code)]]))
+    at = np.arange(len(code)) + 1 + 2 * np.repeat(np.arange(len(starts)), size)  # places once the ends are put in
+    out = np.full(len(code) + 2 * len(starts), EDGE, np.int32)
+    out[at] = code
+    return out, np.repeat(np.arange(len(starts)), size + 2), np.repeat(sentence[starts], size + 2)
 
 
-def _norms(decay: float) -> np.ndarray:
-    """The kernel norm of a string of n letters whose triples all differ (of others it is a lower bound)."""
+def _norms() -> np.ndarray:
+    """The kernel norm of a string of n letters whose triples all differ."""
     n2 = np.zeros(WINDOW + 1)
     for n in range(WINDOW + 1):
         for s in range(2, SPAN + 1):
-            n2[n] += max(0, n - s) * (s - 1) * decay ** (2 * (s - 2))
+            n2[n] += max(0, n - s) * (s - 1) * DECAY ** (2 * (s - 2))
     return np.sqrt(np.maximum(n2, 1e-9))
 
 
-_NONE = (np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
+_NORMS = _norms()
 
 
-def margins(text: str | None, weights: np.ndarray, decay: float, norms: np.ndarray) -> tuple:
-    """(weights . phi(window) / norm, start, width) of every window of the text, and its letters."""
-    if not text:
-        return _NONE
-    c, token = stream(text)
-    n = len(c)
-    if n < LEAST:
-        return _NONE
-    c = c.astype(np.int32)
+def _windows(token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, widths) of the windows: those of full width, and whole tokens that are shorter; and where each letter's token ends."""
+    n = len(token)
     begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
     length = np.diff(np.concatenate([begin, [n]]))
-    end = np.repeat(begin + length, length)  # of each letter's token
-    at = np.arange(n)
-    # windows: those of full width, and whole tokens that are shorter
-    full = at[at + WINDOW <= end]
-    short = begin[(length >= LEAST) & (length < WINDOW)]
-    q = np.concatenate([full, short])
-    if not len(q):
-        return _NONE
-    width = np.minimum(end[q] - q, WINDOW)
-    out = np.zeros(len(q), np.float64)
-    pair = c * 26
+    end, at = np.repeat(begin + length, length), np.arange(n)
+    q = np.sort(np.concatenate([at[at + WINDOW <= end], begin[length < WINDOW]]))
+    return q, np.minimum(end[q] - q, WINDOW), end
+
+
+def margins(text: str | None, weights: np.ndarray) -> np.ndarray:
+    """weights . phi(window) / norm of every window of the text, in order, to three digits, so that equal windows are equal wherever they stand."""
+    c, token, _ = stream(text or "")
+    n = len(c)
+    if not n:
+        return np.zeros(0, np.float32)
+    q, width, end = _windows(token)
+    out, pair, at = np.zeros(len(q)), c * LETTERS, np.arange(n)
     for s in range(2, SPAN + 1):
         m = n - s
         if m <= 0:
             break
         part = np.zeros(m, np.float32)
-        left = c[:m] * 676
-        right = c[s : s + m]
+        left, right = c[:m] * LETTERS**2, c[s : s + m]
         for d in range(1, s):
             part += weights[left + pair[d : d + m] + right]
-        part *= decay ** (s - 2)
+        part *= DECAY ** (s - 2)
         part[at[:m] + s >= end[:m]] = 0
         total = np.concatenate([[0.0], np.cumsum(part, dtype=np.float64)])
         out += total[np.minimum(q + np.maximum(width - s, 0), m)] - total[np.minimum(q, m)]
-    return out / norms[width], q, width, c
+    return np.round(out / _NORMS[width], 3).astype(np.float32)
 
 
-def _combinations(width: int, decay: float):
-    ijk = [(i, j, k) for i in range(width) for k in range(i + 2, min(i + SPAN, width - 1) + 1) for j in range(i + 1, k)]
-    return np.array(ijk, np.int64).T, np.array([decay ** (k - i - 2) for i, _, k in ijk])
+def triples(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(sentence, triple, weight) of the images of all windows, in the sentences' order, and each sentence's number of windows."""
+    c, token, sentence = stream(text or "")
+    n = len(c)
+    if n < 3:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, np.int64)
+    sentence = np.unique(sentence, return_inverse=True)[1]
+    q, width, end = _windows(token)
+    begin = np.concatenate([[0], np.cumsum(np.diff(token) != 0)])  # token's number
+    start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))[begin]
+    length, at = end - start, np.arange(n)
+    which, code, weight = [], [], []
+    for s in range(2, min(SPAN, n - 1) + 1):
+        i = at[: n - s]
+        i = i[i + s < end[: n - s]]
+        # how many windows hold the letters i to i + s
+        many = np.minimum(i, end[i] - WINDOW) - np.maximum(start[i], i + s - WINDOW + 1) + 1
+        short = length[i] < WINDOW
+        share = np.where(short, 1.0, many) / _NORMS[np.where(short, length[i], WINDOW)] * DECAY ** (s - 2)
+        for d in range(1, s):
+            which.append(sentence[i])
+            code.append(c[i] * LETTERS**2 + c[i + d] * LETTERS + c[i + s])
+            weight.append(share)
+    which, code, weight = np.concatenate(which), np.concatenate(code).astype(np.int64), np.concatenate(weight).astype(np.float32)
+    order = np.argsort(which, kind="stable")
+    return which[order], code[order], weight[order], np.bincount(sentence[q], minlength=sentence[-1] + 1)
+
+
+def images(text: str | None, table: np.ndarray, step: int = 20_000) -> np.ndarray:
+    """A row a sentence: its image times the table (triples x columns), over the root of its number of windows."""
+    which, code, weight, size = triples(text)
+    out = np.zeros((len(size), table.shape[1]), np.float32)
+    for at in range(0, len(which), step):
+        w = which[at : at + step]
+        edge = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+        out[w[edge]] += np.add.reduceat(table[code[at : at + step]] * weight[at : at + step, None], edge, axis=0)
+    return out / np.sqrt(np.maximum(size, 1))[:, None].astype(np.float32)
+
+
+def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float = 1e-4, steps: int = 12) -> np.ndarray:
+    """A linear machine with squared hinge loss, by Newton's steps. The last weight is the bias."""
+    w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], reg)
+    ridge[-1] = 1e-6
+    for _ in range(steps):
+        on = y * (x @ w) < 1
+        xs = x[on]
+        new = np.linalg.solve(((xs * weight[on, None].astype(xs.dtype)).T @ xs).astype(float) + np.diag(ridge), xs.T @ (weight[on] * y[on]))
+        if np.allclose(new, w, atol=1e-7):
+            break
+        w = new
+    return w
 
 
-def worst(text: str | None, model: dict) -> float:
-    """The largest margin of the text's windows. Norms are bounded from below at first; where a window could reach the model's
-    `exact` level its own norm is taken, so every margin above that level is the kernel's."""
-    bias, exact = model["bias"], model["exact"] - model["bias"]
-    found = margins(text, model["weights"], model["decay"], model["norms"])
-    m, q, width, c = found
-    if not len(m):
-        return bias - 1.0
-    best = float(m[m <= exact].max(initial=-9.0))
-    high = np.flatnonzero(m > max(exact, best))
-    for k in high[np.argsort(-m[high], kind="stable")]:
-        if m[k] <= best:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float = 1e-2, steps: int = 60) -> np.ndarray:
+    """Logistic regression by Newton's steps, halved until they lessen the loss. The last weight is the bias."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], reg)
+    ridge[-1] = 1e-6
+
+    def loss(w: np.ndarray) -> float:
+        m = x @ w
+        return float((weight * (np.logaddexp(0, m) - y * m)).sum() + (ridge * w * w).sum() / 2)
+
+    now = loss(w)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        move = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (weight * (y - p)) - ridge * w)
+        rate = 1.0
+        while loss(w + rate * move) > now and rate > 1e-4:
+            rate /= 2
+        w, before = w + rate * move, now
+        now = loss(w)
+        if before - now < 1e-9 * max(1.0, before):
             break
-        (i, j, l), weight = _combinations_of(int(width[k]), model["decay"])
-        w = c[q[k] : q[k] + width[k]]
-        codes = w[i] * 676 + w[j] * 26 + w[l]
-        order = np.argsort(codes, kind="stable")
-        codes = codes[order]
-        sums = np.add.reduceat(weight[order], np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])))
-        best = max(best, float(m[k] * model["norms"][width[k]] / np.sqrt((sums * sums).sum())))
-    return best + bias
-
-
-_cache: dict = {}
-
-
-def _combinations_of(width: int, decay: float):
-    if (width, decay) not in _cache:
-        _cache[width, decay] = _combinations(width, decay)
-    return _cache[width, decay]
-
-
-def phi(word: str, decay: float) -> dict[int, float]:
-    """A word's triples; only its letters count."""
-    c, _ = stream(word)
-    out: dict[int, float] = {}
-    for i in range(len(c)):
-        for k in range(i + 2, min(i + SPAN, len(c) - 1) + 1):
-            for j in range(i + 1, k):
-                t = int(c[i]) * 676 + int(c[j]) * 26 + int(c[k])
-                out[t] = out.get(t, 0.0) + decay ** (k - i - 2)
-    return out
-
-
-def _vectors(words: list[str], decay: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(triples, weights) of each word, of length one."""
-    out = []
-    for w in words:
-        p = phi(w, decay)
-        v = np.fromiter(p.values(), np.float32, len(p))
-        out.append((np.fromiter(p.keys(), np.int64, len(p)), v / max(1e-9, float(np.linalg.norm(v)))))
-    return out
-
-
-def _hinge(z: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float, steps: int = 400) -> np.ndarray:
-    """A linear machine with squared hinge loss, by accelerated gradient steps. The last weight is the bias."""
-    x = np.hstack([z, np.ones((len(z), 1))])
-    w = prev = np.zeros(x.shape[1])
-    rate = 1.0 / (reg + 2 * np.linalg.eigvalsh(x.T @ (x * weight[:, None]))[-1])
-    for k in range(steps):
-        v = w + (w - prev) * k / (k + 3)
-        slack = np.maximum(0, 1 - y * (x @ v))
-        grad = -2 * x.T @ (weight * y * slack)
-        grad[:-1] += reg * v[:-1]
-        prev, w = w, v - rate * grad
     return w
 
 
-def _windows(word: str) -> list[str]:
-    """The windows of a word's letters that scoring looks at."""
-    c = "".join(chr(97 + x) for x in stream(word)[0])
-    return [c[k : k + WINDOW] for k in range(max(1, len(c) - WINDOW + 1))] if len(c) >= LEAST else []
-
-
-def _instances(stand: list[tuple[str, float]], clean: list[str], alone: float, root: int = 5, least: int = 3) -> list[str]:
-    """Windows of the words that stand out: of words whose evidence is enough alone, and those with a stem that several
-    of these share and clean ones don't; and the former with a letter put in or doubled, as evasion does."""
-    stems: dict[str, int] = {}
-    for words, by in (([w for w, ratio in stand if ratio >= alone], 1), (clean, -1000)):
-        for w in words:
-            c = "".join(_windows(w)[:1] + [x[-1] for x in _windows(w)[1:]])
-            for g in {c[k : k + root] for k in range(len(c) - root + 1)}:
-                if by > 0 or g in stems:
-                    stems[g] = stems.get(g, 0) + by
-    shared = {g for g, n in stems.items() if n >= least}
-    out: dict[str, None] = {}
-    for w, ratio in stand:
-        x = _windows(w)
-        stem = [y for y in x if any(y[k : k + root] in shared for k in range(len(y) - root + 1))]
-        out |= dict.fromkeys(stem or (x if ratio >= alone else []))
-    padded = {}
-    for w, ratio in stand:
-        if ratio >= alone and len(x := "".join(y if not k else y[-1] for k, y in enumerate(_windows(w)))) > LEAST:
-            for k in range(1, len(x)):
-                for y in ("x", "h", x[k - 1]):
-                    padded |= dict.fromkeys(_windows(x[:k] + y + x[k:])[: 1 if len(x) < WINDOW else 2])
-    return list(out | padded)
-
-
-def _machine(positive: list[str], negative: list[str], landmarks: int, decay: float) -> tuple[np.ndarray, float]:
-    """(weights over the triples, bias), from windows; negative ones that are positive too are left out."""
-    taken = set(positive)
-    words = positive + [w for w in negative if w not in taken]
-    vectors = _vectors(words, decay)
-    half = min(landmarks // 2, len(words) - len(positive))
-    table = np.zeros((26**3, landmarks), np.float32)  # a landmark a column
-    n = 0
-    for k in [*range(len(positive)), *range(len(positive), len(positive) + half)]:
-        at, v = vectors[k]
-        # positive ones in the order of evidence, those unlike the ones before; then frequent clean ones
-        if k >= len(positive) or n < landmarks - half and (v @ table[at]).max(initial=0) < 0.9:
-            table[at, n] = v
-            n += 1
+def pooled(m: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """What a document's score looks at: windows over each level, their share, and the worst margin."""
+    if not len(m):
+        return np.zeros(2 * len(levels) + 1)
+    over = np.array([(m > v).sum() for v in levels], float)
+    return np.concatenate([np.log1p(over), np.sqrt(over / len(m)), [max(0.0, float(m.max() - levels[0]))]])
+
+
+def _landmarks(found: list[str], common: list[str], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(table of the landmarks' triples, K_mm^-1/2): words that tell, unlike each other, then frequent ones."""
+    table, n = np.zeros((LETTERS**3, most), np.float32), 0
+    for k, word in enumerate([*found, *common]):
+        _, code, weight, _ = triples(word)
+        if n == most or not len(code):
+            continue
+        v = np.bincount(code, weight, LETTERS**3).astype(np.float32)
+        at = np.flatnonzero(v)
+        v = v[at] / np.linalg.norm(v)
+        if n and (k < len(found) and n >= most * 4 // 5 or (v @ table[at, :n]).max() > 0.95):
+            continue
+        table[at, n] = v
+        n += 1
     table = table[:, :n]
-    gram = (table.T @ table).astype(np.float64)
-    val, vec = np.linalg.eigh(gram)
-    root = (vec * np.where(val > 1e-6, np.maximum(val, 1e-6) ** -0.5, 0)) @ vec.T
-    z = np.stack([v @ table[at] for at, v in vectors]) @ root
-    y = np.where(np.arange(len(words)) < len(positive), 1.0, -1.0)
-    weight = np.where(y > 0, 0.5 / len(positive), 0.5 / max(1, len(words) - len(positive)))
-    w = _hinge(z, y, weight, reg=1e-4)
-    return (table @ (root @ w[:-1])).astype(np.float32), float(w[-1])
-
-
-def _curve(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic slope and offset; the offset is where most of the sample is told right."""
-    order = np.argsort(m)
-    s, t = m[order], y[order]
-    wrong = np.concatenate([[0], np.cumsum(t)]) + np.concatenate([[0], np.cumsum((1 - t)[::-1])])[::-1]
-    best = np.flatnonzero(wrong == wrong.min())
-    best = int(best[len(best) // 2])
-    cut = s[0] - 0.5 if best == 0 else s[-1] + 0.5 if best == len(s) else (s[best - 1] + s[best]) / 2
-    return 6.0, float(cut)
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, landmarks: int = 400, decay: float = 0.5, evidence: float = 12.0, alone: float = 36.0, most_words: int = 6000) -> dict:
-    """The model, from at most `sample` labelled rows outside the held-out fold; the driver gets at most 2 x most_words words and sample margins."""
+    value, vector = np.linalg.eigh((table.T @ table).astype(np.float64))
+    return table, (vector * np.where(value > 1e-6, np.maximum(value, 1e-6) ** -0.5, 0)) @ vector.T
+
+
+def machine(z: np.ndarray, bag: np.ndarray, label: np.ndarray, rounds: int = 3) -> np.ndarray:
+    """Weights over the features (the last one is the bias) from sentences z of documents `bag` with the document's label."""
+    x, bad = np.hstack([z, np.ones((len(z), 1), z.dtype)]), label > 0
+    keep = bad.copy()
+    for k in range(rounds):
+        rows = np.flatnonzero(keep | ~bad)
+        y = np.where(bad[rows], 1.0, -1.0)
+        w = _hinge(x[rows], y, np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())))
+        m = x @ w
+        order = np.lexsort((-m, bag))
+        worst = np.zeros(len(m), bool)
+        worst[order[np.concatenate([[True], bag[order][1:] != bag[order][:-1]])]] = True
+        keep = bad & ((m > np.quantile(m[~bad], 0.99)) | worst)
+    return w
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 1000, landmarks: int = 320) -> dict:
+    """The model, from at most `sample` labelled rows of each kind outside the held-out fold; the driver gets their sentences' features (landmarks numbers each)."""
     spark, doc_id = docs.sparkSession, F.col("doc_id").cast("long")
     rows = labels.where("toxic is not null and doc_id is not null").groupBy(doc_id.alias("doc_id")).agg(F.bround(F.avg("toxic")).cast("int").alias("label"))
     rows = rows.where(~is_held_out(F.col("doc_id"), FOLDS, HELD_OUT))
     ids = docs.select(doc_id.alias("doc_id")).where("doc_id is not null")
-    known = {r.doc_id: r.label for r in rows.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()}
-    norms = _norms(decay)
-    base = sum(known.values()) / len(known) if known else 0.5
-    flat = {"weights": np.zeros(26**3, np.float32), "bias": 0.0, "norms": norms, "decay": decay, "slope": 0.0, "cut": 0.0, "base": base, "exact": -0.5}
-    if not 0 < base < 1:
+    rows = checkpointed(rows.join(ids, "doc_id", "left_semi"))
+    sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    total = sum(sizes.values())
+    base = sizes.get(1, 0) / total if total else 0.5
+    flat = {"base": base, "weights": None}
+    if not total or not 0 < base < 1:
         return flat
-    small = F.broadcast(spark.createDataFrame(list(known.items()), "doc_id long, label int"))
-    picked = texts(docs).join(small, "doc_id").select("doc_id", "label", "text")
-    sentence = F.explode(F.split(F.lower("text"), r"[.!?\n]+")).alias("sentence")
-    word = F.explode(F.array_distinct(F.regexp_extract_all("sentence", F.lit(r"\p{L}[\p{L}'-]{2,38}\p{L}"), F.lit(0)))).alias("word")
-    bags = picked.select("label", sentence).distinct().select("label", word)  # a copied sentence is one bag
-    tally = bags.groupBy("word").agg(F.sum("label").alias("bad"), F.count("*").alias("n"))
-    b, n, p = F.col("bad"), F.col("n"), base
+    first = lambda k: rows.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    picked = checkpointed(texts(docs).join(F.broadcast(first(0).union(first(1))), "doc_id").select("doc_id", "label", "text").repartition(32, "doc_id"))  # 2 x sample rows
+    word = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}[\p{L}\p{M}'-]{1,39}"), F.lit(0)))).alias("word")
+    tally = picked.select("label", word).groupBy("word").agg(F.sum("label").alias("b"), F.count("*").alias("n"))
+    toxic, clean = min(sizes[1], sample), min(sizes[0], sample)
+    p, b, n = toxic / (toxic + clean), F.col("b"), F.col("n")
     ratio = 2 * (F.when(b > 0, b * F.log(b / (n * p))).otherwise(0) + F.when(n > b, (n - b) * F.log((n - b) / (n * (1 - p)))).otherwise(0))
-    tally = tally.withColumn("ratio", ratio).persist()
-    stand = [(r.word, r.ratio) for r in tally.where((b / n > (1 + p) / 2) & (F.col("ratio") >= evidence)).orderBy(F.desc("ratio"), "word").limit(most_words).collect()]
-    clean = [r.word for r in tally.where((b / n <= 2 * p) & (n >= 2)).orderBy(F.desc("n"), "word").limit(most_words).collect()]
-    if not stand or not clean:
-        tally.unpersist()
-        return flat
-    positive = _instances(stand, clean, alone)
-    common = list(dict.fromkeys(x for w in clean[: most_words // 2] for x in _windows(w)))
-    if not positive or not common:
-        tally.unpersist()
+    tally = checkpointed(tally.withColumn("ratio", F.when(b / n > p, ratio).otherwise(-ratio)))
+    few = lambda *order: [r.word for r in tally.orderBy(*order, "word").limit(4 * landmarks).collect()]
+    table, root = _landmarks(few(F.desc("ratio")), few(F.desc("n")), landmarks)
+    if not table.shape[1]:
         return flat
-    weights, bias = _machine(positive, common, landmarks, decay)
-    # the hardest clean words join the negative ones
-    shared = spark.sparkContext.broadcast(flat | {"weights": weights, "bias": bias})
+    shared = spark.sparkContext.broadcast(table @ root.astype(np.float32))
 
-    def score(batch):
-        yield {"word": batch.column("word"), "m": [worst(w, shared.value) for w in batch.column("word").to_pylist()]}
+    def featured(batch):
+        for x in pieces(batch, most_bytes=1 << 20):
+            z = [images(t, shared.value) for t in x.column("text").to_pylist()]
+            n = [len(v) for v in z]
+            yield {"doc_id": np.repeat(x.column("doc_id").to_numpy(), n).tolist(), "label": np.repeat(x.column("label").to_numpy(), n).tolist(), "z": [r.tobytes() for r in np.concatenate(z).astype(np.float16)]}
 
-    rare = map_batches(tally.where(b == 0).select("word"), score, "word string, m double").orderBy(F.desc("m"), "word").limit(most_words // 2)
-    hard = dict.fromkeys(x for r in rare.collect() for x in _windows(r.word))
-    tally.unpersist()
-    weights, bias = _machine(positive, list(dict.fromkeys(common + list(hard))), landmarks, decay)
-    model = flat | {"weights": weights, "bias": bias}
-    final = spark.sparkContext.broadcast(model)
+    got = map_batches(picked, featured, "doc_id long, label int, z binary").toArrow()
+    if not got.num_rows:
+        return flat
+    z = np.frombuffer(b"".join(got.column("z").to_pylist()), np.float16).reshape(got.num_rows, -1).astype(np.float32)
+    label = got.column("label").to_numpy()
+    if not 0 < label.mean() < 1:
+        return flat
+    w = machine(z, got.column("doc_id").to_numpy(), label)
+    weights = (shared.value @ w[:-1].astype(np.float32)).astype(np.float32)
+    model = spark.sparkContext.broadcast(weights)
 
-    def bags_worst(batch):
+    def scored(batch):
         for x in pieces(batch):
-            yield {"label": x.column("label"), "m": [worst(t, final.value) for t in x.column("text").to_pylist()]}
+            yield {"label": x.column("label"), "m": [margins(t, model.value).tobytes() for t in x.column("text").to_pylist()]}
+
+    found = map_batches(picked, scored, "label int, m binary").toArrow()
+    bags = [(k, np.frombuffer(m, np.float32)) for k, m in zip(found.column("label").to_pylist(), found.column("m").to_pylist(), strict=True)]
+    quiet = np.concatenate([m for k, m in bags if not k])
+    levels = np.round(np.quantile(quiet, LEVELS) if len(quiet) else np.zeros(len(LEVELS)), 3) + 0.0005  # between two margins
+    x, y = np.stack([pooled(m, levels) for _, m in bags]), np.array([float(k) for k, _ in bags])
+    mean, spread = x.mean(0), np.maximum(x.std(0), 1e-6)
+    curve = _logistic((x - mean) / spread, y, np.where(y > 0, base / max(1, y.sum()), (1 - base) / max(1, (1 - y).sum())) * len(y) / 10)
+    return {"base": base, "weights": weights, "levels": levels, "mean": mean, "spread": spread, "curve": curve}
+
 
-    got = map_batches(picked.select("label", "text"), bags_worst, "label int, m double").collect()
-    slope, cut = _curve(np.array([r.m for r in got]), np.array([r.label for r in got], float))
-    return model | {"slope": slope, "cut": cut}
+def score(text: str | None, model: dict) -> float:
+    if model["weights"] is None:
+        return model["base"]
+    x = (pooled(margins(text, model["weights"]), model["levels"]) - model["mean"]) / model["spread"]
+    return float(1 / (1 + np.exp(-np.clip(x @ model["curve"][:-1] + model["curve"][-1], -30, 30))))
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **options))
 
     def run(batch):
-        model = shared.value
         for b in pieces(batch):
-            if model["slope"]:
-                m = np.array([worst(t, model) for t in b.column("text").to_pylist()])
-                s = 1 / (1 + np.exp(-model["slope"] * (m - model["cut"])))
-            else:
-                s = np.full(b.num_rows, model["base"])
+            s = np.array([score(t, shared.value) for t in b.column("text").to_pylist()])
             yield {"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "score": s.tolist(), "predicted": (s >= THRESHOLD).astype(int).tolist()}
 
     return map_batches(texts(docs).withColumn("held_out", F.coalesce(is_held_out(F.col("doc_id"), FOLDS, HELD_OUT), F.lit(False))), run, RESULT)

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from adlake.llm import language, quality, toxicity
@@ -24,11 +25,18 @@ def test_quality_held_out(spark):
     assert accuracy(rows, {r.doc_id: r.quality for r in labels.collect()}) > 0.97
 
 
-def test_toxicity_held_out(spark):
-    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
-    rows = toxicity.classify(docs, labels).collect()
+def test_toxicity_held_out_by_language(spark):
+    """At sf0.1: recall of toxic documents outside the training folds, by language, and hardly a clean document hit."""
+    docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
+    rows = toxicity.classify(docs, labels).join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
-    assert accuracy(rows, {r.doc_id: r.toxic for r in labels.collect()}) > 0.9
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    held = [r for r in rows if r.held_out and r.doc_id in toxic]
+    for lang, least in (("en", 0.9), ("de", 0.6), ("fr", 0.6), ("es", 0.6)):
+        bad = [r.predicted for r in held if r.lang == lang and toxic[r.doc_id]]
+        assert sum(bad) >= least * len(bad), (lang, sum(bad), len(bad))
+    clean = [r.predicted for r in held if not toxic[r.doc_id]]
+    assert sum(clean) <= 0.01 * len(clean)
 
 
 def test_language_held_out(spark):
@@ -64,14 +72,78 @@ def test_labels_are_learnt_outside_the_held_out_fold_only(spark):
     assert a == b
 
 
-def test_padded_insult_still_counts():
-    words = [("blockhead", 99.0), ("nitwit", 99.0)]
-    clean = [f"{a}{b}{c}" for a in ("ther", "stan", "lomi", "purg") for b in ("ing", "ed", "on") for c in ("ly", "er", "al")]
-    table_, bias = toxicity._machine(toxicity._instances(words, clean, 36.0), clean, 40, 0.5)
-    model = {"weights": table_, "bias": bias, "norms": toxicity._norms(0.5), "decay": 0.5, "exact": -0.5}
-    low = max(toxicity.worst(w, model) for w in clean)
-    for t in ("you nitwit", "n i t w i t", "nit-wit!", "niitwit", "nitxwit"):
-        assert toxicity.worst(t, model) > low, t
+def test_kernel_equals_a_triple_loop():
+    r = random.Random(2)
+    weights = np.array([r.uniform(-1, 1) for _ in range(toxicity.LETTERS**3)], np.float32)
+    n = toxicity.LETTERS
+
+    def phi(w):
+        out = {}
+        for i in range(len(w)):
+            for k in range(i + 2, min(i + toxicity.SPAN, len(w) - 1) + 1):
+                for j in range(i + 1, k):
+                    t = (w[i] * n + w[j]) * n + w[k]
+                    out[t] = out.get(t, 0.0) + toxicity.DECAY ** (k - i - 2)
+        return out
+
+    for text in ("one", "A few words. And a verylongwordindeedhere, yes!\nок, Слово 日本語の文字列です", "x y z", "i d i o t!", "n1tw1t 123"):
+        c, token, sentence = toxicity.stream(text)
+        want, sums, count = [], {}, {}
+        for t in sorted(set(token.tolist())):
+            w = c[token == t].tolist()
+            for q in range(max(1, len(w) - toxicity.WINDOW + 1)):
+                part = w[q : q + toxicity.WINDOW]
+                norm = toxicity._NORMS[len(part)]
+                want.append(sum(v * float(weights[x]) for x, v in phi(part).items()) / norm)
+                s = int(sentence[token == t][0])
+                count[s] = count.get(s, 0) + 1
+                for x, v in phi(part).items():
+                    sums[s, x] = sums.get((s, x), 0.0) + v / norm
+        assert np.allclose(toxicity.margins(text, weights), want, atol=1e-3)
+        table = weights[:, None]
+        per = [sum(v * float(weights[x]) for (k, x), v in sums.items() if k == s) / count[s] ** 0.5 for s in sorted(count)]
+        assert np.allclose(toxicity.images(text, table, step=7)[:, 0], per, atol=1e-4)
+
+
+def insulting(r, words, bad, n):
+    """n documents of five sentences; the odd ones hold a bad word in two of them."""
+    texts = []
+    for k in range(n):
+        sentences = [r.choices(words, k=10) for _ in range(5)]
+        if k % 2:
+            for s in r.sample(sentences, 2):
+                s[r.randrange(10)] = r.choice(bad)
+        texts.append(". ".join(" ".join(s) for s in sentences) + ".")
+    return texts
+
+
+@pytest.mark.parametrize(
+    "syllables,bad,padded",
+    [
+        (["ther", "stan", "lomi", "purg", "ing", "ed", "on", "ly", "er", "al"], ["blockhead", "nitwit"], ["n i t w i t", "nit-wit!", "nitxwit", "bl0ckhead", "blockkhead"]),
+        (["ста", "ро", "ве", "лом", "ный", "ка", "при", "дор"], ["дурак", "болван"], ["д у р а к", "дурхак", "болвван"]),
+    ],
+)
+def test_padded_insults_in_any_script(spark, syllables, bad, padded):
+    r = random.Random(6)
+    words = ["".join(r.choices(syllables, k=r.choice((1, 2, 2, 3)))) for _ in range(300)]
+    texts = insulting(r, words, bad, 160)
+    clean = [" ".join(r.choices(words, k=50)) for _ in range(20)]
+    twice = [" ".join([*r.choices(words, k=24), w, *r.choices(words, k=24), w]) for w in padded]
+    short = spark.createDataFrame([(k, 0, k % 2) for k in range(160)], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x for x in toxicity.classify(frame(spark, texts + clean + twice), short).collect()}
+    assert sum(got[k].predicted == k % 2 for k in range(160)) >= 158
+    assert not any(got[k].predicted for k in range(160, 180))
+    worst = max(got[k].score for k in range(160, 180))
+    assert all(got[180 + k].score > worst for k in range(len(padded))), [(w, got[180 + k].score) for k, w in enumerate(padded)]
+
+
+def test_short_insults_count(spark):
+    r = random.Random(7)
+    words = [f"{a}{b}" for a in ("tor", "mel", "san", "dri") for b in ("ka", "lo", "ne", "ti")]
+    texts = insulting(r, words, ["bo", "zug"], 120)
+    got = toxicity.classify(frame(spark, texts), spark.createDataFrame([(k, 0, k % 2) for k in range(120)], "doc_id long, quality int, toxic int")).collect()
+    assert sum(x.predicted == x.doc_id % 2 for x in got if x.held_out) >= 0.9 * sum(x.held_out for x in got)
 
 
 def test_mixture_takes_the_larger_part(spark):
