@@ -185,15 +185,20 @@ def images(text: str | None, table: np.ndarray, step: int = 20_000) -> np.ndarra
     return out / np.sqrt(np.maximum(size, 1))[:, None].astype(np.float32)
 
 
-def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float = 1e-4, steps: int = 12) -> np.ndarray:
-    """A linear machine with squared hinge loss, by Newton's steps. The last weight is the bias."""
+def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float = 1e-4, steps: int = 12, block: int = 4096) -> np.ndarray:
+    """A linear machine with squared hinge loss, by Newton's steps over blocks of rows; rows of weight 0 don't count. x's last column is 1, its weight the bias."""
     w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], reg)
     ridge[-1] = 1e-6
     for _ in range(steps):
-        on = y * (x @ w) < 1
-        xs = x[on]
-        new = np.linalg.solve(((xs * weight[on, None].astype(xs.dtype)).T @ xs).astype(float) + np.diag(ridge), xs.T @ (weight[on] * y[on]))
-        if np.allclose(new, w, atol=1e-7):
+        left, right, now = np.diag(ridge), np.zeros(len(w)), w.astype(x.dtype)
+        for at in range(0, len(x), block):
+            part, t, v = x[at : at + block], y[at : at + block], weight[at : at + block]
+            on = (t * (part @ now) < 1) & (v > 0)
+            part = part[on]
+            left += (part * v[on, None].astype(x.dtype)).T @ part
+            right += part.T @ (v[on] * t[on]).astype(x.dtype)
+        new = np.linalg.solve(left, right)
+        if np.allclose(new, w, atol=1e-6):
             break
         w = new
     return w
@@ -250,15 +255,13 @@ def _landmarks(found: list[str], common: list[str], most: int) -> tuple[np.ndarr
     return table, (vector * np.where(value > 1e-6, np.maximum(value, 1e-6) ** -0.5, 0)) @ vector.T
 
 
-def machine(z: np.ndarray, bag: np.ndarray, label: np.ndarray, rounds: int = 3) -> np.ndarray:
-    """Weights over the features (the last one is the bias) from sentences z of documents `bag` with the document's label."""
-    x, bad = np.hstack([z, np.ones((len(z), 1), z.dtype)]), label > 0
-    keep = bad.copy()
-    for k in range(rounds):
-        rows = np.flatnonzero(keep | ~bad)
-        y = np.where(bad[rows], 1.0, -1.0)
-        w = _hinge(x[rows], y, np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())))
-        m = x @ w
+def machine(x: np.ndarray, bag: np.ndarray, label: np.ndarray, rounds: int = 3) -> np.ndarray:
+    """Weights over the features (x's last column is 1, its weight the bias) from sentences x of documents `bag` with the document's label."""
+    bad = label > 0
+    keep, y = bad.copy(), np.where(label > 0, 1.0, -1.0)
+    for _ in range(rounds):
+        w = _hinge(x, y, np.where(bad, keep * 0.5 / max(1, keep.sum()), 0.5 / max(1, (~bad).sum())))
+        m = x @ w.astype(x.dtype)
         order = np.lexsort((-m, bag))
         worst = np.zeros(len(m), bool)
         worst[order[np.concatenate([[True], bag[order][1:] != bag[order][:-1]])]] = True
@@ -302,11 +305,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1000, landmarks: int =
     got = map_batches(picked, featured, "doc_id long, label int, z binary").toArrow()
     if not got.num_rows:
         return flat
-    z = np.frombuffer(b"".join(got.column("z").to_pylist()), np.float16).reshape(got.num_rows, -1).astype(np.float32)
+    x = np.ones((got.num_rows, table.shape[1] + 1), np.float32)
+    for k, z in enumerate(got.column("z")):
+        x[k, :-1] = np.frombuffer(z.as_py(), np.float16)
     label = got.column("label").to_numpy()
     if not 0 < label.mean() < 1:
         return flat
-    w = machine(z, got.column("doc_id").to_numpy(), label)
+    w = machine(x, got.column("doc_id").to_numpy(), label)
+    del x, got
     weights = (shared.value @ w[:-1].astype(np.float32)).astype(np.float32)
     model = spark.sparkContext.broadcast(weights)
 
