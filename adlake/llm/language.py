@@ -2,9 +2,10 @@
 
 Letter trigrams (with word edges) of a bounded sample of documents, about `per_language` of each, give every language a smoothed
 distribution over 2^16 hashed trigrams. A document is a mixture of them: expectation-maximisation estimates its proportions from the
-trigrams' likelihoods, for a whole batch of documents at once; languages under `least_share` are dropped, proportions estimated
-again, and the set (the mixture, or the single best language) is the one of the largest likelihood after a penalty of
-log(trigrams) for every further language. lang_pred is the set's largest language, score its proportion.
+trigrams' likelihoods, for a whole batch of documents at once; languages under `least_share` are dropped. From the set that is left the language of
+the smallest proportion goes, one after another, with proportions estimated again each time, down to the single best language; of
+these sets the one of the largest likelihood after a penalty of log(trigrams) for every further language is chosen. lang_pred is its largest
+language, score that one's proportion, languages and shares the whole set, largest first.
 
 Cases: null texts and texts without a letter are `und` with score 0; without anything to learn from, all are; a text of a single
 letter has its trigrams with edges; ties go to the first language by name; equal texts score alike; an empty table gives no rows; other
@@ -21,9 +22,9 @@ from .common import is_held_out, map_batches, pieces, texts
 
 #: Fixed values of the contract: the folds of doc_id's crc32, the one held out, the answer without letters.
 FOLDS, HELD_OUT, UNKNOWN = 4, 2, "und"
-RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
+RESULT = "doc_id long, held_out boolean, lang_pred string, score double, languages array<string>, shares array<double>"
 BINS = 1 << 16
-_TOP = 0x30000
+_TOP = 0x110000
 _mask: list = []
 
 
@@ -91,36 +92,38 @@ def _mixture(p: np.ndarray, times: np.ndarray, start: np.ndarray, count: np.ndar
         share = np.add.reduceat(w * (times / total)[:, None], start, axis=0) / size
 
 
-def infer(batch_texts: list, model: np.ndarray, least_share: float = 0.1, steps: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """(language number or -1, score) of each text."""
-    grams = [trigrams(t) for t in batch_texts]
-    best, score = np.full(len(grams), -1), np.zeros(len(grams))
+def infer(batch_texts: list, model: np.ndarray, least_share: float = 0.1, steps: int = 8) -> np.ndarray:
+    """Each text's proportions of the languages of its chosen set, 0 for the others; all 0 for a text without letters."""
+    grams, n = [trigrams(t) for t in batch_texts], model.shape[1]
+    out = np.zeros((len(grams), n))
     held = np.array([k for k, g in enumerate(grams) if len(g)], np.int64)
-    if not len(held) or not model.shape[1]:
-        return best, score
+    if not len(held) or not n:
+        return out
     sizes = np.array([len(grams[k]) for k in held], np.int64)
     key, times = np.unique(np.repeat(np.arange(len(held), dtype=np.uint64) << np.uint64(16), sizes) | np.concatenate([grams[k] for k in held]), return_counts=True)
     count = np.bincount((key >> np.uint64(16)).astype(np.int64), minlength=len(held))
     start, times = np.cumsum(count) - count, times.astype(np.float32)
     p = model[(key & np.uint64(0xFFFF)).astype(np.int64)]
-    n = model.shape[1]
     share, _ = _mixture(p, times, start, count, np.full((len(held), n), 1.0 / n, np.float32), steps)
     own = np.add.reduceat(times[:, None] * np.log(p), start, axis=0, dtype=np.float64)
     one = own.argmax(1)
+    best, chosen = own.max(1), np.zeros((len(held), n))
+    chosen[np.arange(len(held)), one] = share[np.arange(len(held)), one]
     kept = share >= np.minimum(least_share, share.max(1, keepdims=True))
-    several = np.flatnonzero(kept.sum(1) > 1)
-    best[held], score[held] = one, share[np.arange(len(held)), one]
-    if len(several):
+    while len(several := np.flatnonzero(kept.sum(1) > 1)):
         sub = np.concatenate([np.arange(start[k], start[k] + count[k]) for k in several])
         again = np.where(kept[several], share[several], 0)
         again /= again.sum(1, keepdims=True)
         c = count[several]
         again, like = _mixture(p[sub], times[sub], np.cumsum(c) - c, c, again.astype(np.float32), 4)
-        gain = like - own[several].max(1) - (kept[several].sum(1) - 1) * np.log(sizes[several])
-        mixed = gain > 0
-        best[held[several[mixed]]] = again[mixed].argmax(1)
-        score[held[several[mixed]]] = again[mixed].max(1)
-    return best, np.clip(score, 0, 1)
+        like = like - (kept[several].sum(1) - 1) * np.log(sizes[several])
+        better = like > best[several]
+        best[several[better]], chosen[several[better]] = like[better], again[better]
+        share[several] = again
+        # the smallest goes; sets of one are done, as the single best language is known
+        kept[several, np.where(kept[several], again, np.inf).argmin(1)] = False
+    out[held] = np.clip(chosen, 0, 1)
+    return out
 
 
 def identify(docs: DataFrame, per_language: int = 2000) -> DataFrame:
@@ -129,7 +132,12 @@ def identify(docs: DataFrame, per_language: int = 2000) -> DataFrame:
     def run(batch):
         names, model = shared.value
         for b in pieces(batch, most_bytes=max(1 << 18, (8 << 20) // max(4, len(names)))):
-            best, score = infer(b.column("text").to_pylist(), model)
-            yield {"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "lang_pred": [names[k] if k >= 0 else UNKNOWN for k in best], "score": score.tolist()}
+            share = infer(b.column("text").to_pylist(), model)
+            order = np.argsort(-share, axis=1, kind="stable")
+            sets = [[k for k in row.tolist() if v[k] > 0] for row, v in zip(order, share, strict=True)]
+            yield {
+                "doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "lang_pred": [names[k[0]] if k else UNKNOWN for k in sets], "score": [float(v[k[0]]) if k else 0.0 for k, v in zip(sets, share, strict=True)],
+                "languages": [[names[j] for j in k] for k in sets], "shares": [[float(v[j]) for j in k] for k, v in zip(sets, share, strict=True)],
+            }
 
     return map_batches(texts(docs).withColumn("held_out", F.coalesce(is_held_out(F.col("doc_id"), FOLDS, HELD_OUT), F.lit(False))), run, RESULT)

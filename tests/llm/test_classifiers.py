@@ -156,8 +156,78 @@ def test_mixture_takes_the_larger_part(spark):
     assert all(got[k].lang_pred == ("en" if k % 2 else "es") for k in range(40))
 
 
+def slow_mixture(text, model, least_share=0.1):
+    """EM and the penalised choice of the set in plain loops."""
+    g = language.trigrams(text).tolist()
+    n = model.shape[1]
+
+    def em(share, steps):
+        for _ in range(steps):
+            got = [0.0] * n
+            for t in g:
+                w = [share[k] * float(model[t, k]) for k in range(n)]
+                for k in range(n):
+                    got[k] += w[k] / sum(w)
+            share = [x / len(g) for x in got]
+        return share, sum(np.log(sum(share[k] * float(model[t, k]) for k in range(n))) for t in g)
+
+    share, _ = em([1 / n] * n, 8)
+    own = [sum(np.log(float(model[t, k])) for t in g) for k in range(n)]
+    k = int(np.argmax(own))
+    best, chosen = own[k], {k: share[k]}
+    kept = [k for k in range(n) if share[k] >= min(least_share, max(share))]
+    while len(kept) > 1:
+        whole = sum(share[k] for k in kept)
+        share, like = em([share[k] / whole if k in kept else 0.0 for k in range(n)], 4)
+        if like - (len(kept) - 1) * np.log(len(g)) > best:
+            best, chosen = like - (len(kept) - 1) * np.log(len(g)), {k: share[k] for k in kept}
+        kept.remove(min(kept, key=lambda k: share[k]))
+    return chosen
+
+
+def test_mixture_equals_plain_loops():
+    r = random.Random(3)
+    letters = ["abcde", "defgh", "hijka", "lmnoa"]
+    say = lambda k, n: " ".join("".join(r.choices(letters[k], k=r.randint(2, 6))) for _ in range(n))
+    counts = np.stack([np.bincount(language.trigrams(say(k, 400)), minlength=language.BINS) for k in range(4)], 1) + 0.01
+    model = (counts / counts.sum(0)).astype(np.float32)
+    texts = [say(0, 20), f"{say(0, 30)} {say(1, 30)}", f"{say(0, 40)} {say(2, 30)} {say(3, 30)}", f"{say(1, 50)} {say(2, 4)}", "a", None, "..", " ".join(say(k, 25) for k in range(4))]
+    got = language.infer(texts, model)
+    for t, row in zip(texts, got, strict=True):
+        want = slow_mixture(t, model) if len(language.trigrams(t)) else {}
+        assert {k for k in range(4) if row[k] > 0} == set(want) and all(abs(row[k] - v) < 1e-3 for k, v in want.items()), (t, row, want)
+    assert (got[2] > 0).sum() == 3  # three languages, found beside the sets of four and two
+
+
 def test_language_corner_cases(spark):
     assert {r.lang_pred for r in language.identify(frame(spark, EDGES, clashing=True)).collect()} == {"en", "und"}
     assert language.identify(frame(spark, [])).count() == 0
     nothing = spark.createDataFrame([(1, "words", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in language.identify(nothing).collect()] == ["und"]
+    high = spark.createDataFrame([(1, "\U00030001\U00030002", "zh"), (2, "words", "en"), (None, "words", "en"), (2, "words", "en")], "doc_id long, text string, lang string")
+    assert sorted(r.lang_pred for r in language.identify(high).collect()) == ["en", "en", "en", "zh"]
+
+
+def test_very_long_texts(spark):
+    long = "some ordinary words in a row, said again and again. " * 40_000
+    docs = frame(spark, [long, long + "end", "short one"], clashing=True)
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(3)], "doc_id long, quality int, toxic int")
+    for rows in (quality.classify(docs, labels), toxicity.classify(docs, labels), language.identify(docs)):
+        assert rows.count() == 3
+
+
+def test_votes_equal_brute_force(spark):
+    """Cosines and votes of every document against all labelled vectors in plain loops."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    model = quality.fit(docs, labels, sample=200)
+    few = docs.where("doc_id % 40 = 0").select("doc_id", "text").toArrow().combine_chunks().to_batches()[0]
+    got = quality.votes(few, model, 25)
+    for k in range(few.num_rows):
+        _, bins, weights = quality.features(few.slice(k, 1))
+        x = sum((float(w) * model["basis"][int(b)].astype(float) for b, w in zip(bins, weights, strict=True)), np.zeros(model["basis"].shape[1]))
+        size = np.sqrt((x * x).sum())
+        cos = [float(x @ v) / size if size else 0.0 for v in model["vectors"].astype(float)]
+        near = sorted(range(len(cos)), key=lambda j: -cos[j])[:25]
+        w = [max(0.0, cos[j]) ** 2 for j in near]
+        want = (sum(a * float(model["label"][j]) for a, j in zip(w, near, strict=True)) + model["base"]) / (sum(w) + 1)
+        assert abs(got[k] - want) < 1e-3
