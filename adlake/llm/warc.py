@@ -49,54 +49,52 @@ RESPONSE = "page_id long, record_type string, record_id string, target_uri strin
 PAGE_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _DROPPED = ("script", "style", "noscript", "template", "svg", "title")
-_BLOCKS = set("br hr p div article section header footer nav main aside ul ol li dl dt dd table tr td th h1 h2 h3 h4 h5 h6 pre blockquote form figure body head html".split())
-_NAME = re.compile(r"/?[a-z][a-z0-9]*")
+_BLOCKS = "br hr p div article section header footer nav main aside ul ol li dl dt dd table tr td th h1 h2 h3 h4 h5 h6 pre blockquote form figure body head html".split()
+_OPENER = re.compile(rf"<!--|<({'|'.join(_DROPPED)})(?=[\s/>])", re.I)
+_CLOSER = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in _DROPPED}
+_BLOCK = re.compile(rf"</?(?:{'|'.join(_BLOCKS)})(?=[\s/>])[^>]*+>", re.I)
+_TAG, _ANCHOR, _HTML = re.compile(r"<[/!?A-Za-z][^>]*+>"), re.compile(r"<a\s[^>]*+>", re.I), re.compile(r"<html\s[^>]*+>", re.I)
 _LANG = re.compile(r"\slang\s*+=\s*+[\"']?([A-Za-z-]+)", re.I)
 _HREF = re.compile(r"\shref\s*+=\s*+[\"']?([^\"'\s>]+)", re.I)
 _SPACES, _LINES = re.compile(r"[^\S\n]+"), re.compile(r" ?\n[ \n]*")
-_LOWER = {k: k + 32 for k in range(65, 91)}
 
 
 def scan(page: str) -> tuple[str, str | None, str | None, int]:
-    """(text, title, language, links) of a page, in one forward scan: markup, comments and code dropped, blocks on lines of their own, entities
-    decoded last. What opens and never closes is only its tag; a '<' that no '>' follows is text."""
-    low, parts, at, last = page.translate(_LOWER), [], 0, page.rfind(">")
+    """(text, title, language, links) of a page: markup, comments and code dropped, blocks on lines of their own, entities decoded last. What
+    opens and never closes is only its tag; a '<' that no '>' follows is text. Every pattern is tried before the last '>' only, where it
+    must succeed, so no part is read again and again."""
+    last, parts, at = page.rfind(">") + 1, [], 0
     closers: dict[str, list[int]] = {}
-    title = lang = None
-    links, comment_end = 0, page.rfind("-->")
-    while 0 <= (here := page.find("<", at)) < last:
-        parts.append(page[at:here])
-        if low.startswith("<!--", here) and comment_end >= here + 4:
-            at = page.find("-->", here + 4) + 3
-            parts.append(" ")
-            continue
-        name = _NAME.match(low, here + 1)
-        if not name and low[here + 1 : here + 2] not in ("!", "?", "/"):
-            parts.append("<")
-            at = here + 1
-            continue
-        end, tag = page.find(">", here) + 1, name[0] if name else ""
-        if tag in _DROPPED:
+    comment_end = page.rfind("-->", 0, last)
+    title = None
+    while opener := _OPENER.search(page, at, last):
+        here, tag = opener.start(), (opener[1] or "").lower()
+        if not tag:
+            end = page.find("-->", here + 4) + 3 if comment_end >= here + 4 else 0
+        else:
             if tag not in closers:
-                closers[tag] = [m.start() for m in re.finditer(f"</{tag}(?=[\\s/>])", low)]
-            k = bisect.bisect_left(closers[tag], end)
-            close = closers[tag][k] if k < len(closers[tag]) else -1
-            if 0 <= close < last:
-                if tag == "title" and title is None:
-                    title = " ".join(html.unescape(page[end:close]).split())
-                parts.append(" ")
-                at = page.find(">", close) + 1
-                continue
-        elif tag.lstrip("/") in _BLOCKS:
-            parts.append("\n")
-            if tag == "html" and lang is None and (found := _LANG.search(page, here, end)):
-                lang = found[1].lower()
-        elif tag == "a" and _HREF.search(page, here, end):
-            links += 1
-        at = end
+                closers[tag] = [m.start() for m in _CLOSER[tag].finditer(page, 0, last)]
+            begin = page.find(">", here) + 1
+            k = bisect.bisect_left(closers[tag], begin)
+            end = page.find(">", closers[tag][k]) + 1 if k < len(closers[tag]) else 0
+            if end and tag == "title" and title is None:
+                title = " ".join(html.unescape(page[begin : closers[tag][k]]).split())
+        if end:
+            parts += (page[at:here], " ")
+            at = end
+        else:  # only a tag
+            end = page.find(">", here) + 1
+            parts.append(page[at:end])
+            at = end
     parts.append(page[at:])
-    text = html.unescape("".join(parts)).replace("\r", "\n")
-    return _LINES.sub("\n", _SPACES.sub(" ", text)).strip(), title, lang, links
+    rest = "".join(parts)
+    last = rest.rfind(">") + 1
+    marked, tail = rest[:last], rest[last:]
+    top = _HTML.search(marked)
+    lang = _LANG.search(top[0]) if top else None
+    links = sum(1 for m in _ANCHOR.finditer(marked) if _HREF.search(m[0]))
+    text = html.unescape(_TAG.sub("", _BLOCK.sub("\n", marked)) + tail).replace("\r", "\n")
+    return _LINES.sub("\n", _SPACES.sub(" ", text)).strip(), title, lang[1].lower() if lang else None, links
 
 
 def digest(data: bytes) -> str:
@@ -173,7 +171,7 @@ def derive(page_id: int | None, record_type: str | None, record_id: str | None,
     is_text = not kind or kind.lower().startswith(("text/", "application/xhtml"))
     plain = kind.lower().startswith("text/") and not kind.lower().startswith("text/html")
     page = body.decode(_charset(kind, body), "replace") if is_text else ""
-    text, title, lang, links = (page, None, None, 0) if plain else scan(page)
+    text, title, lang, links = (page, None, None, 0) if plain or not page else scan(page)
     found = [
         ("source-status", status),
         *((f"source-header-{_one_line(k).lower()}", _one_line(v)) for k, v in source),
@@ -203,39 +201,44 @@ def derive(page_id: int | None, record_type: str | None, record_id: str | None,
     return out
 
 
-def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", head: str = PAGE_HEAD) -> DataFrame:
-    """RESPONSE records of a table of pages (page_id, url, html)."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+def _responses(b, date: str, head: str) -> dict[str, list]:
+    """RESPONSE records of a batch of pages."""
+    url = [None if u is None else _one_line(u) for u in b.column("url").to_pylist()]
+    body = [_utf8(x or "") for x in b.column("html").to_pylist()]
+    digests, page_id = [digest(x) for x in body], b.column("page_id").to_pylist()
+    ids = [f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{p} {u} {d}')}>" for p, u, d in zip(page_id, url, digests, strict=True)]
+    n, start = len(body), _utf8(head + END)
+    return {
+        "page_id": page_id, "record_type": ["response"] * n, "record_id": ids, "target_uri": url, "warc_date": [date] * n,
+        "content_type": ["application/http; msgtype=response"] * n, "payload_digest": digests, "block": [start + x for x in body],
+    }
 
-    def run(batch):
-        for b in pieces(batch, "html", 8 << 20):
-            url = [None if u is None else _one_line(u) for u in b.column("url").to_pylist()]
-            body = [_utf8(x or "") for x in b.column("html").to_pylist()]
-            digests = [digest(x) for x in body]
-            ids = [f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{p} {u} {d}')}>" for p, u, d in zip(b.column("page_id").to_pylist(), url, digests, strict=True)]
-            n, start = len(body), _utf8(head + END)
-            yield {
-                "page_id": b.column("page_id"), "record_type": ["response"] * n, "record_id": ids, "target_uri": url, "warc_date": [date] * n,
-                "content_type": ["application/http; msgtype=response"] * n, "payload_digest": digests, "block": [start + x for x in body],
-            }
 
-    return map_batches(rows, run, RESPONSE)
+def _pages(pages: DataFrame) -> DataFrame:
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
 
 
-def convert(records: DataFrame) -> DataFrame:
-    """RECORDS: the metadata and the conversion record of every RESPONSE record."""
-    inputs, names = [c.split()[0] for c in RESPONSE.split(", ")], [c.split()[0] for c in RECORDS.split(", ")]
+_INPUTS, _NAMES = [c.split()[0] for c in RESPONSE.split(", ")], [c.split()[0] for c in RECORDS.split(", ")]
+
+
+def _derived(columns: dict[str, list]) -> dict[str, list]:
+    found = [r for x in zip(*(columns[c] for c in _INPUTS), strict=True) for r in derive(*x)]
+    return {c: [r[c] for r in found] for c in _NAMES}
 
-    def run(batch):
-        for b in pieces(batch, "block", 8 << 20):
-            found = [r for x in zip(*(b.column(c).to_pylist() for c in inputs), strict=True) for r in derive(*x)]
-            yield {c: [r[c] for r in found] for c in names}
 
-    return map_batches(records.select(*inputs), run, RECORDS)
+def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", head: str = PAGE_HEAD) -> DataFrame:
+    """RESPONSE records of a table of pages (page_id, url, html)."""
+    return map_batches(_pages(pages), lambda batch: (_responses(b, date, head) for b in pieces(batch, "html", 8 << 20)), RESPONSE)
+
+
+def convert(records: DataFrame) -> DataFrame:
+    """RECORDS: the metadata and the conversion record of every RESPONSE record."""
+    return map_batches(records.select(*_INPUTS), lambda batch: (_derived({c: b.column(c).to_pylist() for c in _INPUTS}) for b in pieces(batch, "block", 8 << 20)), RECORDS)
 
 
-def build(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
-    return convert(responses(pages, date))
+def build(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", head: str = PAGE_HEAD) -> DataFrame:
+    """convert(responses(pages)), in one go."""
+    return map_batches(_pages(pages), lambda batch: (_derived(_responses(b, date, head)) for b in pieces(batch, "html", 8 << 20)), RECORDS)
 
 
 def write(records: DataFrame, path: str, compression: str = "none") -> None:

@@ -39,6 +39,7 @@ def test_records_and_round_trip(spark, tmp_path):
         data = r.content.encode()
         assert r.content_length == len(data) and r.block_digest == sha1(data) and r.digest_check == "match"
         assert f"WARC-Refers-To: {r.refers_to}" in r.header and r.refers_to == by[r.page_id, "metadata"].refers_to
+    assert sorted(W.convert(W.responses(pages)).collect(), key=str) == sorted(rows, key=str)
     for compression, glob in (("none", "*.txt"), ("gzip", "*.gz")):
         W.write(built, str(tmp_path / compression), compression)
         back = W.read(spark, str(tmp_path / compression), glob).collect()
