@@ -7,11 +7,11 @@ it, what touches its edges). Boosted trees of depth two are fitted to counts of
 positive rows; candidates that no form of their kind allows (failed checksum of an undivided run, octets over 255, too few digits, an e-mail's unknown last label, prose around ' at ')
 the negative ones, and the rest is unlabelled. Every feature is binned, so there are at most half a million combinations, whatever the
 corpus; the trees become a CASE expression. On the half of the documents that the trees don't see, each kind's
-threshold is the lowest score whose precision is `precision`; candidates above it that don't overlap a base span, or a candidate of a
-higher score, are added.
+threshold is the lowest score whose precision is `precision`; candidates above it that don't overlap a base span are added. Of those that
+overlap each other, a sweep from the left keeps the one of the higher score (ties: the earlier, then the longer).
 
-No exchange: spans live in arrays beside their document (their offsets are added up in
-an array, in time that is quadratic, with a small factor, in a document's number of spans). Offsets are code points.
+No exchange: spans live in arrays beside their document. Offsets, overlaps and redaction are sweeps over sorted arrays in blocks of the root of
+their length (an array grows by copying), so n spans of a document cost n^1.5 small steps (32,000 take some ten seconds). Offsets are code points.
 
 Cases: null and empty texts have no spans; texts of one long run of digits or letters cost linear time; equal rows are judged alike;
 without positive or negative rows nothing is added; an empty table gives no rows; other columns are ignored (`redact` keeps them).
@@ -85,10 +85,33 @@ def _valid(kind: str, v: Column) -> Column:
     return {"email": lambda: F.lit(True), "ip": lambda: _octets(v), "card": lambda: _digits(v).between(14, 19) & _luhn(v), "phone": lambda: _digits(v).between(10, 15)}[kind]()
 
 
+def _scan(items: Column, state: Column, step, kind: str) -> Column:
+    """step(state, x) -> (next state, y) over the items in order; the array of the ys (of type `kind`). In blocks, as appending copies an array."""
+    none, nested = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+    once = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))  # noqa: E731  (an expression named in a lambda is computed once)
+
+    def one(a: Column, x: Column) -> Column:
+        next_, y = step(a["state"], x)
+        return F.struct(next_.alias("state"), F.array_append(a["out"], y).alias("out"))
+
+    def whole(it: Column) -> Column:
+        n = F.size(it)
+        block = F.greatest(F.ceil(F.sqrt(n.cast("double"))).cast("int"), F.lit(1))
+        begins = F.when(n > 0, F.sequence(F.lit(1), n, block)).otherwise(F.array().cast("array<int>"))
+
+        def many(a: Column, at: Column) -> Column:
+            done = F.aggregate(F.slice(it, at, block), F.struct(a["state"].alias("state"), none.alias("out")), one)
+            return once(done, lambda d: F.struct(d["state"].alias("state"), F.array_append(a["out"], d["out"]).alias("out")))
+
+        return F.aggregate(begins, F.struct(state.alias("state"), nested.alias("out")), many, lambda a: F.flatten(a["out"]))
+
+    return once(items, whole)
+
+
 def _starts(found: str, gaps: str) -> Column:
     """Where each match begins: what lies between matches and the matches themselves, added up."""
-    step = lambda a, i: F.array_append(a, F.get(a, F.size(a) - 1) + F.length(F.get(found, i)) + F.length(F.get(gaps, i + 1)))
-    return F.when(F.size(found) > 0, F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), F.array(F.length(F.get(gaps, 0))), step))
+    steps = F.transform(found, lambda v, i: F.length(F.get(gaps, i)) + F.when(i > 0, F.length(F.get(found, i - 1))).otherwise(0))
+    return _scan(steps, F.lit(0), lambda a, x: (a + x, a + x), "int")
 
 
 def _spans(kind: str, found: str, gaps: str, starts: str, base: bool) -> Column:
@@ -111,8 +134,18 @@ def candidates(docs: DataFrame, *carried: str) -> DataFrame:
     valid = [F.filter(f"b_{k}", partial(lambda kind, x: _valid(kind, x["v"]), k)) for k in KINDS]
     split = F.transform("l_digits", lambda x: x.withField("kind", F.when(_digits(x["v"]) >= 13, "card").otherwise("phone")))
     both = spans.select(*keep, F.concat(*valid).alias("base"), F.concat("l_email", "l_ip", split, *[f"b_{k}" for k in KINDS]).alias("l"))
-    apart = lambda x: ~F.exists("base", lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
-    return both.select(*keep, "base", F.when(F.size("l") > 0, F.filter("l", apart)).otherwise(F.array().cast(SPAN)).alias("loose"))
+    return both.select(*keep, "base", F.when((F.size("l") > 0) & (F.size("base") > 0), _apart("l", "base")).otherwise(F.col("l")).alias("loose"))
+
+
+def _apart(loose: str, base: str) -> Column:
+    """The loose spans that overlap no base span: by the furthest end of base spans that begin before them (or with them), and, from the right, the next one's beginning."""
+    item = lambda own: lambda x: F.struct(x["s"].alias("s"), F.lit(own).alias("own"), x["e"].alias("e"), x.alias("x"), F.lit(False).alias("hit"))
+    kind = f"struct<s:int,own:int,e:int,x:{SPAN[6:-1]},hit:boolean>"
+    by_start = F.array_sort(F.concat(F.transform(base, item(0)), F.transform(loose, item(1))).cast(f"array<{kind}>"))
+    marked = lambda x, hit: x.withField("hit", x["hit"] | hit)
+    left = _scan(by_start, F.lit(-1), lambda end, x: (F.when(x["own"] == 0, F.greatest(end, x["e"])).otherwise(end), marked(x, (x["own"] == 1) & (end > x["s"]))), kind)
+    right = _scan(F.reverse(left), F.lit(2**31 - 1), lambda start, x: (F.when(x["own"] == 0, x["s"]).otherwise(start), marked(x, (x["own"] == 1) & (start < x["e"]))), kind)
+    return F.transform(F.filter(right, lambda x: (x["own"] == 1) & ~x["hit"]), lambda x: x["x"]).cast(SPAN)
 
 
 def _form(x: Column) -> Column:
@@ -216,7 +249,7 @@ def fit(found: DataFrame, trees: int = 24, rate: float = 0.3, precision: float =
 
 
 def added(model: dict) -> Column:
-    """The loose candidates that pass, each not overlapped by one of a higher score (ties: the earlier, then the longer)."""
+    """The loose candidates that pass; of those that overlap, the sweep's survivor."""
     if not model["limits"]:
         return F.array().cast(SPAN)
 
@@ -228,13 +261,20 @@ def added(model: dict) -> Column:
         return out
 
     limit = lambda x: F.coalesce(*[F.when(x["kind"] == k, v) for k, v in model["limits"].items()], F.lit(float("inf")))
-    scored = F.transform(F.filter("loose", lambda x: ~_impossible(x)), lambda x: F.struct((-margin(x)).alias("m"), x["s"].alias("s"), (-x["e"]).alias("e"), x.alias("x")))
-    passing = F.array_sort(F.filter(scored, lambda c: -c["m"] >= limit(c["x"])))
-    return F.aggregate(
-        passing,
-        F.array().cast(SPAN),
-        lambda a, c: F.when(F.exists(a, lambda y: (y["s"] < c["x"]["e"]) & (c["x"]["s"] < y["e"])), a).otherwise(F.concat(a, F.array(c["x"])).cast(SPAN)),
-    )
+    kind = f"struct<s:int,e:int,m:double,x:{SPAN[6:-1]}>"
+    scored = F.transform(F.filter("loose", lambda x: ~_impossible(x)), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), margin(x).alias("m"), x.alias("x"))).cast(f"array<{kind}>")
+    passing = F.array_sort(F.filter(scored, lambda c: c["m"] >= limit(c["x"])))
+    nothing = F.lit(None).cast(kind)
+
+    def step(best: Column, c: Column) -> tuple[Column, Column]:
+        """best: the survivor so far. It goes out when a candidate begins at its end or later."""
+        over = best.isNotNull() & (c["s"] < -best["e"])
+        return F.when(over & (best["m"] >= c["m"]), best).otherwise(c), F.when(~over, best).otherwise(nothing)
+
+    # a last item, beyond all, sends the last survivor out
+    beyond = F.struct(F.lit(2**31 - 1).alias("s"), F.lit(0).alias("e"), F.lit(0.0).alias("m"), F.lit(None).cast(SPAN[6:-1]).alias("x")).cast(kind)
+    kept = _scan(F.concat(passing, F.array(beyond)), nothing, step, kind)
+    return F.transform(F.filter(kept, lambda c: c.isNotNull()), lambda c: c["x"]).cast(SPAN)
 
 
 def _joined(spans: Column) -> Column:
@@ -255,17 +295,31 @@ def redact(docs: DataFrame) -> DataFrame:
     """docs with every span, merged where they overlap, written as [KIND] of its first part; n_chars, if there, follows."""
     named = docs.select("doc_id", F.struct(*docs.columns).alias("row__"), "text")
     found = checkpointed(candidates(named, "row__"))
-    spans = F.array_sort(F.transform(F.concat("base", added(fit(found))), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), x["kind"].alias("kind"))))
-    out = found.select("row__", spans.alias("spans"))
-    text = F.col("row__.text")
-    piece = lambda a, x: F.concat(a["out"], F.substring(text, a["at"] + 1, x["s"] - a["at"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))
-    walk = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, x: F.struct(F.greatest(a["at"], -x["e"]).alias("at"), F.when(x["s"] >= a["at"], piece(a, x)).otherwise(a["out"]).alias("out")),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))),
-    )
-    clean = F.when(F.size("spans") > 0, walk).otherwise(text)
+    kind = "struct<s:int,e:int,kind:string>"
+    spans = F.array_sort(F.transform(F.concat("base", added(fit(found))), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), x["kind"].alias("kind"))).cast(f"array<{kind}>"))
+    # where spans overlap, what follows is written to the furthest end so far: a span's own piece begins there, and a span within another has no sign
+    piece = "struct<from:int,s:int,e:int,kind:string>"
+
+    def step(end: Column, x: Column) -> tuple[Column, Column]:
+        far = F.greatest(end, -x["e"])
+        return far, F.struct(end.alias("from"), F.greatest(end, x["s"]).alias("s"), far.alias("e"), F.when(x["s"] >= end, x["kind"]).alias("kind"))
+
+    out = found.select("row__", spans.alias("spans")).select("row__", F.when(F.size("spans") > 0, _scan(F.col("spans"), F.lit(0), step, piece)).alias("p"))
+    text, n = F.col("row__.text"), F.size("p")
+    block = F.greatest(F.ceil(F.sqrt(n.cast("double"))).cast("int"), F.lit(1))
+
+    def written(at: Column) -> Column:
+        """A block of pieces: cut out of the text once, and each then out of the block."""
+        part = F.slice("p", at, block)
+        bounds = F.struct(F.get(part, F.lit(0))["from"].alias("lo"), F.get(part, F.size(part) - 1)["e"].alias("hi"), part.alias("part"))
+        cut = lambda b: F.struct(F.substring(text, b["lo"] + 1, b["hi"] - b["lo"]).alias("t"), b["lo"].alias("lo"), b["part"].alias("part"))
+        sign = lambda x: F.when(x["kind"].isNotNull(), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))).otherwise("")
+        line = lambda c: F.array_join(F.transform(c["part"], lambda x: F.concat(F.substring(c["t"], x["from"] - c["lo"] + 1, x["s"] - x["from"]), sign(x))), "")
+        return F.get(F.transform(F.transform(F.array(bounds), cut), line), F.lit(0))
+
+    begins = F.sequence(F.lit(1), n, block)
+    tail = F.get("p", n - 1)["e"]
+    clean = F.when(n > 0, F.concat(F.array_join(F.transform(begins, written), ""), F.substring(text, tail + 1, F.length(text)))).otherwise(text)
     done = out.select(F.col("row__").alias("row__"), clean.alias("clean__"))
     number = lambda c: F.length("clean__").cast("long").alias(c) if c == "n_chars" else F.col(f"row__.{c}")
     return done.select(*[F.col("clean__").alias("text") if c == "text" else number(c) for c in docs.columns])

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from adlake.llm import pii as P
 
 from .fixtures import EDGES, frame
@@ -71,3 +73,24 @@ def test_redact(spark):
 
 def test_empty_table(spark):
     assert P.detect(frame(spark, [])).count() == 0
+
+
+def test_many_spans_in_one_text(spark):
+    """Sweeps over 20,000 spans: offsets, overlaps and redaction equal the plain loops."""
+    r = random.Random(4)
+    parts = [r.choice(["a{}@b.de", "+1 555 123 {:04d}", "10.0.0.{}", "x{} [at] h [dot] org", "é🙂"]).format(r.randrange(200)) for _ in range(20_000)]
+    docs = frame(spark, [" , ".join(parts), "so a [at] b [dot] zz or 300.1.1.1"])
+    got = {x.doc_id: x for x in P.detect(docs).collect()}
+    want = brute(" , ".join(parts))
+    assert got[0].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest() and set(want) <= set(got[0].spans.split(","))
+    text, spans, out, at = " , ".join(parts), sorted((int(s), -int(e), k) for k, s, e in (x.split(":") for x in got[0].spans.split(","))), [], 0
+    for s, e, k in spans:
+        if s >= at:
+            out.append(f"{text[at:s]}[{k.upper()}]")
+        at = max(at, -e)
+    assert {x.doc_id: x.text for x in P.redact(docs).collect()}[0] == "".join(out) + text[at:]
+
+
+def test_null_and_repeated_ids(spark):
+    docs = frame(spark, ["a@b.de", "a@b.de", None]).withColumn("doc_id", F.lit(None).cast("long"))
+    assert sorted(x.n_email for x in P.detect(docs).collect()) == [0, 1, 1] and P.redact(docs).count() == 3
