@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,10 +35,33 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+_made: list[list[str]] = []  # tables written within scratch(), innermost last
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that checkpointed() writes within go at the end; for work whose result is written before that."""
+    made: list[str] = []
+    _made.append(made)
+    try:
+        yield
+    finally:
+        _made.remove(made)
+        for path in made:
+            delete(spark, path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a table written to the shared folder."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/adlake-{uuid.uuid4().hex}"
+    if _made:
+        _made[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -54,3 +54,26 @@ def test_stages(spark, corpus, tmp_path):
     assert not any(re.search(pii.BASE["phone"], r.text or "") for r in clean.values())
     whole = spark.read.parquet(str(tmp_path / "4"))
     assert sorted(map(tuple, C.run(spark, d).select("doc_id", "start", "length", "ids_crc32").collect())) == sorted(map(tuple, whole.select("doc_id", "start", "length", "ids_crc32").collect()))
+
+
+def test_stages_keep_clashing_columns_and_empty_tables(spark, corpus):
+    d, _ = corpus
+    for texts in ([], ["", None, "some words of one text that is kept whole", "other words"]):
+        docs = frame(spark, texts, clashing=True)
+        for k, (_, stage) in enumerate(C.STAGES[:-1]):
+            out = stage(spark, docs, d)
+            assert out.columns == docs.columns and out.count() <= len(texts), k
+        assert C.STAGES[-1][1](spark, docs, d).select("doc_id").distinct().count() == len(texts)
+
+
+def test_run_leaves_one_table_behind(spark, corpus, tmp_path):
+    import os
+
+    d, _ = corpus
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert C.run(spark, d).count() > 0
+    finally:
+        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+    assert [os.listdir(tmp_path / x) for x in os.listdir(tmp_path)] == [["3"]]
