@@ -39,10 +39,11 @@ def measured(docs: DataFrame, *carried: str) -> DataFrame:
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(WORD))
     at = lambda i: F.get("w", i)
     grams = F.when(F.size("w") >= 3, F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.xxhash64(at(i), at(i + 1), at(i + 2)))).otherwise(F.array().cast("array<long>"))
-    hashed = words.select("doc_id", *carried, F.size("w").alias("n_words"), F.length(F.array_join("w", "")).alias("word_chars"), F.regexp_count("t", F.lit(SYMBOL)).alias("n_symbols"), lines.alias("lines"), grams.alias("g"))
-    placed = F.sort_array(F.transform("g", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    hashed = words.select("doc_id", *carried, F.size("w").alias("n_words"), F.length(F.array_join("w", "")).alias("word_chars"), F.regexp_count("t", F.lit(SYMBOL)).alias("n_symbols"), lines.alias("lines"), grams.alias("g"), "w")
+    # windows of one hash lie together by their words, so only equal words count as a repeat
+    placed = F.sort_array(F.transform("g", lambda h, i: F.struct(F.struct(h.alias("h"), at(i).alias("a"), at(i + 1).alias("b"), at(i + 2).alias("c")).alias("k"), i.alias("i"))))
     again = hashed.select("doc_id", *carried, "n_words", "word_chars", "n_symbols", F.size("lines").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"), F.when(F.size(F.array_distinct("g")) < F.size("g"), placed).alias("p"))
-    twin = lambda x, k: (x["h"] == F.get("p", k - 1)["h"]) | (x["h"] == F.get("p", k + 1)["h"])
+    twin = lambda x, k: (x["k"] == F.get("p", k - 1)["k"]) | (x["k"] == F.get("p", k + 1)["k"])
     places = F.sort_array(F.transform(F.filter("p", twin), lambda x: x["i"]))
     covered = F.aggregate(
         places,
