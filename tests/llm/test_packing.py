@@ -60,3 +60,12 @@ def test_cut_adds_up(n, cuts):
 
 def test_empty_table(spark):
     assert P.pack(frame(spark, [])).count() == 0
+
+
+def test_ids_of_the_whole_table_equal_the_json_tokenizers():
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()
+    tok, fast = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), P.encoder()
+    for t in texts:
+        assert tok.encode(t or "", add_special_tokens=False).ids == fast.encode(t or "", allowed_special={P.SPECIAL}), t
