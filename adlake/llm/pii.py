@@ -3,18 +3,19 @@
 Generators propose spans in every whole text: the base patterns (e-mail, ip, card, phone; their valid matches always stay), and looser
 ones with high recall (written-out e-mails, spaced or bracketed ips, digit runs with separators), which overlap each other and the
 base. Each candidate gets format features (digits, groups, letters, separators, checksum, octets) and context ones (cue words before
-it, what touches its edges). Boosted trees of depth two are fitted to counts of feature combinations: base spans are the
+it, what touches its edges). Of each kind, boosted trees of depth two are fitted to counts of feature combinations: base spans are the
 positive rows; candidates that no form of their kind allows (failed checksum of an undivided run, octets over 255, too few digits, an e-mail's unknown last label, prose around ' at ')
-the negative ones, and the rest is unlabelled. Every feature is binned, so there are at most half a million combinations, whatever the
-corpus; the trees become a CASE expression. On the half of the documents that the trees don't see, each kind's
-threshold is the lowest score whose precision is `precision`; candidates above it that don't overlap a base span are added. Of those that
+the negative ones, and the rest is unlabelled. Every feature is binned, so the combinations are bounded (some hundred thousand for each kind, half of
+the documents and label), whatever the corpus; the trees become a CASE expression. On the half of the documents that the trees don't see, each kind's
+threshold is the lowest score whose precision is `precision` (half-way to the next lower score seen); a phone's leading plus, which the base
+pattern demands, is no feature, so that numbers without it can pass. Candidates above it that don't overlap a base span are added. Of those that
 overlap each other, a sweep from the left keeps the one of the higher score (ties: the earlier, then the longer).
 
 No exchange: spans live in arrays beside their document. Offsets, overlaps and redaction are sweeps over sorted arrays in blocks of the root of
 their length (an array grows by copying), so n spans of a document cost n^1.5 small steps (32,000 take some ten seconds). Offsets are code points.
 
 Cases: null and empty texts have no spans; texts of one long run of digits or letters cost linear time; equal rows are judged alike;
-without positive or negative rows nothing is added; an empty table gives no rows; other columns are ignored (`redact` keeps them).
+a kind without base spans in both halves adds nothing, one without negative rows all its possible candidates; an empty table gives no rows; other columns are ignored (`redact` keeps them).
 """
 
 from __future__ import annotations
@@ -59,9 +60,12 @@ LOOSE = {
     "ip": (r"(?<![0-9])[0-9]{1,3}+(?:(?:\[\.\]|\(\.\)|\[dot\]| \. ?|\. )[0-9]{1,3}+){3}", r"t RLIKE '[0-9](?:\\[|\\(| ?\\. ?)'"),
     "digits": (r"(?<![0-9])[(+]{0,2}[0-9](?:[\x20().\-/]{0,2}[0-9]){6,24}+", r"t RLIKE '[0-9](?:[\\x20().\\-/]{0,2}[0-9]){6}'"),
 }
+#: Dates (year first or last), with a time or a second date behind, and spans of years.
+_DATE = r"^(?:19|20)[0-9]{2}[-/. ]{1,2}[0-9]{1,2}[-/. ]{1,2}[0-9]{1,2}(?:[^0-9].*)?$|^[0-9]{1,2}[-/. ]{1,2}[0-9]{1,2}[-/. ]{1,2}(?:19|20)[0-9]{2}(?:[^0-9].*)?$|^(?:19|20)[0-9]{2}[-/ ]{1,2}(?:19|20)[0-9]{2}$"
 CUES = {"1": "tel|phone|call|mobile|fax|whatsapp", "2": "mail|contact|write", "3": "card|visa|credit|payment|master", "4": r"\bip\b|host|server|addr"}
 SPAN = "array<struct<kind:string,s:int,e:int,v:string,pre:string,post:string,base:boolean>>"
-FEATURES = ["digits", "groups", "letters", "plus", "luhn", "octets", "dots", "seps", "cue", "edge", "form"]
+#: Of features that part the sample equally well, trees take the first: what a form demands goes before what a corpus happens to share.
+FEATURES = ["form", "luhn", "octets", "cue", "edge", "digits", "groups", "letters", "dots", "seps"]
 
 
 def _luhn(v: Column) -> Column:
@@ -149,10 +153,12 @@ def _apart(loose: str, base: str) -> Column:
 
 
 def _form(x: Column) -> Column:
-    """Of an e-mail: 1 with an unknown last label, 2 as prose (a word of _PROSE before ' at ', or a sentence's end among the labels), else 0."""
-    v = x["v"]
+    """What speaks against a candidate's form, else 0. An e-mail: 1 with an unknown last label, 2 as prose (a word of _PROSE before ' at ', or a sentence's
+    end among the labels); a phone: 1 as a bare run of digits, a date or a span of years, 2 with too few or too many."""
+    v, n = x["v"], _digits(x["v"])
+    phone = F.when(~n.between(7, 15), 2).when(v.rlike(f"^[0-9]+$|{_DATE}"), 1).otherwise(0)
     prose = v.rlike(f"(?i)^(?:{_PROSE}) at ") | v.rlike(r"[^ ]\. ")
-    return F.when(x["kind"] != "email", 0).when(prose, 2).when(~v.rlike(f"(?i)[^a-z0-9-](?:{LABELS}|xn--[a-z0-9-]+)$"), 1).otherwise(0)
+    return F.when(x["kind"] == "phone", phone).when(x["kind"] != "email", 0).when(prose, 2).when(~v.rlike(f"(?i)[^a-z0-9-](?:{LABELS}|xn--[a-z0-9-]+)$"), 1).otherwise(0)
 
 
 def _features(x: Column) -> dict[str, Column]:
@@ -161,29 +167,29 @@ def _features(x: Column) -> dict[str, Column]:
     for k, words in CUES.items():
         cue = F.when(F.lower(x["pre"]).rlike(words), int(k)).otherwise(cue)
     letters = F.regexp_count(v, F.lit("[A-Za-z]"))
-    return {
-        "digits": F.least(_digits(v), F.lit(20)),
-        "groups": F.least(F.regexp_count(v, F.lit("[0-9]+")), F.lit(6)),
+    number = lambda c: F.when(x["kind"] == "email", 0).otherwise(c)  # noqa: E731  (an e-mail's digits and blanks say nothing)
+    found = {
+        "digits": number(F.least(_digits(v), F.lit(20))),
+        "groups": number(F.least(F.regexp_count(v, F.lit("[0-9]+")), F.lit(6))),
         "letters": F.when(letters == 0, 0).when(letters < 6, 1).otherwise(2),
-        "plus": v.startswith("+").cast("int"),
         "luhn": _luhn(v).cast("int"),
         "octets": _octets(v).cast("int"),
         "dots": F.least(F.regexp_count(v, F.lit(r"\.|dot")), F.lit(3)),
-        "seps": F.when(x["kind"] == "email", 0).otherwise(F.least(F.regexp_count(v, F.lit(r"[\x20()/-]+")), F.lit(4))),  # written-out e-mails have no base form to learn from
+        "seps": number(F.least(F.regexp_count(v, F.lit(r"[\x20()/-]+")), F.lit(4))),
         "cue": cue,
         "edge": x["pre"].rlike("[A-Za-z0-9]$").cast("int") + 2 * x["post"].rlike("^[A-Za-z0-9]").cast("int"),
         "form": _form(x),
     }
+    return {k: found[k] for k in FEATURES}
 
 
 def _impossible(x: Column) -> Column:
     """Candidates that no form of their kind allows."""
-    v, n = x["v"], _digits(x["v"])
+    v = x["v"]
     return (
         ((x["kind"] == "card") & ~_luhn(v))
         | ((x["kind"] == "ip") & ~_octets(v))
-        | ((x["kind"] == "email") & (_form(x) > 0))
-        | ((x["kind"] == "phone") & (~n.between(7, 15) | v.rlike("^[0-9]+$")))
+        | (_form(x) > 0)
     )
 
 
@@ -223,47 +229,50 @@ def fit(found: DataFrame, trees: int = 24, rate: float = 0.3, precision: float =
     kind = F.array_position(F.array(*map(F.lit, KINDS)), F.col("r.x.kind")).cast("int") - 1
     counts = rows.select("fold", kind.alias("kind"), F.col("r.y").alias("y"), *[c.alias(k) for k, c in _features(F.col("r.x")).items()]).groupBy("fold", "kind", "y", *FEATURES).agg(F.count("*").alias("n"))
     got = np.array([tuple(r) for r in counts.collect()], np.int64).reshape(-1, 4 + len(FEATURES))
-    fold, y, n = got[:, 0], got[:, 2], got[:, -1].astype(float)
-    f = np.concatenate([got[:, 1:2], got[:, 3:-1]], 1)
-    model = {"trees": [], "start": 0.0, "limits": {}}
-    seen = fold == 0
-    if not (seen & (y == 1)).any() or not (seen & (y == 0)).any():
-        return model
-    rate_of = np.average(y[seen], weights=n[seen])
-    model["start"] = float(np.log(rate_of / (1 - rate_of)))
-    margin = np.full(len(f), model["start"])
-    for _ in range(trees):
-        p = 1 / (1 + np.exp(-margin))
-        tree = _tree(f[seen], ((y - p) * n)[seen], (p * (1 - p) * n)[seen], 2)
-        margin += rate * _apply(tree, f)
-        model["trees"].append(tree)
-    model["rate"] = rate
-    for k, name in enumerate(KINDS):
-        own = ~seen & (f[:, 0] == k)
-        order = np.argsort(-margin[own], kind="stable")
-        m, good, all_ = margin[own][order], (y * n)[own][order].cumsum(), n[own][order].cumsum()
-        ok = np.flatnonzero((good / np.maximum(all_, 1) >= precision) & np.append(m[1:] < m[:-1], True)) if len(m) else []
-        if len(ok) and good[ok[-1]]:
-            model["limits"][name] = float(max(0.0, m[ok[-1]]))
+    model: dict = {}
+    for number, name in enumerate(KINDS):
+        own = got[got[:, 1] == number]
+        fold, y, n, f = own[:, 0], own[:, 2], own[:, -1].astype(float), own[:, 3:-1]
+        seen = fold == 0
+        good, bad = n[seen & (y == 1)].sum(), n[seen & (y == 0)].sum()
+        if not good or not n[~seen & (y == 1)].sum():
+            continue
+        start = float(np.log((good + 1) / (bad + 1)))
+        margin, grown = np.full(len(f), start), []
+        for _ in range(trees if bad else 0):
+            p = 1 / (1 + np.exp(-margin))
+            tree = _tree(f[seen], ((y - p) * n)[seen], (p * (1 - p) * n)[seen], 2)
+            margin += rate * _apply(tree, f)
+            grown.append(tree)
+        order = np.flatnonzero(~seen)[np.argsort(-margin[~seen], kind="stable")]
+        m, right, all_ = margin[order], (y * n)[order].cumsum(), n[order].cumsum()
+        ok = np.flatnonzero((right / all_ >= precision) & np.append(m[1:] < m[:-1], True))
+        if len(ok) and right[ok[-1]]:
+            # any limit down to the next lower score has that precision: the middle, so that forms near the known ones pass
+            last, below = m[ok[-1]], m[m < m[ok[-1]]]
+            limit = float((last + below[0]) / 2 if len(below) else last - 1)
+            model[name] = {"start": start, "rate": rate, "trees": grown, "limit": max(0.0, limit)}
     return model
 
 
 def added(model: dict) -> Column:
     """The loose candidates that pass; of those that overlap, the sweep's survivor."""
-    if not model["limits"]:
+    if not model:
         return F.array().cast(SPAN)
 
     def margin(x: Column) -> Column:
-        feature = [F.array_position(F.array(*map(F.lit, KINDS)), x["kind"]).cast("int") - 1, *_features(x).values()]
-        out = F.lit(model["start"])
-        for t in model["trees"]:
-            out = out + F.lit(model["rate"]) * _expression(t, feature)
+        """How far the candidate's score is over its kind's limit."""
+        feature, out = list(_features(x).values()), F.lit(-1.0)
+        for name, own in model.items():
+            total = F.lit(own["start"] - own["limit"])
+            for t in own["trees"]:
+                total = total + F.lit(own["rate"]) * _expression(t, feature)
+            out = F.when(x["kind"] == name, total).otherwise(out)
         return out
 
-    limit = lambda x: F.coalesce(*[F.when(x["kind"] == k, v) for k, v in model["limits"].items()], F.lit(float("inf")))
     kind = f"struct<s:int,e:int,m:double,x:{SPAN[6:-1]}>"
     scored = F.transform(F.filter("loose", lambda x: ~_impossible(x)), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), margin(x).alias("m"), x.alias("x"))).cast(f"array<{kind}>")
-    passing = F.array_sort(F.filter(scored, lambda c: c["m"] >= limit(c["x"])))
+    passing = F.array_sort(F.filter(scored, lambda c: c["m"] >= 0))
     nothing = F.lit(None).cast(kind)
 
     def step(best: Column, c: Column) -> tuple[Column, Column]:
