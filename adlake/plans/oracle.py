@@ -139,7 +139,7 @@ ORACLES = {
         """SELECT id_ad AS source_ad_id, url_ad AS url, 'otomoto.pl' AS source_name, 'PL' AS country_code, title, CAST(NULL AS VARCHAR) AS description, strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS posted_on_source_at,
         CAST(price AS VARCHAR) AS price, 'PLN' AS currency, make_name AS make_str, model_name AS model_str, version AS version_str, CAST(NULL AS VARCHAR) AS generation_str, year, mileage, fuel_type AS fuel_type_str,
         CAST(NULL AS INTEGER) AS engine_capacity_cm3, CAST(NULL AS INTEGER) AS engine_power_hp, gearbox AS gearbox_str, CAST(NULL AS VARCHAR) AS transmission_str, CAST(NULL AS VARCHAR) AS color_str,
-        city AS city_str, region AS region_str, CAST(NULL AS VARCHAR) AS seller_link, CAST([] AS VARCHAR[]) AS image_urls FROM ads""",
+        city AS city_str, region AS region_str, CAST(NULL AS VARCHAR) AS seller_link, '[]' AS image_urls FROM ads""",
     ),
     "ingest_metrics": _of(ADS, _PAGES, "SELECT CAST(count(*) + count(*) FILTER (page % 10 = 9) + count(*) FILTER (page % 7 = 3) AS BIGINT) AS pages, count(*) FILTER (page % 10 = 9) AS errors, count(*) FILTER (page % 7 = 3) AS retries, (SELECT count(*) FROM ads) AS items FROM pages"),
     "kafka_envelope": _of(

@@ -232,7 +232,8 @@ def responses(spark, d) -> DataFrame:
 
 
 def graphql_flatten(spark, d):
-    return I.flatten(I.parse(responses(spark, d))).drop("scraped_at")
+    flat = I.flatten(I.parse(responses(spark, d))).drop("scraped_at")
+    return flat.withColumn("image_urls", F.to_json("image_urls"))
 
 
 def ingest_metrics(spark, d):
