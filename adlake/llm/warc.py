@@ -14,7 +14,9 @@ Markup is scanned once, forwards: closers are looked up in lists made once, so u
 
 Cases: a null block or HTML is an empty payload with an empty conversion; a null URI leaves the target header out; equal rows with an equal
 page_id give equal records; a payload that is no text (by its content type) has a metadata record only; a head without an end is all head; broken chunks or
-compression leave the bytes as they are; very long pages are one record; an empty table gives no rows; other columns are ignored.
+compression leave the bytes as they are, and so does compression that unpacks to more than MOST_UNPACKED bytes; a record without an identifier refers to
+nothing, and its derivatives are named by its URI, date and block; a Content-Length that is no whole number is as good as none; very long pages are one
+record; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from __future__ import annotations
 import base64
 import bisect
 import codecs
-import gzip
 import hashlib
 import html
 import re
@@ -47,6 +48,8 @@ VERSION, END = "WARC/1.1", "\r\n\r\n"
 RESPONSE = "page_id long, record_type string, record_id string, target_uri string, warc_date string, content_type string, payload_digest string, block binary"
 #: The head that stands for the one a table of pages doesn't have.
 PAGE_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
+#: No page unpacks to more; one packed to do so would else take a worker's memory.
+MOST_UNPACKED = 256 << 20
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _DROPPED = ("script", "style", "noscript", "template", "svg", "title")
 _BLOCKS = "br hr p div article section header footer nav main aside ul ol li dl dt dd table tr td th h1 h2 h3 h4 h5 h6 pre blockquote form figure body head html".split()
@@ -125,25 +128,48 @@ def _fields(lines: list[str]) -> list[tuple[str, str]]:
     return out
 
 
+_HEX = re.compile(rb"[ \t]*([0-9A-Fa-f]{1,15})[ \t]*(?:;|$)")
+
+
 def _dechunked(body: bytes) -> bytes:
     out, at = [], 0
     while (end := body.find(b"\r\n", at)) >= 0:
-        size = int(body[at:end].split(b";")[0], 16)
+        line = _HEX.match(body, at, end)
+        if not line:
+            raise ValueError("a chunk's size is no hexadecimal number")
+        size, begin = int(line[1], 16), end + 2
         if not size:
             return b"".join(out)
-        out.append(body[end + 2 : end + 2 + size])
-        at = end + 4 + size
+        if begin + size > len(body):
+            raise ValueError("a chunk is cut off")
+        out.append(body[begin : begin + size])
+        at = begin + size + 2
     raise ValueError("chunks without an end")
 
 
+def _unpacked(body: bytes, wbits: int) -> bytes:
+    """All members of a compressed body, as long as they come to no more than MOST_UNPACKED bytes."""
+    out, room = [], MOST_UNPACKED
+    while body:
+        d = zlib.decompressobj(wbits)
+        out.append(d.decompress(body, room + 1))
+        room -= len(out[-1])
+        if room < 0 or not d.eof:
+            raise ValueError("cut off, or too long")
+        body = d.unused_data if wbits > 15 else b""
+        if out and body.strip(b"\0") == b"":  # padding after the last member
+            break
+    return b"".join(out)
+
+
 def _decoded(body: bytes, fields: dict[str, str]) -> bytes:
     """The body without its transfer and content codings; as it is, where they are broken or unknown."""
     try:
         if "chunked" in fields.get("transfer-encoding", "").lower():
             body = _dechunked(body)
         coding = fields.get("content-encoding", "").lower()
-        return gzip.decompress(body) if "gzip" in coding else zlib.decompress(body) if "deflate" in coding else body
-    except (ValueError, OSError, EOFError, zlib.error):
+        return _unpacked(body, 31) if "gzip" in coding else _unpacked(body, 15) if "deflate" in coding else body
+    except (ValueError, zlib.error):
         return body
 
 
@@ -186,10 +212,10 @@ def derive(page_id: int | None, record_type: str | None, record_id: str | None,
     blocks = [("metadata", "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in found if v is not None))]
     if is_text:
         blocks.append(("conversion", "text/plain; charset=utf-8", text))
-    out = []
+    out, source_id = [], record_id if record_id is not None else f"{uri} {date} {digest(block)}"
     for type_, mime, content in blocks:
         data = _utf8(content)
-        new = f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{type_} {record_id}')}>"
+        new = f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{type_} {source_id}')}>"
         block_digest = digest(data)
         header = _header(
             [
@@ -260,7 +286,8 @@ def _record(data: bytes) -> tuple[dict[str, str], bytes] | None:
     """(fields, block) of a record's bytes; None where its block is longer than they are."""
     head, end, block = data.partition(b"\r\n\r\n")
     fields = {k.lower(): v for k, v in _fields(head.decode("utf-8", "replace").split("\r\n")[1:])}
-    size = int(fields.get("content-length", len(block)))
+    given = fields.get("content-length", "")
+    size = int(given) if given.isascii() and given.isdigit() and len(given) < 19 else len(block)
     return (fields, block[:size]) if end and len(block) >= size else None
 
 

@@ -1,8 +1,11 @@
 import base64
+import contextlib
 import gzip
 import hashlib
 import html
+import random
 import re
+import signal
 import time
 from html.parser import HTMLParser
 
@@ -159,3 +162,73 @@ def test_malformed_pages_take_linear_time():
 def test_empty_table(spark):
     assert W.build(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     assert W.convert(spark.createDataFrame([], W.RESPONSE).withColumn("header", F.lit("x"))).count() == 0
+
+
+@contextlib.contextmanager
+def within(seconds):
+    """A hang is a failure."""
+    def late(*_):
+        raise AssertionError("too slow")
+
+    before = signal.signal(signal.SIGALRM, late)
+    signal.alarm(seconds)
+    try:
+        yield
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+
+
+def block(head, body):
+    return b"HTTP/1.1 200 OK\r\nContent-Type: text/plain\r\n" + head + b"\r\n\r\n" + body
+
+
+def text_of(head, body, record_id="<urn:uuid:1>"):
+    found = W.derive(None, "response", record_id, "u", "d", "application/http; msgtype=response", None, block(head, body))
+    return next(r for r in found if r["record_type"] == "conversion")["content"]
+
+
+def test_broken_chunk_sizes_leave_the_bytes():
+    with within(10):
+        for size in (b"-a", b"-1", b"+5", b"0x5", b"5_0", b"", b" ", b"zz", b"FFFFFFFFFFFFFFFFFFFF", b"7fffffff", b"-0", b";"):
+            for rest in (b"\r\n", b"\r\nhello\r\n0\r\n\r\n"):
+                assert text_of(b"Transfer-Encoding: chunked", size + rest) == (size + rest).decode().replace("\r\n", "\r\n")
+        assert text_of(b"Transfer-Encoding: chunked", b" 5 ;x=y\r\nhello\r\n0\r\n\r\n") == "hello"
+
+
+def test_fuzzed_responses_end_and_lose_nothing():
+    r = random.Random(8)
+    tokens = [b"\r\n", b"\n", b"0", b"5", b"-a", b"ff", b";", b":", b" ", b"HTTP/1.1", b"200", b"Transfer-Encoding: chunked", b"Content-Encoding: gzip", b"Content-Encoding: deflate", b"Content-Type: text/html; charset=", b"utf-8", b"x-none", b"<p>", b"<a href=", b"\xff\x00", gzip.compress(b"zip"), b"hello"]
+    with within(60):
+        for _ in range(3000):
+            data = b"".join(r.choices(tokens, k=r.randrange(30)))
+            rows = W.derive(1, "response", "<i>", "u", None, "application/http; msgtype=response", None, data)
+            assert rows[0]["record_type"] == "metadata" and rows[0]["source_digest"] == sha1(data.partition(b"\r\n\r\n")[2])
+            W._record(b"WARC/1.0\r\n" + data)
+
+
+def test_compression_is_bounded(monkeypatch):
+    monkeypatch.setattr(W, "MOST_UNPACKED", 1000)
+    two = gzip.compress(b"a" * 400) + gzip.compress(b"b" * 600)
+    assert text_of(b"Content-Encoding: gzip", two) == "a" * 400 + "b" * 600
+    over = gzip.compress(b"a" * 1001)
+    assert text_of(b"Content-Encoding: gzip", over) == over.decode("utf-8", "replace")
+    cut = gzip.compress(b"abc")[:-3]
+    assert text_of(b"Content-Encoding: gzip", cut) == cut.decode("utf-8", "replace")
+
+
+def test_content_length_that_is_no_number(spark, tmp_path):
+    body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>t"
+    lengths = [b"abc", b"-5", b"", b"9" * 40, b"%d" % len(body)]
+    (tmp_path / "a.warc").write_bytes(b"".join(b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:%d>\r\nContent-Length: %s\r\n\r\n" % (k, n) + body + b"\r\n\r\n" for k, n in enumerate(lengths)))
+    back = W.read(spark, str(tmp_path / "a.warc")).collect()
+    assert [bytes(r.block).strip() for r in sorted(back)] == [body] * len(lengths)
+
+
+def test_responses_without_an_identifier_are_told_apart():
+    ids = set()
+    for uri, date, body in (("u", "d", b"one"), ("v", "d", b"one"), ("u", "e", b"one"), ("u", "d", b"two")):
+        for row in W.derive(None, "response", None, uri, date, "application/http", None, block(b"X: y", body)):
+            assert row["refers_to"] is None and "WARC-Refers-To:" not in row["header"]
+            ids.add(row["record_id"])
+    assert len(ids) == 8
