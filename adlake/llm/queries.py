@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hosts, language, packing, pii, quality, simhash, suffixes, toxicity, warc
+from . import decontaminate, hosts, language, packing, phrases, pii, quality, simhash, suffixes, toxicity, warc
 from .common import table
 
 
@@ -50,6 +50,10 @@ def op10_mixture_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op13_setm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_candidate_boosting_pii": op1_candidate_boosting_pii,
     "op2_host_quality_rules": op2_host_quality_rules,
@@ -61,8 +65,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_merge_dedup": op8_suffix_merge_dedup,
     "op9_harmonic_packing": op9_harmonic_packing,
     "op10_mixture_language": op10_mixture_language,
+    "op13_setm_collocations": op13_setm_collocations,
 }
 
 ORACLES: dict[str, str] = {
     "op2_host_quality_rules": hosts.oracle(),
+    "op13_setm_collocations": phrases.oracle(),
 }
