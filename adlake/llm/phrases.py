@@ -17,6 +17,7 @@ piece; very long texts are one row; an empty table, or one without frequent phra
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -102,6 +103,16 @@ def _passes(ids: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+def _parts(b: pa.RecordBatch, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """The batch cut so that each part holds about `most` occurrences (one longer text alone), to bound a worker's memory."""
+    ends = np.asarray(b.column("id").offsets).astype(np.int64)
+    at = 0
+    while at < len(b):
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+        yield b.slice(at, end - at)
+        at = end
+
+
 def _lists(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A batch's occurrences as flat arrays: row, position, id; sorted by row and position."""
     ids, pos = b.column("id"), b.column("pos")
@@ -143,12 +154,14 @@ def _first(docs: DataFrame, bitmap, seed: int, width: int) -> DataFrame:
 def _counts(occurrences: DataFrame, seed: int, width: int) -> DataFrame:
     """(id, a, b, n) of the phrases one word longer, counted a batch at a time."""
 
+    column = lambda x, y: pa.array(np.concatenate([x, y]).view(np.int64))
+
     def run(batch):
-        _, _, ids, a, b = _joined(batch, seed, width)
-        found, at, own, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
-        other = np.flatnonzero((a != a[at][own]) | (b != b[at][own]))  # other phrases under the number go along, as witnesses
-        column = lambda x, y: pa.array(np.concatenate([x, y]).view(np.int64))
-        yield {"id": column(found, ids[other]), "a": column(a[at], a[other]), "b": column(b[at], b[other]), "n": column(n.astype(np.int64), np.zeros(len(other), np.int64))}
+        for part in _parts(batch):
+            _, _, ids, a, b = _joined(part, seed, width)
+            found, at, own, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
+            other = np.flatnonzero((a != a[at][own]) | (b != b[at][own]))  # other phrases under the number go along, as witnesses
+            yield {"id": column(found, ids[other]), "a": column(a[at], a[other]), "b": column(b[at], b[other]), "n": column(n.astype(np.int64), np.zeros(len(other), np.int64))}
 
     return map_batches(occurrences, run, "id long, a long, b long, n long")
 
@@ -157,9 +170,10 @@ def _longer(occurrences: DataFrame, bitmap, seed: int, width: int) -> DataFrame:
     """R(k+1): the occurrences one word longer of frequent phrases."""
 
     def run(batch):
-        row, pos, ids, _, _ = _joined(batch, seed, width)
-        keep = _passes(ids, np.frombuffer(bitmap.value, np.uint8))
-        yield _nested(len(batch), row[keep], pos[keep], ids[keep])
+        for part in _parts(batch):
+            row, pos, ids, _, _ = _joined(part, seed, width)
+            keep = _passes(ids, np.frombuffer(bitmap.value, np.uint8))
+            yield _nested(len(part), row[keep], pos[keep], ids[keep])
 
     return map_batches(occurrences, run, _OCCURRENCES).where("size(id) > 1")
 
