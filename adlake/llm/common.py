@@ -116,6 +116,25 @@ def pieces(b: pa.RecordBatch, column: str = "text", most_bytes: int = 4 << 20) -
         at = end
 
 
+def bitmap(ids: DataFrame, bits: int = 1 << 27) -> bytes:
+    """ids (id long) -> one bit for each id's remainder; at most bits / 8 bytes come to the driver, whatever there is of ids. `bits` is a power of two."""
+    at = F.pmod("id", F.lit(bits)).cast("long") + 1
+    parts = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("part"))
+    out = bytearray(bits // 8)
+    for k, part in parts.toLocalIterator():
+        begin = (k - 1) * len(part)
+        out[begin : begin + len(part)] = part[: max(0, len(out) - begin)]
+    return bytes(out)
+
+
+def passes(ids, bitmap):
+    """Which of the unsigned ids have their bit in a bitmap (an array of bytes): all that it was made of, and others by chance."""
+    import numpy as np
+
+    at = (ids & np.uint64(len(bitmap) * 8 - 1)).astype(np.int64)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
 def is_held_out(doc_id, folds: int, fold: int):
     """crc32 of the doc_id written as text, modulo folds, is fold."""
     return F.crc32(doc_id.cast("string")) % folds == fold

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hosts, language, negatives, packing, phrases, pii, quality, simhash, suffixes, toxicity, warc
+from . import decontaminate, hosts, language, minhash, negatives, packing, phrases, pii, quality, simhash, suffixes, toxicity, warc
 from .common import table
 
 
@@ -50,6 +50,10 @@ def op10_mixture_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op12_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"))
 
@@ -69,12 +73,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_merge_dedup": op8_suffix_merge_dedup,
     "op9_harmonic_packing": op9_harmonic_packing,
     "op10_mixture_language": op10_mixture_language,
+    "op11_bayesian_minhash": op11_bayesian_minhash,
     "op12_cover_tree_negatives": op12_cover_tree_negatives,
     "op13_setm_collocations": op13_setm_collocations,
 }
 
 ORACLES: dict[str, str] = {
     "op2_host_quality_rules": hosts.oracle(),
+    "op11_bayesian_minhash": minhash.oracle(),
     "op12_cover_tree_negatives": negatives.oracle(),
     "op13_setm_collocations": phrases.oracle(),
 }
