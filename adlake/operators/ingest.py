@@ -134,8 +134,9 @@ def active_ids(rows: DataFrame) -> DataFrame:
 
 
 def exploded_ids(snapshots: DataFrame) -> DataFrame:
-    """Snapshot messages as rows; an empty snapshot is a row with a null id."""
-    return snapshots.select("source_name", "make_str", F.explode_outer("ad_ids").alias("id_ad")).distinct()
+    """Snapshot messages as rows with `seq`, the message's offset (where there is none, a hash of it); an empty snapshot is a row with a null id."""
+    seq = F.col("offset") if "offset" in snapshots.columns else F.xxhash64("source_name", "make_str", "ad_ids")
+    return snapshots.select("source_name", "make_str", seq.alias("seq"), F.explode_outer("ad_ids").alias("id_ad")).distinct()
 
 
 def page_plan(makes: DataFrame, page: int = PAGE) -> DataFrame:

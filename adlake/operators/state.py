@@ -113,18 +113,21 @@ def with_dims(ads: DataFrame, makes: DataFrame, models: DataFrame) -> DataFrame:
 
 
 def gone(ads: DataFrame, snapshot: DataFrame, exact_make: bool = False, min_active: int = 0) -> DataFrame:
-    """(source_name, make_str, id_ad): open ads of a snapshot's source and make that it doesn't show.
+    """(source_name, make_str, id_ad[, seq]): open ads of a snapshot's source and make that it doesn't show.
 
     snapshot: one row for each id shown (source_name, make_str, id_ad), and a row with a null id for a snapshot without any. A snapshot
     covers every make that contains its make's name, unless exact_make; min_active spares makes whose snapshot holds fewer ids.
+    With `seq`, rows of different seq are different snapshots, applied one after the other: an ad closes at the first that covers and doesn't show it.
     """
-    covered = snapshot.groupBy("source_name", "make_str").agg(F.count_distinct("id_ad").alias("n")).where(F.col("n") >= min_active).drop("n")
+    own = ["source_name", "make_str", *(["seq"] if "seq" in snapshot.columns else [])]
+    covered = snapshot.groupBy(*own).agg(F.count_distinct("id_ad").alias("n")).where(F.col("n") >= min_active).drop("n")
     makes = ads.where("sold_at IS NULL").select("source_name", "make_name").distinct()
     match = F.col("make_name") == F.col("make_str") if exact_make else F.ilike(F.col("make_name"), F.concat(F.lit("%"), F.col("make_str"), F.lit("%")))
     pairs = makes.join(covered, "source_name").where(match)
-    open_ads = ads.where("sold_at IS NULL").join(pairs, ["source_name", "make_name"]).select("source_name", "make_str", "id_ad")
-    shown = snapshot.where("id_ad IS NOT NULL").select("source_name", "make_str", "id_ad")
-    return open_ads.join(shown, ["source_name", "make_str", "id_ad"], "left_anti")
+    open_ads = ads.where("sold_at IS NULL").join(pairs, ["source_name", "make_name"]).select(*own, "id_ad")
+    shown = snapshot.where("id_ad IS NOT NULL").select(*own, "id_ad")
+    missing = open_ads.join(shown, [*own, "id_ad"], "left_anti")
+    return missing if "seq" not in own else missing.groupBy("source_name", "id_ad").agg(F.min_by("make_str", "seq").alias("make_str"), F.min("seq").alias("seq"))
 
 
 def mark_sold(ads: DataFrame, sold: DataFrame, at: Column) -> DataFrame:

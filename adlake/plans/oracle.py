@@ -182,6 +182,9 @@ ORACLES = {
     "trends_daily": _trend("day", 30),
     "trends_monthly": _trend("month", 365),
     "trends_weekly": _trend("week", 180),
+    "stream_completion": _of(MSG, "SELECT DISTINCT source_name, make_str, id_ad FROM msg"),
+    "stream_history": _of(MSG, LOG, 'SELECT id_ad, "offset", price, status FROM log WHERE status IS NOT NULL'),
+    "stream_rejects": _of(MSG, RAW, "SELECT \"offset\", source_ad_id, url, concat_ws(',', CASE WHEN source_ad_id IS NULL THEN 'source_ad_id' END, CASE WHEN url IS NULL THEN 'url' END) AS reason, TRY_CAST(price AS DOUBLE) AS price FROM raw WHERE source_ad_id IS NULL OR url IS NULL"),
     "stream_sold": _SOLD,
     "stream_upsert": _of(MSG, STATE, "SELECT * FROM state"),
     "upsert_state": _of(MSG, STATE, "SELECT * FROM state"),

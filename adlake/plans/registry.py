@@ -144,18 +144,7 @@ def digit_guard(spark, d):
 
 
 def raw_messages(spark, d) -> DataFrame:
-    """Messages as text; every 11th lacks its url, every 13th its id."""
-    m = T.messages(spark, d)
-    return m.select(
-        "offset",
-        F.when(F.col("offset") % 13 != 0, F.col("source_ad_id")).alias("source_ad_id"),
-        F.when(F.col("offset") % 11 != 0, F.concat(F.lit("https://ad.invalid/"), "offset")).alias("url"),
-        "source_name",
-        F.lit("PL").alias("country_code"),
-        "scraped_at",
-        F.when(F.col("offset") % 7 == 0, "n/a").otherwise(F.col("price").cast("string")).alias("price"),
-        "make_str",
-    )
+    return jobs.raw_messages(T.read(spark, d, "events"))
 
 
 def message_validation(spark, d):
@@ -268,8 +257,8 @@ QUERIES = {
     "message_route": message_route, "message_validation": message_validation, "model_stats": stat(A.models, "make_name model_name price"), "models_by_make": models_by_make, "params_map": params_map,
     "popular_make": stat(A.popular_make, "make_name"), "popular_model": stat(A.popular_model, "make_name model_name"), "price_distribution": stat(A.price_distribution, "price"),
     "price_history": price_history, "region_stats": stat(A.regions, "region price"), "sold_history": sold_history, "sold_ids": sold_ids, "sold_probe": sold_probe,
-    "sold_reconcile": sold_reconcile, "sold_state": sold_state, "stats_general": stat(A.general, "id_ad sold_at price mileage"), "stream_sold": jobs.stream_sold,
-    "stream_upsert": jobs.stream_upsert, "table_counts": table_counts, "trends_daily": stat(A.trends, "created_at price", AS_OF, "daily", 30),
+    "sold_reconcile": sold_reconcile, "sold_state": sold_state, "stats_general": stat(A.general, "id_ad sold_at price mileage"), "stream_completion": jobs.stream_completion, "stream_history": jobs.stream_history,
+    "stream_rejects": jobs.stream_rejects, "stream_sold": jobs.stream_sold, "stream_upsert": jobs.stream_upsert, "table_counts": table_counts, "trends_daily": stat(A.trends, "created_at price", AS_OF, "daily", 30),
     "trends_monthly": stat(A.trends, "created_at price", AS_OF, "monthly", 365), "trends_weekly": stat(A.trends, "created_at price", AS_OF, "weekly", 180),
     "upsert_state": upsert_state, "year_distribution": stat(A.year_distribution, "year"),
 }

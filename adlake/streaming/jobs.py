@@ -1,15 +1,8 @@
-"""Structured Streaming: the message stream into versioned listing state and history, and snapshots that close listings.
-
-State is a chain of Parquet versions. A version's folder is named by its number, the query and the query's batch that made it
-(v=00000007.upserts.3); Spark's _SUCCESS file, written last, commits it together with the history rows of the same name. What is
-committed is read from storage, never from memory, so
-
-* a replayed batch finds its own version and does nothing;
-* a batch that was killed before its commit starts again from the newest committed version, and overwrites what it left;
-* a new process on an old path goes on where the last one ended;
-* several queries may share a table in turns. A version is claimed by creating a file, which storage allows once: of two queries that write
-  at the same time the later one fails, and Spark retries its batch from its checkpoint. A claim of a query that died is its own
-  to take up again; `release` gives it up for a query that never comes back.
+"""Structured Streaming jobs: the message stream into listing state and change log, snapshots that close listings, pages that complete makes, rejects.
+
+State is Spark's own (keyed.py): a query's checkpoint holds the offsets, the state's versions and what was committed together, so a killed or restarted query goes
+on where it was, a replayed batch changes nothing, and two queries can't write one state. A `ListingStream` reads two sources, messages and closings: a snapshot is
+compared with the state as committed, and what it doesn't show is sent back to the state as closings.
 """
 
 from __future__ import annotations
@@ -22,6 +15,10 @@ from pyspark.sql import functions as F
 from adlake.operators import ingest as I
 from adlake.operators import state as S
 from adlake.sources import tables as T
+from adlake.streaming import keyed as K
+from adlake.streaming import sink
+
+CLOSINGS = "id_ad string, offset long, closed_at timestamp_ntz"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,108 +32,6 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{d.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
-class StateTable:
-    """Versions of the listing state with their history, under one path. The `keep` newest states stay (for readers under way), and all history."""
-
-    def __init__(self, spark: SparkSession, path: str, keep: int = 3):
-        self.spark, self.path, self.keep = spark, path, keep
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def versions(self) -> list[tuple[int, str, int]]:
-        """(number, query, batch) of what is committed, oldest first; of states since removed, too."""
-        found = self._fs.globStatus(self._path(f"{self.path}/committed/v=*"))
-        names = [f.getPath().getName()[2:] for f in found] if found else []
-        names += [f.getPath().getParent().getName()[2:] for f in self._fs.globStatus(self._path(f"{self.path}/state/v=*/_SUCCESS")) or []]
-        return sorted({(int(n), q, int(b)) for n, q, b in (x.split(".") for x in names)})
-
-    def current(self) -> DataFrame | None:
-        done = self.versions()
-        return self.spark.read.parquet(f"{self.path}/state/v={self._name(*done[-1])}") if done else None
-
-    def history(self) -> DataFrame:
-        paths = [f"{self.path}/history/v={self._name(*v)}" for v in self.versions()]
-        return self.spark.read.parquet(*paths)
-
-    @staticmethod
-    def _name(number: int, query: str, batch: int) -> str:
-        return f"{number:08d}.{query}.{batch}"
-
-    def _claim(self, number: int, query: str) -> None:
-        """Creates the version's claim, which only one query can."""
-        claim = self._path(f"{self.path}/claims/{number:08d}")
-        try:
-            out = self._fs.create(claim, False)
-            out.write(query.encode())
-            out.close()
-        except Exception:
-            if not self._fs.exists(claim):
-                raise
-            stream = self._fs.open(claim)
-            owner = bytes(stream.readAllBytes()).decode()
-            stream.close()
-            if owner != query:
-                raise RuntimeError(f"version {number} is being written by {owner}") from None
-
-    def release(self, number: int) -> None:
-        self._fs.delete(self._path(f"{self.path}/claims/{number:08d}"), False)
-
-    def publish(self, query: str, batch: int, make) -> bool:
-        """Commits make(current state) = (state, history) as a new version, once for each batch of a query; False if that was done before."""
-        done = self.versions()
-        if any((q, b) == (query, batch) for _, q, b in done):
-            return False
-        number = done[-1][0] + 1 if done else 0
-        self._claim(number, query)
-        made = make(self.current())
-        if made is None:
-            self.release(number)
-            return False
-        state, history = made
-        name = self._name(number, query, batch)
-        history.write.mode("overwrite").parquet(f"{self.path}/history/v={name}")
-        state.write.mode("overwrite").parquet(f"{self.path}/state/v={name}")
-        self._expire()
-        return True
-
-    def _expire(self) -> None:
-        """States that no reader needs any more go; an empty file keeps their commit."""
-        for v in self.versions()[: -self.keep]:
-            old = self._path(f"{self.path}/state/v={self._name(*v)}")
-            if self._fs.exists(old):
-                self._fs.create(self._path(f"{self.path}/committed/v={self._name(*v)}"), True).close()
-                self._fs.delete(old, True)
-
-
-def apply_messages(table: StateTable, messages: DataFrame, batch: int, query: str = "upserts") -> bool:
-    """One micro-batch of messages under table column names. With `keys` (ingest.from_json_messages) only held fields are written; else all are."""
-    held = I.presence([c for c in messages.columns if c in S.UPDATED]) if "keys" in messages.columns else None
-    said = messages.withColumn("price_set", held["price"] if held else F.lit(True))
-
-    def make(before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        stored = before.select("id_ad", "price") if before is not None else None
-        log = S.price_history(said, stored).select(F.col("id_ad").alias("auto_ad_id"), F.col("created_at").alias("timestamp"), "price", "currency_code", "status")
-        after = S.upsert(messages, before, held)
-        return (after if before is not None else after.withColumn("sold_at", F.lit(None).cast("timestamp_ntz"))), log
-
-    return table.publish(query, batch, make)
-
-
-def apply_snapshot(table: StateTable, snapshot: DataFrame, batch: int, at: str, query: str = "sold") -> bool:
-    """Closes what the snapshots of a batch don't show; snapshots without a make are rejected by validation before."""
-    when = F.lit(at).cast("timestamp_ntz")
-    valid = I.exploded_ids(I.validate(snapshot, I.REQUIRED_SNAPSHOT).where("valid"))
-
-    def make(before: DataFrame | None) -> tuple[DataFrame, DataFrame] | None:
-        if before is None:
-            return None
-        sold = S.gone(before, valid)
-        return S.mark_sold(before, sold, when), S.sold_history(before, sold, when)
-
-    return table.publish(query, batch, make)
-
-
 def from_events(df: DataFrame) -> DataFrame:
     e = F.col("event_id")
     return df.select(
@@ -169,33 +64,125 @@ def kafka_sink(items: DataFrame, key: str, fallback: str | None, servers: str, t
     return out.option("checkpointLocation", checkpoint).start()
 
 
-def run_upserts(spark: SparkSession, events_path: str, base: str) -> StateTable:
+class ListingStream:
+    """Listing state under one path, by a query that may be stopped and started again."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base.rstrip("/")
+        self.checkpoint = f"{self.base}/checkpoint"
+
+    def run(self, messages: DataFrame) -> None:
+        """messages (a stream under table column names) and closings, as far as they go now."""
+        first = f"{self.base}/closings/none"  # the folder has to be there
+        self.spark.createDataFrame([], CLOSINGS).write.mode("overwrite").parquet(first)
+        closings = self.spark.readStream.schema(CLOSINGS).parquet(f"{self.base}/closings/*")
+        both = messages.unionByName(closings, allowMissingColumns=True)
+        with K.state_store(self.spark):
+            out = K.listing_log(both).writeStream.format("parquet").option("path", f"{self.base}/log").option("checkpointLocation", self.checkpoint)
+            out.trigger(availableNow=True).start().awaitTermination()
+
+    def current(self) -> DataFrame:
+        return K.current(self.spark, self.checkpoint)
+
+    def history(self) -> DataFrame:
+        return self.spark.read.schema(K.LOG).parquet(f"{self.base}/log")
+
+    def close_unseen(self, snapshots: DataFrame, at: str) -> None:
+        """Compares a stream of snapshots with the committed state; the closings take effect with the next run().
+
+        Snapshots of one micro-batch count one by one: an ad stays open only if each that covers it shows it. A batch that is replayed writes its closings
+        again, which changes nothing, as an ad closes once."""
+
+        def step(df: DataFrame, batch: int) -> None:
+            shown = I.exploded_ids(I.validate(df, I.REQUIRED_SNAPSHOT).where("valid"))
+            gone = S.gone(self.current(), shown)
+            rows = gone.select("id_ad", F.coalesce("seq", F.lit(0)).cast("long").alias("offset"), F.lit(at).cast("timestamp_ntz").alias("closed_at"))
+            rows.write.mode("overwrite").parquet(f"{self.base}/closings/{batch}")
+
+        query = snapshots.writeStream.foreachBatch(step).option("checkpointLocation", f"{self.base}/checkpoint-snapshots").trigger(availableNow=True).start()
+        query.awaitTermination()
+
+
+def files(spark: SparkSession, path: str, schema=None, each_batch: int | None = None) -> DataFrame:
+    """A folder's (or one file's) Parquet rows as a stream."""
+    folder, name = path.rsplit("/", 1)
+    schema = schema or spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", name) if name.endswith(".parquet") else spark.readStream.schema(schema)
+    if each_batch:
+        reader = reader.option("maxFilesPerTrigger", each_batch)
+    return reader.parquet(folder if name.endswith(".parquet") and not _is_folder(spark, path) else path)
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+def run_upserts(spark: SparkSession, events_path: str, base: str) -> ListingStream:
     """The whole folder or file of events as a stream, to its end."""
-    table = StateTable(spark, f"{base}/table")
-    schema = spark.read.parquet(events_path).schema
-    folder, name = events_path.rsplit("/", 1)
-    source = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
-    step = lambda df, batch: apply_messages(table, df, batch) and None
-    query = from_events(source).writeStream.foreachBatch(step).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return table
+    listing = ListingStream(spark, base)
+    listing.run(from_events(files(spark, events_path)))
+    return listing
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = run_upserts(spark, f"{sf_dir}/events.parquet", shared_dir(spark))
-    return table.current().select("id_ad", "source_name", "make_name", "price", "currency_code", "created_at")
+    listing = run_upserts(spark, f"{sf_dir}/events.parquet", shared_dir(spark))
+    return listing.current().select("id_ad", "source_name", "make_name", "price", "currency_code", "created_at")
+
+
+def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log that the state's stream emits."""
+    listing = run_upserts(spark, f"{sf_dir}/events.parquet", shared_dir(spark))
+    return listing.history().select(F.col("auto_ad_id").alias("id_ad"), "offset", "price", "status")
 
 
 def stream_sold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upserts, then the snapshot of the last 12 hours as a stream of its own into the same table."""
+    """Upserts, then the snapshot of the last 12 hours as a stream of its own, whose closings go into the same state."""
     base = shared_dir(spark)
-    table = run_upserts(spark, f"{sf_dir}/events.parquet", base)
+    listing = run_upserts(spark, f"{sf_dir}/events.parquet", base)
     m = T.messages(spark, sf_dir)
     end = m.agg(F.max("scraped_at").alias("end"))
     late = m.join(end, F.col("scraped_at") > F.col("end") - F.expr("INTERVAL 12 HOURS")).withColumn("make_str", F.lit(""))
     I.active_ids(I.snapshot_rows(late)).write.parquet(f"{base}/snapshots")
-    source = spark.readStream.schema("source_name string, make_str string, ad_ids array<string>").parquet(f"{base}/snapshots")
-    step = lambda df, batch: apply_snapshot(table, df, batch, "2024-01-31 00:00:00") and None
-    query = source.writeStream.foreachBatch(step).option("checkpointLocation", f"{base}/checkpoint-sold").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return table.current().select("id_ad", "source_name", "price", "sold_at")
+    listing.close_unseen(files(spark, f"{base}/snapshots", "source_name string, make_str string, ad_ids array<string>"), "2024-01-31 00:00:00")
+    listing.run(from_events(files(spark, f"{sf_dir}/events.parquet")))
+    return listing.current().select("id_ad", "source_name", "price", "sold_at")
+
+
+def crawled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of a crawl, as its results come: the messages of a source and make by runs of their offsets."""
+    m = T.messages(spark, sf_dir).withColumn("page", F.floor(F.col("offset") / 500).cast("int"))
+    pages = m.groupBy("source_name", "make_str", "page").agg(F.collect_set("source_ad_id").alias("ids"))
+    total = pages.groupBy("source_name", "make_str").agg(F.count("*").cast("int").alias("pages"))
+    return pages.join(total, ["source_name", "make_str"]).select("source_name", F.lit("run 1").alias("run"), "make_str", "page", "pages", "ids", F.lit("2024-02-01").cast("timestamp").alias("at"))
+
+
+def stream_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of makes, each sent when its last page is there; pages come in no order over several micro-batches, each twice."""
+    base = shared_dir(spark)
+    pages = crawled_pages(spark, sf_dir)
+    twice = pages.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    twice.repartitionByRange(6, F.xxhash64("source_name", "make_str", "page", "n")).drop("n").write.parquet(f"{base}/pages")
+    with K.state_store(spark):
+        rows = K.completion(files(spark, f"{base}/pages", pages.schema, 2))
+        out = rows.writeStream.format("parquet").option("path", f"{base}/snapshot").option("checkpointLocation", f"{base}/checkpoint-pages")
+        out.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(K.SNAPSHOT).parquet(f"{base}/snapshot")
+
+
+def raw_messages(events: DataFrame) -> DataFrame:
+    """Messages as text, of a batch or a stream of events; every 11th lacks its url, every 13th its id."""
+    e = F.col("event_id")
+    return events.select(
+        e.alias("offset"), F.when(e % 13 != 0, F.col("user_id").cast("string")).alias("source_ad_id"), F.when(e % 11 != 0, F.concat(F.lit("https://ad.invalid/"), e)).alias("url"),
+        F.concat(F.lit("src"), (F.col("user_id") % 3).cast("string")).alias("source_name"), F.lit("PL").alias("country_code"), F.col("ts").cast("timestamp_ntz").alias("scraped_at"),
+        F.when(e % 7 == 0, "n/a").when(e % 29 != 0, F.floor(F.col("value") / 10).cast("int").cast("string")).alias("price"), F.col("event_type").alias("make_str"),
+    )
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What validation turns away from the message stream, as the transactional sink keeps it."""
+    base = shared_dir(spark)
+    routed = sink.split(I.coerce(raw_messages(files(spark, f"{sf_dir}/events.parquet"))), I.REQUIRED_AD, "parsed_car_ads")
+    sink.start(routed, f"{base}/tables", f"{base}/checkpoint-routed").trigger(availableNow=True).start().awaitTermination()
+    return sink.committed(spark, f"{base}/tables", sink.REJECTED, routed.schema).select("offset", "source_ad_id", "url", "reason", "price")

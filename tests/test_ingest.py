@@ -11,6 +11,7 @@ from adlake.operators import stats as A
 from adlake.sources.cached import CachedFrame
 from adlake.sources import paged
 from adlake.sources.paged import PagedResponses, crawl
+from adlake.sources.shared_files import Breaker
 
 
 def node(i, make, model, **kw):
@@ -168,7 +169,7 @@ def test_retries_and_circuit_breaker(monkeypatch):
 
     monkeypatch.setattr(urllib.request, "urlopen", answer)
     monkeypatch.setattr(paged.time, "sleep", naps.append)
-    monkeypatch.setattr(paged, "_refused", 0)
+    monkeypatch.setattr(Breaker, "_alone", {"refused": 0, "until": 0.0})
     reader = paged.PagedReader({"url_template": "http://s.invalid/{make}/{page}", "plan": "a:1-2", "pause": "1", "long_pause": "60"})
     broken = json.dumps({"errors": [{"message": "Internal Error"}]})
     answers += [broken, body()]
@@ -179,7 +180,7 @@ def test_retries_and_circuit_breaker(monkeypatch):
     answers += [500, 403, 403, 403, body()]
     assert list(reader.read(paged.Page("a", 1)))[0][3] == "HTTP 403" and naps == [1.0, 1.0]
     # the third refusal in a row comes with the next page: the long pause, then it goes on
-    assert list(reader.read(paged.Page("a", 2)))[0][2] == body() and naps == [1.0, 1.0, 60.0]
+    assert list(reader.read(paged.Page("a", 2)))[0][2] == body() and [round(n) for n in naps] == [1, 1, 60]
 
 
 def test_dashboard_of_nothing(spark):
