@@ -9,9 +9,10 @@ For scale: rows of one set are one node, however many copies there are. (key, no
 nodes is cut into blocks as it is read. A task compares the signatures of one block, and sends for exact verification only a spanning forest of the
 survivors, likeliest first. Blocks of a large key are joined through their hubs (the nodes likest to all others), level by level. Once the links so far have made
 components, most groups lie within one; in the others the nodes outside of the largest component are compared with all of the group (in blocks, a
-bounded number of nodes a task), and every surviving pair between different components is verified, so no link is lost that signatures did not prune. All pairs within
-a group are never sent: a group of n nodes costs n rows, and the m nodes outside its component m n / block more. Texts are fetched for nodes with survivors only (a bitmap of fixed
-size filters the scan). Components come from contraction (graph.py), copies and hubs are salted.
+bounded number of nodes at a time). Nodes with a survivor in another component then meet once more with their texts, and the task verifies such pairs, likeliest first,
+until components are joined or all are refuted, so no link is lost that signatures did not prune. Pairs are never sent: a group of n nodes costs n rows, and the m nodes
+outside its component m n / block more. Texts are fetched for nodes with survivors only (a bitmap of fixed size filters the scan). Components come from contraction
+(graph.py), copies and hubs are salted.
 
 Cases: null texts and texts without words have an empty set and are linked with nothing; fewer words than a shingle are one shingle; equal rows share a
 component; rows without a doc_id take part, but name no component unless all of it lacks one, and are kept in that case only; different texts under one doc_id are nodes
@@ -255,35 +256,83 @@ def _proposed(groups: DataFrame, nodes: DataFrame, need: list[int], least: int)
     return checkpointed(rows.repartition("group", "block").sortWithinPartitions("group", "block", "node").mapInArrow(run, _KINDS).distinct())
 
 
-def _crossing(families: DataFrame, tree: DataFrame, nodes: DataFrame, need: list[int], least: int, chunk: int) -> DataFrame:
-    """(a, b): the surviving pairs of a family whose nodes belong to different components so far.
+_MEETING = ["family", "block", "chunk"]
 
-    The nodes outside of the family's largest component, in chunks, meet all of its nodes, in their blocks."""
+
+def _meetings(families: DataFrame, tree: DataFrame, chunk: int) -> DataFrame:
+    """(family, block, chunk, out, node, part) of families whose nodes belong to different components (part) so far.
+
+    The nodes outside of the family's largest component (out), in chunks, meet all of its nodes, in their blocks."""
     labelled = families.join(tree.select("node", "root"), "node", "left").select("family", "block", "node", F.coalesce("root", "node").alias("part"))
     each = labelled.groupBy("family", "part").agg(F.count("*").alias("n"), F.max("block").alias("last"))
     top = each.groupBy("family").agg(F.max_by("part", F.struct("n", "part")).alias("top"), F.count("*").alias("parts"), (F.sum("n") - F.max("n")).alias("outside"), (F.max("last") + 1).alias("blocks"))
     open_ = labelled.join(checkpointed(top.where("parts > 1")), "family").withColumn("out", F.col("part") != F.col("top"))
     chunks = F.ceil(F.col("outside") / chunk).cast("long")
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    inner = open_.select("family", "block", upto(chunks).alias("chunk"), "node", "part", F.lit(False).alias("out"))
-    outer = open_.where("out").select("family", upto(F.col("blocks")).alias("block"), F.pmod(F.xxhash64("node"), chunks).alias("chunk"), "node", "part", "out")
-    rows = inner.union(outer).join(nodes.select("node", "n_shingles", "places"), "node")
+    inner = open_.select("family", "block", upto(chunks).alias("chunk"), F.lit(False).alias("out"), "node", "part")
+    outer = open_.where("out").select("family", upto(F.col("blocks")).alias("block"), F.pmod(F.xxhash64("node"), chunks).alias("chunk"), "out", "node", "part")
+    return inner.union(outer)
+
+
+def _across(g: dict[str, np.ndarray], s: int, n: int, need: list[int], least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """A meeting's surviving pairs of different parts, an outer and an inner node each."""
+    out = g["out"][s : s + n].astype(bool)
+    ours, theirs = np.flatnonzero(out) + s, np.flatnonzero(~out) + s
+    step = max(1, _PAIRS // max(1, len(theirs)))
+    for at in range(0, len(ours), step):
+        some = ours[at : at + step]
+        i, j = np.repeat(some, len(theirs)), np.tile(theirs, len(some))
+        apart = g["part"][i] != g["part"][j]
+        yield _survivors(g["places"], g["n_shingles"], i[apart], j[apart], need, least)
+
+
+def _crossing(meetings: DataFrame, nodes: DataFrame, need: list[int], least: int) -> DataFrame:
+    """The meetings' rows that have a survivor of another part."""
+    names = [*_MEETING, "out", "node", "part"]
 
     def run(batches):
-        for g in _whole_groups(batches, ["family", "block", "chunk"], ["family", "block", "chunk", "out", "node", "part", "n_shingles", "places"]):
+        for g in _whole_groups(batches, _MEETING, [*names, "n_shingles", "places"]):
+            hit = np.zeros(len(g["node"]), bool)
             for s, n in zip(g["begin"].tolist(), g["length"].tolist(), strict=True):
-                out = g["out"][s : s + n].astype(bool)
-                ours, theirs = np.flatnonzero(out) + s, np.flatnonzero(~out) + s
-                for at in range(0, len(ours), max(1, _PAIRS // max(1, len(theirs)))):
-                    some = ours[at : at + max(1, _PAIRS // max(1, len(theirs)))]
-                    i, j = np.repeat(some, len(theirs)), np.tile(theirs, len(some))
-                    apart = g["part"][i] != g["part"][j]
-                    i, j, _ = _survivors(g["places"], g["n_shingles"], i[apart], j[apart], need, least)
-                    if len(i):
-                        a, b = g["node"][i], g["node"][j]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                for i, j, _ in _across(g, s, n, need, least):
+                    hit[i] = hit[j] = True
+            if hit.any():
+                yield pa.RecordBatch.from_arrays([pa.array(g[c][hit].astype(bool) if c == "out" else g[c][hit]) for c in names], names=names)
+
+    rows = meetings.join(nodes.select("node", "n_shingles", "places"), "node").select(*names, "n_shingles", "places")
+    return checkpointed(rows.repartition(*_MEETING).sortWithinPartitions(*_MEETING, "out").mapInArrow(run, "family long, block long, chunk long, out boolean, node long, part long"))
 
-    return rows.repartition("family", "block", "chunk").sortWithinPartitions("family", "block", "chunk", "out").mapInArrow(run, "a long, b long").distinct()
+
+def _joined(crossing: DataFrame, nodes: DataFrame, known: DataFrame, shingle: int, need: list[int], least: int) -> DataFrame:
+    """(a, b): of each meeting, links that join its parts, verified on the full sets; likeliest pairs first, and none between parts that are joined already."""
+
+    def run(batches):
+        for g in _whole_groups(batches, _MEETING, [*_MEETING, "out", "node", "part", "n_shingles", "places", "text"]):
+            for s, n in zip(g["begin"].tolist(), g["length"].tolist(), strict=True):
+                found = [np.concatenate(x) for x in zip(*_across(g, s, n, need, least), strict=True)] or [np.zeros(0, np.int64)] * 3
+                top = {p: p for p in g["part"][s : s + n].tolist()}
+                sets: dict[int, set] = {}
+                links = []
+                for k in np.argsort(-found[2], kind="stable").tolist():
+                    i, j = int(found[0][k]), int(found[1][k])
+                    x, y = int(g["part"][i]), int(g["part"][j])
+                    while top[x] != x:
+                        x = top[x]
+                    while top[y] != y:
+                        y = top[y]
+                    if x != y:
+                        for r in (i, j):
+                            if r not in sets:
+                                sets[r] = _word_set(g["text"][r], shingle)
+                        if _is_link(sets[i], sets[j], least):
+                            top[x] = y
+                            links.append((g["node"][i], g["node"][j]))
+                if links:
+                    a, b = zip(*links, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    rows = crossing.join(nodes.select("node", "n_shingles", "places"), "node").join(known, "node").select(*_MEETING, "out", "node", "part", "n_shingles", "places", "text")
+    return checkpointed(rows.repartition(*_MEETING).sortWithinPartitions(*_MEETING, "out").mapInArrow(run, "a long, b long"))
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -313,24 +362,28 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     return checkpointed(map_batches(found.select("node", "text", "digest"), own, "node long, text string").dropDuplicates(["node"]))
 
 
+def _word_set(text: str, shingle: int) -> set:
+    w = _words(text)
+    size = min(shingle, len(w))
+    return set(zip(*(w[k:] for k in range(size)), strict=False))
+
+
+def _is_link(one: set, two: set, least: int) -> bool:
+    both = len(one & two)
+    return 100 * both >= least * (len(one) + len(two) - both)
+
+
 def _linked(pairs: DataFrame, known: DataFrame, shingle: int, least: int) -> DataFrame:
     """The pairs (a, b) whose full sets, of words, are as similar as a link asks for."""
 
-    def words(text):
-        w = _words(text)
-        size = min(shingle, len(w))
-        return set(zip(*(w[k:] for k in range(size)), strict=False))
-
     def run(batches):
         last, one = None, set()
         for batch in batches:
             hit = []
             for a, s, t in zip(batch.column("a").to_pylist(), batch.column("s"), batch.column("t"), strict=True):
                 if a != last:
-                    last, one = a, words(s.as_py())
-                two = words(t.as_py())
-                both = len(one & two)
-                hit.append(100 * both >= least * (len(one) + len(two) - both))
+                    last, one = a, _word_set(s.as_py(), shingle)
+                hit.append(_is_link(one, _word_set(t.as_py(), shingle), least))
             yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
     text = lambda c, t: known.select(F.col("node").alias(c), F.col("text").alias(t))
@@ -356,8 +409,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST,
     known = _texts_of(docs, checkpointed(nodes.select("node", "first", "digest").join(reached, "node")), shingle)
     links = _linked(pairs, known, shingle, least)
     tree = checkpointed(components(links))
-    others = checkpointed(_crossing(families, tree, nodes, need, least, block // 2 or 1).join(pairs, ["a", "b"], "left_anti"))
-    more = _linked(others, known, shingle, least)
+    crossing = _crossing(_meetings(families, tree, block // 2 or 1), nodes, need, least)
+    more = _joined(crossing, nodes, known, shingle, need, least)
     if not more.isEmpty():
         tree = checkpointed(components(links.union(more)))
     linked = tree.join(nodes.select("node", "first"), "node")
