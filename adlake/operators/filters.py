@@ -82,6 +82,44 @@ def page(ads: DataFrame, filters: AdFilters = AdFilters(), number: int = 1, size
     return filtered(ads, filters).orderBy(*order_by(sort_by, sort_order)).offset((number - 1) * size).limit(size)
 
 
+def _bucket(ads: DataFrame, c: str) -> Column:
+    """A coarse step of a sortable column, which rises with it and has a bounded number of values: months, 2^11 numbers, or two letters."""
+    kind = dict(ads.dtypes)[c]
+    if kind.startswith("timestamp"):
+        return F.date_trunc("month", c).cast("timestamp_ntz")
+    return F.substring(c, 1, 2) if kind == "string" else F.floor(F.col(c) / 2048)
+
+
+def deep_page(ads: DataFrame, filters: AdFilters = AdFilters(), number: int = 1, size: int = PAGE_SIZE, sort_by: str = "created_at", sort_order: str = "desc") -> DataFrame:
+    """page() for pages far back: counts by steps of the sorted column tell which steps the page lies in, and only their rows are read and sorted.
+
+    The driver gets one count a step, so the bounds reach the scan as plain filters. A step that holds very many rows is still a top-k of its own, never more."""
+    _check(number >= 1 and size >= 1, "page and page_size start at 1")
+    size, column = min(size, MAX_PAGE_SIZE), sort_by if sort_by in SORTABLE else "created_at"
+    first, last = (number - 1) * size, number * size
+    step, rows = _bucket(ads, column), filtered(ads, filters)
+    order = F.col("step").asc_nulls_last() if sort_order == "asc" else F.col("step").desc_nulls_first()
+    begin, before, steps = 0, 0, []
+    for value, n in rows.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(order).collect():
+        if begin < last and begin + n > first:
+            before = begin if not steps else before
+            steps.append(value)
+        begin += n
+    if not steps:
+        return rows.limit(0)
+    held, c = [v for v in steps if v is not None], F.col(column)
+    # a range of the column itself, as wide as its steps, for the scan; the steps, for what lies exactly in them
+    if held and dict(ads.dtypes)[column].startswith("timestamp"):
+        wide = (c >= F.lit(min(held))) & (c < F.lit(max(held)) + F.expr("INTERVAL 1 MONTH"))
+    elif held and dict(ads.dtypes)[column] == "string":
+        wide = c >= F.lit(min(held))
+    elif held:
+        wide = (c >= min(held) * 2048) & (c < (max(held) + 1) * 2048)
+    inside = (wide & step.isin(held)) if held else F.lit(False)
+    inside = inside | c.isNull() if None in steps else inside
+    return rows.where(inside).orderBy(*order_by(column, sort_order)).offset(first - before).limit(size)
+
+
 def page_meta(ads: DataFrame, filters: AdFilters = AdFilters(), number: int = 1, size: int = PAGE_SIZE) -> DataFrame:
     size = min(size, MAX_PAGE_SIZE)
     total = filtered(ads, filters).agg(F.count("*").alias("total"))

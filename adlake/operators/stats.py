@@ -1,10 +1,11 @@
-"""Market statistics. Each is one aggregation with map-side partial sums. The exact median counts distinct prices: prices are whole and
-below 2^31, and its one reducer holds one entry for each different price, not for each listing."""
+"""Market statistics. Each is one aggregation with map-side partial sums. The exact median is selected in two steps: a histogram of fixed size tells the one range
+that holds the middle ranks, and only its values are counted, so no task sees more than a range's different values."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from adlake.functions.columns import contains, price_bucket, rounded
 
@@ -15,16 +16,38 @@ def _positive(c: str) -> Column:
     return F.when(F.col(c) > 0, F.col(c))
 
 
+#: Values in a range of the median's histogram; 2^31 of them make 2^15 ranges.
+RANGE = 1 << 16
+
+
+def median(rows: DataFrame, c: str, width: int = RANGE) -> DataFrame:
+    """One row, `median`: the exact median of a column of positive whole numbers (others are left out), the mean of both middle ones of an even count; NULL of none."""
+    values = rows.where(F.col(c) > 0).select(F.col(c).cast("long").alias("v"))
+    ranges = values.groupBy(F.floor(F.col("v") / width).alias("r")).agg(F.count("*").alias("n"))
+    # at most 2^31 / width rows meet in one task
+    below = F.coalesce(F.sum("n").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("n").over(Window.partitionBy())
+    ranked = ranges.select("r", "n", below.alias("below"), total.alias("total"))
+    low, high = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
+    middle = ranked.where(((F.col("below") < low) & (low <= F.col("below") + F.col("n"))) | ((F.col("below") < high) & (high <= F.col("below") + F.col("n")))).drop("n")
+    # one range, or two where the middle ranks lie in different ones
+    counts = values.withColumn("r", F.floor(F.col("v") / width)).join(F.broadcast(middle), "r").groupBy("r", "v", "below", "total").agg(F.count("*").alias("n"))
+    upto = F.col("below") + F.sum("n").over(Window.partitionBy("r").orderBy("v"))
+    at = counts.withColumn("upto", upto).where(((F.col("upto") - F.col("n") < low) & (low <= F.col("upto"))) | ((F.col("upto") - F.col("n") < high) & (high <= F.col("upto"))))
+    return at.agg(((F.min("v") + F.max("v")) / 2).alias("median"))
+
+
 def general(ads: DataFrame) -> DataFrame:
-    active = F.count_if(F.col("sold_at").isNull())
-    return ads.agg(
+    active, on = F.count_if(F.col("sold_at").isNull()), F.lit(1).alias("one")
+    numbers = ads.agg(
         F.count("id_ad").alias("total_ads"),
         active.alias("active_ads"),
         (F.count("id_ad") - active).alias("sold_ads"),
         rounded(F.avg(_positive("price"))).alias("avg_price"),
-        F.coalesce(F.median(_positive("price")), F.lit(0.0)).alias("median_price"),
         rounded(F.avg(_positive("mileage"))).alias("avg_mileage"),
     )
+    both = numbers.select("*", on).join(median(ads, "price").select("median", on), "one")
+    return both.select("total_ads", "active_ads", "sold_ads", "avg_price", F.coalesce("median", F.lit(0.0)).alias("median_price"), "avg_mileage")
 
 
 def popular_make(ads: DataFrame) -> DataFrame:
@@ -77,7 +100,7 @@ def trends(ads: DataFrame, as_of: str, period: str = "daily", days: int = 30) ->
 
 def dashboard(ads: DataFrame) -> DataFrame:
     """The five summary fields; data_sources counts the makes of the top five, as the label has always meant."""
-    numbers = general(ads).select("total_ads", "active_ads", "avg_price")
+    numbers = ads.agg(F.count("id_ad").alias("total_ads"), F.count_if(F.col("sold_at").isNull()).alias("active_ads"), rounded(F.avg(_positive("price"))).alias("avg_price"))
     top = popular_make(ads).select(F.col("make_name").alias("most_popular_make"))
     sources = makes(ads, 5).agg(F.count_distinct("make_name").alias("data_sources"))
     on = F.lit(1).alias("one")

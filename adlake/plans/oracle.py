@@ -92,6 +92,7 @@ ORACLES = {
     "ad_history": _of(ADS, HIST, "SELECT * FROM hist WHERE auto_ad_id = '1' ORDER BY timestamp DESC, status"),
     "ads_list_filtered": _of(ADS, f"SELECT {CARD} FROM ads WHERE {SOME} ORDER BY price ASC NULLS LAST, id_ad LIMIT 20"),
     "ads_page_2": _of(ADS, f"SELECT {CARD} FROM ads ORDER BY created_at DESC NULLS FIRST, id_ad LIMIT 20 OFFSET 20"),
+    "ads_page_deep": _of(ADS, f"SELECT {CARD} FROM ads ORDER BY created_at DESC NULLS FIRST, id_ad LIMIT 20 OFFSET 10380"),
     "ads_page_meta": _of(ADS, f"SELECT count(*) AS total, CAST(1 AS BIGINT) AS page, CAST(20 AS BIGINT) AS page_size, CAST(ceil(count(*) / 20) AS BIGINT) AS total_pages FROM ads WHERE {SOME}"),
     "ads_search": _of(ADS, f"SELECT {CARD} FROM ads WHERE title ILIKE '%ring%' ORDER BY created_at DESC NULLS FIRST, id_ad LIMIT 20"),
     "ads_with_dims": _of(ADS, f"mk AS ({_MAKES})", f"md AS ({_MODELS})", f"SELECT id_ad, {_SLUG} AS make_slug, mk.name AS make_dim, {_MODEL} AS model_slug, md.name AS model_dim FROM ads LEFT JOIN mk ON mk.slug = {_SLUG} LEFT JOIN md ON md.slug = {_MODEL}"),

@@ -51,12 +51,23 @@ def at() -> F.Column:
     return F.lit(SOLD_AT).cast("timestamp_ntz")
 
 
+def whole(spark: SparkSession, d: str, picked: DataFrame, *order: F.Column) -> DataFrame:
+    """A page's listings with all their fields: the sides are joined to the page's few rows, not to all listings."""
+    return T.response(T.listings(spark, d, among=picked.select("id_ad")).orderBy(*order))
+
+
 def ads_list_filtered(spark, d):
-    return T.response(L.page(ads(spark, d), SOME, sort_by="price", sort_order="asc"))
+    picked = L.page(ads(spark, d, "id_ad", "make_name", "price", "sold_at"), SOME, sort_by="price", sort_order="asc")
+    return whole(spark, d, picked, *L.order_by("price", "asc"))
 
 
 def ads_page_2(spark, d):
-    return T.response(L.page(ads(spark, d), number=2))
+    return whole(spark, d, L.page(ads(spark, d, "id_ad", "created_at"), number=2), *L.order_by())
+
+
+def ads_page_deep(spark, d):
+    """A page past 10,000 rows."""
+    return whole(spark, d, L.deep_page(ads(spark, d, "id_ad", "created_at"), number=520), *L.order_by())
 
 
 def ads_page_meta(spark, d):
@@ -64,7 +75,7 @@ def ads_page_meta(spark, d):
 
 
 def ads_search(spark, d):
-    return T.response(L.search(ads(spark, d), "ring"))
+    return whole(spark, d, L.search(ads(spark, d, "id_ad", "title", "created_at"), "ring"), *L.order_by())
 
 
 def ad_history(spark, d):
@@ -246,7 +257,7 @@ def make_catalogue(spark, d):
 
 
 QUERIES = {
-    "active_ids_snapshot": active_ids_snapshot, "ad_detail": ad_detail, "ad_history": ad_history, "ads_list_filtered": ads_list_filtered, "ads_page_2": ads_page_2,
+    "active_ids_snapshot": active_ids_snapshot, "ad_detail": ad_detail, "ad_history": ad_history, "ads_list_filtered": ads_list_filtered, "ads_page_2": ads_page_2, "ads_page_deep": ads_page_deep,
     "ads_page_meta": ads_page_meta, "ads_search": ads_search, "ads_with_dims": ads_with_dims, "crawl_page_plan": crawl_page_plan, "crawl_urls": crawl_urls,
     "dashboard_body": dashboard_body, "dashboard_summary": stat(A.dashboard, "id_ad make_name price mileage sold_at"), "digit_guard": digit_guard,
     "dim_make": stat(S.dim_make, "id_ad make_name", "id_ad"), "dim_model": stat(S.dim_model, "id_ad make_name model_name", "id_ad"),

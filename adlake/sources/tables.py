@@ -30,9 +30,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def listings(spark: SparkSession, sf_dir: str, columns: list[str] | None = None, only: str | None = None) -> DataFrame:
+def listings(spark: SparkSession, sf_dir: str, columns: list[str] | None = None, only: str | None = None, among: DataFrame | None = None) -> DataFrame:
     """One listing per order; see FIXTURES.md. `columns`: those asked for; sides that serve none of them are neither read nor joined.
-    `only`: the one listing of that id, told before its key becomes text, so that the scan prunes by it."""
+    `only`: the one listing of that id, told before its key becomes text, so that the scan prunes by it. `among`: those of a page's few id_ads; all sides are cut down to
+    them before they are joined."""
     key, size = F.col("o_orderkey"), F.col("p_size")
     unless = lambda n, x: F.when(key % n != 0, x)
     made = {
@@ -63,8 +64,13 @@ def listings(spark: SparkSession, sf_dir: str, columns: list[str] | None = None,
     rows = read(spark, sf_dir, "orders")
     if only is not None:
         rows = rows.where((key == F.lit(only).try_cast("long")) & (key.cast("string") == only))
+    keys = None if among is None else F.broadcast(among.select(F.col("id_ad").cast("long").alias("only_key")))
+    if keys is not None:
+        rows = rows.join(keys, rows.o_orderkey == keys.only_key, "left_semi")
     if {"title", "make_name", "model_name", "version", "generation", "engine_capacity", "engine_power"} & set(wanted):
-        lines = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("p_partkey"))
+        lines = read(spark, sf_dir, "lineitem")
+        lines = lines if keys is None else lines.join(keys, lines.l_orderkey == keys.only_key, "left_semi")
+        lines = lines.groupBy("l_orderkey").agg(F.min("l_partkey").alias("p_partkey"))
         part = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_type", "p_size")
         rows = rows.join(lines, rows.o_orderkey == lines.l_orderkey, "left").join(part, "p_partkey", "left")
     if {"fuel_type", "city", "region"} & set(wanted):
