@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed, map_batches, pieces
+from .common import bitmap, checkpointed, map_batches, passes, pieces
 
 #: Fixed values of the contract: longest phrase, least count, rows of each language.
 LONGEST, LEAST, TOP = 5, 100, 2000
@@ -87,22 +87,6 @@ def _word_counts(docs: DataFrame, seed: int, width: int) -> DataFrame:
     return docs.mapInArrow(run, "lang string, id long, word binary, n long")
 
 
-def _bitmap(ids: DataFrame, bits: int) -> bytes:
-    """One bit for each id's remainder; at most bits / 8 bytes come to the driver, whatever there is of ids."""
-    at = F.pmod("id", F.lit(bits)).cast("long") + 1
-    parts = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("part"))
-    out = bytearray(bits // 8)
-    for k, part in parts.toLocalIterator():
-        begin = (k - 1) * len(part)
-        out[begin : begin + len(part)] = part[: max(0, len(out) - begin)]
-    return bytes(out)
-
-
-def _passes(ids: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-    at = (ids & np.uint64(len(bitmap) * 8 - 1)).astype(np.int64)
-    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-
-
 def _parts(b: pa.RecordBatch, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The batch cut so that each part holds about `most` occurrences (one longer text alone), to bound a worker's memory."""
     ends = np.asarray(b.column("id").offsets).astype(np.int64)
@@ -132,7 +116,7 @@ def _joined(b: pa.RecordBatch, seed: int, width: int) -> tuple[np.ndarray, ...]:
     return row[k], pos[k], _mixed(ids[k], ids[k + 1], seed, width), ids[k], ids[k + 1]
 
 
-def _first(docs: DataFrame, bitmap, seed: int, width: int) -> DataFrame:
+def _first(docs: DataFrame, frequent, seed: int, width: int) -> DataFrame:
     """R1: the occurrences of frequent words."""
 
     def run(batch):
@@ -141,7 +125,7 @@ def _first(docs: DataFrame, bitmap, seed: int, width: int) -> DataFrame:
             for k, (text, lang) in enumerate(zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True)):
                 words = _tokens(text)
                 ids = _ids(words, lang, seed, width)
-                at = np.flatnonzero(_passes(ids, np.frombuffer(bitmap.value, np.uint8)))
+                at = np.flatnonzero(passes(ids, np.frombuffer(frequent.value, np.uint8)))
                 at = at[[words[x] != _MARK for x in at.tolist()]] if len(at) else at
                 rows.append(np.full(len(at), k))
                 poss.append(at)  # a mark has a position of its own, so pieces don't touch
@@ -152,27 +136,38 @@ def _first(docs: DataFrame, bitmap, seed: int, width: int) -> DataFrame:
 
 
 def _counts(occurrences: DataFrame, seed: int, width: int) -> DataFrame:
-    """(id, a, b, n) of the phrases one word longer, counted a batch at a time."""
+    """(id, n) of the phrases one word longer, counted a part of a batch at a time."""
+
+    def run(batch):
+        for part in _parts(batch):
+            found, n = np.unique(_joined(part, seed, width)[2], return_counts=True)
+            yield {"id": pa.array(found.view(np.int64)), "n": pa.array(n.astype(np.int64))}
+
+    return map_batches(occurrences, run, "id long, n long")
+
 
-    column = lambda x, y: pa.array(np.concatenate([x, y]).view(np.int64))
+def _makings(occurrences: DataFrame, frequent, seed: int, width: int) -> DataFrame:
+    """(id, a, b): of which two parts the phrases are made whose numbers pass, each once in a part of a batch; of two phrases under one number, both."""
 
     def run(batch):
         for part in _parts(batch):
             _, _, ids, a, b = _joined(part, seed, width)
-            found, at, own, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
-            other = np.flatnonzero((a != a[at][own]) | (b != b[at][own]))  # other phrases under the number go along, as witnesses
-            yield {"id": column(found, ids[other]), "a": column(a[at], a[other]), "b": column(b[at], b[other]), "n": column(n.astype(np.int64), np.zeros(len(other), np.int64))}
+            keep = passes(ids, np.frombuffer(frequent.value, np.uint8))
+            ids, a, b = ids[keep], a[keep], b[keep]
+            _, at, own = np.unique(ids, return_index=True, return_inverse=True)
+            at = np.concatenate([at, np.flatnonzero((a != a[at][own]) | (b != b[at][own]))])
+            yield {"id": pa.array(ids[at].view(np.int64)), "a": pa.array(a[at].view(np.int64)), "b": pa.array(b[at].view(np.int64))}
 
-    return map_batches(occurrences, run, "id long, a long, b long, n long")
+    return map_batches(occurrences, run, "id long, a long, b long")
 
 
-def _longer(occurrences: DataFrame, bitmap, seed: int, width: int) -> DataFrame:
+def _longer(occurrences: DataFrame, frequent, seed: int, width: int) -> DataFrame:
     """R(k+1): the occurrences one word longer of frequent phrases."""
 
     def run(batch):
         for part in _parts(batch):
             row, pos, ids, _, _ = _joined(part, seed, width)
-            keep = _passes(ids, np.frombuffer(bitmap.value, np.uint8))
+            keep = passes(ids, np.frombuffer(frequent.value, np.uint8))
             yield _nested(len(part), row[keep], pos[keep], ids[keep])
 
     return map_batches(occurrences, run, _OCCURRENCES).where("size(id) > 1")
@@ -193,23 +188,25 @@ def _frequent(docs: DataFrame, longest: int, least: int, bits: int, seed: int, w
         raise _Clash
     totals = words.where("all").select("lang", F.col("f").alias("n"))
     known = words.where("NOT all").select("lang", F.lit(1).alias("k"), "id", F.col("word").cast("string").alias("phrase"), "f")
-    bitmap = spark.sparkContext.broadcast(_bitmap(known, bits))
-    occurrences, found = checkpointed(_first(docs, bitmap, seed, width)), known
+    share = lambda groups: spark.sparkContext.broadcast(bitmap(groups.select("id"), bits))
+    frequent = share(known)
+    occurrences, found = checkpointed(_first(docs, frequent, seed, width)), known
     for k in range(2, longest + 1):
+        counted = checkpointed(_counts(occurrences, seed, width).groupBy("id").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
+        frequent.destroy()
+        frequent = share(counted)
         # a number's parts are the same in all its rows, or the number stands for two phrases
-        counted = _counts(occurrences, seed, width).groupBy("id").agg(F.sum("n").alias("f"), F.min("a").alias("a"), F.max("a").alias("a2"), F.min("b").alias("b"), F.max("b").alias("b2"))
-        counted = checkpointed(counted.where(F.col("f") >= least))
-        if not counted.where("a <> a2 OR b <> b2").isEmpty():
+        made = _makings(occurrences, frequent, seed, width).groupBy("id").agg(F.min("a").alias("a"), F.max("a").alias("a2"), F.min("b").alias("b"), F.max("b").alias("b2"))
+        made = checkpointed(counted.join(made, "id"))
+        if not made.where("a <> a2 OR b <> b2").isEmpty():
             raise _Clash
         # what passed the bitmap by chance is no part of a frequent phrase: a part is as frequent as the whole
         first = known.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("head"))
         last = known.select(F.col("id").alias("b"), F.substring_index("phrase", " ", -1).alias("tail"))
-        known = checkpointed(counted.join(first, "a").join(last, "b").select("lang", F.lit(k).alias("k"), "id", F.concat_ws(" ", "head", "tail").alias("phrase"), "f"))
-        bitmap.destroy()
+        known = checkpointed(made.join(first, "a").join(last, "b").select("lang", F.lit(k).alias("k"), "id", F.concat_ws(" ", "head", "tail").alias("phrase"), "f"))
         found = found.union(known)
-        bitmap = spark.sparkContext.broadcast(_bitmap(known, bits) if k < longest else b"")
         if k < longest:
-            occurrences = checkpointed(_longer(occurrences, bitmap, seed, width))
+            occurrences = checkpointed(_longer(occurrences, frequent, seed, width))
             if occurrences.isEmpty():
                 break
     return totals, found
