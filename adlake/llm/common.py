@@ -116,6 +116,20 @@ def pieces(b: pa.RecordBatch, column: str = "text", most_bytes: int = 4 << 20) -
         at = end
 
 
+def kept_rows(docs: DataFrame, keeps: Callable[[pa.RecordBatch], list]) -> DataFrame:
+    """The rows of docs for which keeps(batch) says so, all columns as they are, whatever their names (Spark's mapInArrow takes no dots in them)."""
+    names = docs.columns
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in pieces(pa.RecordBatch.from_arrays(batch.columns, names=names)):
+                kept = b.filter(pa.array(keeps(b), pa.bool_()))
+                yield pa.RecordBatch.from_arrays(kept.columns, schema=batch.schema)
+
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
+
+
 def bitmap(ids: DataFrame, bits: int = 1 << 27) -> bytes:
     """ids (id long) -> one bit for each id's remainder; at most bits / 8 bytes come to the driver, whatever there is of ids. `bits` is a power of two."""
     at = F.pmod("id", F.lit(bits)).cast("long") + 1

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, pieces, texts
+from .common import kept_rows, map_batches, pieces, texts
 
 #: Fixed value: words in a window, from the contract.
 WINDOW = 10
@@ -223,14 +223,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the affected documents, all columns kept. The verdict is made beside the text, so nothing is exchanged."""
     blocks = _blocks(benchmark, 2_000_000, WINDOW)
 
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            for b in pieces(batch):
-                clean = np.ones(b.num_rows, bool)
-                for *_, doc, _, _ in _found(b.column("text").to_pylist(), blocks)[1]:
-                    clean[doc] = False
-                yield b.filter(pa.array(clean))
+    def clean(b):
+        out = np.ones(b.num_rows, bool)
+        for *_, doc, _, _ in _found(b.column("text").to_pylist(), blocks)[1]:
+            out[doc] = False
+        return out
 
-    return docs.mapInArrow(run, docs.schema)
+    return kept_rows(docs, clean)

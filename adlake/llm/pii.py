@@ -302,7 +302,8 @@ def detect(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """docs with every span, merged where they overlap, written as [KIND] of its first part; n_chars, if there, follows."""
-    named = docs.select("doc_id", F.struct(*docs.columns).alias("row__"), "text")
+    quoted = {c: "`" + c.replace("`", "``") + "`" for c in docs.columns}
+    named = docs.select("doc_id", F.struct(*quoted.values()).alias("row__"), "text")
     found = checkpointed(candidates(named, "row__"))
     kind = "struct<s:int,e:int,kind:string>"
     spans = F.array_sort(F.transform(F.concat("base", added(fit(found))), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), x["kind"].alias("kind"))).cast(f"array<{kind}>"))
@@ -330,5 +331,5 @@ def redact(docs: DataFrame) -> DataFrame:
     tail = F.get("p", n - 1)["e"]
     clean = F.when(n > 0, F.concat(F.array_join(F.transform(begins, written), ""), F.substring(text, tail + 1, F.length(text)))).otherwise(text)
     done = out.select(F.col("row__").alias("row__"), clean.alias("clean__"))
-    number = lambda c: F.length("clean__").cast("long").alias(c) if c == "n_chars" else F.col(f"row__.{c}")
+    number = lambda c: F.length("clean__").cast("long").alias(c) if c == "n_chars" else F.col(f"row__.{quoted[c]}")
     return done.select(*[F.col("clean__").alias("text") if c == "text" else number(c) for c in docs.columns])

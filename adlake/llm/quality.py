@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_held_out, map_batches, pieces, texts
+from .common import is_held_out, kept_rows, map_batches, pieces, texts
 
 #: Fixed values of the contract: the folds of doc_id's crc32, the one held out, the threshold.
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
@@ -163,11 +163,4 @@ def keep(docs: DataFrame, labels: DataFrame, sample: int = 3000, rank: int = 48,
     """docs without those the vote rejects, all columns kept."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample, rank))
 
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            for b in pieces(batch):
-                yield b.filter(pa.array(votes(b, shared.value, neighbours) >= THRESHOLD))
-
-    return docs.mapInArrow(run, docs.schema)
+    return kept_rows(docs, lambda b: votes(b, shared.value, neighbours) >= THRESHOLD)

@@ -13,9 +13,8 @@ so links don't depend on `bucket`. For up to 5 bits there are 3 segments, and so
 
 `representatives`, the pipeline's stage, keeps one document of each group of five-word similarity (Jaccard) 0.8 or more. Two such texts
 differ in some 10 of 64 SimHash bits, where a 32-bit segment agrees but for a bit in 3.5 % of pairs only; so there the signature's places are
-not majority bits but minima of 128 hashes (a place agrees with the similarity's chance), and six segments of eight places meet
-98.5 % of the pairs at 0.8. A pair is linked if the 128 places put its similarity beyond four standard errors over 0.8, and within four errors
-of it by the exact similarity of the two texts. Crowded keys are compared whole, block by block, so links don't depend on a key's size.
+not majority bits but minima of hashes (a place agrees with the similarity's chance), and the deletion variants are those of ten segments of eight places, which
+99.9 % of the pairs at 0.8 share. Candidates are pruned by their signatures and every link is verified on the full sets (sets.py), whatever a key's size.
 
 Cases: null, empty and blank texts have fingerprint zero and link like any other; fewer words than a shingle are one shingle;
 equal rows share a component; an empty table gives no rows; other columns are ignored (`representatives` keeps them). Different texts under
@@ -32,19 +31,15 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, map_batches, pieces, skew_joined, texts
 from .graph import components
+from .sets import BLOCK, MISS, edges_of, joined_sets, prints_of, rows_by_key, words_of
 
 #: Fixed values of the contract: the hash's seed, words in a shingle there, differing bits that link.
 SEED, SHINGLE, BITS = 42, 3, 3
-#: The pipeline's near-duplicate stage: words in a shingle, similarity, places of a signature, segments and places in a segment.
-STAGE_SHINGLE, SIMILAR, PLACES, SEGMENTS, WIDTH = 5, 0.8, 128, 6, 8
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: The pipeline's near-duplicate stage: words in a shingle, similarity (per cent), segments and places in a segment.
+STAGE_SHINGLE, SIMILAR, SEGMENTS, WIDTH = 5, 80, 10, 8
 _SEGMENT_BITS = 3  # of a key, its lowest: the number of the segment
 
 
-def _words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
-
-
 def _hashes(w: list[bytes], shingle: int) -> Iterator[np.ndarray]:
     """The hashes of the words' shingles, a block at a time."""
     import xxhash
@@ -59,70 +54,12 @@ def _hashes(w: list[bytes], shingle: int) -> Iterator[np.ndarray]:
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """Bit by bit the majority of the shingles' XXH64 hashes, over the whole text."""
     votes, n = np.zeros(64, np.int64), 0
-    for h in _hashes(_words(text), shingle):
+    for h in _hashes(words_of(text), shingle):
         votes += np.unpackbits(h.view(np.uint8).reshape(len(h), 8), axis=1).sum(0, dtype=np.int32)
         n += len(h)
     return int.from_bytes(np.packbits(votes * 2 > n).tobytes(), "big")
 
 
-def _factors() -> np.ndarray:
-    """Odd 32-bit multipliers, one a place, by mixing the place's number."""
-    x = np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-
-
-_FACTORS = _factors()
-
-
-def minima(text: str | None, shingle: int = STAGE_SHINGLE) -> bytes:
-    """The signature of the whole text's set of shingles: a byte of each place's least hash."""
-    low = np.full(PLACES, 0xFFFFFFFF, np.uint32)
-    for h in _hashes(_words(text), shingle):
-        h = h.astype(np.uint64)
-        h = ((h >> np.uint64(32)) ^ h).astype(np.uint32)
-        for at in range(0, len(h), 1024):
-            np.minimum(low, (h[at : at + 1024, None] * _FACTORS).min(0), out=low)
-    return ((low * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
-
-
-def shingle_set(text: str | None, shingle: int = STAGE_SHINGLE) -> bytes:
-    """The whole text's distinct shingles as sorted 32-bit hashes."""
-    h = np.concatenate([*_hashes(_words(text), shingle), np.zeros(0, ">u8")]).astype(np.uint64)
-    return np.unique(((h >> np.uint64(32)) ^ h).astype(np.uint32)).tobytes()
-
-
-def _rows_by_key(batches, names: list[str], most: int | None = None) -> Iterator[tuple[list[np.ndarray], bool]]:
-    """Sorted rows as arrays of whole keys. A last key of more than `most` rows isn't held back: its rows come as they are read, marked True."""
-    held, open_ = [np.zeros(0, np.int64) for _ in names], None
-    for batch in batches:
-        held = [np.concatenate([x, batch.column(c).to_numpy()]) for x, c in zip(held, names, strict=True)]
-        if open_ is not None:
-            n = int(np.searchsorted(held[0], open_, "right"))
-            if n:
-                yield [x[:n] for x in held], True
-                held = [x[n:] for x in held]
-        if not len(held[0]):
-            continue
-        n = int(np.searchsorted(held[0], held[0][-1]))  # the last key may go on in the next batch
-        if n:
-            yield [x[:n] for x in held], False
-            held = [x[n:] for x in held]
-        if most is not None and len(held[0]) > most:
-            open_ = held[0][0]
-            yield held, True
-            held = [x[:0] for x in held]
-    if len(held[0]):
-        yield held, False
-
-
-def _edges(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each key's rows begin, and how many they are."""
-    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-    return edge[:-1], np.diff(edge)
-
-
 def _variants(df: DataFrame, bits: int, parts: int) -> DataFrame:
     """(key, node[, rest]) of every one-wildcard variant of every segment of rest, `bits` bits that earlier cuts have not fixed (without rest: node).
 
@@ -176,12 +113,12 @@ def _level(variants: DataFrame, most: int, bucket: int | None) -> DataFrame:
         def out(crowded: bool, a: np.ndarray, b: np.ndarray, rest: np.ndarray):
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), crowded)), pa.array(a), pa.array(b), pa.array(rest)], names=["crowded", "a", "b", "rest"])
 
-        for columns, crowded in _rows_by_key(batches, names, bucket):
+        for columns, crowded in rows_by_key(batches, names, bucket):
             key, node, rest = columns[0], columns[1], columns[-1]
             if crowded:
                 yield out(True, key, node, rest)
                 continue
-            begin, size = _edges(key)
+            begin, size = edges_of(key)
             fp = node.view(np.uint64)
             two = begin[size == 2]  # most keys that hold more than one hold two
             two = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= most]
@@ -235,164 +172,48 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = BITS, b
     return skew_joined(prints, named, "node").select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _met(keyed: DataFrame, block: int) -> DataFrame:
-    """keyed (key, node) -> (key, node) of the groups of nodes that share a key, each different group once, under a key of its own.
+def _free(docs: DataFrame, name: str) -> str:
+    """A name that no column of docs has."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
-    Only keys and nodes are shuffled, once. A group of more than `block` nodes is cut into blocks, and every two of them are a group, so that all of
-    its pairs meet; each of its nodes is then sent as often as it has blocks, less one.
-    """
 
-    def run(batches):
-        import pyarrow as pa
+def _identified(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """docs with two more columns, and their names: doc_id (-1 without one) and a hash of all columns; together they tell rows apart, but for equal ones."""
+    own, row, mark = _free(docs, "id__"), _free(docs, "row__"), F.lit("\x00")
+    columns = [F.coalesce(F.col(_quoted(c)).cast("string"), mark) for c in docs.columns]
+    return docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")).alias(own), F.xxhash64(*columns).alias(row)), own, row
 
-        def mixed(x: np.ndarray) -> np.ndarray:
-            x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-            return x ^ (x >> np.uint64(32))
-
-        def grouped(node: np.ndarray, size: np.ndarray):
-            begin = np.cumsum(size) - size
-            # equal groups get equal keys
-            group = mixed(np.add.reduceat(mixed(node.view(np.uint64)), begin) + size.astype(np.uint64)).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.repeat(group, size)), pa.array(node)], names=["key", "node"])
-
-        for (key, node), _ in _rows_by_key(batches, ["key", "node"]):
-            begin, size = _edges(key)
-            for s, n in zip(begin[size > block].tolist(), size[size > block].tolist(), strict=True):
-                parts = np.array_split(node[s : s + n], -(-n // block))
-                for i in range(len(parts)):
-                    for j in range(i):
-                        two = np.concatenate([parts[j], parts[i]])
-                        yield grouped(two, np.array([len(two)]))
-            fits = (size > 1) & (size <= block)
-            if fits.any():
-                yield grouped(node[np.repeat(fits, size)], size[fits])
-
-    return checkpointed(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, node long").distinct())
-
-
-def _by_group(batches, names: list[str]):
-    """Rows sorted by key as one list of columns a key."""
-    held: list[list] = [[] for _ in names]
-    for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-            if held[0] and held[0][0] != row[0]:
-                yield held
-                held = [[] for _ in names]
-            for x, v in zip(held, row, strict=True):
-                x.append(v)
-    if held[0]:
-        yield held
-
-
-def _places(rows: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
-
-
-def _likely(met: DataFrame, low: float, high: float) -> DataFrame:
-    """met (key, node, places) -> (sure, a, b, tree). Sure: links a-b that span the trees of a group's nodes whose places give at least `high`.
-    Others: a group's key and those nodes of it that come to `low` with a node of another tree, and their tree."""
 
-    def run(batches):
-        import pyarrow as pa
+def _quoted(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
 
-        def out(sure: bool, a, b, tree):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), sure)), pa.array(a), pa.array(b), pa.array(tree)], names=["sure", "a", "b", "tree"])
-
-        for key, node, places in _by_group(batches, ["key", "node", "places"]):
-            node, p = np.array(node, np.int64), _places(places)
-            a, b = _united(len(node), lambda i, left, p=p: (p[left] == p[i]).mean(1) >= high)
-            tree = np.arange(len(node))
-            for x, y in zip(a, b, strict=True):  # a tree's links come from its root outwards
-                tree[y] = tree[x]
-            if a:
-                yield out(True, node[a], node[b], node[tree[a]])
-            tops, sizes = np.unique(tree, return_counts=True)
-            if len(tops) > 1:
-                open_ = np.zeros(len(node), bool)
-                for k in np.flatnonzero(tree != tops[sizes.argmax()]).tolist():
-                    near = ((p == p[k]).mean(1) >= low) & (tree != tree[k])
-                    open_ |= near
-                    open_[k] |= near.any()
-                if open_.any():
-                    yield out(False, np.full(int(open_.sum()), key[0], np.int64), node[open_], node[tree[open_]])
-
-    return checkpointed(met.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "sure boolean, a long, b long, tree long"))
-
-
-def _exact(rows: DataFrame, low: float, least: float) -> DataFrame:
-    """rows (key, node, tree, places, shingles) -> (a, b): links that join a group's trees, each of an exact similarity of at least `least`."""
 
-    def run(batches):
-        import pyarrow as pa
-
-        for _, node, tree, places, shingles in _by_group(batches, ["key", "node", "tree", "places", "shingles"]):
-            p, sets = _places(places), [np.frombuffer(x, np.uint32) for x in shingles]
-            top, links_ = np.unique(tree, return_inverse=True)[1], []
-            for i in range(len(node) - 1):
-                like = (p[i + 1 :] == p[i]).mean(1)
-                for j in (np.argsort(-like, kind="stable") + i + 1).tolist():
-                    if like[j - i - 1] < low:
-                        break
-                    if top[i] != top[j]:
-                        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                        every = len(sets[i]) + len(sets[j]) - both
-                        if not every or both / every >= least:
-                            links_.append((node[i], node[j]))
-                            top[top == top[j]] = top[i]
-            if links_:
-                a, b = zip(*links_, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
-
-
-def _identified(docs: DataFrame) -> DataFrame:
-    """docs with id__ (doc_id, -1 without one) and row__ (a hash of all columns): together they tell rows apart, but for equal ones."""
-    mark = F.lit("\x00")
-    id_ = F.col("doc_id").cast("long")
-    return docs.select("*", F.coalesce(id_, F.lit(-1)).cast("long").alias("id__"), F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), mark) for c in docs.columns]).alias("row__"))
-
-
-def similar(docs: DataFrame, shingle: int = STAGE_SHINGLE, least: float = SIMILAR, block: int = 512) -> DataFrame:
-    """(id__, row__, first__): each row's identity (see _identified), and whether it is the first of its group, by doc_id and then by hash; equal rows are one."""
-    marked = _identified(docs)
-    source = marked.select(F.col("doc_id").isNull().alias("last__"), "id__", "row__", F.col("text").cast("string").alias("text"))
-
-    def run(batch):
-        for b in pieces(batch):
-            yield {c: b.column(c) for c in ("last__", "id__", "row__")} | {"places": [minima(t, shingle) for t in b.column("text").to_pylist()]}
-
-    prints = checkpointed(map_batches(source, run, "last__ boolean, id__ long, row__ long, places binary"))
-    nodes = checkpointed(prints.groupBy("places").agg(F.min(F.struct("last__", "id__", "row__")).alias("first")).withColumn("node", F.xxhash64("places")))
+def similar(docs: DataFrame, shingle: int = STAGE_SHINGLE, least: int = SIMILAR, miss: float = MISS, block: int = BLOCK) -> DataFrame:
+    """(id, row) of the rows that are the first of their group, by doc_id (rows without one last) and then by hash; equal rows are one."""
+    marked, own, row = _identified(docs)
+    source = marked.select(F.col("doc_id").isNull().alias("last"), F.col(own).alias("id"), F.col(row).alias("row"), F.col("text").cast("string").alias("text"))
+    prints = checkpointed(prints_of(source, shingle))
+    sets = prints.groupBy("digest").agg(F.min(F.struct("last", "id", "row")).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("places").alias("places"))
+    # written once, so a node keeps its number
+    nodes = checkpointed(sets.withColumn("node", F.monotonically_increasing_id()).withColumn("id", F.col("first.id")))
     keys = []
     for j in range(SEGMENTS):
         for k in range(WIDTH):
             before, after = F.substring("places", WIDTH * j + 1, k), F.substring("places", WIDTH * j + k + 2, WIDTH - 1 - k)
             keys.append(F.xxhash64(F.lit(j * WIDTH + k), before, after))
-    met = _met(nodes.select(F.explode(F.array(*keys)).alias("key"), "node"), block)
-    error = 4 * float(np.sqrt(least * (1 - least) / PLACES))
-    likely = _likely(met.join(nodes.select("node", "places"), "node").select("key", "node", "places"), least - error, least + error)
-    unsure = likely.where("not sure").select(F.col("a").alias("key"), F.col("b").alias("node"), "tree")
-    wanted = unsure.select("node").distinct().join(nodes, "node").select("node", "first.id__", "first.row__")
-
-    def whole(batch):
-        for b in pieces(batch):
-            yield {"node": b.column("node"), "shingles": [shingle_set(t, shingle) for t in b.column("text").to_pylist()]}
-
-    text = source.join(wanted, ["id__", "row__"]).select("node", "text").dropDuplicates(["node"])
-    known = checkpointed(map_batches(text, whole, "node long, shingles binary"))
-    found = _exact(unsure.join(nodes.select("node", "places"), "node").join(known, "node"), least - error, least)
-    tree = checkpointed(components(likely.where("sure").select("a", "b").union(found)))
+    tree = joined_sets(docs, nodes.where("n_shingles > 0"), keys, shingle, least, miss, block)
     linked = tree.join(nodes.select("node", "first"), "node")
     lowest = linked.groupBy("root").agg(F.min("first").alias("lowest"), F.count("*").alias("n"))
-    later = skew_joined(linked.select("root", "first"), checkpointed(lowest), "root").where("first <> lowest").select("first.id__", "first.row__").distinct()
-    rows = nodes.select("first.id__", "first.row__").distinct()
-    return rows.join(later.withColumn("later__", F.lit(True)), ["id__", "row__"], "left").select("id__", "row__", F.col("later__").isNull().alias("first__"))
+    later = skew_joined(linked.select("root", "node", "first"), checkpointed(lowest), "root").where("first <> lowest").select("node")
+    return nodes.join(later, "node", "left_anti").select("first.id", "first.row")
 
 
-def representatives(docs: DataFrame, shingle: int = STAGE_SHINGLE, least: float = SIMILAR, block: int = 512) -> DataFrame:
+def representatives(docs: DataFrame, shingle: int = STAGE_SHINGLE, least: int = SIMILAR, miss: float = MISS, block: int = BLOCK) -> DataFrame:
     """docs with one row of each group of similar texts."""
-    chosen = checkpointed(similar(docs, shingle, least, block).where("first__").select("id__", "row__"))
-    kept = _identified(docs).join(chosen, ["id__", "row__"], "left_semi")
-    return kept.dropDuplicates(["id__", "row__"]).select(*docs.columns)
+    first = checkpointed(similar(docs, shingle, least, miss, block))
+    marked, own, row = _identified(docs)
+    kept = marked.join(first.select(F.col("id").alias(own), F.col("row").alias(row)), [own, row], "left_semi")
+    return kept.dropDuplicates([own, row]).drop(own, row)

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from adlake.llm import minhash as M
+from adlake.llm import sets as S
+from adlake.llm.common import texts as texts_of
 from adlake.llm.queries import QUERIES
 
 from .fixtures import EDGES, frame
@@ -92,16 +94,16 @@ def test_empty_table(spark):
 
 def test_posterior_bounds():
     """The table of least matches against the posterior, integrated plainly; and the chance that a pair at the bound is pruned at all."""
-    need, p = M.needs(85, 1e-6), 0.85 + 0.15 / 256
-    assert len(need) == M.PLACES // M.BATCH and need == sorted(need)
+    need, p = S.needs(85, 1e-6), 0.85 + 0.15 / 256
+    assert len(need) == S.PLACES // S.BATCH and need == sorted(need)
     x = (np.arange(200_000) + 0.5) / 200_000
-    for n, m in zip(range(M.BATCH, M.PLACES + 1, M.BATCH), need, strict=True):
+    for n, m in zip(range(S.BATCH, S.PLACES + 1, S.BATCH), need, strict=True):
         for k, above in ((m, True), (m - 1, False)):
             density = np.exp(k * np.log(x) + (n - k) * np.log1p(-x) + math.lgamma(n + 2) - math.lgamma(k + 1) - math.lgamma(n - k + 1))
-            assert (density[x >= p].mean() * (x >= p).mean() >= 1e-6 * M.BATCH / M.PLACES) == above
+            assert (density[x >= p].mean() * (x >= p).mean() >= 1e-6 * S.BATCH / S.PLACES) == above
     chance = {0: 1.0}  # of so many matches, not pruned yet
     for k, m in enumerate(need):
-        each = [math.comb(M.BATCH, i) * p**i * (1 - p) ** (M.BATCH - i) for i in range(M.BATCH + 1)]
+        each = [math.comb(S.BATCH, i) * p**i * (1 - p) ** (S.BATCH - i) for i in range(S.BATCH + 1)]
         step = {}
         for have, c in chance.items():
             for i, e in enumerate(each):
@@ -117,10 +119,10 @@ def test_signatures_are_fair():
         agree = []
         for _ in range(30):
             words = [f"{r.random()}" for _ in range(400)]
-            a, b = M.shingles(" ".join(words)), M.shingles(edited(r, words, round((1 - share) / (1 + share) * 80)))
+            a, b = S.shingles(" ".join(words), 5), S.shingles(edited(r, words, round((1 - share) / (1 + share) * 80)), 5)
             ids = lambda h: set(zip(h[0].tolist(), h[1].tolist(), strict=True))
             s = len(ids(a) & ids(b)) / len(ids(a) | ids(b))
-            x, y = (np.frombuffer(M.signature(h), np.uint8) for h in (a, b))
+            x, y = (np.frombuffer(S.signature(h), np.uint8) for h in (a, b))
             agree.append((x == y).mean() - (s + (1 - s) / 256))
         assert abs(np.mean(agree)) < 0.02
 
@@ -128,28 +130,28 @@ def test_signatures_are_fair():
 def test_sets_are_whole():
     r = random.Random(2)
     text = " ".join(r.choice(["a", "b", "c"]) for _ in range(40_000))
-    assert len(M.shingles(text)[0]) == len(brute_set(text)) == 243
+    assert len(S.shingles(text, 5)[0]) == len(brute_set(text)) == 243
     long = " ".join(str(k) for k in range(40_000))
-    assert len(M.shingles(long)[0]) == 39_996
+    assert len(S.shingles(long, 5)[0]) == 39_996
 
 
 def test_large_group_sends_few_rows(spark):
     """A group of near copies: what is proposed and what crosses grows with its nodes, not with its pairs."""
     r = random.Random(3)
     made = sorted(set(family(r, 1500, 120, 2)))
-    prints = M._prints(frame(spark, made), 5).where("n_shingles > 0").withColumn("node", F.monotonically_increasing_id()).cache()
-    groups = M._groups(prints.select(F.lit(1).cast("long").alias("key"), "node"), 64)
+    prints = S.prints_of(texts_of(frame(spark, made)), 5).where("n_shingles > 0").withColumn("node", F.monotonically_increasing_id()).cache()
+    groups = S._groups(prints.select(F.lit(1).cast("long").alias("key"), "node"), 64)
     assert groups.count() == len(made)
-    found = M._proposed(groups, prints, M.needs(), 85)
+    found = S._proposed(groups, prints, S.needs(85), 85)
     assert found.count() < 2.2 * len(made)
     families = found.where("kind = 1").select(F.col("x").alias("family"), "block", F.col("y").alias("node"))
     tree = prints.select("node", F.lit(0).cast("long").alias("root"))
-    assert M._meetings(families, tree, 32).count() == 0
+    assert S._meetings(families, tree, 32).count() == 0
     # with a few nodes outside, each block meets them once
     apart = prints.select("node", F.when(F.col("doc_id") < 10, F.col("node")).otherwise(-1).alias("root"))
-    meetings = M._meetings(families, apart, 32)
+    meetings = S._meetings(families, apart, 32)
     assert meetings.count() <= len(made) + 10 * (len(made) // 64 + 1) + 10
-    assert M._crossing(meetings, prints, M.needs(), 85).count() <= meetings.count()
+    assert S._crossing(meetings, prints, S.needs(85), 85).count() <= meetings.count()
     prints.unpersist()
 
 

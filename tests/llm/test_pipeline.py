@@ -6,6 +6,7 @@ import re
 
 import corpus_pipeline as C
 import pytest
+from pyspark.sql import functions as F
 
 from adlake.llm import pii
 from adlake.llm.common import shared_dir
@@ -68,6 +69,19 @@ def test_stages_keep_clashing_columns_and_empty_tables(spark, corpus):
         assert C.STAGES[-1][1](spark, docs, d).select("doc_id").distinct().count() == len(texts)
 
 
+def test_stages_keep_columns_of_any_name(spark, corpus):
+    """Names that the stages use within, a name with a dot, and names that differ by case only from those."""
+    d, _ = corpus
+    docs = frame(spark, ["", None, "some words of one text that is kept whole", "some words of one text that is kept whole", "mail a@b.example now"])
+    for name in ("id__", "ROW__", "row__", "a.b", "clean__", "node", "first", "places", "digest", "spans", "p"):
+        docs = docs.withColumn(name, F.lit(name)) if name.lower() not in {c.lower() for c in docs.columns} else docs
+    for k, (_, stage) in enumerate(C.STAGES[:-1]):
+        out = stage(spark, docs, d)
+        rows = out.collect()
+        assert out.columns == docs.columns and all(r["a.b"] == "a.b" and r["ROW__"] == "ROW__" for r in rows) and len(rows) >= (3 if k == 1 else 1), k
+    assert C.STAGES[-1][1](spark, docs, d).count() > 0
+
+
 def test_run_leaves_one_table_behind(spark, corpus):
     d, _ = corpus
     shared = shared_dir(spark)

@@ -109,7 +109,7 @@ def test_stage_finds_what_brute_force_finds(spark):
     want = brute_similar(texts)
     for block in (4, 512):
         got = {x.doc_id for x in S.representatives(docs, block=block).collect()}
-        # pairs are searched with a recall of 98.5 % at the bound; here all are met
+        # pairs are searched with a recall of 99.9 % at the bound; here all are met
         assert got == want, (block, got ^ want)
 
 
