@@ -185,6 +185,8 @@ ORACLES = {
     "trends_weekly": _trend("week", 180),
     "stream_completion": _of(MSG, "SELECT DISTINCT source_name, make_str, id_ad FROM msg"),
     "stream_history": _of(MSG, LOG, 'SELECT id_ad, "offset", price, status FROM log WHERE status IS NOT NULL'),
+    "stream_make_stats": _of(MSG, STATE, f"SELECT make_name, count(*) AS count, {_rounded('avg(price)')} AS avg_price, min(price) AS min_price, max(price) AS max_price FROM state WHERE make_name IS NOT NULL AND price > 0 GROUP BY 1 ORDER BY count DESC, make_name LIMIT 10"),
+    "stream_price_distribution": _of(MSG, STATE, "SELECT CASE WHEN price < 5000 THEN '0-5K' WHEN price < 10000 THEN '5K-10K' WHEN price < 20000 THEN '10K-20K' WHEN price < 30000 THEN '20K-30K' WHEN price < 50000 THEN '30K-50K' WHEN price < 100000 THEN '50K-100K' ELSE '100K+' END AS price_range, count(*) AS count FROM state WHERE price > 0 GROUP BY 1"),
     "stream_rejects": _of(MSG, RAW, "SELECT \"offset\", source_ad_id, url, concat_ws(',', CASE WHEN source_ad_id IS NULL THEN 'source_ad_id' END, CASE WHEN url IS NULL THEN 'url' END) AS reason, TRY_CAST(price AS DOUBLE) AS price FROM raw WHERE source_ad_id IS NULL OR url IS NULL"),
     "stream_sold": _SOLD,
     "stream_upsert": _of(MSG, STATE, "SELECT * FROM state"),

@@ -268,7 +268,7 @@ QUERIES = {
     "message_route": message_route, "message_validation": message_validation, "model_stats": stat(A.models, "make_name model_name price"), "models_by_make": models_by_make, "params_map": params_map,
     "popular_make": stat(A.popular_make, "make_name"), "popular_model": stat(A.popular_model, "make_name model_name"), "price_distribution": stat(A.price_distribution, "price"),
     "price_history": price_history, "region_stats": stat(A.regions, "region price"), "sold_history": sold_history, "sold_ids": sold_ids, "sold_probe": sold_probe,
-    "sold_reconcile": sold_reconcile, "sold_state": sold_state, "stats_general": stat(A.general, "id_ad sold_at price mileage"), "stream_completion": jobs.stream_completion, "stream_history": jobs.stream_history,
+    "sold_reconcile": sold_reconcile, "sold_state": sold_state, "stats_general": stat(A.general, "id_ad sold_at price mileage"), "stream_completion": jobs.stream_completion, "stream_history": jobs.stream_history, "stream_make_stats": jobs.stream_make_stats, "stream_price_distribution": jobs.stream_price_distribution,
     "stream_rejects": jobs.stream_rejects, "stream_sold": jobs.stream_sold, "stream_upsert": jobs.stream_upsert, "table_counts": table_counts, "trends_daily": stat(A.trends, "created_at price", AS_OF, "daily", 30),
     "trends_monthly": stat(A.trends, "created_at price", AS_OF, "monthly", 365), "trends_weekly": stat(A.trends, "created_at price", AS_OF, "weekly", 180),
     "upsert_state": upsert_state, "year_distribution": stat(A.year_distribution, "year"),

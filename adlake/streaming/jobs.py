@@ -16,6 +16,7 @@ from adlake.operators import ingest as I
 from adlake.operators import state as S
 from adlake.sources import tables as T
 from adlake.streaming import keyed as K
+from adlake.streaming import maintained as M
 from adlake.streaming import sink
 
 CLOSINGS = "id_ad string, offset long, closed_at timestamp_ntz"
@@ -186,3 +187,17 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = sink.split(I.coerce(raw_messages(files(spark, f"{sf_dir}/events.parquet"))), I.REQUIRED_AD, "parsed_car_ads")
     sink.start(routed, f"{base}/tables", f"{base}/checkpoint-routed").trigger(availableNow=True).start().awaitTermination()
     return sink.committed(spark, f"{base}/tables", sink.REJECTED, routed.schema).select("offset", "source_ad_id", "url", "reason", "price")
+
+
+def stream_make_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of makes as the message stream leaves them, kept by retractions."""
+    stats = M.MaintainedStats(spark, shared_dir(spark))
+    stats.run(from_events(files(spark, f"{sf_dir}/events.parquet")))
+    return M.makes(stats.counts())
+
+
+def stream_price_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price histogram as the message stream leaves it, kept by retractions."""
+    stats = M.MaintainedStats(spark, shared_dir(spark))
+    stats.run(from_events(files(spark, f"{sf_dir}/events.parquet")))
+    return M.price_distribution(stats.counts())
