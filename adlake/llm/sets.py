@@ -337,7 +337,10 @@ def _joined(crossing: DataFrame, nodes: DataFrame, known: DataFrame, shingle: in
     """(a, b): of each meeting, links that join its parts, verified on the full sets; likeliest pairs first, and none between parts that are joined already."""
 
     def run(batches):
+        refuted: set[tuple[int, int]] = set()  # pairs that meet again under another key
         for g in _whole_groups(batches, _MEETING, [*_MEETING, "out", "node", "part", "n_shingles", "places", "text"]):
+            if len(refuted) > 1 << 20:
+                refuted.clear()
             for s, n in zip(g["begin"].tolist(), g["length"].tolist(), strict=True):
                 found = [np.concatenate(x) for x in zip(*_across(g, s, n, need, least), strict=True)] or [np.zeros(0, np.int64)] * 3
                 top = {p: p for p in g["part"][s : s + n].tolist()}
@@ -350,13 +353,16 @@ def _joined(crossing: DataFrame, nodes: DataFrame, known: DataFrame, shingle: in
                         x = top[x]
                     while top[y] != y:
                         y = top[y]
-                    if x != y:
+                    pair = (int(g["node"][i]), int(g["node"][j]))
+                    if x != y and pair not in refuted:
                         for r in (i, j):
                             if r not in sets:
                                 sets[r] = _word_set(g["text"][r], shingle)
                         if _is_link(sets[i], sets[j], least):
                             top[x] = y
-                            links.append((g["node"][i], g["node"][j]))
+                            links.append(pair)
+                        else:
+                            refuted.add(pair)
                 if links:
                     a, b = zip(*links, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -394,7 +400,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 def _word_set(text: str, shingle: int) -> set:
     w = words_of(text)
     size = min(shingle, len(w))
-    return set(zip(*(w[k:] for k in range(size)), strict=False))
+    return set(map(b" ".join, zip(*(w[k:] for k in range(size)), strict=False)))
 
 
 def _is_link(one: set, two: set, least: int) -> bool:
