@@ -8,7 +8,8 @@ For scale: a text's occurrences are one row of two sorted arrays, so the merge-j
 tasks count before they shuffle, and Spark's own partial aggregation adds up what is left. The semi-join passes a bitmap of `bits` bits (16 MB, whatever
 the corpus), built by Spark; what passes by chance is counted and goes at the next exact count. Frequent groups are never collected or broadcast.
 Occurrences are known by numbers of `width` bits, mixed from the parts' numbers; each count checks that a frequent number stands for one phrase, and if one
-ever stands for two, all is done again with the next seed (and twice the bits, up to 64): counts are exact.
+ever stands for two, all is done again with the next seed (and twice the bits, up to 64): counts are exact, but for phrases that share number and sign, 96 bits.
+A frequent number's parts are told by one of the tasks that hold it.
 
 Cases: a null text is empty; a null lang is `und` (as is that text itself); texts without words give nothing; equal rows count each; a phrase never crosses a
 piece; very long texts are one row; an empty table, or one without frequent phrases, gives no rows; other columns are ignored.
@@ -135,30 +136,48 @@ def _first(docs: DataFrame, frequent, seed: int, width: int) -> DataFrame:
     return map_batches(docs, run, _OCCURRENCES).where("size(id) > 1")
 
 
+def _sign(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """32 bits of a phrase's two parts, mixed unlike its number."""
+    return ((_mixed(b, a, 1, 64) >> np.uint64(32)).astype(np.uint32)).view(np.int32)
+
+
 def _counts(occurrences: DataFrame, seed: int, width: int) -> DataFrame:
-    """(id, n) of the phrases one word longer, counted a part of a batch at a time."""
+    """(id, f, sign, sign2, task) of the phrases one word longer: the count of a number, least and greatest sign of the phrases under it, and a task that holds it."""
 
     def run(batch):
         for part in _parts(batch):
-            found, n = np.unique(_joined(part, seed, width)[2], return_counts=True)
-            yield {"id": pa.array(found.view(np.int64)), "n": pa.array(n.astype(np.int64))}
+            _, _, ids, a, b = _joined(part, seed, width)
+            found, at, own, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
+            sign = _sign(a, b)
+            other = np.flatnonzero(sign != sign[at][own])  # of another phrase under the number the sign goes along
+            both = lambda x, y: pa.array(np.concatenate([x, y]))
+            yield {"id": both(found.view(np.int64), ids[other].view(np.int64)), "n": both(n.astype(np.int64), np.zeros(len(other), np.int64)), "sign": both(sign[at], sign[other])}
 
-    return map_batches(occurrences, run, "id long, n long")
+    rows = map_batches(occurrences, run, "id long, n long, sign int").withColumn("task", F.spark_partition_id())
+    return rows.groupBy("id").agg(F.sum("n").alias("f"), F.min("sign").alias("sign"), F.max("sign").alias("sign2"), F.min("task").alias("task"))
 
 
-def _makings(occurrences: DataFrame, frequent, seed: int, width: int) -> DataFrame:
-    """(id, a, b): of which two parts the phrases are made whose numbers pass, each once in a part of a batch; of two phrases under one number, both."""
+_TASK = 0x9E3779B1  # odd: sets a number's bits for one task apart from those for another
 
-    def run(batch):
-        for part in _parts(batch):
-            _, _, ids, a, b = _joined(part, seed, width)
-            keep = passes(ids, np.frombuffer(frequent.value, np.uint8))
-            ids, a, b = ids[keep], a[keep], b[keep]
-            _, at, own = np.unique(ids, return_index=True, return_inverse=True)
-            at = np.concatenate([at, np.flatnonzero((a != a[at][own]) | (b != b[at][own]))])
-            yield {"id": pa.array(ids[at].view(np.int64)), "a": pa.array(a[at].view(np.int64)), "b": pa.array(b[at].view(np.int64))}
 
-    return map_batches(occurrences, run, "id long, a long, b long")
+def _makings(occurrences: DataFrame, frequent, seed: int, width: int, own: bool) -> DataFrame:
+    """(id, a, b): of which two parts the phrases are made whose numbers pass, once from each task; own: a number as its one task's alone."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        task, sent = np.uint64(TaskContext.get().partitionId() * _TASK if own else 0), set()
+        for batch in batches:
+            for part in _parts(batch):
+                _, _, ids, a, b = _joined(part, seed, width)
+                found, at = np.unique(ids, return_index=True)
+                at = at[passes(found ^ task, np.frombuffer(frequent.value, np.uint8))]
+                at = at[[x not in sent for x in ids[at].tolist()]] if sent and len(at) else at
+                sent = set() if len(sent) > 1 << 20 else sent
+                sent.update(ids[at].tolist())
+                yield pa.RecordBatch.from_arrays([pa.array(x[at].view(np.int64)) for x in (ids, a, b)], names=["id", "a", "b"])
+
+    return occurrences.mapInArrow(run, "id long, a long, b long").dropDuplicates(["id"])
 
 
 def _longer(occurrences: DataFrame, frequent, seed: int, width: int) -> DataFrame:
@@ -192,14 +211,16 @@ def _frequent(docs: DataFrame, longest: int, least: int, bits: int, seed: int, w
     frequent = share(known)
     occurrences, found = checkpointed(_first(docs, frequent, seed, width)), known
     for k in range(2, longest + 1):
-        counted = checkpointed(_counts(occurrences, seed, width).groupBy("id").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
+        counted = checkpointed(_counts(occurrences, seed, width).where(F.col("f") >= least))
+        if not counted.where("sign <> sign2").isEmpty():
+            raise _Clash
         frequent.destroy()
         frequent = share(counted)
-        # a number's parts are the same in all its rows, or the number stands for two phrases
-        made = _makings(occurrences, frequent, seed, width).groupBy("id").agg(F.min("a").alias("a"), F.max("a").alias("a2"), F.min("b").alias("b"), F.max("b").alias("b2"))
-        made = checkpointed(counted.join(made, "id"))
-        if not made.where("a <> a2 OR b <> b2").isEmpty():
-            raise _Clash
+        at = share(counted.select(F.col("id").bitwiseXOR(F.col("task").cast("long") * _TASK).alias("id")))
+        made = checkpointed(counted.join(_makings(occurrences, at, seed, width, True), "id"))
+        if made.count() < counted.count():  # the texts were dealt to tasks in another way
+            made = checkpointed(counted.join(_makings(occurrences, frequent, seed, width, False), "id"))
+        at.destroy()
         # what passed the bitmap by chance is no part of a frequent phrase: a part is as frequent as the whole
         first = known.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("head"))
         last = known.select(F.col("id").alias("b"), F.substring_index("phrase", " ", -1).alias("tail"))
