@@ -150,6 +150,15 @@ def models_of(ads: DataFrame, make: str) -> DataFrame:
     return ads.where(contains(F.col("make_name"), make) & F.col("model_name").isNotNull() & (F.col("model_name") != "")).select("model_name").distinct()
 
 
+def counted(results: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    """(endpoint, argument, count): how many results each named query gives, as their answers carry it."""
+    out = None
+    for (endpoint, argument), rows in results.items():
+        one = rows.agg(F.count("*").alias("count")).select(F.lit(endpoint).alias("endpoint"), F.lit(argument).alias("argument"), "count")
+        out = one if out is None else out.union(one)
+    return out
+
+
 def options(ads: DataFrame, cities: int = 50) -> DataFrame:
     """(facet, value): the distinct values of each facet in one pass; cities are the first 50 in order."""
     facets = {"fuel_types": "fuel_type", "gearboxes": "gearbox", "cities": "city", "regions": "region", "sources": "source_name"}

@@ -177,6 +177,34 @@ def load_catalogue(entries: DataFrame, known: DataFrame) -> tuple[DataFrame, Dat
     return planned.where("action = 'added'").drop("action"), planned.agg(F.count_if(F.col("action") == "added").alias("added"), F.count_if(F.col("action") == "skipped").alias("skipped"))
 
 
+def catalogue_errors(texts: DataFrame) -> DataFrame:
+    """One row, `errors`: entries of the make filter without a name."""
+    bare = F.regexp_replace("value", r"(?m)^\s*//.*$", "")
+    rows = texts.select(F.explode(F.from_json(bare, "array<struct<name:string,value:string>>")).alias("e"))
+    return rows.agg(F.count_if((F.col("e.name") == "filter_enum_make") & (F.coalesce("e.value", F.lit("")) == "")).alias("errors"))
+
+
+def store_catalogue(texts: DataFrame, path: str) -> dict[str, int]:
+    """Adds the catalogue's makes (name, slug) that the table at `path` lacks, all in one commit or, if an entry has no name, none; the counters."""
+    spark = texts.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    known = spark.read.schema("slug string, name string").parquet(path) if there else spark.createDataFrame([], "slug string, name string")
+    new, counts = load_catalogue(catalogue(texts).where("name <> ''"), known)
+    done = counts.first().asDict() | catalogue_errors(texts).first().asDict()
+    if done["errors"]:
+        return done | {"added": 0}
+    if done["added"]:
+        new.select("slug", "name").write.mode("append").parquet(path)
+    return done
+
+
+def by_make(flat: DataFrame) -> DataFrame:
+    """A run's totals by make: ads, those with a price, and their share."""
+    priced = F.count_if(F.col("price").isNotNull())
+    return flat.groupBy("make_str").agg(F.count("*").alias("items"), priced.alias("priced"), (priced / F.count("*")).alias("share"))
+
+
 def run_metrics(parsed: DataFrame) -> DataFrame:
     """Counters of a crawl: pages, errors, retries and items."""
     items = F.when(F.col("outcome") == "ok", F.size(F.filter("r.data.advertSearch.edges", lambda e: e["node"].isNotNull()))).otherwise(0)

@@ -140,8 +140,9 @@ ORACLES = {
         """SELECT id_ad AS source_ad_id, url_ad AS url, 'otomoto.pl' AS source_name, 'PL' AS country_code, title, CAST(NULL AS VARCHAR) AS description, strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS posted_on_source_at,
         CAST(price AS VARCHAR) AS price, 'PLN' AS currency, make_name AS make_str, model_name AS model_str, version AS version_str, CAST(NULL AS VARCHAR) AS generation_str, year, mileage, fuel_type AS fuel_type_str,
         CAST(NULL AS INTEGER) AS engine_capacity_cm3, CAST(NULL AS INTEGER) AS engine_power_hp, gearbox AS gearbox_str, CAST(NULL AS VARCHAR) AS transmission_str, CAST(NULL AS VARCHAR) AS color_str,
-        city AS city_str, region AS region_str, CAST(NULL AS VARCHAR) AS seller_link, '[]' AS image_urls FROM ads""",
+        city AS city_str, region AS region_str, CAST(NULL AS VARCHAR) AS seller_link, CASE WHEN CAST(id_ad AS BIGINT) % 4 = 1 THEN '["https://photo.invalid/' || id_ad || '"]' ELSE '[]' END AS image_urls FROM ads""",
     ),
+    "ingest_by_make": _of(ADS, "SELECT make_name AS make_str, count(*) AS items, count(price) AS priced, count(price) / count(*) AS share FROM ads GROUP BY 1"),
     "ingest_metrics": _of(ADS, _PAGES, "SELECT CAST(count(*) + count(*) FILTER (page % 10 = 9) + count(*) FILTER (page % 7 = 3) AS BIGINT) AS pages, count(*) FILTER (page % 10 = 9) AS errors, count(*) FILTER (page % 7 = 3) AS retries, (SELECT count(*) FROM ads) AS items FROM pages"),
     "kafka_envelope": _of(
         MSG,
@@ -169,6 +170,10 @@ ORACLES = {
     "price_distribution": _of(ADS, "SELECT CASE WHEN price < 5000 THEN '0-5K' WHEN price < 10000 THEN '5K-10K' WHEN price < 20000 THEN '10K-20K' WHEN price < 30000 THEN '20K-30K' WHEN price < 50000 THEN '30K-50K' WHEN price < 100000 THEN '50K-100K' ELSE '100K+' END AS price_range, count(*) AS count FROM ads WHERE price > 0 GROUP BY 1"),
     "price_history": _of(MSG, LOG, 'SELECT id_ad, "offset", price, status FROM log WHERE status IS NOT NULL'),
     "region_stats": _of(ADS, f"SELECT region, count(*) AS count, {_rounded('avg(price)')} AS avg_price FROM ads WHERE region IS NOT NULL AND price > 0 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"),
+    "result_counts": _of(
+        ADS,
+        "SELECT 'search' AS endpoint, 'ring' AS argument, least(count(*), 20) AS count FROM ads WHERE title ILIKE '%ring%' UNION ALL SELECT 'makes', '', count(DISTINCT make_name) FROM ads WHERE make_name <> '' UNION ALL SELECT 'models', 'Brand#1', count(DISTINCT model_name) FROM ads WHERE make_name ILIKE '%Brand#1%' AND model_name <> ''",
+    ),
     "sold_history": _of(MSG, STATE, SNAP, f"SELECT id_ad AS auto_ad_id, TIMESTAMP '{SOLD_AT}' AS timestamp, price, currency_code, 'sold' AS status FROM state JOIN gone USING (source_name, id_ad)"),
     "sold_ids": _of(MSG, STATE, SNAP, "SELECT source_name, id_ad FROM gone"),
     "sold_probe": _of(MSG, STATE, SNAP, f"SELECT id_ad, TIMESTAMP '{SOLD_AT}' AS sold_at, source_name, make_name FROM state WHERE id_ad IN (SELECT id_ad FROM gone ORDER BY id_ad LIMIT 10)"),
@@ -181,6 +186,7 @@ ORACLES = {
     "stats_general": _of(ADS, f"SELECT count(*) AS total_ads, count(*) FILTER (sold_at IS NULL) AS active_ads, count(sold_at) AS sold_ads, {_rounded('avg(price) FILTER (price > 0)')} AS avg_price, coalesce(median(price) FILTER (price > 0), 0.0) AS median_price, {_rounded('avg(mileage) FILTER (mileage > 0)')} AS avg_mileage FROM ads"),
     "table_counts": _of(ADS, MSG, LOG, f"SELECT 'auto_ad' AS table_name, count(*) AS rows FROM ads UNION ALL SELECT 'auto_ad_history', count(status) FROM log UNION ALL SELECT 'car_make', count(*) FROM ({_MAKES}) UNION ALL SELECT 'car_model', count(*) FROM ({_MODELS})"),
     "trends_daily": _trend("day", 30),
+    "trends_iso": f"SELECT strftime(period, '%Y-%m-%dT%H:%M:%S') AS date, count, avg_price FROM ({_trend('day', 30)})",
     "trends_monthly": _trend("month", 365),
     "trends_weekly": _trend("week", 180),
     "stream_completion": _of(MSG, "SELECT DISTINCT source_name, make_str, id_ad FROM msg"),

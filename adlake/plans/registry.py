@@ -222,6 +222,7 @@ def responses(spark, d) -> DataFrame:
         F.struct(F.struct(F.col("price").cast("string").alias("units"), F.lit("PLN").alias("currencyCode")).alias("amount")).alias("price"),
         F.array(par("make", F.col("make_name")), par("model", F.col("model_name")), par("version", F.col("version")), par("year", F.col("year")), par("mileage", F.col("mileage")), par("fuel_type", F.col("fuel_type")), par("gearbox", F.col("gearbox"))).alias("parameters"),
         F.struct(F.struct(F.col("city").alias("name")).alias("city"), F.struct(F.col("region").alias("name")).alias("region")).alias("location"),
+        F.when(F.col("id_ad").cast("long") % 4 == 1, F.struct(F.concat(F.lit("https://photo.invalid/"), "id_ad").alias("url"))).alias("mainPhoto"),
     )
     edges = a.groupBy(F.floor(F.col("id_ad").cast("long") / I.PAGE).alias("page")).agg(F.collect_list(F.struct(node.alias("node"))).alias("edges"))
     body = F.to_json(F.struct(F.struct(F.struct(F.size("edges").alias("totalCount"), "edges").alias("advertSearch")).alias("data")))
@@ -236,6 +237,21 @@ def graphql_flatten(spark, d):
     return flat.withColumn("image_urls", F.to_json("image_urls"))
 
 
+def ingest_by_make(spark, d):
+    return I.by_make(I.flatten(I.parse(responses(spark, d))))
+
+
+def result_counts(spark, d):
+    a = ads(spark, d, "id_ad", "title", "make_name", "model_name", "created_at")
+    return L.counted({("search", "ring"): L.search(a, "ring"), ("makes", ""): L.makes_list(a), ("models", "Brand#1"): L.models_of(a, "Brand#1")})
+
+
+def trends_iso(spark, d):
+    """Daily trends as the response writes them: dates as ISO text."""
+    t = A.trends(ads(spark, d, "created_at", "price"), AS_OF, "daily", 30)
+    return t.select(F.date_format("period", "yyyy-MM-dd'T'HH:mm:ss").alias("date"), "count", "avg_price")
+
+
 def ingest_metrics(spark, d):
     return I.run_metrics(I.parse(responses(spark, d)))
 
@@ -263,11 +279,11 @@ QUERIES = {
     "dim_make": stat(S.dim_make, "id_ad make_name", "id_ad"), "dim_model": stat(S.dim_model, "id_ad make_name model_name", "id_ad"),
     "filter_options": stat(L.options, "fuel_type gearbox city region source_name"), "filter_ranges": stat(L.ranges, "price year"), "flt_ilike": flt("city", make="brand#1", city="nation_1"),
     "flt_range": flt(year_from=1995, year_to=2010, price_from=0, mileage_to=100000), "flt_sold": flt("sold_at", sold=True), "flt_source": flt(source_name="src1"),
-    "graphql_flatten": graphql_flatten, "ingest_metrics": ingest_metrics, "kafka_envelope": kafka_envelope, "make_catalogue": make_catalogue,
+    "graphql_flatten": graphql_flatten, "ingest_by_make": ingest_by_make, "ingest_metrics": ingest_metrics, "kafka_envelope": kafka_envelope, "make_catalogue": make_catalogue,
     "make_loader": stat(L.make_loader, "make_name"), "make_stats": stat(A.makes, "make_name price"), "makes_list": makes_list, "message_project": message_project,
     "message_route": message_route, "message_validation": message_validation, "model_stats": stat(A.models, "make_name model_name price"), "models_by_make": models_by_make, "params_map": params_map,
     "popular_make": stat(A.popular_make, "make_name"), "popular_model": stat(A.popular_model, "make_name model_name"), "price_distribution": stat(A.price_distribution, "price"),
-    "price_history": price_history, "region_stats": stat(A.regions, "region price"), "sold_history": sold_history, "sold_ids": sold_ids, "sold_probe": sold_probe,
+    "price_history": price_history, "result_counts": result_counts, "trends_iso": trends_iso, "region_stats": stat(A.regions, "region price"), "sold_history": sold_history, "sold_ids": sold_ids, "sold_probe": sold_probe,
     "sold_reconcile": sold_reconcile, "sold_state": sold_state, "stats_general": stat(A.general, "id_ad sold_at price mileage"), "stream_completion": jobs.stream_completion, "stream_history": jobs.stream_history, "stream_make_stats": jobs.stream_make_stats, "stream_price_distribution": jobs.stream_price_distribution,
     "stream_rejects": jobs.stream_rejects, "stream_sold": jobs.stream_sold, "stream_upsert": jobs.stream_upsert, "table_counts": table_counts, "trends_daily": stat(A.trends, "created_at price", AS_OF, "daily", 30),
     "trends_monthly": stat(A.trends, "created_at price", AS_OF, "monthly", 365), "trends_weekly": stat(A.trends, "created_at price", AS_OF, "weekly", 180),

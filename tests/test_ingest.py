@@ -197,3 +197,12 @@ def test_cache_is_kept_and_refreshed(spark):
     assert len(calls) == 2 and cache.info()["cached"]
     with pytest.raises(ValueError):
         CachedFrame(lambda: spark.range(0).toDF("x")).get()
+
+
+def test_catalogue_is_stored_whole_or_not_at_all(spark, tmp_path):
+    text = lambda *entries: spark.createDataFrame([("// makes\n" + json.dumps([{"name": "filter_enum_make", **e} for e in entries]),)], "value string")
+    path = str(tmp_path / "makes")
+    assert I.store_catalogue(text({"value": "fiat"}, {"value": "Alfa Romeo", "canonical": "alfa"}), path) == {"added": 2, "skipped": 0, "errors": 0}
+    assert I.store_catalogue(text({"value": "seat"}, {"value": ""}), path) == {"added": 0, "skipped": 0, "errors": 1}
+    assert I.store_catalogue(text({"value": "fiat"}, {"value": "seat"}), path) == {"added": 1, "skipped": 1, "errors": 0}
+    assert sorted(r.slug for r in spark.read.parquet(path).collect()) == ["alfa", "fiat", "seat"]
