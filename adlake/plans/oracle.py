@@ -88,6 +88,9 @@ _SOLD = _of(MSG, STATE, SNAP, f"SELECT id_ad, source_name, price, CASE WHEN (sou
 
 ORACLES = {
     "active_ids_snapshot": _of(MSG, "SELECT DISTINCT source_name, make_str, id_ad FROM msg"),
+    "ad_clustered": _of(ADS, f"SELECT {CARD} FROM ads WHERE id_ad = '1'"),
+    "ads_search_indexed": _of(ADS, f"SELECT {CARD} FROM ads WHERE title ILIKE '%ring%' ORDER BY created_at DESC NULLS FIRST, id_ad LIMIT 20"),
+    "flt_range_clustered": _of(ADS, f"SELECT {SHORT} FROM ads WHERE year >= 1995 AND year <= 2010 AND mileage <= 100000"),
     "ad_detail": _of(ADS, HIST, f"""SELECT c.*, h.timestamp AS history_timestamp, h.price AS history_price, h.currency_code AS "history_currencyCode", h.status AS history_status FROM (SELECT {CARD} FROM ads) c LEFT JOIN hist h ON auto_ad_id = id_ad WHERE id_ad = '1'"""),
     "ad_history": _of(ADS, HIST, "SELECT * FROM hist WHERE auto_ad_id = '1' ORDER BY timestamp DESC, status"),
     "ads_list_filtered": _of(ADS, f"SELECT {CARD} FROM ads WHERE {SOME} ORDER BY price ASC NULLS LAST, id_ad LIMIT 20"),

@@ -10,6 +10,8 @@ from adlake.operators import filters as L
 from adlake.operators import ingest as I
 from adlake.operators import state as S
 from adlake.operators import stats as A
+from adlake.operators import trigrams as G
+from adlake.sources import layout
 from adlake.sources import tables as T
 from adlake.streaming import jobs
 
@@ -78,6 +80,30 @@ def ads_search(spark, d):
     return whole(spark, d, L.search(ads(spark, d, "id_ad", "title", "created_at"), "ring"), *L.order_by())
 
 
+def ads_search_indexed(spark, d):
+    """The search by an index of its titles, which is built here first."""
+    base = jobs.shared_dir(spark)
+    titles = ads(spark, d, "id_ad", "title", "created_at")
+    G.build(titles, "id_ad", "title", f"{base}/titles")
+    found = G.matching(titles, "id_ad", "title", f"{base}/titles", "ring")
+    return whole(spark, d, found.orderBy(*L.order_by()).limit(L.PAGE_SIZE), *L.order_by())
+
+
+def clustered(spark, d) -> DataFrame:
+    """The listings in a layout of their own, written here first."""
+    path = f"{jobs.shared_dir(spark)}/ads"
+    layout.write(ads(spark, d), path, ["year", "price", "mileage"], ("id_ad",))
+    return layout.table(spark, path)
+
+
+def ad_clustered(spark, d):
+    return T.response(clustered(spark, d).where("id_ad = '1'"))
+
+
+def flt_range_clustered(spark, d):
+    return L.filtered(clustered(spark, d), L.AdFilters(year_from=1995, year_to=2010, price_from=0, mileage_to=100000)).select(*SHORT)
+
+
 def ad_history(spark, d):
     return L.history_of(T.history(T.listings(spark, d, ["id_ad", "created_at", "sold_at", "price", "currency_code"], only="1")), "1")
 
@@ -273,7 +299,7 @@ def make_catalogue(spark, d):
 
 
 QUERIES = {
-    "active_ids_snapshot": active_ids_snapshot, "ad_detail": ad_detail, "ad_history": ad_history, "ads_list_filtered": ads_list_filtered, "ads_page_2": ads_page_2, "ads_page_deep": ads_page_deep,
+    "active_ids_snapshot": active_ids_snapshot, "ad_clustered": ad_clustered, "ads_search_indexed": ads_search_indexed, "flt_range_clustered": flt_range_clustered, "ad_detail": ad_detail, "ad_history": ad_history, "ads_list_filtered": ads_list_filtered, "ads_page_2": ads_page_2, "ads_page_deep": ads_page_deep,
     "ads_page_meta": ads_page_meta, "ads_search": ads_search, "ads_with_dims": ads_with_dims, "crawl_page_plan": crawl_page_plan, "crawl_urls": crawl_urls,
     "dashboard_body": dashboard_body, "dashboard_summary": stat(A.dashboard, "id_ad make_name price mileage sold_at"), "digit_guard": digit_guard,
     "dim_make": stat(S.dim_make, "id_ad make_name", "id_ad"), "dim_model": stat(S.dim_model, "id_ad make_name model_name", "id_ad"),
