@@ -7,7 +7,7 @@ document that fails a rule goes when its host's shrunk rate of that rule is `doc
 is forgiven. Host sums are partially aggregated, so one host may hold any share of the rows; the hosts are broadcast only while
 their counted number is `broadcast_hosts` or less, and beyond that the join is salted by `salt`.
 
-Repeated three-word windows are told by their 64-bit hash within a document.
+Repeated three-word windows are told by their words; hashes only bring them together.
 
 Cases: null and empty texts have no words and fail the base rules; a null host is a host of its own (the empty name); equal rows are
 judged alike; an empty table gives no rows; other columns are ignored.
@@ -71,7 +71,7 @@ def host_rates(found: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, host_column: str = "source", host_limit: float = 0.6, doc_limit: float = 0.02, broadcast_hosts: int = 200_000, salt: int = 64) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, host_refused."""
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept."""
     host = F.coalesce(F.col(host_column).cast("string"), F.lit("")).alias("host")
     found = checkpointed(measured(docs.select("doc_id", "text", host), "host"))
     rates = host_rates(found)
