@@ -142,7 +142,9 @@ def stat(f, columns: str, *args, **kw):
 
 def dashboard_body(spark, d):
     """The dashboard's nested row as (section, pos, field, number, text) rows."""
-    body = A.dashboard_body(ads(spark, d, "id_ad", "make_name", "model_name", "region", "price", "mileage", "created_at", "sold_at"), AS_OF).persist()
+    path = f"{jobs.shared_dir(spark)}/dashboard"  # one row, which each section is read from
+    A.dashboard_body(ads(spark, d, "id_ad", "make_name", "model_name", "region", "price", "mileage", "created_at", "sold_at"), AS_OF).write.parquet(path)
+    body = spark.read.parquet(path)
     kinds = dict(body.dtypes)
     out = None
     for section in body.columns:
