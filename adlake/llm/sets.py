@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bitmap, checkpointed, map_batches, passes, pieces, texts
+from .common import bitmap, checkpointed, map_batches, passes, pieces, skew_joined, texts
 from .graph import components
 
 #: Places of a signature, places compared at a time, the chance to miss a pair at the bound, nodes of a block.
@@ -289,15 +289,25 @@ def _proposed(groups: DataFrame, nodes: DataFrame, need: list[int], least: int)
 _MEETING = ["family", "block", "chunk"]
 
 
-def _meetings(families: DataFrame, tree: DataFrame, chunk: int) -> DataFrame:
+def _meetings(families: DataFrame, tree: DataFrame, chunk: int, block: int = BLOCK) -> DataFrame:
     """(family, block, chunk, out, node, part) of families whose nodes belong to different components (part) so far.
 
-    The nodes outside of the family's largest component (out), in chunks, meet all of its nodes, in their blocks."""
+    The nodes outside of the family's largest component (out), in chunks, meet all of its nodes, in their blocks. Families of one largest component, which mostly hold the
+    same nodes under other keys, are one where that takes fewer rows."""
     labelled = families.join(tree.select("node", "root"), "node", "left").select("family", "block", "node", F.coalesce("root", "node").alias("part"))
     each = labelled.groupBy("family", "part").agg(F.count("*").alias("n"), F.max("block").alias("last"))
-    top = each.groupBy("family").agg(F.max_by("part", F.struct("n", "part")).alias("top"), F.count("*").alias("parts"), (F.sum("n") - F.max("n")).alias("outside"), (F.max("last") + 1).alias("blocks"))
-    open_ = labelled.join(checkpointed(top.where("parts > 1")), "family").withColumn("out", F.col("part") != F.col("top"))
-    chunks = F.ceil(F.col("outside") / chunk).cast("long")
+    top = each.groupBy("family").agg(F.max_by("part", F.struct("n", "part")).alias("top"), F.count("*").alias("parts"), F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("outside"), (F.max("last") + 1).alias("blocks"))
+    top = checkpointed(top.where("parts > 1").drop("parts"))
+    chunks, size = F.ceil(F.col("outside") / chunk).cast("long"), F.col("n")
+    sent = size * chunks + F.col("outside") * F.col("blocks")
+    members = checkpointed(labelled.join(top.select("family", "top"), "family").select("top", "node", "part").distinct())
+    united = members.groupBy("top").agg(F.count("*").alias("n"), F.count_if(F.col("part") != F.col("top")).alias("outside")).withColumn("blocks", F.ceil(size / block).cast("long"))
+    united = united.withColumn("sent", sent).join(top.groupBy("top").agg(F.sum(sent).alias("apart")), "top")
+    united = checkpointed(united.where("sent < apart").select("top", "n", "outside", "blocks"))
+    names = ["family", "block", "node", "part", "top", "outside", "blocks"]
+    single = labelled.join(checkpointed(top.join(united.select("top"), "top", "left_anti")), "family").select(*names)
+    one = skew_joined(members, united, "top").withColumn("family", F.xxhash64("top")).withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), "blocks")).select(*names)
+    open_ = checkpointed(single.union(one).withColumn("out", F.col("part") != F.col("top")))
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
     inner = open_.select("family", "block", upto(chunks).alias("chunk"), F.lit(False).alias("out"), "node", "part")
     outer = open_.where("out").select("family", upto(F.col("blocks")).alias("block"), F.pmod(F.xxhash64("node"), chunks).alias("chunk"), "out", "node", "part")
@@ -333,7 +343,7 @@ def _crossing(meetings: DataFrame, nodes: DataFrame, need: list[int], least: int
     return checkpointed(rows.repartition(*_MEETING).sortWithinPartitions(*_MEETING, "out").mapInArrow(run, "family long, block long, chunk long, out boolean, node long, part long"))
 
 
-def _joined(crossing: DataFrame, nodes: DataFrame, known: DataFrame, shingle: int, need: list[int], least: int) -> DataFrame:
+def _joined(crossing: DataFrame, known: DataFrame, shingle: int, need: list[int], least: int) -> DataFrame:
     """(a, b): of each meeting, links that join its parts, verified on the full sets; likeliest pairs first, and none between parts that are joined already."""
 
     def run(batches):
@@ -367,12 +377,14 @@ def _joined(crossing: DataFrame, nodes: DataFrame, known: DataFrame, shingle: in
                     a, b = zip(*links, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    rows = crossing.join(nodes.select("node", "n_shingles", "places"), "node").join(known, "node").select(*_MEETING, "out", "node", "part", "n_shingles", "places", "text")
+    rows = crossing.join(known, "node").select(*_MEETING, "out", "node", "part", "n_shingles", "places", "text")
     return checkpointed(rows.repartition(*_MEETING).sortWithinPartitions(*_MEETING, "out").mapInArrow(run, "a long, b long"))
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """wanted (id, node, digest) -> (node, text): a text of each node, id its doc_id (-1 without one). Only rows of wanted ids (and a few by chance) leave the scan."""
+    """wanted (id, node, digest, n_shingles, places) -> (node, n_shingles, places, text): each node with a text, id its doc_id (-1 without one).
+
+    Only rows of wanted ids (and a few by chance) leave the scan."""
     import xxhash
 
     key = F.coalesce("doc_id", F.lit(-1).cast("long"))
@@ -391,10 +403,11 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 x, y = shingles(t, shingle)
                 same.append(xxhash.xxh3_128_digest(x.tobytes() + y.tobytes()) == d)
             part = b.filter(pa.array(same, pa.bool_()))
-            yield {"node": part.column("node"), "text": part.column("text")}
+            yield {c: part.column(c) for c in ("node", "n_shingles", "places", "text")}
 
     found = map_batches(texts(docs).where("text IS NOT NULL").select(key.alias("id"), "text"), held, "id long, text string").join(wanted, "id")
-    return checkpointed(map_batches(found.select("node", "text", "digest"), own, "node long, text string").dropDuplicates(["node"]))
+    rows = found.select("node", "n_shingles", "places", "text", "digest")
+    return checkpointed(map_batches(rows, own, "node long, n_shingles long, places binary, text string").dropDuplicates(["node"]))
 
 
 def _word_set(text: str, shingle: int) -> set:
@@ -439,9 +452,9 @@ def joined_sets(docs: DataFrame, nodes: DataFrame, keys: list[Column], shingle:
         pairs, hubs = pairs.union(level.where("kind = 0").select("x", "y")), level.where("kind = 2")
     pairs = checkpointed(pairs.distinct())
     reached = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(families.select("node")).distinct()
-    known = _texts_of(docs, checkpointed(nodes.select("id", "node", "digest").join(reached, "node")), shingle)
+    known = _texts_of(docs, checkpointed(nodes.select("id", "node", "digest", "n_shingles", "places").join(reached, "node")), shingle)
     links = _linked(pairs, known, shingle, least)
     tree = checkpointed(components(links))
-    crossing = _crossing(_meetings(families, tree, block // 2 or 1), nodes, need, least)
-    more = _joined(crossing, nodes, known, shingle, need, least)
+    crossing = _crossing(_meetings(families, tree, block // 2 or 1, block), nodes, need, least)
+    more = _joined(crossing, known, shingle, need, least)
     return tree if more.isEmpty() else checkpointed(components(links.union(more)))

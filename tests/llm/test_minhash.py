@@ -155,6 +155,25 @@ def test_large_group_sends_few_rows(spark):
     prints.unpersist()
 
 
+def test_one_group_under_many_keys_meets_once(spark):
+    """Families that hold mostly the same nodes send them once, not under each key; families that share only their largest component stay apart. No pair is lost."""
+    overlapping = [(k, 0, n) for k in range(30) for n in range(200) if (n + k) % 10]
+    apart = [(100 + k, 0, 1000 + 10 * k + n) for k in range(40) for n in range(10)]
+    parts = {n: n if n >= 180 else 1 for n in range(200)} | {1000 + n: 1000 + n if n % 10 == 9 else 1000 for n in range(400)}
+    families = spark.createDataFrame(overlapping + apart, "family long, block long, node long")
+    got = S._meetings(families, spark.createDataFrame(list(parts.items()), "node long, root long"), 32).collect()
+    assert len(got) <= 200 + 20 + 400 + 40
+    met = {}
+    for x in got:
+        assert x.part == parts[x.node]
+        met.setdefault((x.family, x.block, x.chunk), ([], []))[x.out].append(x.node)
+    pairs = {frozenset((a, b)) for inner, outer in met.values() for a in inner for b in outer if parts[a] != parts[b]}
+    held = {}
+    for f, _, n in overlapping + apart:
+        held.setdefault(f, []).append(n)
+    assert {frozenset((a, b)) for nodes in held.values() for a in nodes for b in nodes if parts[a] != parts[b]} <= pairs
+
+
 def test_whole_small_table_equals_sql(spark):
     d = "/root/testdata/sf0.01"
     c = duckdb.connect()
