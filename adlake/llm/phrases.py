@@ -5,7 +5,9 @@ on the piece and the adjacent position gives the occurrences of phrases one word
 group-counted, groups below the least count go, and occurrences are semi-joined with the frequent groups before they are extended again.
 
 For scale: a text's occurrences are one row of two sorted arrays, so the merge-join needs no exchange, and is cut into no more than a batch of texts;
-tasks count before they shuffle, and Spark's own partial aggregation adds up what is left. The semi-join passes a bitmap of `bits` bits (16 MB, whatever
+tasks count before they shuffle, and Spark's own partial aggregation adds up what is left. Before each count, tasks add up how many occurrences fall on each
+bucket of numbers (sent as bytes, a few bits a number); a bucket with less than the least count holds no frequent phrase, so only the others' numbers are counted one by one. There are
+as many buckets as a quarter of the words, up to `bits`; fewer let more rare phrases through to the count, and lose none. The semi-join passes a bitmap of `bits` bits (16 MB, whatever
 the corpus), built by Spark; what passes by chance is counted and goes at the next exact count. Frequent groups are never collected or broadcast.
 Occurrences are known by numbers of `width` bits, mixed from the parts' numbers; each count checks that a frequent number stands for one phrase, and if one
 ever stands for two, all is done again with the next seed (and twice the bits, up to 64): counts are exact, but for phrases that share number and sign, 96 bits.
@@ -30,8 +32,9 @@ from .common import bitmap, checkpointed, map_batches, passes, pieces
 
 #: Fixed values of the contract: longest phrase, least count, rows of each language.
 LONGEST, LEAST, TOP = 5, 100, 2000
-#: Bits of the semi-join's bitmap; words that a task holds before it sends their counts on.
+#: Bits of the semi-join's bitmap; words that a task holds before it sends their counts on; buckets in a row that is sent, occurrences that a task holds for them.
 BITS, HELD = 1 << 27, 400_000
+RANGE, MOST = 1 << 16, 1 << 21
 _MARK = b"."  # stands for every end of a piece: no word holds it
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else ord(_MARK) if chr(c) in ".,;:!?\n\v\f\r" else 32 if c == 9 else c for c in range(256))
 _OCCURRENCES = "pos array<int>, id array<long>"
@@ -141,12 +144,75 @@ def _sign(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((_mixed(b, a, 1, 64) >> np.uint64(32)).astype(np.uint32)).view(np.int32)
 
 
-def _counts(occurrences: DataFrame, seed: int, width: int) -> DataFrame:
-    """(id, f, sign, sign2, task) of the phrases one word longer: the count of a number, least and greatest sign of the phrases under it, and a task that holds it."""
+def _planes(x: np.ndarray) -> bytes:
+    """The numbers' first bytes, then their second ones, and so on, which packs well: most are small."""
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _numbers(planes: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def _crowded(occurrences: DataFrame, least: int, seed: int, width: int, buckets: int) -> bytes:
+    """A bit for each bucket (remainder of a number) that `least` occurrences of phrases one word longer, or more, fall on. `buckets` is a power of two."""
+
+    def tell(batches):
+        held, n = [], 0
+
+        def out():
+            at, own = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+            # up to `least` of each, so sums reach `least` if those of all would
+            count = np.minimum(np.bincount(own, np.concatenate([h[1] for h in held]), len(at)), least).astype("<u4")
+            edges = np.flatnonzero(np.concatenate([[True], at[1:] // RANGE != at[:-1] // RANGE, [True]]))
+            parts = list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+            gaps = [_planes(np.diff(at[i:j] % RANGE, prepend=0).astype("<u2")) for i, j in parts]
+            return pa.RecordBatch.from_pydict({"range": pa.array((at[edges[:-1]] // RANGE).astype(np.int64)), "gaps": pa.array(gaps, pa.binary()), "counts": pa.array([_planes(count[i:j]) for i, j in parts], pa.binary())})
+
+        for batch in batches:
+            for part in _parts(batch):
+                at, count = np.unique((_joined(part, seed, width)[2] & np.uint64(buckets - 1)).astype(np.int64), return_counts=True)
+                if len(at):
+                    held.append((at, count))
+                    n += len(at)
+                if n > MOST:
+                    yield out()
+                    held, n = [], 0
+        if held:
+            yield out()
+
+    def add(batches):
+        last, total = None, np.zeros(RANGE, np.int64)
+
+        def out():
+            bits = np.packbits(total >= least, bitorder="little").tobytes()
+            return pa.RecordBatch.from_pydict({"range": pa.array([last], pa.int64()), "bits": pa.array([bits], pa.binary())})
+
+        for batch in batches:
+            for k, gaps, counts in zip(*(batch.column(c).to_pylist() for c in ("range", "gaps", "counts")), strict=True):
+                if k != last:
+                    if last is not None:
+                        yield out()
+                    last, total = k, np.zeros(RANGE, np.int64)
+                total[np.cumsum(_numbers(gaps, "<u2").astype(np.int64))] += _numbers(counts, "<u4")
+        if last is not None:
+            yield out()
+
+    rows = occurrences.mapInArrow(tell, "range long, gaps binary, counts binary").repartition("range").sortWithinPartitions("range")
+    bits = bytearray(max(1, buckets // 8))
+    for k, part in rows.mapInArrow(add, "range long, bits binary").collect():
+        begin = k * RANGE // 8
+        bits[begin : begin + len(part)] = part[: len(bits) - begin]
+    return bytes(bits)
+
+
+def _counts(occurrences: DataFrame, crowded, seed: int, width: int) -> DataFrame:
+    """(id, f, sign, sign2, task) of the phrases one word longer in crowded buckets: the count of a number, least and greatest sign of the phrases under it, and a task that holds it."""
 
     def run(batch):
         for part in _parts(batch):
             _, _, ids, a, b = _joined(part, seed, width)
+            passed = passes(ids, np.frombuffer(crowded.value, np.uint8))
+            ids, a, b = ids[passed], a[passed], b[passed]
             found, at, own, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
             sign = _sign(a, b)
             other = np.flatnonzero(sign != sign[at][own])  # of another phrase under the number the sign goes along
@@ -209,9 +275,12 @@ def _frequent(docs: DataFrame, longest: int, least: int, bits: int, seed: int, w
     known = words.where("NOT all").select("lang", F.lit(1).alias("k"), "id", F.col("word").cast("string").alias("phrase"), "f")
     share = lambda groups: spark.sparkContext.broadcast(bitmap(groups.select("id"), bits))
     frequent = share(known)
+    buckets = min(bits, 1 << max(16, ((totals.agg(F.sum("n")).first()[0] or 0) // 4).bit_length()))
     occurrences, found = checkpointed(_first(docs, frequent, seed, width)), known
     for k in range(2, longest + 1):
-        counted = checkpointed(_counts(occurrences, seed, width).where(F.col("f") >= least))
+        crowded = spark.sparkContext.broadcast(_crowded(occurrences, least, seed, width, buckets))
+        counted = checkpointed(_counts(occurrences, crowded, seed, width).where(F.col("f") >= least))
+        crowded.destroy()
         if not counted.where("sign <> sign2").isEmpty():
             raise _Clash
         frequent.destroy()

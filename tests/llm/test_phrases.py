@@ -68,6 +68,40 @@ def test_a_number_for_two_phrases_is_found(spark):
         assert sorted(tuple(x) for x in P.collocations(docs, 3, 3, width=width).collect()) == want
 
 
+def test_rare_phrases_are_not_sent(spark):
+    """Frequent words in ever new pairs: the pairs are counted by buckets, and but for the frequent ones only those of an unlucky bucket go to the exact count."""
+    r = random.Random(8)
+    made = [" ".join([*r.choices([f"w{k}" for k in range(300)], k=200), "of the"]) for _ in range(60)]
+    docs = frame(spark, made).repartition(3)
+    everything = spark.sparkContext.broadcast(b"\xff")
+    first = P._first(docs.selectExpr("text", "'en' AS lang"), everything, 0, 64).cache()
+    pairs = Counter(p for t in made for p in zip(t.split(), t.split()[1:], strict=False))
+    want = sorted(n for n in pairs.values() if n >= 20)
+    for buckets, most in ((1 << 20, len(want) + 20), (64, len(pairs)), (8, len(pairs))):
+        crowded = spark.sparkContext.broadcast(P._crowded(first, 20, 0, 64, buckets))
+        counted = P._counts(first, crowded, 0, 64)
+        assert sorted(x.f for x in counted.where("f >= 20").collect()) == want and counted.count() <= most < 2 * len(pairs)
+    first.unpersist()
+
+
+@pytest.mark.parametrize("held", [1, 50])
+def test_buckets_equal_plain_sums(spark, monkeypatch, held):
+    """However few occurrences a task holds before it sends them."""
+    monkeypatch.setattr(P, "MOST", held)
+    r = random.Random(9)
+    rows = [sorted(r.sample(range(2000), 300)) for _ in range(40)]
+    ids = [[r.randrange(6) for _ in x] for x in rows]
+    joined = Counter()
+    for x, y in zip(rows, ids, strict=True):
+        for k in range(299):
+            if x[k + 1] == x[k] + 1:
+                joined[int(P._mixed(*(P.np.array([v], "u8") for v in y[k : k + 2]), 0, 64)[0]) % 262144] += 1
+    df = spark.createDataFrame(list(zip(rows, ids, strict=True)), P._OCCURRENCES).repartition(3)
+    for least in (2, 40, 48):
+        bits = P.np.unpackbits(P.np.frombuffer(P._crowded(df, least, 0, 64, 262144), "u1"), bitorder="little")
+        assert set(P.np.flatnonzero(bits).tolist()) == {k for k, n in joined.items() if n >= least}
+
+
 def test_whole_small_table_equals_sql(spark):
     d = "/root/testdata/sf0.01"
     c = duckdb.connect()
