@@ -5,7 +5,7 @@ on the piece and the adjacent position gives the occurrences of phrases one word
 group-counted, groups below the least count go, and occurrences are semi-joined with the frequent groups before they are extended again.
 
 For scale: a text's occurrences are one row of two sorted arrays, so the merge-join needs no exchange, and is cut into no more than a batch of texts;
-tasks count before they shuffle, and Spark's own partial aggregation adds up what is left. Before each count, tasks add up how many occurrences fall on each
+tasks count before they shuffle packed numbers, dealt out by remainders. Before each count, tasks add up how many occurrences fall on each
 bucket of numbers (sent as bytes, a few bits a number); a bucket with less than the least count holds no frequent phrase, so only the others' numbers are counted one by one. There are
 as many buckets as a quarter of the words, up to `bits`; fewer let more rare phrases through to the count, and lose none. The semi-join passes a bitmap of `bits` bits (16 MB, whatever
 the corpus), built by Spark; what passes by chance is counted and goes at the next exact count. Frequent groups are never collected or broadcast.
@@ -32,9 +32,10 @@ from .common import bitmap, checkpointed, map_batches, passes, pieces
 
 #: Fixed values of the contract: longest phrase, least count, rows of each language.
 LONGEST, LEAST, TOP = 5, 100, 2000
-#: Bits of the semi-join's bitmap; words that a task holds before it sends their counts on; buckets in a row that is sent, occurrences that a task holds for them.
+#: Bits of the semi-join's bitmap; words that a task holds before it sends their counts on; buckets in a row that is sent, numbers that a task holds before it
+#: sends or adds them up, rows of packed numbers that it sends.
 BITS, HELD = 1 << 27, 400_000
-RANGE, MOST = 1 << 16, 1 << 21
+RANGE, MOST, SHARES = 1 << 16, 1 << 21, 1024
 _MARK = b"."  # stands for every end of a piece: no word holds it
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else ord(_MARK) if chr(c) in ".,;:!?\n\v\f\r" else 32 if c == 9 else c for c in range(256))
 _OCCURRENCES = "pos array<int>, id array<long>"
@@ -205,22 +206,69 @@ def _crowded(occurrences: DataFrame, least: int, seed: int, width: int, buckets:
     return bytes(bits)
 
 
+def _summed(rows: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Rows of number, count, least and greatest sign, least task: one for each number."""
+    x = [np.concatenate(c) for c in zip(*rows, strict=True)]
+    order = np.argsort(x[0], kind="stable")
+    x = [c[order] for c in x]
+    at = np.flatnonzero(np.concatenate([[True] * min(1, len(order)), x[0][1:] != x[0][:-1]]).astype(bool))
+    if not len(at):
+        return tuple(x)
+    return x[0][at], np.add.reduceat(x[1], at), np.minimum.reduceat(x[2], at), np.maximum.reduceat(x[3], at), np.minimum.reduceat(x[4], at)
+
+
 def _counts(occurrences: DataFrame, crowded, seed: int, width: int) -> DataFrame:
-    """(id, f, sign, sign2, task) of the phrases one word longer in crowded buckets: the count of a number, least and greatest sign of the phrases under it, and a task that holds it."""
+    """(id, f, sign, sign2, task) of the phrases one word longer in crowded buckets: the count of a number, least and greatest sign of the phrases under it, and a task that holds it.
 
-    def run(batch):
-        for part in _parts(batch):
-            _, _, ids, a, b = _joined(part, seed, width)
-            passed = passes(ids, np.frombuffer(crowded.value, np.uint8))
-            ids, a, b = ids[passed], a[passed], b[passed]
-            found, at, own, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
-            sign = _sign(a, b)
-            other = np.flatnonzero(sign != sign[at][own])  # of another phrase under the number the sign goes along
-            both = lambda x, y: pa.array(np.concatenate([x, y]))
-            yield {"id": both(found.view(np.int64), ids[other].view(np.int64)), "n": both(n.astype(np.int64), np.zeros(len(other), np.int64)), "sign": both(sign[at], sign[other])}
-
-    rows = map_batches(occurrences, run, "id long, n long, sign int").withColumn("task", F.spark_partition_id())
-    return rows.groupBy("id").agg(F.sum("n").alias("f"), F.min("sign").alias("sign"), F.max("sign").alias("sign2"), F.min("task").alias("task"))
+    A task adds up what it holds and sends a row of packed numbers for each of `SHARES` remainders."""
+    names, kinds = ["id", "f", "sign", "sign2", "task"], ["<i8", "<i8", "<i4", "<i4", "<i4"]
+
+    def tell(batches):
+        from pyspark import TaskContext
+
+        task, held, n = TaskContext.get().partitionId(), [], 0
+
+        def out():
+            x = _summed(held)
+            share = x[0] & (SHARES - 1)
+            order = np.argsort(share, kind="stable")
+            edges = np.flatnonzero(np.concatenate([[True], share[order][1:] != share[order][:-1], [True]]))
+            parts = list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+            packed = {c: pa.array([_planes(v[order[i:j]].astype(k)) for i, j in parts], pa.binary()) for c, v, k in zip(names, x, kinds, strict=True)}
+            return pa.RecordBatch.from_pydict({"share": pa.array(share[order][edges[:-1]])} | packed)
+
+        for batch in batches:
+            for part in _parts(batch):
+                _, _, ids, a, b = _joined(part, seed, width)
+                passed = passes(ids, np.frombuffer(crowded.value, np.uint8))
+                if passed.any():
+                    ids, sign = ids[passed].view(np.int64), _sign(a[passed], b[passed])
+                    held.append(_summed([(ids, np.ones(len(ids), np.int64), sign, sign, np.full(len(ids), task, np.int32))]))
+                    n += len(held[-1][0])
+                if n > MOST:
+                    yield out()
+                    held, n = [], 0
+        if held:
+            yield out()
+
+    def add(batches):
+        last, held, n = None, [], 0
+        for batch in batches:
+            for k, *packed in zip(*(batch.column(c).to_pylist() for c in ["share", *names]), strict=True):
+                if held and (k != last or n > MOST):
+                    held = [_summed(held)]
+                    n = len(held[0][0])
+                    if k != last:
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=names)
+                        held, n = [], 0
+                last = k
+                held.append(tuple(_numbers(x, kind) for x, kind in zip(packed, kinds, strict=True)))
+                n += len(held[-1][0])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(held)], names=names)
+
+    rows = occurrences.mapInArrow(tell, "share long, id binary, f binary, sign binary, sign2 binary, task binary").repartition("share").sortWithinPartitions("share")
+    return rows.mapInArrow(add, "id long, f long, sign int, sign2 int, task int")
 
 
 _TASK = 0x9E3779B1  # odd: sets a number's bits for one task apart from those for another

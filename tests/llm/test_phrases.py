@@ -5,6 +5,7 @@ from fractions import Fraction
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from adlake.llm import phrases as P
 from adlake.llm.queries import QUERIES
@@ -84,6 +85,26 @@ def test_rare_phrases_are_not_sent(spark):
     first.unpersist()
 
 
+@pytest.mark.parametrize("held", [1, 1 << 20])
+def test_counts_are_packed(spark, monkeypatch, held):
+    """Numbers, counts, signs and tasks equal plain ones, however often a task sends; a number of two phrases shows both signs."""
+    monkeypatch.setattr(P, "MOST", held)
+    r = random.Random(10)
+    rows = [(list(range(300)), [r.randrange(40) for _ in range(300)]) for _ in range(30)]
+    df = spark.createDataFrame(rows, P._OCCURRENCES).repartition(3).cache()
+    everything = spark.sparkContext.broadcast(b"\xff")
+    for width in (64, 6):
+        want = {}
+        for x in df.withColumn("task", F.spark_partition_id()).collect():
+            a, b = (P.np.array(v, "u8") for v in (x.id[:-1], x.id[1:]))
+            for k, sign in zip(P._mixed(a, b, 0, width).view("i8").tolist(), P._sign(a, b).tolist(), strict=True):
+                f, low, high, task = want.get(k, (0, sign, sign, x.task))
+                want[k] = (f + 1, min(low, sign), max(high, sign), min(task, x.task))
+        got = P._counts(df, everything, 0, width)
+        assert {x.id: tuple(x)[1:] for x in got.collect()} == want and got.count() == len(want)
+    df.unpersist()
+
+
 @pytest.mark.parametrize("held", [1, 50])
 def test_buckets_equal_plain_sums(spark, monkeypatch, held):
     """However few occurrences a task holds before it sends them."""
