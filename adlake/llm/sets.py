@@ -10,7 +10,7 @@ survivors, likeliest first. Blocks of a large key are joined through their hubs
 components, most groups lie within one; in the others the nodes outside of the largest component are compared with all of the group (in blocks, a
 bounded number of nodes at a time). Nodes with a survivor in another component then meet once more with their texts, and the task verifies such pairs, likeliest first,
 until components are joined or all are refuted, so no link is lost that signatures did not prune. Pairs are never sent: a group of n nodes costs n rows, and the m nodes
-outside its component m n / block more. Texts are fetched for nodes with survivors only (a bitmap of fixed size filters the scan). Components come from contraction
+outside its component some n m / (block / 2) + m n / block more; families of the same nodes are one. Texts are fetched for nodes with survivors only (a bitmap of fixed size filters the scan). Components come from contraction
 (graph.py), copies and hubs are salted.
 """
 
